@@ -372,4 +372,27 @@ with {_LOG_LINES}
 select strftime(ts, '%Y-%m-%d') as log_date, count(value) as lines,
        cast(sum(length(value)) as bigint) as chars
 from stamped group by 1""",
+
+    "stream_dau": f"""
+with {_STARTS} select mid, log_date from first""",
+
+    "stream_alerts": f"""
+with {_windows(21600, 3600, 3)},
+docs as (
+  select mid || '_' || (window_end // 60000) as alert_id, *
+  from alert
+  where window_end * 1000 <= (select max(epoch_us(ts)) from events) - 3600000000)
+select alert_id, cast(mid as varchar) as mid, uids, item_ids, events, window_end as ts,
+       strftime(make_timestamp(window_end * 1000), '%Y-%m-%d') as alert_date
+from docs""",
+
+    "stream_sales": f"""
+with {_SALES}
+select sale.order_detail_id, cast(sale.order_id as varchar) as order_id, order_status,
+       create_time, cast(user_id as varchar) as user_id, cast(sku_id as varchar) as sku_id,
+       user_gender, user_age, user_level, sku_price, sku_name, dt
+from sale
+where order_detail_id in (
+  select order_detail_id from line join ord on line.order_id = ord.order_id
+  where l_shipdate between o_orderdate - interval 30 day and o_orderdate + interval 30 day)""",
 }

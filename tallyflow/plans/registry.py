@@ -12,8 +12,9 @@ from tallyflow.operators import (alerts, first_start, orders as order_ops, regio
                                  sales, search)
 from tallyflow.operators.latest import latest_per_key
 from tallyflow.plans import serving, star
-from tallyflow.session import configure
-from tallyflow.sources import topics
+from tallyflow.session import configure, work_dir
+from tallyflow.sources import tables, topics
+from tallyflow.streaming import jobs, sinks, transforms
 
 # Query parameters; the comparison SQL states the same values.
 DAY = "2024-01-09"
@@ -374,3 +375,57 @@ def log_archive(spark, folder):
     lines = routing.stamp_arrival(star.log_lines(spark, folder), F.col("timestamp"))
     return (routing.archive_lines(lines).groupBy("log_date")
             .agg(F.count("value").alias("lines"), F.sum(F.length("value")).alias("chars")))
+
+
+# --- streams: the jobs run once over the tables -------------------------------------------
+
+def _stream(spark, folder, name):
+    schema = star.table(spark, folder, name).schema
+    return topics.table_stream(spark, folder, f"{name}.parquet", schema)
+
+
+@query
+def stream_dau(spark, folder):
+    """Devices and days the streaming dedup lets through (which of a day's starts is open)."""
+    sinks.keep_state_on_disk(spark)
+    out = work_dir(spark, "stream-dau")
+    starts = star.start_columns(_stream(spark, folder, "events")).withColumn(
+        "event_time", F.col("event_time").cast("timestamp"))
+    first = transforms.first_starts(starts).select("mid", "log_date")
+    writer = first.writeStream.format("parquet").option("path", f"{out}/rows")
+    sinks.start(writer, "stream_dau", f"{out}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(first.schema).parquet(f"{out}/rows")
+
+
+@query
+def stream_alerts(spark, folder):
+    """Alert documents of the windows that are complete one hour before the last event."""
+    out = work_dir(spark, "stream-alerts")
+    events = star.event_columns(_stream(spark, folder, "events"))
+    jobs.write_alerts(events, out, f"{out}/checkpoint", *WIDE_WINDOW, delay="1 hour",
+                      once=True).awaitTermination()
+    return (tables.ALERTS.read(spark, out)
+            .select("alert_id", "mid", joined(F.col("uids")).alias("uids"),
+                    joined(F.col("item_ids")).alias("item_ids"),
+                    joined(F.col("events")).alias("events"), "ts", "alert_date"))
+
+
+@query
+def stream_sales(spark, folder):
+    """Wide sale rows of lines that came within the wait of their order.
+
+    The tables are not in time order; the delay is longer than their time span, so that no row
+    is late however the files are cut into batches.
+    """
+    out = work_dir(spark, "stream-sales")
+    sinks.write_version(star.users(spark, folder).withColumn(
+        "arrival", F.lit("2001-01-01").cast("timestamp")), tables.USERS, out, 0)
+    part = star.table(spark, folder, "part").select("p_partkey", "p_name")
+    orders = order_ops.clean_orders(star.order_columns(_stream(spark, folder, "orders")))
+    orders = orders.withColumn("user_id", F.col("user_id").cast("string"))
+    lines = star.line_columns(_stream(spark, folder, "lineitem").join(
+        part, F.col("l_partkey") == F.col("p_partkey")))
+    jobs.write_sales(orders, lines, out, f"{out}/checkpoint", LINE_WAIT, "5000 days",
+                     F.lit(AS_OF).cast("date"), once=True,
+                     table=tables.SALES_BACKFILL).awaitTermination()
+    return tables.SALES_BACKFILL.read(spark, out)

@@ -71,12 +71,15 @@ def purchases(spark: SparkSession, folder: str,
                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"))
 
 
-def _order_columns(orders: DataFrame, *extra: Column) -> DataFrame:
+def order_columns(orders: DataFrame, tel: Column | None = None,
+                  *extra: Column) -> DataFrame:
+    tel = F.lit(None).cast("string") if tel is None else tel
     return orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
                          F.col("o_orderstatus").alias("order_status"),
                          F.col("o_totalprice").alias("total_amount"),
                          F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
-                         F.col("o_orderdate").cast("timestamp").alias("order_time"), *extra)
+                         F.col("o_orderdate").cast("timestamp").alias("order_time"),
+                         tel.alias("consignee_tel"), *extra)
 
 
 def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
@@ -84,15 +87,14 @@ def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFram
     rows = table(spark, folder, "orders")
     if day is not None:
         rows = rows.filter(C.on_days(rows, "o_orderdate", day, day))
-    return _order_columns(rows, F.lit(None).cast("string").alias("consignee_tel"))
+    return order_columns(rows)
 
 
 def orders_with_contact(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     joined = table(spark, folder, "orders").join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return _order_columns(joined, F.col("c_name").alias("consignee_tel"),
-                          F.col("c_nationkey").alias("province_id"))
+    return order_columns(joined, F.col("c_name"), F.col("c_nationkey").alias("province_id"))
 
 
 def short_line_id() -> Column:
@@ -107,12 +109,15 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     joined = table(spark, folder, "lineitem").join(
         part, F.col("l_partkey") == F.col("p_partkey"))
-    return joined.select(long_line_id().alias("id"), short_line_id().alias("short_id"),
-                         F.col("l_orderkey").alias("order_id"),
-                         F.col("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
-                         F.col("l_extendedprice").alias("order_price"),
-                         F.col("l_quantity").alias("sku_num"),
-                         F.col("l_shipdate").cast("timestamp").alias("line_time"))
+    return line_columns(joined)
+
+
+def line_columns(lines_of_parts: DataFrame) -> DataFrame:
+    return lines_of_parts.select(
+        long_line_id().alias("id"), F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
+        F.col("l_extendedprice").alias("order_price"), F.col("l_quantity").alias("sku_num"),
+        F.col("l_shipdate").cast("timestamp").alias("line_time"))
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,6 +44,8 @@ DAU = ServingTable("dau", schemas.DAU_TABLE, ("MID", "LOG_DATE"), "LOG_DATE")
 ORDERS = ServingTable("order_info", schemas.ORDER_TABLE, ("ID",), "CREATE_DATE")
 SALES = ServingTable("sale_detail", schemas.SALE_TABLE, ("order_detail_id",), "dt")
 ALERTS = ServingTable("coupon_alert", schemas.ALERT_TABLE, ("alert_id",), "alert_date")
+# For a run over years of orders at once: one folder, not one for each day.
+SALES_BACKFILL = ServingTable("sale_backfill", schemas.SALE_TABLE, ("order_detail_id",))
 USERS = ServingTable("user_info_dim", schemas.USER_TABLE, ("id",))
 
 

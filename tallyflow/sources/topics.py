@@ -26,13 +26,18 @@ def kafka_topic(spark: SparkSession, servers: str, topic: str,
             .load().select(F.col("value").cast("string").alias("value"), "timestamp"))
 
 
-def folder_topic(spark: SparkSession, path: str, topic: str,
+def folder_topic(spark: SparkSession, path: str, *names: str,
                  files_per_trigger: int | None = None) -> DataFrame:
-    """The same from a folder of Parquet files written by ``sinks.write_topics_to_folder``."""
-    reader = spark.readStream.schema(schemas.TOPIC_RECORD)
+    """The same from a folder written by ``sinks.topics_to_folder``: one or more topics of it.
+
+    The folder is read from its root, whose sink log lists the complete files only; the filter
+    on the partition column ``topic`` keeps the other topics from being read.
+    """
+    reader = spark.readStream.schema(T.StructType(
+        schemas.TOPIC_RECORD.fields + [T.StructField("topic", T.StringType())]))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(f"{path}/topic={topic}")
+    return reader.parquet(path).filter(F.col("topic").isin(*names)).select("value", "timestamp")
 
 
 def table_stream(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType,
