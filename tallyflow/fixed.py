@@ -16,10 +16,10 @@ TOPIC_USER_INFO = "user_info"
 
 # --- fixed values: which table changes are forwarded, and where to -----------
 CHANGE_ROUTES = {
-    "INSERT->order_info": TOPIC_ORDER,
-    "INSERT->order_detail": TOPIC_ORDER_DETAIL,
-    "INSERT->user_info": TOPIC_USER_INFO,
-    "UPDATE->user_info": TOPIC_USER_INFO,
+    ("INSERT", "order_info"): TOPIC_ORDER,
+    ("INSERT", "order_detail"): TOPIC_ORDER_DETAIL,
+    ("INSERT", "user_info"): TOPIC_USER_INFO,
+    ("UPDATE", "user_info"): TOPIC_USER_INFO,
 }
 
 # --- fixed values: columns of the two serving tables, by record field --------

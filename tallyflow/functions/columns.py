@@ -64,7 +64,8 @@ def on_days(df: DataFrame, ts: str, first: str, last: str) -> Column:
 
 def minute_key(mid: Column, epoch_millis: Column) -> Column:
     """``<mid>_<epoch minute>``."""
-    return F.concat_ws("_", mid, (F.floor(epoch_millis / 60000)).cast("string"))
+    device = F.coalesce(mid.cast("string"), F.lit("null"))
+    return F.concat_ws("_", device, F.floor(epoch_millis / 60000).cast("string"))
 
 
 def whole_years(birthday: Column, as_of: Column) -> Column:
@@ -124,6 +125,18 @@ def percent_share(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.floor(part * 1000.0 / total + 0.5) / 10).otherwise(F.lit(0.0))
 
 
+# --- costly columns -------------------------------------------------------------
+
+def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    A filter or a join key on a plain column is pushed below its projection, which repeats the
+    computation; it is not pushed below a generator, and this one gives one row for each row.
+    """
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name))
+
+
 # --- JSON ---------------------------------------------------------------------
 
 def json_field(text: Column, name: str) -> Column:

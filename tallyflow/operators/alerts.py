@@ -1,10 +1,9 @@
 """Coupon-abuse alerts: several accounts take coupons on one device in a sliding window, and
 nobody on that device looks at an item.
 
-The work is done in two steps, ``event_counts`` per (window, device, event id) and
-``device_profiles`` per (window, device).  The list of all events of a device is carried as
-counts per event id and written out for the alerts only, so a busy device costs counters, not
-lists, and both steps combine before they shuffle.
+The list of all events of a device is carried as counts per event id and written out for the
+alerts only, so a busy device costs counters, not lists, and what is collected for a device is a
+row per event id or per pane.
 """
 
 from __future__ import annotations
@@ -35,61 +34,69 @@ def _floor(micros: Column, step: int) -> Column:
     return micros - F.pmod(micros, F.lit(step))
 
 
-def _counted(n: Column) -> list[Column]:
+def _counts(events: DataFrame, *keys: Column | str) -> DataFrame:
+    """Per key and event id: number of events, coupon accounts and coupon items."""
     coupon = _is(fixed.EVENT_COUPON)
-    return [n.alias("n"),
-            F.collect_set(F.when(coupon, F.col("uid"))).alias("uids"),
-            F.collect_set(F.when(coupon, F.col("itemid"))).alias("item_ids")]
+    return events.groupBy(*keys, "evid").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set(F.when(coupon, F.col("uid"))).alias("uids"),
+        F.collect_set(F.when(coupon, F.col("itemid"))).alias("item_ids"))
+
+
+def _profiles(counts: DataFrame, *keys: str) -> DataFrame:
+    """Per key: coupon accounts, coupon items, events, whether an item was clicked."""
+    return counts.groupBy(*keys).agg(
+        F.flatten(F.collect_list("uids")).alias("uids"),
+        F.flatten(F.collect_list("item_ids")).alias("item_ids"),
+        F.collect_list(F.struct("evid", "n")).alias("event_counts"),
+        F.max(_is(fixed.EVENT_CLICK_ITEM)).alias("clicked"))
+
+
+def _sorted(profiles: DataFrame) -> DataFrame:
+    return profiles.select("window_start", "window_end", "mid",
+                           F.array_sort("uids").alias("uids"),
+                           F.array_sort("item_ids").alias("item_ids"),
+                           F.array_sort("event_counts").alias("event_counts"), "clicked")
 
 
 def stream_event_counts(events: DataFrame, window: str, slide: str) -> DataFrame:
-    """Per window, device and event id: number of events, coupon accounts and coupon items.
+    """Counts per window, device and event id: the stateful part of the alert stream."""
+    counts = _counts(events, F.window("event_time", window, slide).alias("w"), "mid")
+    return counts.select(F.col("w.start").alias("window_start"),
+                         F.col("w.end").alias("window_end"),
+                         "mid", "evid", "n", "uids", "item_ids")
 
-    For streams: grouped by ``window`` on the watermarked ``event_time``.
-    """
-    return (events.groupBy(F.window("event_time", window, slide).alias("w"), "mid", "evid")
-                  .agg(*_counted(F.count(F.lit(1))))
-                  .select(F.col("w.start").alias("window_start"),
-                          F.col("w.end").alias("window_end"),
-                          "mid", "evid", "n", "uids", "item_ids"))
+
+def profiles_of_counts(counts: DataFrame) -> DataFrame:
+    """Device profiles from the counts of complete windows."""
+    return _sorted(_profiles(counts, "window_start", "window_end", "mid"))
 
 
-def event_counts(events: DataFrame, window: str, slide: str) -> DataFrame:
-    """The same for batches.
+def device_profiles(events: DataFrame, window: str, slide: str) -> DataFrame:
+    """Per window and device: coupon accounts and items, events, whether an item was clicked.
 
-    Events are first counted in panes (the common divisor of window and slide), and only the
-    counts are copied into the windows a pane belongs to: a 5 min window that slides by 5 s has
-    60 copies of each pane, not of each event.
+    Events are first gathered in panes (the common divisor of window and slide), combined before
+    the shuffle, and only the panes are copied into their windows: a 5 min window that slides by
+    5 s has 60 copies of each pane, not of each event, and a device that holds a third of all
+    events has no more panes than any other.  The panes are spread over a set number of tasks
+    first: partitions sized for the few panes would be too large for their copies.
     """
     width, step = _micros(window), _micros(slide)
-    pane = gcd(width, step)
-    coupon = _is(fixed.EVENT_COUPON)
-    panes = (events.select("mid", "evid",
-                           F.when(coupon, F.col("uid")).alias("uid"),
-                           F.when(coupon, F.col("itemid")).alias("itemid"),
-                           _floor(F.unix_micros("event_time"), pane).alias("_pane"))
-                   .groupBy("mid", "_pane", "evid", "uid", "itemid")
-                   .agg(F.count(F.lit(1)).alias("n")))
+    pane = _floor(F.unix_micros("event_time"), gcd(width, step)).alias("_pane")
+    panes = _profiles(_counts(events, pane, "mid"), "_pane", "mid")
     starts = F.sequence(_floor(F.col("_pane"), step), F.col("_pane") - F.lit(width - 1),
                         F.lit(-step))
-    return (panes.withColumn("_start", F.explode(starts))
-                 .groupBy("_start", "mid", "evid")
-                 .agg(*_counted(F.sum("n")))
-                 .select(F.timestamp_micros("_start").alias("window_start"),
-                         F.timestamp_micros(F.col("_start") + width).alias("window_end"),
-                         "mid", "evid", "n", "uids", "item_ids"))
-
-
-def device_profiles(counts: DataFrame) -> DataFrame:
-    """Per window and device: coupon accounts, coupon items, events, whether an item was clicked.
-
-    Collects one row per event id, a handful per group.
-    """
-    return (counts.groupBy("window_start", "window_end", "mid")
-                  .agg(F.array_sort(F.flatten(F.collect_list("uids"))).alias("uids"),
-                       F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-                       F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("event_counts"),
-                       F.max(_is(fixed.EVENT_CLICK_ITEM)).alias("clicked")))
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    windows = (panes.repartition(tasks, "mid", "_pane")
+               .withColumn("_start", F.explode(starts))
+               .groupBy("_start", "mid")
+               .agg(F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
+                    F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
+                    F.flatten(F.collect_list("event_counts")).alias("event_counts"),
+                    F.max("clicked").alias("clicked")))
+    return _sorted(windows.withColumns({
+        "window_start": F.timestamp_micros("_start"),
+        "window_end": F.timestamp_micros(F.col("_start") + width)}))
 
 
 def coupon_alerts(profiles: DataFrame,
@@ -118,9 +125,10 @@ def only_suspect_devices(events: DataFrame, window: str, min_accounts: int) -> D
                       .filter(F.col("_accounts") >= min_accounts)
                       .select("mid", F.explode(F.array("_block", F.col("_block") + width))
                                       .alias("_block")))
-    return (events.withColumn("_block", block)
-                  .join(suspects, ["mid", "_block"], "left_semi")
-                  .drop("_block"))
+    # A device without id is a device, too: compared null-safe.
+    left, right = events.withColumn("_block", block).alias("e"), suspects.alias("s")
+    same = F.col("e.mid").eqNullSafe(F.col("s.mid")) & (F.col("e._block") == F.col("s._block"))
+    return left.join(right, same, "left_semi").drop("_block")
 
 
 def find_alerts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
@@ -128,7 +136,7 @@ def find_alerts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
                 min_accounts: int = fixed.ALERT_MIN_ACCOUNTS) -> DataFrame:
     """All alerting windows of a batch of events."""
     suspects = only_suspect_devices(events, window, min_accounts)
-    return coupon_alerts(device_profiles(event_counts(suspects, window, slide)), min_accounts)
+    return coupon_alerts(device_profiles(suspects, window, slide), min_accounts)
 
 
 def event_list(event_counts: Column) -> Column:

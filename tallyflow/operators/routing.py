@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +12,14 @@ from tallyflow.functions import columns as C
 
 
 def stamp_arrival(lines: DataFrame, at: Column | None = None) -> DataFrame:
-    """Put the arrival time into each log line as field ``ts`` (epoch ms) and as a column."""
+    """Put the arrival time into each log line as field ``ts`` (epoch ms) and as a column.
+
+    A line that is no JSON object is refused, as the collector would refuse it.
+    """
     arrived = F.current_timestamp() if at is None else at
-    return (lines.withColumn("timestamp", arrived)
-                 .withColumn("value", C.json_with(F.col("value"), "ts",
-                                                  F.unix_millis("timestamp"))))
+    stamped = C.json_with(F.col("value"), "ts", F.unix_millis("timestamp"))
+    return (C.with_computed(lines.withColumn("timestamp", arrived), "value", stamped)
+            .filter(F.col("value").isNotNull()))
 
 
 def route_logs(lines: DataFrame, prefix: str = "") -> DataFrame:
@@ -35,12 +40,14 @@ def route_changes(changes: DataFrame, prefix: str = "") -> DataFrame:
     ``value`` is the row after the change as a JSON object; of a repeated field the last value
     wins.
     """
-    key = C.route_key(F.col("event_type"), F.col("table_name"))
+    routes = [((F.col("event_type") == event) & (F.col("table_name") == table), prefix + name)
+              for (event, table), name in fixed.CHANGE_ROUTES.items()]
+    # Compared column by column, not as one text, so that a reader can skip by table and event.
+    known = reduce(lambda a, b: a | b, [cond for cond, _ in routes])
     topic = F.lit(None).cast("string")
-    for change, name in fixed.CHANGE_ROUTES.items():
-        topic = F.when(key == change, prefix + name).otherwise(topic)
-    return (changes.filter(F.col("entry_type") == fixed.ENTRY_ROW_DATA)
+    for cond, name in routes:
+        topic = F.when(cond, name).otherwise(topic)
+    return (changes.filter((F.col("entry_type") == fixed.ENTRY_ROW_DATA) & known)
                    .withColumn("topic", topic)
-                   .filter(F.col("topic").isNotNull())
                    .withColumn("value", F.to_json(F.map_from_entries("after")))
                    .drop("entry_type", "event_type", "table_name", "after"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow import fixed
@@ -55,16 +55,29 @@ def age_group(age: Column) -> Column:
 
 
 def facet_rows(counts: DataFrame) -> DataFrame:
-    """Total and labelled facets below each other: (name, n); the total has no name."""
+    """Total and labelled facets below each other: (name, n); the total has no name.
+
+    The three groupings of ``counts`` are made in one pass, so the hits are searched once.
+    """
+    by_gender, by_age, by_none = 1, 2, 3
+    key = F.coalesce(F.col("user_gender"), F.col("user_age").cast("string"))
+    groups = (counts.groupingSets([("user_gender",), ("user_age",), ()],
+                                  "user_gender", "user_age")
+              .agg(F.sum("n").alias("n"), F.grouping_id().alias("_by")))
+    in_facet = Window.partitionBy("_by").orderBy(key.isNull(), F.desc("n"), "user_gender",
+                                                 "user_age")
+    size = (F.when(F.col("_by") == by_gender, fixed.GENDER_FACET_SIZE)
+             .when(F.col("_by") == by_age, fixed.AGE_FACET_SIZE))
     gender = F.lit(None).cast("string")
     for code, name in fixed.GENDER_LABELS.items():
         gender = F.when(F.col("user_gender") == code, name).otherwise(gender)
-    return (hit_total(counts).select(F.lit(None).cast("string").alias("name"),
-                                     F.col("total").alias("n"))
-            .unionByName(gender_facet(counts).select(gender.alias("name"), "n")
-                         .filter(F.col("name").isNotNull()))
-            .unionByName(age_facet(counts).select(age_group(F.col("user_age")).alias("name"),
-                                                  "n")))
+    name = F.when(F.col("_by") == by_gender, gender).otherwise(age_group(F.col("user_age")))
+    return (groups.withColumn("_rank", F.row_number().over(in_facet))
+                  .filter((F.col("_by") == by_none)
+                          | (key.isNotNull() & (F.col("_rank") <= size)))
+                  .withColumn("name", name)
+                  .filter((F.col("_by") == by_none) | F.col("name").isNotNull())
+                  .select("name", "n"))
 
 
 def nested_stats(counts: DataFrame) -> DataFrame:
@@ -79,7 +92,7 @@ def nested_stats(counts: DataFrame) -> DataFrame:
     }
     names = [n for options in stats.values() for n in options]
     sums = facet_rows(counts).agg(
-        F.sum(F.when(F.col("name").isNull(), F.col("n"))).alias("total"),
+        C.or_zero(F.sum(F.when(F.col("name").isNull(), F.col("n")))).alias("total"),
         *[F.sum(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 
     def option(name: str) -> Column:

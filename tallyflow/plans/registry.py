@@ -297,8 +297,7 @@ def sale_detail_json(spark, folder):
 @query
 def device_profiles(spark, folder):
     """Every device in every wide window, alerting or not."""
-    counts = alerts.event_counts(star.device_events(spark, folder), *WIDE_WINDOW)
-    return (alerts.device_profiles(counts)
+    return (alerts.device_profiles(star.device_events(spark, folder), *WIDE_WINDOW)
             .select(F.unix_millis("window_end").alias("window_end"), "mid",
                     joined(F.col("uids")).alias("uids"),
                     joined(F.col("item_ids")).alias("item_ids"),

@@ -60,8 +60,8 @@ def change_stream(spark: SparkSession, folder: str,
 
 def _decode(records: DataFrame, schema: T.StructType) -> DataFrame:
     kept = [c for c in records.columns if c not in ("value", "topic")]
-    return (records.withColumn("_record", F.from_json("value", schema))
-                   .select(*kept, "_record.*"))
+    return (C.with_computed(records, "_record", F.from_json("value", schema))
+            .select(*kept, "_record.*"))
 
 
 def decode_starts(records: DataFrame) -> DataFrame:

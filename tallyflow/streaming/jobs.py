@@ -94,7 +94,7 @@ def write_alerts(events: DataFrame, root: str, checkpoint: str, window: str, sli
 
     def documents(counts: DataFrame) -> DataFrame:
         # A window is complete for all event ids at once, so a batch holds whole profiles.
-        found = alerts.coupon_alerts(alerts.device_profiles(counts), min_accounts)
+        found = alerts.coupon_alerts(alerts.profiles_of_counts(counts), min_accounts)
         return alerts.alert_documents(found)
 
     counts = transforms.event_counts(events, window, slide, delay)
