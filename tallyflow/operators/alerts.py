@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyflow import fixed
 from tallyflow.functions import columns as C
 from tallyflow.operators.latest import latest_per_key
+from tallyflow.session import shuffle_tasks
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -78,17 +79,17 @@ def device_profiles(events: DataFrame, window: str, slide: str) -> DataFrame:
     Events are first gathered in panes (the common divisor of window and slide), combined before
     the shuffle, and only the panes are copied into their windows: a 5 min window that slides by
     5 s has 60 copies of each pane, not of each event, and a device that holds a third of all
-    events has no more panes than any other.  The panes are spread over a set number of tasks
-    first: partitions sized for the few panes would be too large for their copies.
+    events has no more panes than any other.  The panes are gathered with a set number of tasks:
+    partitions coalesced to suit the few panes would be too large for their copies.
     """
     width, step = _micros(window), _micros(slide)
     pane = _floor(F.unix_micros("event_time"), gcd(width, step)).alias("_pane")
-    panes = _profiles(_counts(events, pane, "mid"), "_pane", "mid")
+    counts = _counts(events, pane, "mid")
+    panes = _profiles(counts.repartition(shuffle_tasks(events.sparkSession), "mid", "_pane"),
+                      "_pane", "mid")
     starts = F.sequence(_floor(F.col("_pane"), step), F.col("_pane") - F.lit(width - 1),
                         F.lit(-step))
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    windows = (panes.repartition(tasks, "mid", "_pane")
-               .withColumn("_start", F.explode(starts))
+    windows = (panes.withColumn("_start", F.explode(starts))
                .groupBy("_start", "mid")
                .agg(F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
                     F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),

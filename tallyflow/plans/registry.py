@@ -12,7 +12,7 @@ from tallyflow.operators import (alerts, first_start, orders as order_ops, regio
                                  sales, search)
 from tallyflow.operators.latest import latest_per_key
 from tallyflow.plans import serving, star
-from tallyflow.session import configure, work_dir
+from tallyflow.session import configure, keep_state_on_disk, work_dir
 from tallyflow.sources import tables, topics
 from tallyflow.streaming import jobs, sinks, transforms
 
@@ -386,7 +386,7 @@ def _stream(spark, folder, name):
 @query
 def stream_dau(spark, folder):
     """Devices and days the streaming dedup lets through (which of a day's starts is open)."""
-    sinks.keep_state_on_disk(spark)
+    keep_state_on_disk(spark)
     out = work_dir(spark, "stream-dau")
     starts = star.start_columns(_stream(spark, folder, "events")).withColumn(
         "event_time", F.col("event_time").cast("timestamp"))

@@ -19,26 +19,48 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A page far behind the first is sorted by the executors, not gathered by the driver.
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
+    "spark.ui.enabled": "false",
+}
+
+# State of the streaming jobs: on disk, saved as changes and not as whole copies per batch.
+STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.ui.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set what the results depend on (UTC days, last value wins for a repeated field)."""
-    for key, value in REQUIRED.items():
+    return _set(spark, REQUIRED)
+
+
+def keep_state_on_disk(spark: SparkSession) -> SparkSession:
+    """Join and dedup state can outgrow the heap of the executors."""
+    return _set(spark, STATE)
+
+
+def _set(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts with."""
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+               or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def build_session(app: str = "tallyflow", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **REQUIRED, **(extra or {})}.items():
+    for key, value in {**DEFAULTS, **STATE, **REQUIRED, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

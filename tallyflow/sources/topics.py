@@ -11,8 +11,7 @@ from tallyflow.functions import columns as C
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
 
 
 def kafka_topic(spark: SparkSession, servers: str, topic: str,

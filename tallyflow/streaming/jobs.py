@@ -9,14 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyflow import fixed
 from tallyflow.operators import alerts, first_start, orders as order_ops, routing, sales
 from tallyflow.operators.latest import latest_per_key
-from tallyflow.session import configure
+from tallyflow.session import configure, keep_state_on_disk
 from tallyflow.sources import tables, topics
 from tallyflow.streaming import sinks, transforms
 
 
 def _prepared(spark: SparkSession) -> SparkSession:
-    sinks.keep_state_on_disk(configure(spark))
-    return spark
+    return keep_state_on_disk(configure(spark))
 
 
 def run_log_router(lines: DataFrame, path: str, checkpoint: str, prefix: str = "",
@@ -35,11 +34,11 @@ def run_change_router(changes: DataFrame, path: str, checkpoint: str, prefix: st
     return sinks.start(sinks.topics_to_folder(routed, path), "change_router", checkpoint, once)
 
 
-def run_archive(records: DataFrame, path: str, checkpoint: str,
-                once: bool = False) -> StreamingQuery:
-    """Stamped log lines to the daily archive."""
+def run_archive(records: DataFrame, path: str, checkpoint: str, once: bool = False,
+                every: str = "1 minute") -> StreamingQuery:
+    """Stamped log lines to the daily archive; nobody waits for it, so in larger files."""
     _prepared(records.sparkSession)
-    return sinks.start(sinks.archive_to_folder(records, path), "archive", checkpoint, once)
+    return sinks.start(sinks.archive_to_folder(records, path), "archive", checkpoint, once, every)
 
 
 def run_dau(records: DataFrame, root: str, checkpoint: str, delay: str = transforms.DAU_DELAY,

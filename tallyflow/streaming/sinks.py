@@ -13,26 +13,17 @@ from tallyflow import fixed
 from tallyflow.operators import routing
 from tallyflow.sources.tables import VERSION, ServingTable
 
-_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def start(writer: DataStreamWriter, name: str, checkpoint: str,
-          once: bool = False) -> StreamingQuery:
+def start(writer: DataStreamWriter, name: str, checkpoint: str, once: bool = False,
+          every: str = fixed.TRIGGER_INTERVAL) -> StreamingQuery:
     """Start a job: every five seconds, or once over all that is there."""
-    trigger = {"availableNow": True} if once else {"processingTime": fixed.TRIGGER_INTERVAL}
+    trigger = {"availableNow": True} if once else {"processingTime": every}
     return (writer.queryName(name).option("checkpointLocation", checkpoint)
             .trigger(**trigger).start())
 
 
-def keep_state_on_disk(spark: SparkSession) -> None:
-    """Join and dedup state can outgrow the heap: keep it in RocksDB."""
-    if spark.conf.get(_STATE_STORE, None) != _ROCKSDB:
-        spark.conf.set(_STATE_STORE, _ROCKSDB)
-
-
 @contextmanager
 def adaptive(batch: DataFrame):
     """Adaptive planning while a micro-batch is written.
