@@ -109,11 +109,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     joined = table(spark, folder, "lineitem").join(
         part, F.col("l_partkey") == F.col("p_partkey"))
-    return line_columns(joined)
-
-
-def line_columns(lines_of_parts: DataFrame) -> DataFrame:
-    return lines_of_parts.select(
+    return joined.select(
         long_line_id().alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
         F.col("l_extendedprice").alias("order_price"), F.col("l_quantity").alias("sku_num"),
