@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyflow import fixed, schemas
@@ -442,3 +443,14 @@ def test_counts_are_observed(spark):
     df = sinks.counted(spark.range(5), "rows_in")
     df.collect()
     assert "rows_in" in df._jdf.queryExecution().observedMetrics().toString()
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("1234"),
+                          st.sampled_from(["coupon", "coupon", "addCart", "clickItem"]),
+                          st.sampled_from("78"), st.integers(0, 900)), min_size=1, max_size=40))
+def test_alerts_of_random_events(spark, drawn):
+    rows = [(m, u, e, i, at(seconds=s)) for m, u, e, i, s in drawn]
+    got = found_alerts(alerts.find_alerts(spark.createDataFrame(rows, EVENT), "5 minutes",
+                                          "30 seconds", 2))
+    assert got == expected_alerts(rows, 300, 30, 2)

@@ -271,3 +271,30 @@ def test_order_cleaning_is_the_same_in_stream_and_batch(spark, tmp_path):
 def test_kafka_options():
     options = topics.kafka_options("a:9092", "start")
     assert options["subscribe"] == "start" and options["startingOffsets"] == "latest"
+
+
+def test_out_of_order_events_within_the_delay(spark, tmp_path):
+    """Events up to half an hour late, over batches, give the alerts of ordered ones."""
+    schema = "mid string, uid string, evid string, itemid string, event_time timestamp"
+    rows = [("m", str(i % 4), "clickItem" if i % 11 == 0 else "coupon", "1",
+             at(minutes=10 * i - (25 if i % 3 == 0 else 0))) for i in range(60)]
+    batches = [rows[:20], rows[20:40], rows[40:], [("z", "1", "coupon", "1", at(hours=20))]]
+    window, slide = "1 hour", "10 minutes"
+    jobs.write_alerts(feed(spark, tmp_path / "in", batches, schema), str(tmp_path / "t"),
+                      str(tmp_path / "cp"), window, slide, delay="1 hour", once=True
+                      ).awaitTermination()
+    got = tables.ALERTS.read(spark, str(tmp_path / "t"))
+    want = alerts.alert_documents(alerts.find_alerts(
+        spark.createDataFrame(rows, schema), window, slide))
+    assert got.count() > 5
+    assert rows_of(got) == rows_of(want.select(*got.columns))
+
+
+def test_records_later_than_the_delay_are_left_out(spark, tmp_path):
+    schema = "mid string, event_time timestamp"
+    # A watermark set by one batch holds for late records from the next but one.
+    batches = [[("a", at(hours=0))], [("b", at(hours=60))], [("c", at(hours=59))],
+               [("late", at(hours=1)), ("d", at(hours=40))]]
+    collect(transforms.first_starts(feed(spark, tmp_path / "in", batches, schema))
+            .select("mid"), tmp_path)
+    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == [("a",), ("b",), ("c",), ("d",)]
