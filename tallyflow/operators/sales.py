@@ -57,19 +57,36 @@ def join_lines_outer(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return with_lines.unionByName(without, allowMissingColumns=True)
 
 
+def user_side(users: DataFrame, as_of: Column) -> DataFrame:
+    return users.select(F.col("id").alias("user_id"),
+                        F.col("gender").alias("user_gender"),
+                        C.whole_years(F.col("birthday"), as_of).alias("user_age"),
+                        "user_level")
+
+
+def _known_age(sales: DataFrame) -> DataFrame:
+    return sales.withColumn("user_age", C.or_zero(F.col("user_age")))
+
+
 def add_user(sales: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
     """Gender, age and level of the buyer; an unknown buyer keeps nulls and age 0.
 
     ``users`` holds one row per id.  No broadcast is asked for: the dimension grows with the
     business, so its measured size decides, and a hot buyer is split by the skew join.
     """
-    user = users.select(F.col("id").alias("user_id"),
-                        F.col("gender").alias("user_gender"),
-                        C.whole_years(F.col("birthday"), as_of).alias("user_age"),
-                        "user_level")
-    wide = (sales.join(user, "user_id", "left")
-                 .withColumn("user_age", C.or_zero(F.col("user_age"))))
-    return wide.select(*SALE_FIELDS)
+    wide = sales.join(user_side(users, as_of), "user_id", "left")
+    return _known_age(wide).select(*SALE_FIELDS)
+
+
+def wide_sales(orders: DataFrame, lines: DataFrame, users: DataFrame,
+               as_of: Column) -> DataFrame:
+    """Wide rows of a whole batch: the same as ``add_user`` of ``join_lines``.
+
+    The buyer is put on the order and not on each of its lines, so the lines, the largest side,
+    are shuffled for one join only.
+    """
+    bought = _known_age(order_side(orders).join(user_side(users, as_of), "user_id", "left"))
+    return line_side(lines).join(bought, "order_id").select(*SALE_FIELDS)
 
 
 def current_users(changes: DataFrame, version: list[str]) -> DataFrame:

@@ -186,8 +186,8 @@ def _orders(spark, folder, day=None):
 
 
 def _sales(spark, folder, day=None):
-    wide = sales.join_lines(_orders(spark, folder, day), star.lines(spark, folder))
-    return sales.add_user(wide, star.users(spark, folder), F.lit(AS_OF).cast("date"))
+    return sales.wide_sales(_orders(spark, folder, day), star.lines(spark, folder),
+                            star.users(spark, folder), F.lit(AS_OF).cast("date"))
 
 
 @query

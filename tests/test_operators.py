@@ -197,6 +197,8 @@ def test_unknown_user_and_bad_values(spark):
                                "user_level", "sku_price")) == sorted([
         ("l1", "u1", "F", 34, "2", 0.0), ("l2", "u9", None, 0, None, 1.5),
         ("l3", None, None, 0, None, 1.5)], key=repr)
+    at_once = sales.wide_sales(orders, lines, users, F.lit("2024-01-01").cast("date"))
+    assert at_once.columns == wide.columns and rows_of(at_once) == rows_of(wide)
 
 
 def test_hot_order_loses_nothing(spark):

@@ -55,6 +55,9 @@ def test_hot_user_is_split(spark, skewed):
     wide = sales.add_user(sales.join_lines(orders, lines), users, F.lit("2024-01-01").cast("date"))
     text, rows = final_plan(wide)
     assert "skew=true" in text and len(rows) == 30000
+    text, rows = final_plan(sales.wide_sales(orders, lines, users,
+                                             F.lit("2024-01-01").cast("date")))
+    assert "skew=true" in text and len(rows) == 30000
 
 
 def test_counting_devices_needs_no_sort(spark):
