@@ -35,69 +35,75 @@ def _floor(micros: Column, step: int) -> Column:
     return micros - F.pmod(micros, F.lit(step))
 
 
-def _counts(events: DataFrame, *keys: Column | str) -> DataFrame:
-    """Per key and event id: number of events, coupon accounts and coupon items."""
+def stream_event_counts(events: DataFrame, window: str, slide: str) -> DataFrame:
+    """Per window, device and event id: number of events, coupon accounts and coupon items.
+
+    The stateful part of the alert stream: counters and sets, combined before the shuffle.
+    """
     coupon = _is(fixed.EVENT_COUPON)
-    return events.groupBy(*keys, "evid").agg(
+    counts = events.groupBy(F.window("event_time", window, slide).alias("w"), "mid", "evid").agg(
         F.count(F.lit(1)).alias("n"),
         F.collect_set(F.when(coupon, F.col("uid"))).alias("uids"),
         F.collect_set(F.when(coupon, F.col("itemid"))).alias("item_ids"))
-
-
-def _profiles(counts: DataFrame, *keys: str) -> DataFrame:
-    """Per key: coupon accounts, coupon items, events, whether an item was clicked."""
-    return counts.groupBy(*keys).agg(
-        F.flatten(F.collect_list("uids")).alias("uids"),
-        F.flatten(F.collect_list("item_ids")).alias("item_ids"),
-        F.collect_list(F.struct("evid", "n")).alias("event_counts"),
-        F.max(_is(fixed.EVENT_CLICK_ITEM)).alias("clicked"))
-
-
-def _sorted(profiles: DataFrame) -> DataFrame:
-    return profiles.select("window_start", "window_end", "mid",
-                           F.array_sort("uids").alias("uids"),
-                           F.array_sort("item_ids").alias("item_ids"),
-                           F.array_sort("event_counts").alias("event_counts"), "clicked")
-
-
-def stream_event_counts(events: DataFrame, window: str, slide: str) -> DataFrame:
-    """Counts per window, device and event id: the stateful part of the alert stream."""
-    counts = _counts(events, F.window("event_time", window, slide).alias("w"), "mid")
     return counts.select(F.col("w.start").alias("window_start"),
                          F.col("w.end").alias("window_end"),
                          "mid", "evid", "n", "uids", "item_ids")
 
 
 def profiles_of_counts(counts: DataFrame) -> DataFrame:
-    """Device profiles from the counts of complete windows."""
-    return _sorted(_profiles(counts, "window_start", "window_end", "mid"))
+    """Device profiles from the counts of complete windows: gathers a row per event id."""
+    return counts.groupBy("window_start", "window_end", "mid").agg(
+        F.array_sort(F.flatten(F.collect_list("uids"))).alias("uids"),
+        F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
+        F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("event_counts"),
+        F.max(_is(fixed.EVENT_CLICK_ITEM)).alias("clicked"))
 
 
 def device_profiles(events: DataFrame, window: str, slide: str) -> DataFrame:
     """Per window and device: coupon accounts and items, events, whether an item was clicked.
 
-    Events are first gathered in panes (the common divisor of window and slide), combined before
-    the shuffle, and only the panes are copied into their windows: a 5 min window that slides by
-    5 s has 60 copies of each pane, not of each event, and a device that holds a third of all
-    events has no more panes than any other.  The panes are gathered with a set number of tasks:
-    partitions coalesced to suit the few panes would be too large for their copies.
+    A 5 min window that slides by 5 s holds each event 60 times, but the events are not copied
+    60 times through a shuffle.  They are counted in panes (the common divisor of window and
+    slide), combined before the shuffle, so that a device with a third of all events has no more
+    panes than any other.  The panes are then gathered per device and time block: a window that
+    starts in a block as long as itself ends in the next one, so each pane goes to two blocks,
+    and the windows are cut out of a block's panes in place.
+
+    The blocks are spread over a set number of tasks; partitions coalesced to suit the panes
+    would be too large for the windows that come out of them.
     """
     width, step = _micros(window), _micros(slide)
-    pane = _floor(F.unix_micros("event_time"), gcd(width, step)).alias("_pane")
-    counts = _counts(events, pane, "mid")
-    panes = _profiles(counts.repartition(shuffle_tasks(events.sparkSession), "mid", "_pane"),
-                      "_pane", "mid")
-    starts = F.sequence(_floor(F.col("_pane"), step), F.col("_pane") - F.lit(width - 1),
-                        F.lit(-step))
-    windows = (panes.withColumn("_start", F.explode(starts))
-               .groupBy("_start", "mid")
-               .agg(F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
-                    F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-                    F.flatten(F.collect_list("event_counts")).alias("event_counts"),
-                    F.max("clicked").alias("clicked")))
-    return _sorted(windows.withColumns({
-        "window_start": F.timestamp_micros("_start"),
-        "window_end": F.timestamp_micros(F.col("_start") + width)}))
+    coupon = _is(fixed.EVENT_COUPON)
+    pane = _floor(F.unix_micros("event_time"), gcd(width, step))
+    panes = (events.select(pane.alias("pane"), "mid", "evid",
+                           F.when(coupon, F.col("uid")).alias("uid"),
+                           F.when(coupon, F.col("itemid")).alias("itemid"))
+                   .groupBy("pane", "mid", "evid", "uid", "itemid")
+                   .agg(F.count(F.lit(1)).alias("n")))
+    block = _floor(F.col("pane"), width)
+    blocks = (panes.withColumn("_block", F.explode(F.array(block, block - width)))
+              .repartition(shuffle_tasks(events.sparkSession), "mid", "_block")
+              .groupBy("mid", "_block")
+              .agg(F.collect_list(F.struct("pane", "evid", "uid", "itemid", "n")).alias("_panes")))
+
+    first = F.col("_block") + F.pmod(-F.col("_block"), F.lit(step))
+    starts = F.sequence(first, F.col("_block") + F.lit(width - 1), F.lit(step))
+    start, end = F.col("_start"), F.col("_start") + width
+    inside = F.filter("_panes", lambda p: (p["pane"] >= start) & (p["pane"] < end))
+
+    def distinct(field: str) -> Column:
+        values = F.filter(F.transform("_inside", lambda p: p[field]), lambda v: v.isNotNull())
+        return F.array_sort(F.array_distinct(values))
+
+    return (C.with_computed(blocks.withColumn("_start", F.explode(starts)), "_inside", inside)
+            .filter(F.size("_inside") > 0)
+            .select(F.timestamp_micros(start).alias("window_start"),
+                    F.timestamp_micros(end).alias("window_end"), "mid",
+                    distinct("uid").alias("uids"), distinct("itemid").alias("item_ids"),
+                    F.array_sort(F.transform("_inside", lambda p: F.struct(
+                        p["evid"].alias("evid"), p["n"].alias("n")))).alias("event_counts"),
+                    F.exists("_inside", lambda p: p["evid"].eqNullSafe(fixed.EVENT_CLICK_ITEM))
+                    .alias("clicked")))
 
 
 def coupon_alerts(profiles: DataFrame,

@@ -380,7 +380,7 @@ def log_archive(spark, folder):
 
 def _stream(spark, folder, name):
     schema = star.table(spark, folder, name).schema
-    return topics.table_stream(spark, folder, f"{name}.parquet", schema)
+    return topics.table_stream(spark, f"{folder}/{name}.parquet", schema)
 
 
 @query
@@ -422,7 +422,7 @@ def stream_sales(spark, folder):
     # A stream has no skew join: the product names are put on the lines before they are sent.
     sent = star.lines(spark, folder)
     sent.write.parquet(f"{out}/lines")
-    lines = topics.table_stream(spark, f"{out}/lines", "*.parquet", sent.schema)
+    lines = topics.table_stream(spark, f"{out}/lines", sent.schema)
     orders = order_ops.clean_orders(star.order_columns(_stream(spark, folder, "orders")))
     orders = orders.withColumn("user_id", F.col("user_id").cast("string"))
     jobs.write_sales(orders, lines, out, f"{out}/checkpoint", LINE_WAIT, "5000 days",

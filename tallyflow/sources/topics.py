@@ -39,13 +39,14 @@ def folder_topic(spark: SparkSession, path: str, *names: str,
     return reader.parquet(path).filter(F.col("topic").isin(*names)).select("value", "timestamp")
 
 
-def table_stream(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType,
+def table_stream(spark: SparkSession, path: str, schema: T.StructType,
                  files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """A Parquet table as a stream; ``path`` is a folder or a single file."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    # A stream takes a plain path for a folder, a pattern for either.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def change_stream(spark: SparkSession, folder: str,

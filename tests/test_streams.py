@@ -298,3 +298,11 @@ def test_records_later_than_the_delay_are_left_out(spark, tmp_path):
     collect(transforms.first_starts(feed(spark, tmp_path / "in", batches, schema))
             .select("mid"), tmp_path)
     assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == [("a",), ("b",), ("c",), ("d",)]
+
+
+def test_table_stream_takes_files_and_folders(spark, tmp_path):
+    star.table(spark, SMALL, "nation").repartition(3).write.parquet(str(tmp_path / "n.parquet"))
+    for i, path in enumerate([f"{SMALL}/nation.parquet", str(tmp_path / "n.parquet")]):
+        schema = spark.read.parquet(path).schema
+        collect(topics.table_stream(spark, path, schema), tmp_path, f"out{i}")
+        assert spark.read.parquet(str(tmp_path / f"out{i}")).count() == 25
