@@ -2,8 +2,7 @@
 nobody on that device looks at an item.
 
 The list of all events of a device is carried as counts per event id and written out for the
-alerts only, so a busy device costs counters, not lists, and what is collected for a device is a
-row per event id or per pane.
+alerts only, so a busy device costs counters, not lists.
 """
 
 from __future__ import annotations
