@@ -43,6 +43,40 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from book
 """
 
+ORACLE["op3_decontaminate"] = r"""
+with base as (
+  select doc_id, row_number() over () as row_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+items as (
+  select item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+windows as (
+  select distinct item_id, size, array_to_string(w[i:i + size - 1], ' ') as g
+  from (select item_id, w, least(13, len(w)) as size,
+               unnest(range(1, greatest(2, len(w) - 11))) as i
+        from items where len(w) > 0)),
+sizes as (select distinct size from windows),
+found as (
+  select row_id, i, size, item_id
+  from (select row_id, i, size, array_to_string(w[i:i + size - 1], ' ') as g
+        from (select row_id, w, size, unnest(range(1, len(w) - size + 2)) as i
+              from base cross join sizes where len(w) >= size)) join windows using (size, g)),
+hit as (
+  select row_id, count(distinct k) as n
+  from (select row_id, unnest(range(i, i + size)) as k from found) group by 1),
+named as (
+  select row_id, count(*) as n, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct row_id, item_id from found) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit,
+       coalesce(m.n, 0)::bigint as n_items, sha256(coalesce(m.ids, '')) as items_sha256,
+       coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(w) as contaminated
+from base left join hit h using (row_id) left join named m using (row_id)
+"""
+
 ORACLE["op6_systematic_mix"] = rf"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::bigint as size

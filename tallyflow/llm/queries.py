@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.llm import mixing, quality_rules, reply_trees
+from tallyflow.llm import (decontaminate, mixing, quality_rules, reply_trees, token_counts,
+                           token_files)
+from tallyflow.session import work_dir
+
+# Folder of the public tokenizer files; another one can be named by the environment.
+TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "")
+WORD_BPE, WORD_BPE_END = "word_bpe_49k.json", 2
+PIECE_BPE = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +31,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_quality_rules(spark, folder):
     """Ledger of all documents under the production policy."""
@@ -34,6 +50,22 @@ def op1_quality_rules(spark, folder):
         quality_rules.passes(F.col("fail_bits")).alias("kept"), "fail_bits")
 
 
+@query
+def op2_token_files(spark, folder):
+    """All documents as token ids in shards, read back from them."""
+    manifest = token_files.write_token_files(
+        table(spark, folder, "documents"), work_dir(spark, "token-files"), tokenizer(WORD_BPE),
+        WORD_BPE_END)
+    return token_files.read_token_files(manifest)
+
+
+@query
+def op3_decontaminate(spark, folder):
+    """Benchmark windows in all documents."""
+    return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark")
+                              ).drop("spans")
+
+
 @query
 def op6_systematic_mix(spark, folder):
     """Words taken of every document by the mix of all sources."""
@@ -41,6 +73,12 @@ def op6_systematic_mix(spark, folder):
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("n_copies")).alias("taken"))
 
 
+@query
+def op7_transducer_counts(spark, folder):
+    """Tokens of every document."""
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer(PIECE_BPE))
+
+
 @query
 def op10_reply_trees(spark, folder):
     """All conversations and conversation -7, formatted and read back."""

@@ -38,6 +38,12 @@ def chain(turns: DataFrame) -> DataFrame:
         F.lit(0.0).alias("score"), "role", "text")
 
 
+def kept(frame: DataFrame, path: str) -> DataFrame:
+    """The frame written once to the shared folder and read from there."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def rooted(nodes: DataFrame, folder: str) -> tuple[DataFrame, list[DataFrame]]:
     """(node, depth, path score) of all nodes with a root, and the pointer table of each round.
 
@@ -45,7 +51,6 @@ def rooted(nodes: DataFrame, folder: str) -> tuple[DataFrame, list[DataFrame]]:
     A finished node has no ancestor left.  Each round is written to the shared folder, so it is
     never computed again.
     """
-    spark = nodes.sparkSession
     known = nodes.select(F.col("conv_id").alias("c"), F.col("node_id").alias("n")).distinct()
     start = (nodes.join(known, [F.col("conv_id").eqNullSafe(F.col("c")),
                                 F.col("parent_id") == F.col("n")], "left")
@@ -54,9 +59,7 @@ def rooted(nodes: DataFrame, folder: str) -> tuple[DataFrame, list[DataFrame]]:
                      F.lit(1).cast("long").alias("depth")))
     pointers, step = [], start
     while True:
-        path = f"{folder}/pointers-{len(pointers)}"
-        step.write.parquet(path)
-        step = spark.read.schema(step.schema).parquet(path)
+        step = kept(step, f"{folder}/pointers-{len(pointers)}")
         pointers.append(step)
         going = step.where("up is not null")
         if going.isEmpty() or len(pointers) > 40:
@@ -84,13 +87,14 @@ def chosen(nodes: DataFrame, folder: str, best: int = 1) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy(F.desc("path_score"), F.desc("depth"), "node_id")
     marked = (leaves.withColumn("path_rank", F.row_number().over(order))
               .where(F.col("path_rank") <= best).select("conv_id", "node_id", "path_rank"))
-    for table in reversed(pointers[:-1]):
+    marked = kept(marked, f"{folder}/leaves")
+    for k, table in enumerate(reversed(pointers[:-1])):
         up = table.where("up is not null").select(F.col("conv_id").alias("c"),
                                                   F.col("node_id").alias("n"), "up")
         above = (marked.join(up, [F.col("conv_id").eqNullSafe(F.col("c")),
                                   F.col("node_id") == F.col("n")])
                  .select("conv_id", F.col("up").alias("node_id"), "path_rank"))
-        marked = marked.unionByName(above).distinct()
+        marked = kept(marked.unionByName(above).distinct(), f"{folder}/marked-{k}")
     at = reached.select(F.col("conv_id").alias("c"), F.col("node_id").alias("n"), "depth")
     placed = marked.join(at, [F.col("conv_id").eqNullSafe(F.col("c")),
                               F.col("node_id") == F.col("n")]).drop("c", "n")
@@ -147,4 +151,6 @@ def read_loss(text: Column, loss: Column) -> Column:
 
 
 def format_trees(nodes: DataFrame, best: int = 1) -> DataFrame:
-    return formatted(chosen(nodes, work_dir(nodes.sparkSession, "trees"), best))
+    folder = work_dir(nodes.sparkSession, "trees")
+    nodes = kept(nodes.select(*NODE), f"{folder}/nodes")
+    return formatted(chosen(nodes, folder, best))
