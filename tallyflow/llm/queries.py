@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.llm import (decontaminate, mixing, quality_rules, reply_trees, token_counts,
+from tallyflow.llm import (decontaminate, mixing, near_dedup, quality_rules, reply_trees, token_counts,
                            token_files)
 from tallyflow.session import work_dir
 
@@ -66,6 +66,12 @@ def op3_decontaminate(spark, folder):
                               ).drop("spans")
 
 
+@query
+def op4_bagminhash(spark, folder):
+    """Class of every document; copies and near copies share one, named by its least id."""
+    return near_dedup.near_classes(table(spark, folder, "documents"))
+
+
 @query
 def op6_systematic_mix(spark, folder):
     """Words taken of every document by the mix of all sources."""

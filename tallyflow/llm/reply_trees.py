@@ -19,6 +19,8 @@ one output row, so its text has to fit into a row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +49,8 @@ def kept(frame: DataFrame, path: str) -> DataFrame:
 def rooted(nodes: DataFrame, folder: str) -> tuple[DataFrame, list[DataFrame]]:
     """(node, depth, path score) of all nodes with a root, and the pointer table of each round.
 
-    Round k knows for each node its ancestor 2**k steps up and the score of the steps between.
-    A finished node has no ancestor left.  Each round is written to the shared folder, so it is
+    Round k knows for each node whose root is more than 2**(k - 1) steps away its ancestor 2**k
+    steps up and the score of the steps between; a finished node has no ancestor left.  Each round is written to the shared folder, so it is
     never computed again.
     """
     known = nodes.select(F.col("conv_id").alias("c"), F.col("node_id").alias("n")).distinct()
@@ -57,22 +59,25 @@ def rooted(nodes: DataFrame, folder: str) -> tuple[DataFrame, list[DataFrame]]:
              .select("conv_id", "node_id", F.col("n").alias("up"),
                      F.coalesce("score", F.lit(0.0)).alias("path_score"),
                      F.lit(1).cast("long").alias("depth")))
-    pointers, step = [], start
+    pointers, done, going = [], [], start
     while True:
-        step = kept(step, f"{folder}/pointers-{len(pointers)}")
+        step = kept(going, f"{folder}/pointers-{len(pointers)}")
         pointers.append(step)
+        done.append(step.where("up is null").drop("up"))
         going = step.where("up is not null")
         if going.isEmpty() or len(pointers) > 40:
             break
-        above = step.select(F.col("conv_id").alias("c"), F.col("node_id").alias("n"),
-                            F.col("up").alias("up2"), F.col("path_score").alias("s2"),
-                            F.col("depth").alias("d2"))
-        step = (step.join(above, [F.col("conv_id").eqNullSafe(F.col("c")), F.col("up") == F.col("n")],
-                          "left")
-                .select("conv_id", "node_id", F.col("up2").alias("up"),
-                        (F.col("path_score") + F.coalesce("s2", F.lit(0.0))).alias("path_score"),
-                        (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth")))
-    return pointers[-1].where("up is null").drop("up"), pointers
+        # Only nodes that are still on their way are joined; their ancestors may have arrived.
+        reached = reduce(DataFrame.unionByName, done).withColumn("up", F.lit(None).cast("long"))
+        above = going.unionByName(reached).select(
+            F.col("conv_id").alias("c"), F.col("node_id").alias("n"), F.col("up").alias("up2"),
+            F.col("path_score").alias("s2"), F.col("depth").alias("d2"))
+        going = (going.join(above, [F.col("conv_id").eqNullSafe(F.col("c")),
+                                    F.col("up") == F.col("n")])
+                 .select("conv_id", "node_id", F.col("up2").alias("up"),
+                         (F.col("path_score") + F.col("s2")).alias("path_score"),
+                         (F.col("depth") + F.col("d2")).alias("depth")))
+    return reduce(DataFrame.unionByName, done), pointers
 
 
 def chosen(nodes: DataFrame, folder: str, best: int = 1) -> DataFrame:

@@ -37,7 +37,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")])
 LEVEL = 1
-KEPT_WORDS = 300_000
+KEPT_WORDS = 500_000
+WORD_END, JOINED = "</w>", 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 
 
@@ -53,26 +54,50 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_file)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, np.ndarray] = {}
+        last = [i for token, i in self.library.get_vocab().items() if token.endswith(WORD_END)]
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        self.ends[last] = True
+        self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.encode().split() for t in texts]
         if len(self.known) > KEPT_WORDS:
-            self.clear()
+            self.known.clear()
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            encoded = self.library.encode_batch_fast([w.decode() for w in part],
-                                                     add_special_tokens=False)
-            for word, e in zip(part, encoded):
-                known[word] = np.array(e.ids, np.uint32).tobytes()
+        new = set().union(*split).difference(known)
+        plain, other, runs = [], [], []
+        for word in new:
+            text = word.decode()
+            letters = text.rstrip(".,")
+            if letters.isalpha():
+                plain.append(text)
+                runs.append(1 + (len(letters) < len(text)))
+            else:
+                other.append(text)
+        for at in range(0, len(plain), JOINED):
+            part = plain[at:at + JOINED]
+            if not self._together(part, runs[at:at + JOINED]):
+                other += part
+        for text, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False)):
+            known[text.encode()] = np.array(e.ids, np.uint32).tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
                 for words in split]
 
+    def _together(self, part: list[str], runs: list[int]) -> bool:
+        """Encode words in one call: a word of letters is one run of tokens, stops behind it one
+        more, and each run ends with a word-end token.  A word may have more runs than thought
+        (letters that fold to marks), never fewer; then the total shows it."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+                       np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != sum(runs):
+            return False
+        data, start = ids.tobytes(), 0
+        for text, end in zip(part, (4 * ends[np.cumsum(runs) - 1]).tolist()):
+            self.known[text.encode()] = data[start:end]
+            start = end
+        return True
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
