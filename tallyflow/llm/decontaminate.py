@@ -27,6 +27,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.llm.shipping import ship
+
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
 # Byte -> byte of the reduced text: letters in lower case, digits, non-ASCII; the rest separates.
@@ -113,6 +115,7 @@ def item_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, spans (int64 pairs of byte
     offsets into the original text)."""
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast((uuid.uuid4().hex, b)) for b in item_blocks(benchmark)]
 
@@ -148,6 +151,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents that are not contaminated, with all their columns; rows are judged each."""
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast((uuid.uuid4().hex, b)) for b in item_blocks(benchmark)]
     place = docs.columns.index("text")

@@ -23,6 +23,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
+def odd(k: int, factor: int) -> np.uint64:
+    """``k * factor`` as a 64-bit number."""
+    return U(k * factor & 0xFFFFFFFFFFFFFFFF)
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
@@ -90,7 +95,6 @@ def rolled(names: np.ndarray, size: int) -> np.ndarray:
         if done:
             n = max(len(have) - step, 0)
             have = have[:n] * power + have[step:step + n]
-            with np.errstate(over="ignore"):
-                power = power * power
+            power = odd(int(power), int(power))
             step *= 2
     return mix(out)

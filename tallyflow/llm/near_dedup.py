@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.hashing import U, Words, chain, mix, rolled, slices
+from tallyflow.llm.hashing import U, Words, chain, mix, odd, rolled, slices
+from tallyflow.llm.shipping import ship
 from tallyflow.session import work_dir
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -88,11 +89,11 @@ def _points(sig: np.ndarray, doc, name, weight, until: np.ndarray) -> None:
     while len(pick):
         d, w = doc[pick], weight[pick]
         # The seed names shingle and piece; the k-th point of a process adds k.
-        seed = mix(name[pick] + U(low) * U(0xD6E8FEB86659FD93))
+        seed = mix(name[pick] + odd(low, 0xD6E8FEB86659FD93))
         time, end, k = np.zeros(len(pick)), until[d], 0
         while len(d):
             k += 1
-            draw = mix(seed + U(k) * U(0x9E3779B97F4A7C15))
+            draw = mix(seed + odd(k, 0x9E3779B97F4A7C15))
             time = time - np.log(((draw >> U(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / width
             go = time < end
             d, w, seed, time, end, draw = d[go], w[go], seed[go], time[go], end[go], draw[go]
@@ -243,6 +244,7 @@ def _rare_pairs(members: DataFrame, bagged: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id) of every document with an id; class_id is the least id of its class."""
+    ship(docs.sparkSession)
     folder = work_dir(docs.sparkSession, "near-dedup")
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     signed = _kept(_signed(texts), f"{folder}/signed")

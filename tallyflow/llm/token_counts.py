@@ -26,6 +26,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.llm.shipping import ship
+
 MARK = "▁"
 LIMIT = 4096
 CHUNK = 1 << 16
@@ -188,6 +190,7 @@ def counter(model_file: str) -> Counter:
 
 def token_counts(docs: DataFrame, model_file: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row of (doc_id, text)."""
+    ship(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyflow.llm.shipping import ship
 from tallyflow.session import shuffle_tasks
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -180,6 +181,7 @@ class Shard:
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int) -> DataFrame:
     """Write all documents as shards below ``folder``; returns the manifest, in shard order."""
+    ship(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     spark = docs.sparkSession
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
@@ -214,6 +216,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     """doc_id, start (tokens of all documents before), n_tokens and ids_crc32, from the shards."""
     before = (Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     spark = manifest.sparkSession
+    ship(spark)
     # One row per shard, some hundred MB each: the running sum over shards is short.
     located = manifest.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("at"))
 
