@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.llm import (decontaminate, mixing, near_dedup, quality_rules, reply_trees, token_counts,
-                           token_files)
+from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, quality_rules,
+                           reply_trees, token_counts, token_files, word_repeats)
 from tallyflow.session import work_dir
 
 # Folder of the public tokenizer files; another one can be named by the environment.
@@ -85,6 +85,18 @@ def op7_transducer_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer(PIECE_BPE))
 
 
+@query
+def op8_bucket_refinement(spark, folder):
+    """Bytes of every document that an earlier document has in 50-byte strings."""
+    return byte_repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query
+def op9_recompression(spark, folder):
+    """Words of every document in 20-word windows that stand earlier."""
+    return word_repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query
 def op10_reply_trees(spark, folder):
     """All conversations and conversation -7, formatted and read back."""
