@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, quality_rules,
-                           reply_trees, token_counts, token_files, word_repeats)
+                           reply_trees, rule_classifier, token_counts, token_files, word_repeats)
 from tallyflow.session import work_dir
 
 # Folder of the public tokenizer files; another one can be named by the environment.
@@ -72,6 +72,13 @@ def op4_bagminhash(spark, folder):
     return near_dedup.near_classes(table(spark, folder, "documents"))
 
 
+@query
+def op5_rule_ensemble(spark, folder):
+    """Quality score of every document by rules fitted on labelled ones."""
+    docs = table(spark, folder, "documents")
+    return rule_classifier.classify(docs, rule_classifier.fit(docs, table(spark, folder, "labels")))
+
+
 @query
 def op6_systematic_mix(spark, folder):
     """Words taken of every document by the mix of all sources."""
