@@ -7,7 +7,7 @@ agree at a place with the probability of their weighted Jaccard similarity.  Tim
 only as far as every place of a document is filled.
 
 Signatures are cut into bands.  Documents that share a band are compared exactly (bag overlap) with
-the first document of the band, and verified pairs are joined into classes.  Where a band still
+the document of the band that shares most bands, and verified pairs are joined into classes.  Where a band still
 holds several classes, links inside it are searched by an exact prefix filter over its documents:
 two bags of similarity ``SIMILAR`` or more share one of the rarest shingles of either, so no pairs
 of a large, loosely alike group are ever listed.
@@ -179,7 +179,7 @@ def _verified(pairs: DataFrame, bagged: DataFrame) -> DataFrame:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 shared, joint = overlap(x.as_py(), y.as_py())
-                ok.append(shared >= SIMILAR * joint)
+                ok.append(5 * shared >= 4 * joint)
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     left = bagged.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a"))
@@ -234,11 +234,13 @@ def _rare_pairs(members: DataFrame, bagged: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("n", "name")
     prefix = (rows.join(common, "name").withColumn("place", F.row_number().over(order))
               .where("place <= size - ceil(%r * size) + 1 and lo < hi" % SIMILAR)
-              .select("name", "doc_id", "label", "size"))
+              .select("name", "doc_id", "label", "size", (F.col("size") - F.col("place") + 1).alias("left")))
     other = prefix.select("name", F.col("doc_id").alias("b"), F.col("label").alias("label_b"),
-                          F.col("size").alias("size_b"))
+                          F.col("size").alias("size_b"), F.col("left").alias("left_b"))
+    # From their first common entry on, both bags must hold the entries that a similar pair shares.
     return (prefix.join(other, "name").where("doc_id < b and label <> label_b")
-            .where(f"least(size, size_b) >= {SIMILAR} * greatest(size, size_b)")
+            .where("5 * least(size, size_b) >= 4 * greatest(size, size_b)")
+            .where("9 * least(left, left_b) >= 4 * (size + size_b)")
             .select(F.col("doc_id").alias("a"), "b").distinct())
 
 
@@ -254,12 +256,15 @@ def near_classes(docs: DataFrame) -> DataFrame:
     apart = signed.where("size > 0").join(
         copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     banded = apart.select("doc_id", "size", F.posexplode("bands").alias("band", "value"))
-    shared = (banded.groupBy("band", "value").agg(
-        F.min(F.struct("doc_id", "size")).alias("center"), F.max("doc_id").alias("last"))
-        .where("center.doc_id < last").select("band", "value", "center"))
-    members = _kept(banded.join(shared, ["band", "value"]).select(
-        "band", "value", "doc_id", "size", F.col("center.doc_id").alias("center"),
-        F.col("center.size").alias("center_size")), f"{folder}/members")
+    shared = banded.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = _kept(banded.join(shared, ["band", "value"]), f"{folder}/met")
+    # The original of many copies shares more bands than they do among themselves, and links them.
+    wide = met.join(met.groupBy("doc_id").agg(F.sum("n").alias("reach")), "doc_id")
+    centers = wide.groupBy("band", "value").agg(
+        F.max(F.struct("reach", (-F.col("doc_id")).alias("minus"), "size")).alias("c"))
+    members = _kept(met.join(centers, ["band", "value"]).select(
+        "band", "value", "doc_id", "size", (-F.col("c.minus")).alias("center"),
+        F.col("c.size").alias("center_size")), f"{folder}/members")
     bagged = _kept(_bagged(texts, members.select("doc_id").distinct()), f"{folder}/bags")
     stars = (members.where("doc_id <> center").where(
         f"least(size, center_size) >= {SIMILAR} * greatest(size, center_size)")
