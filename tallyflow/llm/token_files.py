@@ -38,8 +38,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")])
 LEVEL = 1
-KEPT_WORDS = 500_000
-WORD_END, JOINED = "</w>", 200
+KEPT_WORDS = 800_000
+WORD_END, STOPS, JOINED = "</w>", ".,", 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 
 
@@ -66,35 +66,51 @@ class WordEncoder:
             self.known.clear()
         known = self.known
         new = set().union(*split).difference(known)
-        plain, other, runs = [], [], []
+        stems, other, made = set(), [], []
         for word in new:
             text = word.decode()
-            letters = text.rstrip(".,")
+            letters = text.rstrip(STOPS)
             if letters.isalpha():
-                plain.append(text)
-                runs.append(1 + (len(letters) < len(text)))
+                # Stops behind letters are a run of their own; ASCII capitals fold alone.
+                stem = letters.lower() if letters.isascii() else letters
+                made.append((word, stem.encode(), word[len(letters.encode()):]))
+                stems.add(stem)
             else:
                 other.append(text)
-        for at in range(0, len(plain), JOINED):
-            part = plain[at:at + JOINED]
-            if not self._together(part, runs[at:at + JOINED]):
+        stems = [x for x in stems if x.encode() not in known]
+        for at in range(0, len(stems), JOINED):
+            part = stems[at:at + JOINED]
+            if not self._together(part):
                 other += part
+        other += [x.decode() for x in {stops for _, _, stops in made} if x and x not in known]
         for text, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False)):
             known[text.encode()] = np.array(e.ids, np.uint32).tobytes()
+        mixed = []
+        for word, stem, stops in made:
+            if stops and not stem.isascii() and self._runs(known[stem]) > 1:
+                mixed.append(word)  # marks that letters fold to would join the stops
+            else:
+                known[word] = known[stem] + known[stops] if stops else known[stem]
+        for word in mixed:
+            known[word] = np.array(self.library.encode(word.decode(), add_special_tokens=False).ids,
+                                   np.uint32).tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
                 for words in split]
 
-    def _together(self, part: list[str], runs: list[int]) -> bool:
-        """Encode words in one call: a word of letters is one run of tokens, stops behind it one
-        more, and each run ends with a word-end token.  A word may have more runs than thought
-        (letters that fold to marks), never fewer; then the total shows it."""
+    def _runs(self, ids: bytes) -> int:
+        return int(self.ends[np.frombuffer(ids, np.uint32)].sum())
+
+    def _together(self, part: list[str]) -> bool:
+        """Encode words of letters in one call: each is one run of tokens that ends with a word-end
+        token.  A word may have more runs (letters that fold to marks), never fewer; the total
+        shows it."""
         ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
                        np.uint32)
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != sum(runs):
+        if len(ends) != len(part):
             return False
         data, start = ids.tobytes(), 0
-        for text, end in zip(part, (4 * ends[np.cumsum(runs) - 1]).tolist()):
+        for text, end in zip(part, (4 * ends).tolist()):
             self.known[text.encode()] = data[start:end]
             start = end
         return True
