@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,22 +79,26 @@ def mask_phone(tel: Column) -> Column:
     return F.concat(F.substring(tel, 1, 4), F.lit(fixed.PHONE_MASK))
 
 
+# A word is a run of letters and digits; of scripts written without blanks, one character.
+_WORD = (r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
+         r"|[[\p{L}\p{M}\p{N}]&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+")
+
+
 def tokens(text: Column) -> Column:
-    return F.split(F.lower(text), r"\s+")
+    """Lower-case words of a text, split at everything that is no letter or digit."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
 def has_all_terms(text: Column, keyword: str | None) -> Column:
     """Every word of ``keyword`` is a word of ``text``.
 
-    ``None`` matches everything, a keyword without words nothing.  A conjunction of
-    ``array_contains`` is used, not ``forall``: it is compiled, and its first miss ends the test.
+    ``None`` matches everything, a keyword without words nothing.  The keyword is split by the
+    same expression as the text; as a literal it is split once, when the plan is made.
     """
     if keyword is None:
         return F.lit(True)
-    words = list(dict.fromkeys(keyword.lower().split()))
-    if not words:
-        return F.lit(False)
-    return reduce(lambda a, b: a & b, [F.array_contains(tokens(text), w) for w in words])
+    wanted = F.array_distinct(tokens(F.lit(keyword)))
+    return (F.size(wanted) > 0) & (F.size(F.array_except(wanted, tokens(text))) == 0)
 
 
 def route_key(event_type: Column, table_name: Column) -> Column:

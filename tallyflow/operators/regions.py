@@ -9,10 +9,12 @@ from tallyflow import fixed
 
 
 def value_band(value: Column) -> Column:
-    """Lower end of the band of 100 (0 .. 600) a value falls in; null outside."""
+    """Lower end of the band of 100 a value falls in; the highest, from 500, has no end.
+
+    Null below 0.
+    """
     width, top = fixed.REGION_BAND_WIDTH, fixed.REGION_BAND_TOP
-    low = F.least(F.floor(value / width) * width, F.lit(top - width))
-    return F.when(value.between(0, top), low)
+    return F.when(value >= 0, F.least(F.floor(value / width) * width, F.lit(top - width)))
 
 
 def sales_by_province(orders: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow import fixed
@@ -40,12 +40,14 @@ def _top(counts: DataFrame, key: str, size: int) -> DataFrame:
                   .orderBy(F.desc("n"), key).limit(size))
 
 
-def gender_facet(counts: DataFrame) -> DataFrame:
-    return _top(counts, "user_gender", fixed.GENDER_FACET_SIZE)
+def gender_facet(counts: DataFrame, size: int = fixed.GENDER_FACET_SIZE) -> DataFrame:
+    """The ``size`` largest genders."""
+    return _top(counts, "user_gender", size)
 
 
-def age_facet(counts: DataFrame) -> DataFrame:
-    return _top(counts, "user_age", fixed.AGE_FACET_SIZE)
+def age_facet(counts: DataFrame, size: int = fixed.AGE_FACET_SIZE) -> DataFrame:
+    """The ``size`` largest ages."""
+    return _top(counts, "user_age", size)
 
 
 def age_group(age: Column) -> Column:
@@ -54,54 +56,32 @@ def age_group(age: Column) -> Column:
              .when(age > 30, fixed.AGE_OVER_30))
 
 
-def facet_rows(counts: DataFrame) -> DataFrame:
-    """Total and labelled facets below each other: (name, n); the total has no name.
-
-    The three groupings of ``counts`` are made in one pass, so the hits are searched once.
-    """
-    by_gender, by_age, by_none = 1, 2, 3
-    key = F.coalesce(F.col("user_gender"), F.col("user_age").cast("string"))
-    groups = (counts.groupingSets([("user_gender",), ("user_age",), ()],
-                                  "user_gender", "user_age")
-              .agg(F.sum("n").alias("n"), F.grouping_id().alias("_by")))
-    in_facet = Window.partitionBy("_by").orderBy(key.isNull(), F.desc("n"), "user_gender",
-                                                 "user_age")
-    size = (F.when(F.col("_by") == by_gender, fixed.GENDER_FACET_SIZE)
-             .when(F.col("_by") == by_age, fixed.AGE_FACET_SIZE))
-    gender = F.lit(None).cast("string")
-    for code, name in fixed.GENDER_LABELS.items():
-        gender = F.when(F.col("user_gender") == code, name).otherwise(gender)
-    name = F.when(F.col("_by") == by_gender, gender).otherwise(age_group(F.col("user_age")))
-    return (groups.withColumn("_rank", F.row_number().over(in_facet))
-                  .filter((F.col("_by") == by_none)
-                          | (key.isNotNull() & (F.col("_rank") <= size)))
-                  .withColumn("name", name)
-                  .filter((F.col("_by") == by_none) | F.col("name").isNotNull())
-                  .select("name", "n"))
-
-
 def nested_stats(counts: DataFrame) -> DataFrame:
     """One row: ``total`` and ``stat``, a list of (title, options (name, value)).
 
-    A gender that is not among the top groups has share 0; the age groups are summed from the
-    age facet.
+    Shares are of all hits and of all groups, however long the two facet lists are cut.
     """
-    stats = {
-        fixed.GENDER_TITLE: list(fixed.GENDER_LABELS.values()),
-        fixed.AGE_TITLE: [fixed.AGE_UNDER_20, fixed.AGE_20_TO_30, fixed.AGE_OVER_30],
+    def hits_where(cond: Column) -> Column:
+        return C.or_zero(F.sum(F.when(cond, F.col("n"))))
+
+    groups = {
+        fixed.GENDER_TITLE: [(name, F.col("user_gender") == code)
+                             for code, name in fixed.GENDER_LABELS.items()],
+        fixed.AGE_TITLE: [(name, age_group(F.col("user_age")) == name) for name in
+                          (fixed.AGE_UNDER_20, fixed.AGE_20_TO_30, fixed.AGE_OVER_30)],
     }
-    names = [n for options in stats.values() for n in options]
-    sums = facet_rows(counts).agg(
-        C.or_zero(F.sum(F.when(F.col("name").isNull(), F.col("n")))).alias("total"),
-        *[F.sum(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
+    sums = counts.agg(C.or_zero(F.sum("n")).alias("total"),
+                      *[hits_where(cond).alias(name)
+                        for options in groups.values() for name, cond in options])
 
     def option(name: str) -> Column:
-        share = C.percent_share(C.or_zero(F.col(name)), F.col("total"))
-        return F.struct(F.lit(name).alias("name"), share.alias("value"))
+        return F.struct(F.lit(name).alias("name"),
+                        C.percent_share(F.col(name), F.col("total")).alias("value"))
 
     return sums.select("total", F.array(*[
-        F.struct(F.lit(title).alias("title"), F.array(*map(option, options)).alias("options"))
-        for title, options in stats.items()]).alias("stat"))
+        F.struct(F.lit(title).alias("title"),
+                 F.array(*[option(name) for name, _ in options]).alias("options"))
+        for title, options in groups.items()]).alias("stat"))
 
 
 def stat_rows(counts: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ line as (
   select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_detail_id,
          l_orderkey as order_id, l_partkey as sku_id, p_name as sku_name,
          l_extendedprice as sku_price, l_shipdate
-  from lineitem join part on l_partkey = p_partkey),
+  from lineitem left join part on l_partkey = p_partkey),
 ord as (
   select o_orderkey as order_id, o_orderstatus as order_status,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as create_time, o_custkey as user_id,
@@ -52,14 +52,15 @@ sale as (
 _HITS = _SALES + """,
 hits as (
   select * from sale
-  where list_contains(string_split(lower(sku_name), ' '), 'red')
-    and list_contains(string_split(lower(sku_name), ' '), 'widget'))
+  where list_contains(regexp_extract_all(lower(sku_name), '[a-z0-9]+'), 'red')
+    and list_contains(regexp_extract_all(lower(sku_name), '[a-z0-9]+'), 'widget'))
 """
 
 _DAY_HITS = _SALES + """,
 hits as (
   select * from sale
-  where dt = '1998-10-03' and list_contains(string_split(lower(sku_name), ' '), 'red'))
+  where dt = '1998-10-03'
+    and list_contains(regexp_extract_all(lower(sku_name), '[a-z0-9]+'), 'red'))
 """
 
 _SHARES = """
@@ -71,11 +72,13 @@ age as (
   select user_age as k, count(*) as n from hits where user_age is not null
   group by 1 order by 2 desc, 1 limit 100),
 stats as (
-  select '性别占比' as title, '男' as name, (select sum(n) from gender where k = 'M') as n
-  union all select '性别占比', '女', (select sum(n) from gender where k = 'F')
-  union all select '年龄段占比', '20岁以下', (select sum(n) from age where k < 20)
-  union all select '年龄段占比', '20岁到30岁', (select sum(n) from age where k between 20 and 30)
-  union all select '年龄段占比', '30岁以上', (select sum(n) from age where k > 30)),
+  select '性别占比' as title, '男' as name,
+         (select count(*) from hits where user_gender = 'M') as n
+  union all select '性别占比', '女', (select count(*) from hits where user_gender = 'F')
+  union all select '年龄段占比', '20岁以下', (select count(*) from hits where user_age < 20)
+  union all select '年龄段占比', '20岁到30岁',
+         (select count(*) from hits where user_age between 20 and 30)
+  union all select '年龄段占比', '30岁以上', (select count(*) from hits where user_age > 30)),
 shares as (
   select title, name, total,
          case when total > 0 then floor(coalesce(n, 0) * 1000.0 / total + 0.5) / 10.0
@@ -251,8 +254,7 @@ group by 1""",
     "sales_by_province": """
 select c_nationkey as province_id, round(sum(o_totalprice), 2) as total_amount,
        count(*) as order_count,
-       case when count(*) between 0 and 600
-            then cast(least(count(*) // 100 * 100, 500) as bigint) end as band
+       cast(least(count(*) // 100 * 100, 500) as bigint) as band
 from orders left join customer on o_custkey = c_custkey
 group by 1""",
 

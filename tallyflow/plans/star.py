@@ -106,9 +106,10 @@ def long_line_id() -> Column:
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines; one whose product is unknown has no product name."""
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     joined = table(spark, folder, "lineitem").join(
-        part, F.col("l_partkey") == F.col("p_partkey"))
+        part, F.col("l_partkey") == F.col("p_partkey"), "left")
     return joined.select(
         long_line_id().alias("id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,9 +60,11 @@ def change_stream(spark: SparkSession, folder: str,
     return reader.json(folder).withColumn("timestamp", F.current_timestamp())
 
 
-def _decode(records: DataFrame, schema: T.StructType) -> DataFrame:
+def _decode(records: DataFrame, schema: T.StructType, fields: Sequence[str] = ()) -> DataFrame:
+    """The record fields as columns; with ``fields``, only these are parsed."""
+    wanted = [f for f in schema.fields if not fields or f.name in fields]
     kept = [c for c in records.columns if c not in ("value", "topic")]
-    return (C.with_computed(records, "_record", F.from_json("value", schema))
+    return (C.with_computed(records, "_record", F.from_json("value", T.StructType(wanted)))
             .select(*kept, "_record.*"))
 
 
@@ -78,13 +82,15 @@ def decode_events(records: DataFrame) -> DataFrame:
             .withColumn("event_time", F.timestamp_millis("ts")))
 
 
-def decode_orders(records: DataFrame) -> DataFrame:
-    return (_decode(records, schemas.ORDER_WIRE)
-            .withColumn("total_amount", C.to_double(F.col("total_amount"))))
+def decode_orders(records: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
+    orders = _decode(records, schemas.ORDER_WIRE, fields)
+    if "total_amount" not in orders.columns:
+        return orders
+    return orders.withColumn("total_amount", C.to_double(F.col("total_amount")))
 
 
-def decode_order_details(records: DataFrame) -> DataFrame:
-    return _decode(records, schemas.ORDER_DETAIL_WIRE)
+def decode_order_details(records: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
+    return _decode(records, schemas.ORDER_DETAIL_WIRE, fields)
 
 
 def decode_users(records: DataFrame) -> DataFrame:

@@ -67,6 +67,14 @@ def test_terms(spark, keyword, hit):
     assert value(spark, C.has_all_terms(F.lit("Red  gold Ring"), keyword)) is hit
 
 
+@pytest.mark.parametrize("text, keyword, hit", [
+    ("小米手机 高速双频 红色", "小米", True), ("小米手机", "大米", False), ("小米手机", "米小", True),
+    ("Red-Widget, large", "widget", True), ("Red-Widget, large", "red large", True),
+    ("Größe 42", "größe", True), ("A4-Papier", "a4", True), ("A4-Papier", "...", False)])
+def test_words_of_product_names(spark, text, keyword, hit):
+    assert value(spark, C.has_all_terms(F.lit(text), keyword)) is hit
+
+
 def test_terms_of_null(spark):
     assert not value(spark, C.has_all_terms(F.lit(None).cast("string"), "red"))
 
