@@ -142,7 +142,7 @@ def settle(keys, payload, sizes, docs, starts, versions):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (binary) of every row of documents."""
     texts = repeats.identified(docs)
-    flagged = repeats.shared_keys(docs, BytePieces, within=False)
+    flagged = repeats.shared_keys(texts, BytePieces, within=False)
     removed = repeats.repeated_windows(texts, flagged, BytePieces, settle, within=False)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,8 +150,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 few = batch.slice(at, 256)
                 rows = []
-                for data, starts, ns in zip(repeats.unsqueezed(few.column(1)), few.column(2), few.column(3)):
-                    gone = repeats.covered(starts, ns, len(data), WINDOW)
+                for data, copy, starts, ns in zip(repeats.unsqueezed(few.column(1)), *few.columns[2:]):
+                    gone = repeats.covered(copy, starts, ns, len(data), WINDOW)
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     spans = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
                     rows.append((len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))

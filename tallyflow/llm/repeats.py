@@ -3,6 +3,7 @@
 An operator cuts every text into pieces: runs of neighbouring windows under one key.  The key
 depends on the content of each of these windows alone, so equal windows meet under equal keys.
 
+0. ``identified``: copies of a whole text are settled by its hashes; only the first goes on.
 1. ``shared_keys``: keys go to buckets as packed arrays.  A task sends a key once per batch of
    documents, however many of them have it, and settles on the spot which of its documents
    share it; so a key of a third of all documents costs a few bytes per batch, not per document.
@@ -24,6 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyflow.llm.hashing import U, slices
 from tallyflow.llm.shipping import ship
@@ -68,38 +70,60 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Least number, width and differences; ids of a batch are near each other."""
+    """Least number, width in bytes, and differences; ids of a batch are near each other."""
     if not len(values):
         return b""
     low = int(values.min())
-    off = (values - low).astype(np.uint64)
-    width = next(w for w in (1, 2, 4, 8) if w == 8 or int(off.max()) < 1 << 8 * w)
-    return np.int64(low).tobytes() + bytes([width]) + off.astype(f"<u{width}").tobytes()
+    off = (values - low).astype("<u8")
+    width = max(1, (int(off.max()).bit_length() + 7) // 8)
+    return np.int64(low).tobytes() + bytes([width]) + off.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.int64)
-    low = np.frombuffer(data[:8], np.int64)[0]
-    return np.frombuffer(data, f"<u{data[8]}", offset=9).astype(np.int64) + low
+    low, width = np.frombuffer(data[:8], np.int64)[0], data[8]
+    out = np.zeros(((len(data) - 9) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    return out.view("<i8")[:, 0] + low
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """(doc, version, packed): the id, a hash that tells rows of one id apart, the packed text."""
+    """(doc, version, packed, first) of every row of documents.
+
+    ``version`` tells rows of one id with different texts apart (0 where there is one text),
+    ``packed`` is the compressed text, ``first`` the least id with this text.  All steps join the
+    same rows by ``doc``, so Spark shuffles the texts once and reads the exchange again.
+    """
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1, write_content_size=True)
+        packer = zstandard.ZstdCompressor(level=3, write_content_size=True)
         for batch in batches:
             texts = [packer.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
-                                             names=["doc", "version", "packed"])
+                                             names=["doc", "own", "packed"])
 
     ship(docs.sparkSession)
-    return plain(docs).mapInArrow(squeeze, "doc long, version int, packed binary")
-
-
-def plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.hash("text").alias("version"), "text")
+    text = F.coalesce("text", F.lit(""))
+    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+                        F.hash(text).alias("own"), text.alias("text"))
+    # Not nullable, so that no join adds a filter of its own and all share one exchange.
+    texts = plain.mapInArrow(squeeze, T.StructType([
+        T.StructField("doc", T.LongType(), False), T.StructField("own", T.IntegerType(), False),
+        T.StructField("packed", T.BinaryType(), False)]))
+    name = ["own", "far", "size"]
+    named = plain.select("doc", "own", F.xxhash64("text").alias("far"), F.octet_length("text").alias("size"))
+    firsts = named.groupBy(*name).agg(F.min("doc").alias("first"))
+    known = (named.distinct().join(firsts, name).groupBy("doc")
+             .agg(F.collect_list(F.struct("own", "first")).alias("firsts")))
+    mine = F.get(F.filter("firsts", lambda x: x["own"] == F.col("own")), F.lit(0))
+    return texts.join(known, "doc").select(
+        "doc", F.when(F.size("firsts") == 1, 0).otherwise(F.col("own")).alias("version"), "packed",
+        mine["first"].alias("first"))
+
+
+def originals(texts: DataFrame) -> DataFrame:
+    """Rows that are not copies of a text with a smaller id."""
+    return texts.where(F.col("first") == F.col("doc")).drop("first")
 
 
 def unsqueezed(column: pa.Array) -> list[bytes]:
@@ -127,9 +151,9 @@ def _bucket_parts(bucket: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
         yield int(b), slice(int(cuts[b]), int(cuts[b + 1]))
 
 
-def shared_keys(docs: DataFrame, cut: Callable[[list[bytes]], Pieces], within: bool) -> DataFrame:
-    """(doc, key, hot) of the keys that several documents have (``within``: or one has twice)."""
-    tasks = shuffle_tasks(docs.sparkSession)
+def shared_keys(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within: bool) -> DataFrame:
+    """(doc, key, hot) of the keys that several originals have (``within``: or one has twice)."""
+    tasks = shuffle_tasks(texts.sparkSession)
     n_buckets = BUCKETS * tasks
 
     def flush(keys: list, owners: list) -> Iterator[pa.RecordBatch]:
@@ -155,13 +179,14 @@ def shared_keys(docs: DataFrame, cut: Callable[[list[bytes]], Pieces], within: b
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, owners, held = [], [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
-            for a, b in slices(texts):
-                pieces = cut(texts[a:b])
-                keys.append(pieces.key)
-                owners.append(ids[a:b][pieces.text])
-                held += len(pieces.key)
+            for at in range(0, batch.num_rows, 256):
+                few = batch.slice(at, 256)
+                ids, own = few.column(0).to_numpy(), unsqueezed(few.column(1))
+                for a, b in slices(own):
+                    pieces = cut(own[a:b])
+                    keys.append(pieces.key)
+                    owners.append(ids[a:b][pieces.text])
+                    held += len(pieces.key)
                 if held >= BATCH:
                     yield from flush(keys, owners)
                     keys, owners, held = [], [], 0
@@ -188,7 +213,7 @@ def shared_keys(docs: DataFrame, cut: Callable[[list[bytes]], Pieces], within: b
             [pa.array(np.concatenate([single_doc[keep], found_doc])), pa.array(key.view(np.int64)),
              pa.array(hot)], names=["doc", "key", "hot"])
 
-    sent = plain(docs).mapInArrow(send, "bucket int, keys binary, docs binary, seen binary, "
+    sent = originals(texts).select("doc", "packed").mapInArrow(send, "bucket int, keys binary, docs binary, seen binary, "
                                   "seen_docs binary, found_docs binary")
     dealt = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(lambda batches: _by_bucket(batches, meet), "doc long, key long, hot boolean")
@@ -207,7 +232,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
     """Removed windows (doc, version, start, n) of all documents.
 
     ``settle(keys, payload, sizes, docs, starts, versions)`` gives, for the windows of all given pieces in a
-    row, which are removed; ``texts`` is ``identified(docs)``, ``flagged`` is ``shared_keys``.
+    row, which are removed; ``texts`` is ``identified(docs)``, ``flagged`` is ``shared_keys(texts)``.
     """
     tasks = shuffle_tasks(texts.sparkSession)
     n_buckets = BUCKETS * tasks
@@ -225,6 +250,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         lead = np.flatnonzero(new)
         # Equal pieces: all but those of the least document (or the first one) are settled here.
         # The same place of the same text can come twice, from a repeated row.
+        packer = zstandard.ZstdCompressor(level=3, write_content_size=True)
         stay = new if within else doc == doc[lead][group]
         same = np.ones(len(key), bool)
         for column in (doc, version, start) if within else (doc,):
@@ -236,10 +262,10 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
             g = np.flatnonzero(~same[part]) + part.start
             rows.append({
                 "bucket": b, "keys": key[first].tobytes(),
-                "payload": payload[ragged(place[first], size[first])].tobytes(),
+                "payload": packer.compress(payload[ragged(place[first], size[first])].tobytes()),
                 "sizes": pack(size[first]), "owner": pack(group[s] - group[part.start]),
-                "docs": pack(doc[s]), "versions": version[s].astype("<i4").tobytes(), "starts": pack(start[s]),
-                "gone_docs": pack(doc[g]), "gone_versions": version[g].astype("<i4").tobytes(),
+                "docs": pack(doc[s]), "versions": pack(version[s]), "starts": pack(start[s]),
+                "gone_docs": pack(doc[g]), "gone_versions": pack(version[g]),
                 "gone_starts": pack(start[g]), "gone_n": pack(n[g])})
         yield pa.RecordBatch.from_pylist(rows, schema=PIECE_ROWS)
 
@@ -282,9 +308,10 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         before = np.cumsum([0, *counts[:-1]])
         owner = np.concatenate([unpack(r["owner"]) + o for r, o in zip(rows, before)])
         doc = np.concatenate([unpack(r["docs"]) for r in rows])
-        version = np.concatenate([np.frombuffer(r["versions"], "<i4") for r in rows])
+        version = np.concatenate([unpack(r["versions"]) for r in rows])
         start = np.concatenate([unpack(r["starts"]) for r in rows])
-        payload = b"".join(r["payload"] for r in rows)
+        unpacker = zstandard.ZstdDecompressor()
+        payload = b"".join(unpacker.decompress(r["payload"]) for r in rows)
         # One entry leads each content; further entries of it are of the same document.
         lead = np.searchsorted(owner, np.arange(len(keys)))
         removed, n = settle(keys, payload, sizes, doc[lead], start[lead], version[lead])
@@ -298,7 +325,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         entry = np.repeat(np.arange(len(owner)), runs)
         run = ragged(cuts[:-1][owner], runs)
         gone = [np.concatenate([unpack(r[c]) for r in rows]) for c in ("gone_docs", "gone_starts", "gone_n")]
-        gone_version = np.concatenate([np.frombuffer(r["gone_versions"], "<i4") for r in rows])
+        gone_version = np.concatenate([unpack(r["gone_versions"]) for r in rows])
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([doc[entry], gone[0]])),
              pa.array(np.concatenate([version[entry], gone_version]).astype(np.int32)),
@@ -308,21 +335,27 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
     per_doc = flagged.groupBy("doc").agg(
         F.collect_list("key").alias("keys"),
         F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"))
-    joined = texts.join(per_doc, "doc").select("doc", "version", "packed", "keys", "hot_keys")
+    joined = originals(texts).join(per_doc, "doc").select("doc", "version", "packed", "keys", "hot_keys")
     sent = joined.mapInArrow(send, "bucket int, " + ", ".join(f"{c} binary" for c in PIECE_ROWS.names[1:]))
     dealt = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(lambda batches: _by_bucket(batches, meet), REMOVED)
 
 
 def with_removed(texts: DataFrame, removed: DataFrame) -> DataFrame:
-    """(doc, version, packed, starts, ns): every document and its removed windows."""
-    found = removed.groupBy("doc", "version").agg(F.collect_list("start").alias("starts"),
-                                                  F.collect_list("n").alias("ns"))
-    return texts.join(found, ["doc", "version"], "left").select("doc", "packed", "starts", "ns")
-
-
-def covered(starts: pa.Scalar, ns: pa.Scalar, length: int, window: int) -> np.ndarray:
-    """Which of ``length`` places lie in a removed window."""
+    """(doc, packed, copy, starts, ns): every row, whether it is a copy, its removed windows."""
+    found = removed.groupBy("doc").agg(F.collect_list(F.struct("version", "start", "n")).alias("found"))
+    joined = texts.join(found, "doc", "left")
+    # Most ids have one text, and then all windows are its own.
+    own = F.when(F.col("version") == 0, F.col("found")).otherwise(
+        F.filter("found", lambda x: x["version"] == F.col("version")))
+    return joined.select("doc", "packed", (F.col("first") < F.col("doc")).alias("copy"),
+                         own.alias("own")).select("doc", "packed", "copy", "own.start", "own.n")
+
+
+def covered(copy: pa.Scalar, starts: pa.Scalar, ns: pa.Scalar, length: int, window: int) -> np.ndarray:
+    """Which of ``length`` places lie in a removed window; all of a copy, if it has a window."""
+    if copy.as_py():
+        return np.full(length, length >= window)
     if not starts.is_valid or not len(starts):
         return np.zeros(length, bool)
     start, n = starts.values.to_numpy(), ns.values.to_numpy()

@@ -159,7 +159,7 @@ def later(name, key, doc, version, start) -> np.ndarray:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept of every row of documents."""
     texts = repeats.identified(docs)
-    flagged = repeats.shared_keys(docs, WordPieces, within=True)
+    flagged = repeats.shared_keys(texts, WordPieces, within=True)
     removed = repeats.repeated_windows(texts, flagged, WordPieces, settle, within=True)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +167,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 few = batch.slice(at, 256)
                 rows = []
-                for data, starts, ns in zip(repeats.unsqueezed(few.column(1)), few.column(2), few.column(3)):
+                for data, copy, starts, ns in zip(repeats.unsqueezed(few.column(1)), *few.columns[2:]):
                     words = data.split()
-                    gone = repeats.covered(starts, ns, len(words), WINDOW)
+                    gone = repeats.covered(copy, starts, ns, len(words), WINDOW)
                     kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
                     rows.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
                 yield pa.RecordBatch.from_arrays(
