@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, differences
 from conftest import SMALL
-
-SQL = entry.oracle_sql()
+from tallyflow.plans.oracle import ORACLE as SQL
+from tallyflow.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
-    assert differences(spark, duck, name, entry.queries()[name], SQL[name], SMALL) == []
+    assert differences(spark, duck, name, QUERIES[name], SQL[name], SMALL) == []
 
 
 def test_entry(spark):
@@ -29,7 +31,7 @@ def test_entry(spark):
 
 def plan(spark, name):
     spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
-    return entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name, pushed", [
@@ -51,7 +53,7 @@ def test_scan_reads_only_what_is_needed(spark, name, columns):
     assert f"ReadSchema: {columns}" in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream")))
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
