@@ -23,10 +23,10 @@ class RetailQueries:
         self.spark, self.root = configure(spark), root
 
     def _dau(self, *days: str) -> DataFrame:
-        return tables.read_dau(self.spark, self.root).filter(F.col("log_date").isin(*days))
+        return tables.read_dau(self.spark, self.root, *days)
 
     def _orders(self, *days: str) -> DataFrame:
-        return tables.read_orders(self.spark, self.root).filter(F.col("create_date").isin(*days))
+        return tables.read_orders(self.spark, self.root, *days)
 
     def realtime_total(self, day: str) -> DataFrame:
         return serving.realtime_total(self._dau(day), self._orders(day), day)

@@ -376,7 +376,8 @@ select strftime(ts, '%Y-%m-%d') as log_date, count(value) as lines,
 from stamped group by 1""",
 
     "stream_dau": f"""
-with {_STARTS} select mid, log_date from first""",
+with {_STARTS}
+select cast(mid as varchar) as mid, log_date, log_hour, epoch_us(ts) // 1000 as ts from first""",
 
     "stream_alerts": f"""
 with {_windows(21600, 3600, 3)},

@@ -395,15 +395,20 @@ def _stream(spark, folder, name):
 
 @query
 def stream_dau(spark, folder):
-    """Devices and days the streaming dedup lets through (which of a day's starts is open)."""
+    """The DAU table written by the stream: the earliest start of each device and day."""
     keep_state_on_disk(spark)
     out = work_dir(spark, "stream-dau")
-    starts = star.start_columns(_stream(spark, folder, "events")).withColumn(
-        "event_time", F.col("event_time").cast("timestamp"))
-    first = transforms.first_starts(starts).select("mid", "log_date")
-    writer = first.writeStream.format("parquet").option("path", f"{out}/rows")
+    starts = star.start_columns(_stream(spark, folder, "events")).select(
+        F.col("mid").cast("string").alias("mid"), F.col("uid").cast("string").alias("uid"), "log_type",
+        F.col("event_time").cast("timestamp").alias("event_time"),
+        *[F.lit(None).cast("string").alias(c) for c in ("appid", "area", "os", "ch", "vs")])
+    first = transforms.first_starts(starts.withColumn("ts", F.unix_millis("event_time")))
+    writer = first.writeStream.outputMode("update").foreachBatch(sinks.upsert(
+        spark, tables.DAU_BACKFILL, out, f"{out}/checkpoint", first_start.to_dau_table))
     sinks.start(writer, "stream_dau", f"{out}/checkpoint", once=True).awaitTermination()
-    return spark.read.schema(first.schema).parquet(f"{out}/rows")
+    return tables.DAU_BACKFILL.read(spark, out).select(
+        F.col("MID").alias("mid"), F.col("LOG_DATE").alias("log_date"),
+        F.col("LOG_HOUR").alias("log_hour"), F.col("TS").alias("ts"))
 
 
 @query

@@ -1,7 +1,12 @@
-"""Serving tables: versioned Parquet, read as the newest version of each key."""
+"""Serving tables: versioned Parquet, read as the newest version of each key.
+
+Layout: ``<root>/<table>/<day>=<value>/version=<number>/``, the day first, so that a read of some
+days lists the folders of these days and no others.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +19,17 @@ from tallyflow.operators.latest import latest_per_key
 VERSION = "version"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder, on whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = hadoop_path(spark, path)
+    return system.exists(place)
+
+
 @dataclass(frozen=True)
 class ServingTable:
     """Rows with a key; a later version of a key replaces the earlier one."""
@@ -23,28 +39,41 @@ class ServingTable:
     key: tuple[str, ...]
     day: str | None = None
 
-    def versions(self, spark: SparkSession, root: str) -> DataFrame:
-        """All versions.  The schema is fixed, so days stay text and nothing is inferred."""
+    @property
+    def partitions(self) -> list[str]:
+        return [self.day, VERSION] if self.day else [VERSION]
+
+    def folder(self, root: str) -> str:
+        return f"{root}/{self.name}"
+
+    def versions(self, spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
+        """All versions, of the given days only.
+
+        The schema is fixed, so days stay text and nothing is inferred; other days are not listed.
+        """
         schema = T.StructType(self.schema.fields + [T.StructField(VERSION, T.LongType())])
-        return spark.read.schema(schema).parquet(f"{root}/{self.name}")
-
-    def read(self, spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
-        """The current rows; with ``day``, only that partition is listed and read."""
-        rows = self.versions(spark, root)
-        if day is not None:
-            rows = rows.filter(F.col(self.day) == day)
-        # A key never changes its day, so the day may join the key and the filter is pushed
-        # through the ranking also when it comes later.
+        base = self.folder(root)
+        paths = [base] if days is None or not self.day else [
+            path for path in (f"{base}/{self.day}={d}" for d in days) if exists(spark, path)]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def read(self, spark: SparkSession, root: str, *days: str) -> DataFrame:
+        """The current rows, of the given days or of all."""
+        rows = self.versions(spark, root, days or None)
+        # A key never changes its day, so the day may join the key and a later filter on it is
+        # pushed through the ranking.
         keys = [*self.key, *([self.day] if self.day and self.day not in self.key else [])]
         return latest_per_key(rows, keys, [VERSION]).drop(VERSION)
 
 
-
 DAU = ServingTable("dau", schemas.DAU_TABLE, ("MID", "LOG_DATE"), "LOG_DATE")
 ORDERS = ServingTable("order_info", schemas.ORDER_TABLE, ("ID",), "CREATE_DATE")
 SALES = ServingTable("sale_detail", schemas.SALE_TABLE, ("order_detail_id",), "dt")
 ALERTS = ServingTable("coupon_alert", schemas.ALERT_TABLE, ("alert_id",), "alert_date")
-# For a run over years of orders at once: one folder, not one for each day.
+# For a run over years at once: one folder, not one for each day.
+DAU_BACKFILL = ServingTable("dau_backfill", schemas.DAU_TABLE, ("MID", "LOG_DATE"))
 SALES_BACKFILL = ServingTable("sale_backfill", schemas.SALE_TABLE, ("order_detail_id",))
 USERS = ServingTable("user_info_dim", schemas.USER_TABLE, ("id",))
 
@@ -53,10 +82,10 @@ def _records(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.select([F.col(c).alias(f) for f, c in columns.items()])
 
 
-def read_dau(spark: SparkSession, root: str) -> DataFrame:
+def read_dau(spark: SparkSession, root: str, *days: str) -> DataFrame:
     """The DAU table under its record field names."""
-    return _records(DAU.read(spark, root), fixed.DAU_COLUMNS)
+    return _records(DAU.read(spark, root, *days), fixed.DAU_COLUMNS)
 
 
-def read_orders(spark: SparkSession, root: str) -> DataFrame:
-    return _records(ORDERS.read(spark, root), fixed.ORDER_COLUMNS)
+def read_orders(spark: SparkSession, root: str, *days: str) -> DataFrame:
+    return _records(ORDERS.read(spark, root, *days), fixed.ORDER_COLUMNS)

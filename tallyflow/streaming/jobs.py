@@ -48,8 +48,8 @@ def run_dau(records: DataFrame, root: str, checkpoint: str, delay: str = transfo
     sinks.create_table(spark, tables.DAU, root)
     starts = sinks.counted(topics.decode_starts(records), "starts")
     first = sinks.counted(transforms.first_starts(starts, delay), "first_starts")
-    writer = first.writeStream.foreachBatch(
-        sinks.upsert(tables.DAU, root, first_start.to_dau_table))
+    writer = first.writeStream.outputMode("update").foreachBatch(
+        sinks.upsert(spark, tables.DAU, root, checkpoint, first_start.to_dau_table))
     return sinks.start(writer, "dau", checkpoint, once)
 
 
@@ -60,7 +60,7 @@ def run_orders(records: DataFrame, root: str, checkpoint: str,
     sinks.create_table(spark, tables.ORDERS, root)
     clean = order_ops.clean_orders(topics.decode_orders(records))
     writer = clean.writeStream.foreachBatch(
-        sinks.upsert(tables.ORDERS, root, order_ops.to_order_table))
+        sinks.upsert(spark, tables.ORDERS, root, checkpoint, order_ops.to_order_table))
     return sinks.start(writer, "orders", checkpoint, once)
 
 
@@ -71,7 +71,7 @@ def run_users(records: DataFrame, root: str, checkpoint: str,
     sinks.create_table(spark, tables.USERS, root)
     users = topics.decode_users(records).withColumnRenamed("timestamp", "arrival")
     writer = users.writeStream.foreachBatch(sinks.upsert(
-        tables.USERS, root, lambda batch: latest_per_key(batch, ["id"], ["arrival"])))
+        spark, tables.USERS, root, checkpoint, lambda batch: latest_per_key(batch, ["id"], ["arrival"])))
     return sinks.start(writer, "users", checkpoint, once)
 
 
@@ -97,7 +97,7 @@ def write_alerts(events: DataFrame, root: str, checkpoint: str, window: str, sli
         return alerts.alert_documents(found)
 
     counts = transforms.event_counts(events, window, slide, delay)
-    writer = counts.writeStream.foreachBatch(sinks.upsert(tables.ALERTS, root, documents))
+    writer = counts.writeStream.foreachBatch(sinks.upsert(spark, tables.ALERTS, root, checkpoint, documents))
     return sinks.start(writer, "alerts", checkpoint, once)
 
 
@@ -119,6 +119,7 @@ def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str,
     sinks.create_table(spark, tables.USERS, root)
     sinks.create_table(spark, table, root)
     day = F.current_date() if as_of is None else as_of
+    run = sinks.run_number(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Read twice below (buyers, rows): without a cache the join would run twice.
@@ -129,7 +130,7 @@ def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str,
                 changes = tables.USERS.versions(batch.sparkSession, root)
                 users = sales.current_users_of(batch, changes, [tables.VERSION, "arrival"])
                 sinks.write_version(sales.add_user(batch, users, day), table, root,
-                                    batch_id)
+                                    sinks.version_number(run, batch_id))
         finally:
             batch.unpersist()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -11,8 +12,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallyflow import fixed
 from tallyflow.operators import routing
-from tallyflow.sources.tables import VERSION, ServingTable
+from tallyflow.operators.latest import latest_per_key
+from tallyflow.sources.tables import VERSION, ServingTable, exists, hadoop_path
 
+# Spark's folder name for a null partition value.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -40,46 +44,81 @@ def adaptive(batch: DataFrame):
         conf.set("spark.sql.adaptive.enabled", before)
 
 
+# A version is numbered by the run (the second its checkpoint was made), the batch, and whether it
+# was gathered from earlier versions; so it grows over batches and over checkpoints.
+BATCHES_PER_RUN = 1_000_000_000
+
+
+def run_number(spark: SparkSession, checkpoint: str) -> int:
+    """The number of a checkpoint, made once and kept beside its state.
+
+    A job that starts with a new checkpoint counts batches from 0 again; its versions must not
+    take the folders of an older run.
+    """
+    path = f"{checkpoint}/run"
+    if not exists(spark, path):
+        spark.createDataFrame([(int(time.time()),)], "run long").coalesce(1).write.parquet(path)
+    return spark.read.schema("run long").parquet(path).first()[0]
+
+
+def version_number(run: int, batch: int) -> int:
+    return 2 * (run * BATCHES_PER_RUN + batch)
+
+
 def write_version(rows: DataFrame, table: ServingTable, root: str, version: int) -> None:
     """Write the rows as one version of the table.
 
-    A repeated batch replaces its own folder, so repeats do no harm.  Rebalancing by day gives
+    A repeated batch replaces its own folders, so repeats do no harm.  Rebalancing by day gives
     few files of even size, however many state partitions the stream has and however many rows
     one day holds.
     """
-    writer = rows.select([F.col(f.name).cast(f.dataType).alias(f.name)
-                          for f in table.schema.fields])
-    if table.day:
-        writer = writer.hint("rebalance", table.day).write.partitionBy(table.day)
-    else:
-        writer = writer.hint("rebalance").write
-    writer.mode("overwrite").parquet(f"{root}/{table.name}/{VERSION}={version}")
+    typed = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+    spread = typed.hint("rebalance", table.day) if table.day else typed.hint("rebalance")
+    (spread.withColumn(VERSION, F.lit(version).cast("long"))
+     .write.partitionBy(*table.partitions).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(table.folder(root)))
 
 
 def create_table(spark: SparkSession, table: ServingTable, root: str) -> None:
-    """An empty first version, so that readers find a table before the first batch."""
-    writer = spark.createDataFrame([], table.schema).write.mode("ignore")
-    if table.day:
-        writer = writer.partitionBy(table.day)
-    writer.parquet(f"{root}/{table.name}/{VERSION}=-1")
+    """The empty table, so that readers find it before the first batch."""
+    system, place = hadoop_path(spark, table.folder(root))
+    system.mkdirs(place)
 
 
-def upsert(table: ServingTable, root: str,
+def upsert(spark: SparkSession, table: ServingTable, root: str, checkpoint: str,
            shape: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> BatchWriter:
     """Write each batch as the next version of its keys, after ``shape``."""
+    run = run_number(spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch):
-            write_version(shape(batch), table, root, batch_id)
+            write_version(shape(batch), table, root, version_number(run, batch_id))
     return write
 
 
-def merge_versions(spark: SparkSession, table: ServingTable, root: str, target: str) -> None:
-    """Write the current rows of a table as version 0 under another root.
+def merge_versions(spark: SparkSession, table: ServingTable, root: str, *days: str) -> None:
+    """Gather the versions of the given days (or of all) in place, at any time.
 
-    To be run now and then by an operator who afterwards points the readers to ``target``: it
-    drops replaced versions and gathers the small files of many batches.
+    The current rows of what is there now are written as one version that stands right after the
+    newest of them, and before any that a running job adds meanwhile; only then are the old
+    folders removed.  A reader may see old and gathered rows side by side: they are the same.
     """
-    write_version(table.read(spark, root), table, target, 0)
+    old = table.versions(spark, root, days or None)
+    newest = old.agg(F.max(VERSION)).first()[0]
+    if newest is None:
+        return
+    old = old.where(F.col(VERSION) <= newest)
+    parts = [r for r in old.select(*table.partitions).distinct().toLocalIterator()]
+    keys = [*table.key, *([table.day] if table.day and table.day not in table.key else [])]
+    gathered = newest | 1
+    if all(r[VERSION] == gathered for r in parts):
+        return
+    write_version(latest_per_key(old, keys, [VERSION]).drop(VERSION), table, root, gathered)
+    for r in parts:
+        if r[VERSION] != gathered:
+            named = "/".join(f"{c}={DEFAULT_PARTITION if r[c] is None else r[c]}" for c in table.partitions)
+            system, place = hadoop_path(spark, f"{table.folder(root)}/{named}")
+            system.delete(place, True)
 
 
 def topics_to_folder(routed: DataFrame, path: str) -> DataStreamWriter:
@@ -105,6 +144,16 @@ def console(rows: DataFrame) -> DataStreamWriter:
     return rows.writeStream.format("console")
 
 
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the recent batches left out because they came after the job's delay.
+
+    If it is not 0, the delay is too short: the lag between a record's time and the newest one
+    that was seen before it has to stay below it.  State grows with the delay.
+    """
+    return sum(state.numRowsDroppedByWatermark for progress in query.recentProgress
+               for state in progress.stateOperators)
+
+
 def counted(rows: DataFrame, name: str) -> DataFrame:
     """Row count of each batch as an observed metric of the query progress; no extra job."""
     return rows.observe(name, F.count(F.lit(1)).alias("rows"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,20 +21,22 @@ def _spread(by: str, salts: int) -> Column:
     return F.pmod(F.xxhash64(by), F.lit(salts))
 
 
-def first_starts(starts: DataFrame, delay: str = DAU_DELAY, salts: int = SALTS) -> DataFrame:
-    """One start per device and day, over all batches.
+def first_starts(starts: DataFrame, delay: str = DAU_DELAY,
+                 tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """The earliest start of each device and day so far, for a stream in update mode.
 
-    State expires ``delay`` after the day's first start, so it holds about two days of devices.
-    A stateful dedup sends every row of a key to one task; rows are therefore first thinned
-    out under a salted key, after which a device sends at most ``salts`` rows a day to the task
-    that decides.
+    An aggregate of the least (time, tie breakers, record): it is combined before the shuffle, so
+    a device with very many starts sends one row per task, and holds one state row per device and
+    day until ``delay`` has passed the end of the day.  A day's start is given out again when an
+    earlier one comes late; the upsert by device and day keeps the last.
     """
-    rows = first_start.with_log_time(starts).withWatermark("event_time", delay)
-    if salts > 1:
-        rows = (rows.withColumn("_salt", _spread("event_time", salts))
-                    .dropDuplicatesWithinWatermark(["mid", "log_date", "_salt"])
-                    .drop("_salt"))
-    return rows.dropDuplicatesWithinWatermark(["mid", "log_date"])
+    day = F.window("event_time", "1 day")
+    order = ["event_time", *tie_breakers]
+    rest = [c for c in starts.columns if c not in order and c != "mid"]
+    first = (starts.withWatermark("event_time", delay)
+             .groupBy("mid", day.alias("_day"))
+             .agg(F.min(F.struct(*order, *rest)).alias("_first")))
+    return first_start.with_log_time(first.select("mid", "_first.*"))
 
 
 def join_lines(orders: DataFrame, lines: DataFrame, wait: str = fixed.JOIN_WAIT,

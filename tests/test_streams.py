@@ -34,9 +34,9 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-def split_events(spark, folder, pieces=4):
-    """The events of the test tables as time-ordered files."""
-    events = star.table(spark, SMALL, "events").orderBy("ts").toPandas()
+def split_events(spark, folder, pieces=4, order="ts"):
+    """The events of the test tables as files, ordered by time."""
+    events = star.table(spark, SMALL, "events").orderBy(order).toPandas()
     size = -(-len(events) // pieces)
     schema = star.table(spark, SMALL, "events").schema
     for i in range(pieces):
@@ -54,24 +54,34 @@ def collect(writer_df, tmp_path, name="out"):
     return query
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_first_starts_over_batches(spark, tmp_path, salts):
-    stream = split_events(spark, tmp_path / "in")
-    starts = star.start_columns(stream).withColumn(
-        "event_time", F.col("event_time").cast("timestamp"))
-    collect(transforms.first_starts(starts, salts=salts).select("mid", "log_date"), tmp_path)
-    got = spark.read.parquet(str(tmp_path / "out"))
-    want = first_start.first_start_times(star.starts(spark, SMALL)).select("mid", "log_date")
-    assert rows_of(got) == rows_of(want)
+def collect_updates(rows, tmp_path, shown):
+    """Rows that an update stream gives out, in order of batches."""
+    got = []
+    writer = rows.writeStream.outputMode("update").foreachBatch(
+        lambda batch, _: got.append(rows_of(batch.select(*shown))))
+    query = sinks.start(writer, "updates", str(tmp_path / "cp"), once=True)
+    query.awaitTermination()
+    return got, query
 
 
-def test_dedup_state_expires(spark, tmp_path):
+def test_first_starts_over_batches(spark, tmp_path):
+    """Shuffled files: a late, earlier start replaces the one given out before."""
+    stream = split_events(spark, tmp_path / "in", order=F.hash("event_id"))
+    starts = star.start_columns(stream).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    shown = ["mid", "log_date", "log_hour", "event_id"]
+    got, query = collect_updates(transforms.first_starts(starts, "60 days", ["event_id"]), tmp_path, shown)
+    assert len(got) >= 4
+    last = {row[:2]: row for batch in got for row in batch}
+    want = rows_of(first_start.first_starts(star.starts(spark, SMALL), tie_breakers=["event_id"]).select(*shown))
+    assert sorted(last.values(), key=repr) == want
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= len(want)
+
+
+def test_dau_state_expires(spark, tmp_path):
     stream = split_events(spark, tmp_path / "in")
-    starts = star.start_columns(stream).withColumn(
-        "event_time", F.col("event_time").cast("timestamp"))
-    query = collect(transforms.first_starts(starts, salts=1).select("mid", "log_date"), tmp_path)
-    total = spark.read.parquet(str(tmp_path / "out")).count()
-    assert query.lastProgress.stateOperators[0].numRowsTotal < total
+    starts = star.start_columns(stream).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    got, query = collect_updates(transforms.first_starts(starts), tmp_path, ["mid", "log_date"])
+    assert query.lastProgress.stateOperators[0].numRowsTotal < len({r for batch in got for r in batch})
 
 
 def test_alerts_over_batches(spark, tmp_path):
@@ -245,8 +255,47 @@ def test_batch_written_twice_counts_once(spark, tmp_path):
         sinks.write_version(batch, tables.USERS, root, version)
     assert tables.USERS.versions(spark, root).count() == 2
     assert [r.login_name for r in tables.USERS.read(spark, root).collect()] == ["b"]
-    sinks.merge_versions(spark, tables.USERS, root, root + "/merged")
-    assert tables.USERS.versions(spark, root + "/merged").count() == 1
+    sinks.merge_versions(spark, tables.USERS, root)
+    assert [(r.login_name, r.version) for r in tables.USERS.versions(spark, root).collect()] == [("b", 1)]
+
+
+def days_of(spark, *rows):
+    return spark.createDataFrame([(m, *[None] * 7, "05", 1, day) for m, day in rows], schemas.DAU_TABLE)
+
+
+def test_new_checkpoint_after_a_merge_keeps_all_rows(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    first = sinks.run_number(spark, str(tmp_path / "c1"))
+    assert sinks.run_number(spark, str(tmp_path / "c1")) == first
+    monkeypatch.setattr(sinks.time, "time", lambda: first + 60)
+    second = sinks.run_number(spark, str(tmp_path / "c2"))
+    old = days_of(spark, *[(f"m{i}", "2024-01-01") for i in range(100)])
+    for batch in range(2):
+        sinks.write_version(old, tables.DAU, root, sinks.version_number(first, batch))
+    sinks.merge_versions(spark, tables.DAU, root)
+    assert tables.DAU.versions(spark, root).count() == 100
+    sinks.write_version(days_of(spark, ("n", "2024-01-01")), tables.DAU, root, sinks.version_number(second, 0))
+    assert tables.DAU.read(spark, root).count() == 101
+    # The last batch of the first run is repeated after the merge; the next one is not hidden by it.
+    sinks.write_version(old, tables.DAU, root, sinks.version_number(first, 1))
+    assert tables.DAU.read(spark, root).count() == 101
+    sinks.merge_versions(spark, tables.DAU, root)
+    sinks.merge_versions(spark, tables.DAU, root)
+    assert tables.DAU.versions(spark, root).count() == 101
+
+
+def test_only_asked_days_are_listed(spark, tmp_path):
+    root = str(tmp_path)
+    sinks.write_version(days_of(spark, ("a", "2024-01-01"), ("b", None)), tables.DAU, root, 0)
+    listed = len(tables.DAU.versions(spark, root, ["2024-01-01"]).inputFiles())
+    for version in range(1, 6):
+        sinks.write_version(days_of(spark, ("c", "2024-01-02"), ("d", "2024-01-03")), tables.DAU, root, 2 * version)
+    assert len(tables.DAU.versions(spark, root, ["2024-01-01"]).inputFiles()) == listed
+    assert [r.MID for r in tables.DAU.read(spark, root, "2024-01-01").collect()] == ["a"]
+    assert tables.DAU.read(spark, root, "2024-01-09").count() == 0
+    sinks.merge_versions(spark, tables.DAU, root, "2024-01-02")
+    assert tables.DAU.versions(spark, root, ["2024-01-02"]).count() == 1
+    assert tables.DAU.read(spark, root).count() == 4
 
 
 def test_user_changes_are_seen_by_the_next_batch(spark, tmp_path):
@@ -295,9 +344,10 @@ def test_records_later_than_the_delay_are_left_out(spark, tmp_path):
     # A watermark set by one batch holds for late records from the next but one.
     batches = [[("a", at(hours=0))], [("b", at(hours=60))], [("c", at(hours=59))],
                [("late", at(hours=1)), ("d", at(hours=40))]]
-    collect(transforms.first_starts(feed(spark, tmp_path / "in", batches, schema))
-            .select("mid"), tmp_path)
-    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == [("a",), ("b",), ("c",), ("d",)]
+    got, query = collect_updates(transforms.first_starts(
+        feed(spark, tmp_path / "in", batches, schema)), tmp_path, ["mid"])
+    assert sorted(r for batch in got for r in batch) == [("a",), ("b",), ("c",), ("d",)]
+    assert sinks.dropped_late(query) == 1
 
 
 def test_table_stream_takes_files_and_folders(spark, tmp_path):
