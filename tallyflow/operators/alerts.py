@@ -34,75 +34,99 @@ def _floor(micros: Column, step: int) -> Column:
     return micros - F.pmod(micros, F.lit(step))
 
 
-def stream_event_counts(events: DataFrame, window: str, slide: str) -> DataFrame:
-    """Per window, device and event id: number of events, coupon accounts and coupon items.
+# What a profile is made of: events by id, coupon accounts, coupon items.
+EVENT, ACCOUNT, ITEM = "event", "account", "item"
 
-    The stateful part of the alert stream: counters and sets, combined before the shuffle.
+
+def parts(events: DataFrame) -> DataFrame:
+    """Each event as one to three parts (kind, name) of its device's profile.
+
+    Kept apart, a device costs the sum of its event ids, accounts and items, not their product.
     """
-    coupon = _is(fixed.EVENT_COUPON)
-    counts = events.groupBy(F.window("event_time", window, slide).alias("w"), "mid", "evid").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.collect_set(F.when(coupon, F.col("uid"))).alias("uids"),
-        F.collect_set(F.when(coupon, F.col("itemid"))).alias("item_ids"))
-    return counts.select(F.col("w.start").alias("window_start"),
-                         F.col("w.end").alias("window_end"),
-                         "mid", "evid", "n", "uids", "item_ids")
+    def part(kind: str, name: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(name).cast("string").alias("name"))
+
+    all_parts = F.when(_is(fixed.EVENT_COUPON), F.array(
+        part(EVENT, "evid"), part(ACCOUNT, "uid"), part(ITEM, "itemid"))).otherwise(
+            F.array(part(EVENT, "evid")))
+    return (events.select("event_time", "mid", F.explode(all_parts).alias("_part"))
+            .select("event_time", "mid", "_part.*")
+            .where((F.col("kind") == EVENT) | F.col("name").isNotNull()))
+
+
+def stream_part_counts(events: DataFrame, window: str, slide: str) -> DataFrame:
+    """Per window and device: how often each part occurs.
+
+    Parts are counted in panes first and the panes summed up to windows, both with state of fixed
+    size per part; so a window that slides often copies panes, not events.
+    """
+    pane = f"{gcd(_micros(window), _micros(slide)) // 1000} milliseconds"
+    key = ["mid", "kind", "name"]
+    panes = (parts(events).groupBy(F.window("event_time", pane).alias("p"), *key)
+             .agg(F.count(F.lit(1)).alias("n")))
+    counts = (panes.groupBy(F.window(F.window_time("p"), window, slide).alias("w"), *key)
+              .agg(F.sum("n").alias("n")))
+    return counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                         *key, "n")
 
 
 def profiles_of_counts(counts: DataFrame) -> DataFrame:
-    """Device profiles from the counts of complete windows: gathers a row per event id."""
+    """Device profiles from the part counts of complete windows."""
+    def names(kind: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("name"))))
+
+    is_event = F.col("kind") == EVENT
     return counts.groupBy("window_start", "window_end", "mid").agg(
-        F.array_sort(F.flatten(F.collect_list("uids"))).alias("uids"),
-        F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-        F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("event_counts"),
-        F.max(_is(fixed.EVENT_CLICK_ITEM)).alias("clicked"))
+        names(ACCOUNT).alias("uids"), names(ITEM).alias("item_ids"),
+        F.array_sort(F.collect_list(F.when(is_event, F.struct(
+            F.col("name").alias("evid"), "n")))).alias("event_counts"),
+        F.max(is_event & F.col("name").eqNullSafe(fixed.EVENT_CLICK_ITEM)).alias("clicked"))
 
 
 def device_profiles(events: DataFrame, window: str, slide: str) -> DataFrame:
     """Per window and device: coupon accounts and items, events, whether an item was clicked.
 
     A 5 min window that slides by 5 s holds each event 60 times, but the events are not copied
-    60 times through a shuffle.  They are counted in panes (the common divisor of window and
-    slide), combined before the shuffle, so that a device with a third of all events has no more
-    panes than any other.  The panes are then gathered per device and time block: a window that
-    starts in a block as long as itself ends in the next one, so each pane goes to two blocks,
-    and the windows are cut out of a block's panes in place.
+    60 times through a shuffle.  Their parts are counted in panes (the common divisor of window
+    and slide), combined before the shuffle: a device has at most as many rows in a pane as event
+    ids, accounts and items together.  The panes are then gathered per device and time block: a
+    window that starts in a block as long as itself ends in the next one, so each pane goes to two
+    blocks, and the windows are cut out of a block's panes in place.
 
     The blocks are spread over a set number of tasks; partitions coalesced to suit the panes
     would be too large for the windows that come out of them.
     """
     width, step = _micros(window), _micros(slide)
-    coupon = _is(fixed.EVENT_COUPON)
     pane = _floor(F.unix_micros("event_time"), gcd(width, step))
-    panes = (events.select(pane.alias("pane"), "mid", "evid",
-                           F.when(coupon, F.col("uid")).alias("uid"),
-                           F.when(coupon, F.col("itemid")).alias("itemid"))
-                   .groupBy("pane", "mid", "evid", "uid", "itemid")
-                   .agg(F.count(F.lit(1)).alias("n")))
+    panes = (parts(events).groupBy(pane.alias("pane"), "mid", "kind", "name")
+             .agg(F.count(F.lit(1)).alias("n")))
     block = _floor(F.col("pane"), width)
     blocks = (panes.withColumn("_block", F.explode(F.array(block, block - width)))
               .repartition(shuffle_tasks(events.sparkSession), "mid", "_block")
               .groupBy("mid", "_block")
-              .agg(F.collect_list(F.struct("pane", "evid", "uid", "itemid", "n")).alias("_panes")))
+              .agg(F.collect_list(F.struct("pane", "kind", "name", "n")).alias("_panes")))
 
     first = F.col("_block") + F.pmod(-F.col("_block"), F.lit(step))
     starts = F.sequence(first, F.col("_block") + F.lit(width - 1), F.lit(step))
     start, end = F.col("_start"), F.col("_start") + width
     inside = F.filter("_panes", lambda p: (p["pane"] >= start) & (p["pane"] < end))
 
-    def distinct(field: str) -> Column:
-        values = F.filter(F.transform("_inside", lambda p: p[field]), lambda v: v.isNotNull())
-        return F.array_sort(F.array_distinct(values))
+    def of_kind(kind: str) -> Column:
+        return F.filter("_inside", lambda p: p["kind"] == kind)
+
+    def distinct(kind: str) -> Column:
+        return F.array_sort(F.array_distinct(F.transform(of_kind(kind), lambda p: p["name"])))
 
+    clicked = F.exists("_inside", lambda p: (p["kind"] == EVENT)
+                       & p["name"].eqNullSafe(fixed.EVENT_CLICK_ITEM))
     return (C.with_computed(blocks.withColumn("_start", F.explode(starts)), "_inside", inside)
             .filter(F.size("_inside") > 0)
             .select(F.timestamp_micros(start).alias("window_start"),
                     F.timestamp_micros(end).alias("window_end"), "mid",
-                    distinct("uid").alias("uids"), distinct("itemid").alias("item_ids"),
-                    F.array_sort(F.transform("_inside", lambda p: F.struct(
-                        p["evid"].alias("evid"), p["n"].alias("n")))).alias("event_counts"),
-                    F.exists("_inside", lambda p: p["evid"].eqNullSafe(fixed.EVENT_CLICK_ITEM))
-                    .alias("clicked")))
+                    distinct(ACCOUNT).alias("uids"), distinct(ITEM).alias("item_ids"),
+                    F.array_sort(F.transform(of_kind(EVENT), lambda p: F.struct(
+                        p["name"].alias("evid"), p["n"].alias("n")))).alias("event_counts"),
+                    clicked.alias("clicked")))
 
 
 def coupon_alerts(profiles: DataFrame,

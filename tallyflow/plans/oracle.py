@@ -380,14 +380,10 @@ with {_STARTS}
 select cast(mid as varchar) as mid, log_date, log_hour, epoch_us(ts) // 1000 as ts from first""",
 
     "stream_alerts": f"""
-with {_windows(21600, 3600, 3)},
-docs as (
-  select mid || '_' || (window_end // 60000) as alert_id, *
-  from alert
-  where window_end * 1000 <= (select max(epoch_us(ts)) from events) - 3600000000)
-select alert_id, cast(mid as varchar) as mid, uids, item_ids, events, window_end as ts,
-       strftime(make_timestamp(window_end * 1000), '%Y-%m-%d') as alert_date
-from docs""",
+select * replace (cast(mid as varchar) as mid) from (with {_windows(21600, 3600, 3)} {_DOCS})""",
+
+    "stream_alerts_5s": f"""
+select * replace (cast(mid as varchar) as mid) from (with {_windows(300, 5, 1)} {_DOCS})""",
 
     "stream_sales": f"""
 with {_SALES}

@@ -411,19 +411,36 @@ def stream_dau(spark, folder):
         F.col("LOG_HOUR").alias("log_hour"), F.col("TS").alias("ts"))
 
 
-@query
-def stream_alerts(spark, folder):
-    """Alert documents of the windows that are complete one hour before the last event."""
+def _stream_alerts(spark, folder, window, slide, min_accounts=fixed.ALERT_MIN_ACCOUNTS):
     out = work_dir(spark, "stream-alerts")
-    events = star.event_columns(_stream(spark, folder, "events"))
-    jobs.write_alerts(events, out, f"{out}/checkpoint", *WIDE_WINDOW, delay="1 hour",
-                      once=True).awaitTermination()
+    events = star.table(spark, folder, "events")
+    # A last record long after all others completes the open windows; its own stay open.
+    last = events.agg(F.max("ts").alias("ts")).select(
+        *[(F.col("ts") + F.expr("INTERVAL 100 DAYS") if f.name == "ts" else F.lit(None))
+          .cast(f.dataType).alias(f.name) for f in events.schema.fields])
+    last.write.parquet(f"{out}/last")
+    stream = _stream(spark, folder, "events").unionByName(
+        topics.table_stream(spark, f"{out}/last", events.schema))
+    jobs.write_alerts(star.event_columns(stream), out, f"{out}/checkpoint", window, slide, "1 hour",
+                      min_accounts, once=True).awaitTermination()
     return (tables.ALERTS.read(spark, out)
             .select("alert_id", "mid", joined(F.col("uids")).alias("uids"),
                     joined(F.col("item_ids")).alias("item_ids"),
                     joined(F.col("events")).alias("events"), "ts", "alert_date"))
 
 
+@query
+def stream_alerts(spark, folder):
+    """Alert documents of the wide windows, from the stream."""
+    return _stream_alerts(spark, folder, *WIDE_WINDOW)
+
+
+@query
+def stream_alerts_5s(spark, folder):
+    """The 5 min window that slides by 5 s, one account being enough, from the stream."""
+    return _stream_alerts(spark, folder, fixed.ALERT_WINDOW, fixed.ALERT_SLIDE, 1)
+
+
 @query
 def stream_sales(spark, folder):
     """Wide sale rows of lines that came within the wait of their order.

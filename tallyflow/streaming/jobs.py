@@ -92,11 +92,11 @@ def write_alerts(events: DataFrame, root: str, checkpoint: str, window: str, sli
     sinks.create_table(spark, tables.ALERTS, root)
 
     def documents(counts: DataFrame) -> DataFrame:
-        # A window is complete for all event ids at once, so a batch holds whole profiles.
+        # A window is complete for all its parts at once, so a batch holds whole profiles.
         found = alerts.coupon_alerts(alerts.profiles_of_counts(counts), min_accounts)
         return alerts.alert_documents(found)
 
-    counts = transforms.event_counts(events, window, slide, delay)
+    counts = transforms.part_counts(events, window, slide, delay)
     writer = counts.writeStream.foreachBatch(sinks.upsert(spark, tables.ALERTS, root, checkpoint, documents))
     return sinks.start(writer, "alerts", checkpoint, once)
 

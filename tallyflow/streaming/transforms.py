@@ -63,7 +63,7 @@ def join_lines(orders: DataFrame, lines: DataFrame, wait: str = fixed.JOIN_WAIT,
                     "sku_id", "sku_price", "sku_name", "dt"))
 
 
-def event_counts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
-                 slide: str = fixed.ALERT_SLIDE, delay: str = ALERT_DELAY) -> DataFrame:
-    """Counts per window, device and event id, given out once a window is complete."""
-    return alerts.stream_event_counts(events.withWatermark("event_time", delay), window, slide)
+def part_counts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
+                slide: str = fixed.ALERT_SLIDE, delay: str = ALERT_DELAY) -> DataFrame:
+    """Part counts per window and device, given out once a window is complete."""
+    return alerts.stream_part_counts(events.withWatermark("event_time", delay), window, slide)

@@ -343,7 +343,7 @@ def test_alerts_against_brute_force(spark, event_rows, width, slide, least):
     want = expected_alerts(event_rows, width, slide, least) if width % slide == 0 else None
     got = found_alerts(alerts.find_alerts(events, window, step, least))
     if want is None:
-        counts = alerts.stream_event_counts(events, window, step)
+        counts = alerts.stream_part_counts(events, window, step)
         want = found_alerts(alerts.coupon_alerts(alerts.profiles_of_counts(counts), least))
     assert got == want
     if slide == 5 and least == 3:
@@ -353,7 +353,7 @@ def test_alerts_against_brute_force(spark, event_rows, width, slide, least):
 def test_batch_and_stream_forms_agree(spark, event_rows):
     events = spark.createDataFrame(event_rows, EVENT)
     stream = alerts.profiles_of_counts(
-        alerts.stream_event_counts(events, "5 minutes", "30 seconds"))
+        alerts.stream_part_counts(events, "5 minutes", "30 seconds"))
     batch = alerts.device_profiles(events, "5 minutes", "30 seconds")
     assert found_alerts(stream) == found_alerts(batch)
     assert rows_of(stream.select("window_end", "mid", "clicked")) == rows_of(
@@ -417,6 +417,26 @@ def test_event_fields_may_be_numbers(spark):
     assert (row.pgid, row.itemid, row.ts) == ("3", "7", 1704067200000)
 
 
+def test_a_busy_device_costs_the_sum_of_its_parts(spark):
+    """200 accounts and 200 items in one pane: 401 rows, not 40,000."""
+    rows = spark.range(200).crossJoin(spark.range(200).withColumnRenamed("id", "item")).select(
+        F.lit(None).cast("string").alias("mid"), F.col("id").cast("string").alias("uid"),
+        F.lit("coupon").alias("evid"), F.col("item").cast("string").alias("itemid"),
+        F.lit(T0).cast("timestamp").alias("event_time"))
+    assert alerts.parts(rows).distinct().count() == 401
+    profile = alerts.device_profiles(rows, "5 minutes", "5 minutes").first()
+    assert (len(profile.uids), len(profile.item_ids)) == (200, 200)
+    assert [(e.evid, e.n) for e in profile.event_counts] == [("coupon", 40_000)]
+
+
+def test_a_hundred_thousand_accounts_on_a_device(spark):
+    rows = spark.range(100_000).select(
+        F.lit("hot").alias("mid"), F.col("id").cast("string").alias("uid"), F.lit("coupon").alias("evid"),
+        F.lit("1").alias("itemid"), F.lit(T0).cast("timestamp").alias("event_time"))
+    found = alerts.find_alerts(rows, "5 minutes", "5 minutes")
+    assert [r.n for r in found.select(F.size("uids").alias("n")).collect()] == [100_000]
+
+
 # --- provinces, work folder, metrics -----------------------------------------------------------------
 
 def test_province_bands(spark):
