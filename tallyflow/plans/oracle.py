@@ -27,12 +27,14 @@ first as (
 _SALES = """
 line as (
   select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_detail_id,
-         l_orderkey as order_id, l_partkey as sku_id, p_name as sku_name,
+         case when l_linenumber = 7 then -l_orderkey else l_orderkey end as order_id,
+         l_partkey as sku_id, p_name as sku_name,
          l_extendedprice as sku_price, l_shipdate
   from lineitem left join part on l_partkey = p_partkey),
 ord as (
   select o_orderkey as order_id, o_orderstatus as order_status,
-         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as create_time, o_custkey as user_id,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as create_time,
+         case when o_orderkey % 10 = 3 then -o_custkey else o_custkey end as user_id,
          strftime(o_orderdate, '%Y-%m-%d') as dt, o_orderdate
   from orders),
 usr as (
@@ -125,7 +127,7 @@ from docs where rn = 1
 
 _CHANGES = """
 routed as (
-  select case when o_orderstatus = 'O' then null else 'order' end as topic,
+  select case when o_orderstatus in ('O', 'P') or o_orderkey % 10 = 7 then null else 'order' end as topic,
          '{"id":"' || o_orderkey || '","user_id":"' || o_custkey || '","order_status":"'
          || o_orderstatus || '","total_amount":"' || o_totalprice || '","create_time":"'
          || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"}' as value
@@ -235,7 +237,8 @@ from hours""",
     "order_clean": """
 select o_orderkey as id, c_nationkey as province_id,
        substr(c_name, 1, 4) || '*******' as consignee_tel, o_orderstatus as order_status,
-       o_custkey as user_id, o_totalprice as total_amount,
+       case when o_orderkey % 10 = 3 then -o_custkey else o_custkey end as user_id,
+       o_totalprice as total_amount,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as create_time,
        strftime(o_orderdate, '%Y-%m-%d') as create_date,
        strftime(o_orderdate, '%H') as create_hour
@@ -356,7 +359,7 @@ select cast(o_orderkey as varchar) as id, cast(o_custkey as varchar) as user_id,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as create_time,
        strftime(o_orderdate, '%Y-%m-%d') as create_date,
        strftime(o_orderdate, '%H') as create_hour
-from orders where o_orderstatus <> 'O'""",
+from orders where o_orderstatus not in ('O', 'P') and o_orderkey % 10 <> 7""",
 
     "cdc_sales": """
 select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_detail_id,
@@ -365,7 +368,7 @@ select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_d
        cast(o_custkey as varchar) as user_id, cast(l_partkey as varchar) as sku_id,
        l_extendedprice as sku_price, strftime(o_orderdate, '%Y-%m-%d') as dt
 from lineitem join orders on l_orderkey = o_orderkey
-where o_orderstatus <> 'O' and l_returnflag <> 'R'""",
+where o_orderstatus not in ('O', 'P') and o_orderkey % 10 <> 7 and l_returnflag <> 'R'""",
 
     "log_route": f"with {_LOG_LINES} select event_id, topic, value from stamped",
 
@@ -375,6 +378,33 @@ select strftime(ts, '%Y-%m-%d') as log_date, count(value) as lines,
        cast(sum(length(value)) as bigint) as chars
 from stamped group by 1""",
 
+    "table_orders": """
+select cast(event_id as varchar) as "ID", cast(user_id as varchar) as "USER_ID",
+       value as "TOTAL_AMOUNT", strftime(ts, '%Y-%m-%d %H:%M:%S') as "CREATE_TIME",
+       strftime(ts, '%Y-%m-%d') as "CREATE_DATE", strftime(ts, '%H') as "CREATE_HOUR"
+from events where event_type = 'purchase'""",
+
+    "table_total": f"""
+with {_STARTS}
+select 'dau' as id, '新增日活' as name, cast(count(mid) as double) as value
+from first where log_date = '2024-01-09'
+union all
+select 'order_amount', '新增交易额', round(coalesce(sum(value), 0.0), 2)
+from events where event_type = 'purchase' and strftime(ts, '%Y-%m-%d') = '2024-01-09'""",
+
+    "table_hour": f"""
+with {_STARTS},
+spine as (select lpad(cast(unnest(range(0, 24)) as varchar), 2, '0') as log_hour)
+select spine.log_hour,
+       count(mid) filter (log_date = '2024-01-08') as yesterday,
+       count(mid) filter (log_date = '2024-01-09') as today
+from spine left join first
+  on first.log_hour = spine.log_hour and log_date in ('2024-01-08', '2024-01-09')
+group by spine.log_hour""",
+
+    "table_sale_detail": f"""
+with {_DAY_HITS}, {_SHARES} select total, title, name, value from shares""",
+
     "stream_dau": f"""
 with {_STARTS}
 select cast(mid as varchar) as mid, log_date, log_hour, epoch_us(ts) // 1000 as ts from first""",

@@ -12,7 +12,7 @@ from tallyflow.functions import columns as C
 from tallyflow.operators import (alerts, first_start, orders as order_ops, regions, routing,
                                  sales, search)
 from tallyflow.operators.latest import latest_per_key
-from tallyflow.plans import serving, star
+from tallyflow.plans import api, serving, star
 from tallyflow.session import configure, keep_state_on_disk, work_dir
 from tallyflow.sources import tables, topics
 from tallyflow.streaming import jobs, sinks, transforms
@@ -386,6 +386,64 @@ def log_archive(spark, folder):
             .agg(F.count("value").alias("lines"), F.sum(F.length("value")).alias("chars")))
 
 
+# --- the query interface over stored tables ------------------------------------------------
+
+def _stored(spark, folder, table, rows):
+    """All rows written as the first version of a serving table of their own root."""
+    root = work_dir(spark, "tables")
+    sinks.write_version(rows, table, root, 0)
+    return root
+
+
+def _stored_orders(spark, folder):
+    cleaned = order_ops.clean_orders(star.purchases(spark, folder))
+    missing = [c for c in fixed.ORDER_COLUMNS if c not in cleaned.columns]
+    rows = cleaned.withColumns({c: F.lit(None).cast("string") for c in missing})
+    return order_ops.to_order_table(rows)
+
+
+def _stored_starts(spark, folder):
+    first = first_start.first_starts(star.starts(spark, folder), tie_breakers=["event_id"])
+    missing = [c for c in fixed.DAU_COLUMNS if c not in first.columns and c != "ts"]
+    rows = first.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn(
+        "ts", F.unix_millis(F.col("event_time").cast("timestamp")))
+    return first_start.to_dau_table(rows)
+
+
+@query
+def table_orders(spark, folder):
+    """The order table, all days, read back."""
+    root = _stored(spark, folder, tables.ORDERS, _stored_orders(spark, folder))
+    return tables.ORDERS.read(spark, root).select(
+        "ID", "USER_ID", "TOTAL_AMOUNT", "CREATE_TIME", "CREATE_DATE", "CREATE_HOUR")
+
+
+@query
+def table_total(spark, folder):
+    """Key figures of a day from the two stored tables."""
+    root = _stored(spark, folder, tables.ORDERS, _stored_orders(spark, folder))
+    sinks.write_version(_stored_starts(spark, folder), tables.DAU, root, 0)
+    figures = api.RetailQueries(spark, root).realtime_total(DAY)
+    return figures.withColumn("value", money(F.col("value")))
+
+
+@query
+def table_hour(spark, folder):
+    """Devices by hour from the stored table: two of its days are opened."""
+    root = _stored(spark, folder, tables.DAU, _stored_starts(spark, folder))
+    return api.RetailQueries(spark, root).realtime_hour(fixed.METRIC_DAU, DAY)
+
+
+@query
+def table_sale_detail(spark, folder):
+    """Statistics of a day and a word from the stored sales of all days."""
+    rows = _sales(spark, folder)
+    root = _stored(spark, folder, tables.SALES, rows.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in tables.SALES.schema.fields]))
+    stat = api.RetailQueries(spark, root).sale_detail(SALE_DAY, ONE_WORD, 1, 10)["stat"]
+    return stat.select("total", F.inline("stat")).select("total", "title", F.inline("options"))
+
+
 # --- streams: the jobs run once over the tables -------------------------------------------
 
 def _stream(spark, folder, name):

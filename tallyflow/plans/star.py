@@ -71,10 +71,15 @@ def purchases(spark: SparkSession, folder: str,
                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"))
 
 
+def buyer() -> Column:
+    """The buyer of an order; that of every order whose number ends in 3 is unknown."""
+    return F.when(F.col("o_orderkey") % 10 == 3, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+
+
 def order_columns(orders: DataFrame, tel: Column | None = None,
                   *extra: Column) -> DataFrame:
     tel = F.lit(None).cast("string") if tel is None else tel
-    return orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"),
+    return orders.select(F.col("o_orderkey").alias("id"), buyer().alias("user_id"),
                          F.col("o_orderstatus").alias("order_status"),
                          F.col("o_totalprice").alias("total_amount"),
                          F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
@@ -105,13 +110,18 @@ def long_line_id() -> Column:
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def order_of_line() -> Column:
+    """The order of a line; the seventh lines name orders that are not there."""
+    return F.when(F.col("l_linenumber") == 7, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+
+
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines; one whose product is unknown has no product name."""
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     joined = table(spark, folder, "lineitem").join(
         part, F.col("l_partkey") == F.col("p_partkey"), "left")
     return joined.select(
-        long_line_id().alias("id"), F.col("l_orderkey").alias("order_id"),
+        long_line_id().alias("id"), order_of_line().alias("order_id"),
         F.col("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
         F.col("l_extendedprice").alias("order_price"), F.col("l_quantity").alias("sku_num"),
         F.col("l_shipdate").cast("timestamp").alias("line_time"))
@@ -132,29 +142,39 @@ def _after(**fields: Column) -> Column:
                      for n, v in fields.items()]).alias("after")
 
 
-def _change(event_type: Column, table_name: str, after: Column) -> list[Column]:
-    return [F.lit(fixed.ENTRY_ROW_DATA).alias("entry_type"), event_type.alias("event_type"),
+def _change(event_type: Column, table_name: str, after: Column,
+            entry_type: Column | None = None) -> list[Column]:
+    kind = F.lit(fixed.ENTRY_ROW_DATA) if entry_type is None else entry_type
+    return [kind.alias("entry_type"), event_type.alias("event_type"),
             F.lit(table_name).alias("table_name"), after]
 
 
 def changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Table changes: open orders and returned lines are updates, which are not forwarded."""
-    def insert_unless(cond: Column) -> Column:
-        return F.when(cond, "UPDATE").otherwise("INSERT")
+    """Table changes.
+
+    Open orders and returned lines are updates and pending orders deletions, which are not
+    forwarded; nor are entries of other kinds (orders whose number ends in 7).  The changes of users
+    name a field twice, of which the last value counts.
+    """
+    def insert_unless(cond: Column, other: str = "UPDATE") -> Column:
+        return F.when(cond, other).otherwise("INSERT")
 
+    status, key = F.col("o_orderstatus"), F.col("o_orderkey")
     order = table(spark, folder, "orders").select(_change(
-        insert_unless(F.col("o_orderstatus") == "O"), "order_info",
-        _after(id=F.col("o_orderkey"), user_id=F.col("o_custkey"),
-               order_status=F.col("o_orderstatus"), total_amount=F.col("o_totalprice"),
-               create_time=F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))))
+        F.when(status == "P", "DELETE").otherwise(insert_unless(status == "O")), "order_info",
+        _after(id=key, user_id=F.col("o_custkey"), order_status=status,
+               total_amount=F.col("o_totalprice"),
+               create_time=F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+        F.when(key % 10 == 7, "TRANSACTIONEND").otherwise(fixed.ENTRY_ROW_DATA)))
     line = table(spark, folder, "lineitem").select(_change(
         insert_unless(F.col("l_returnflag") == "R"), "order_detail",
         _after(id=long_line_id(), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
                order_price=F.col("l_extendedprice"), sku_num=F.col("l_quantity"))))
     user = table(spark, folder, "customer").select(_change(
         insert_unless(F.col("c_acctbal") < 0), "user_info",
-        _after(id=F.col("c_custkey"), login_name=F.col("c_name"),
-               user_level=F.col("c_mktsegment"))))
+        F.concat(_after(id=F.col("c_custkey"), login_name=F.lit("old name"),
+                        user_level=F.col("c_mktsegment")),
+                 _after(login_name=F.col("c_name"))).alias("after")))
     return order.unionByName(line).unionByName(user)
 
 
