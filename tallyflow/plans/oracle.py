@@ -374,9 +374,27 @@ where o_orderstatus not in ('O', 'P') and o_orderkey % 10 <> 7 and l_returnflag
 
     "log_archive": f"""
 with {_LOG_LINES}
-select strftime(ts, '%Y-%m-%d') as log_date, count(value) as lines,
-       cast(sum(length(value)) as bigint) as chars
-from stamped group by 1""",
+select strftime(ts, '%Y-%m-%d') as log_date, value from stamped""",
+
+    "log_columns": """
+select event_id, strftime(ts, '%Y-%m-%d %H') as day_hour, strftime(ts, '%Y-%m-%d') as day,
+       strftime(ts - interval 1 day, '%Y-%m-%d') as day_before,
+       cast(json_extract_string(props, '$.k') as integer) as item
+from events""",
+
+    "cdc_keys": """
+with kinds as (
+  select case o_orderstatus when 'O' then 'UPDATE' when 'P' then 'DELETE' else 'INSERT' end
+           || '->order_info' as route_key,
+         case when o_orderkey % 10 = 7 then 'TRANSACTIONEND' else 'ROWDATA' end as entry_type
+  from orders
+  union all
+  select case when l_returnflag = 'R' then 'UPDATE' else 'INSERT' end || '->order_detail', 'ROWDATA'
+  from lineitem
+  union all
+  select case when c_acctbal < 0 then 'UPDATE' else 'INSERT' end || '->user_info', 'ROWDATA'
+  from customer)
+select route_key, entry_type, count(*) as n from kinds group by 1, 2""",
 
     "table_orders": """
 select cast(event_id as varchar) as "ID", cast(user_id as varchar) as "USER_ID",

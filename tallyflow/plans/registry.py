@@ -378,12 +378,29 @@ def log_route(spark, folder):
     return routing.route_logs(lines).select("event_id", "topic", "value")
 
 
+@query
+def log_columns(spark, folder):
+    """Hour, day, day before and item number of each event."""
+    ts = F.col("ts").cast("timestamp")
+    return star.table(spark, folder, "events").select(
+        "event_id", C.day_hour_text(F.unix_millis(ts)).alias("day_hour"), C.today(ts).alias("day"),
+        C.previous_day(C.day_text(ts)).alias("day_before"),
+        C.to_int(C.json_field(F.col("props"), "k")).alias("item"))
+
+
+@query
+def cdc_keys(spark, folder):
+    """Changes of each kind, forwarded or not."""
+    key = C.route_key(F.col("event_type"), F.col("table_name"))
+    return (star.changes(spark, folder).groupBy(key.alias("route_key"), "entry_type")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 @query
 def log_archive(spark, folder):
-    """Daily archive: lines and characters of each day."""
+    """Daily archive: the lines of each day."""
     lines = routing.stamp_arrival(star.log_lines(spark, folder), F.col("timestamp"))
-    return (routing.archive_lines(lines).groupBy("log_date")
-            .agg(F.count("value").alias("lines"), F.sum(F.length("value")).alias("chars")))
+    return routing.archive_lines(lines)
 
 
 # --- the query interface over stored tables ------------------------------------------------
