@@ -25,6 +25,7 @@ KEYWORD = "red widget"
 ONE_WORD = "red"
 AS_OF = "2001-08-01"
 LINE_WAIT = "30 days"
+STREAM_PIECES = 6
 WIDE_WINDOW = ("6 hours", "1 hour")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -518,21 +519,26 @@ def stream_alerts_5s(spark, folder):
 
 @query
 def stream_sales(spark, folder):
-    """Wide sale rows of lines that came within the wait of their order.
+    """Wide sale rows of lines that came within the wait of their order, over several batches.
 
-    The tables are not in time order; the delay is longer than their time span, so that no row
-    is late however the files are cut into batches.
+    Orders and lines are fed in order of time, so a delay of a day is enough and the state holds
+    about the wait.  Product names are put on the pairs of a batch only.
     """
     out = work_dir(spark, "stream-sales")
     sinks.write_version(star.users(spark, folder).withColumn(
         "arrival", F.lit("2001-01-01").cast("timestamp")), tables.USERS, out, 0)
-    # A stream has no skew join: the product names are put on the lines before they are sent.
-    sent = star.lines(spark, folder)
-    sent.write.parquet(f"{out}/lines")
-    lines = topics.table_stream(spark, f"{out}/lines", sent.schema)
-    orders = order_ops.clean_orders(star.order_columns(_stream(spark, folder, "orders")))
-    orders = orders.withColumn("user_id", F.col("user_id").cast("string"))
-    jobs.write_sales(orders, lines, out, f"{out}/checkpoint", LINE_WAIT, "5000 days",
-                     F.lit(AS_OF).cast("date"), once=True,
-                     table=tables.SALES_BACKFILL).awaitTermination()
+    line_columns = star.unnamed_lines(star.table(spark, folder, "lineitem"))
+    order_columns = order_ops.clean_orders(star.orders(spark, folder)).drop("consignee_tel")
+    lines = topics.ordered_stream(line_columns, "line_time", f"{out}/lines", STREAM_PIECES)
+    orders = topics.ordered_stream(order_columns.withColumn("user_id", F.col("user_id").cast("string")),
+                                   "order_time", f"{out}/orders", STREAM_PIECES)
+    names = star.table(spark, folder, "part").select(F.col("p_partkey").alias("sku_id"), "p_name")
+
+    def with_names(batch):
+        return (batch.drop("sku_name").join(names, "sku_id", "left")
+                .withColumnRenamed("p_name", "sku_name"))
+
+    jobs.write_sales(orders, lines, out, f"{out}/checkpoint", LINE_WAIT, "1 day",
+                     F.lit(AS_OF).cast("date"), once=True, table=tables.SALES_BACKFILL,
+                     complete=with_names).awaitTermination()
     return tables.SALES_BACKFILL.read(spark, out)

@@ -115,16 +115,23 @@ def order_of_line() -> Column:
     return F.when(F.col("l_linenumber") == 7, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
 
 
+def _line_columns(name: Column) -> list[Column]:
+    return [long_line_id().alias("id"), order_of_line().alias("order_id"),
+            F.col("l_partkey").alias("sku_id"), name.alias("sku_name"),
+            F.col("l_extendedprice").alias("order_price"), F.col("l_quantity").alias("sku_num"),
+            F.col("l_shipdate").cast("timestamp").alias("line_time")]
+
+
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines; one whose product is unknown has no product name."""
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     joined = table(spark, folder, "lineitem").join(
         part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return joined.select(
-        long_line_id().alias("id"), order_of_line().alias("order_id"),
-        F.col("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name"),
-        F.col("l_extendedprice").alias("order_price"), F.col("l_quantity").alias("sku_num"),
-        F.col("l_shipdate").cast("timestamp").alias("line_time"))
+    return joined.select(_line_columns(F.col("p_name")))
+
+
+def unnamed_lines(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(_line_columns(F.lit(None).cast("string")))
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -114,7 +116,9 @@ def run_sales(order_records: DataFrame, line_records: DataFrame, root: str, chec
 
 def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str, wait: str,
                 delay: str, as_of: Column | None = None, once: bool = False,
-                table: tables.ServingTable = tables.SALES) -> StreamingQuery:
+                table: tables.ServingTable = tables.SALES,
+                complete: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> StreamingQuery:
+    """``complete`` is applied to the pairs of a batch, for what only lines with an order need."""
     spark = _prepared(orders.sparkSession)
     sinks.create_table(spark, tables.USERS, root)
     sinks.create_table(spark, table, root)
@@ -129,7 +133,7 @@ def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str,
                 # The dimension as it is now: each batch sees the latest users.
                 changes = tables.USERS.versions(batch.sparkSession, root)
                 users = sales.current_users_of(batch, changes, [tables.VERSION, "arrival"])
-                sinks.write_version(sales.add_user(batch, users, day), table, root,
+                sinks.write_version(sales.add_user(complete(batch), users, day), table, root,
                                     sinks.version_number(run, batch_id))
         finally:
             batch.unpersist()
