@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, quality_rules,
                            reply_trees, rule_classifier, token_counts, token_files, word_repeats)
@@ -108,10 +107,10 @@ def op9_recompression(spark, folder):
 def op10_reply_trees(spark, folder):
     """All conversations and conversation -7, formatted and read back."""
     tricky = "\\### Assistant: </turn> ok"
-    added = spark.createDataFrame(
-        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
-        T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
-                      T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(tricky).alias("text"))
     turns = (table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
              .unionByName(added))
     made = reply_trees.format_trees(reply_trees.chain(turns))
