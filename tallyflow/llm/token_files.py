@@ -18,6 +18,7 @@ manifest; other columns are not read.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -38,8 +39,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")])
 LEVEL = 1
-KEPT_WORDS = 800_000
-WORD_END, STOPS, JOINED = "</w>", ".,", 200
+KEPT_WORDS = 600_000
+WORD_END, STOPS, JOINED = "</w>", string.punctuation, 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 
 
@@ -52,16 +53,19 @@ class WordEncoder:
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(tokenizer_file)
+        # The same for small ASCII letters between blanks, without the costly patterns.
+        self.plain = Tokenizer(self.library.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         last = [i for token, i in self.library.get_vocab().items() if token.endswith(WORD_END)]
         self.ends = np.zeros(self.library.get_vocab_size(), bool)
         self.ends[last] = True
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.encode().split() for t in texts]
+        split = [self._folded(t.encode()).split() for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         known = self.known
@@ -78,10 +82,12 @@ class WordEncoder:
             else:
                 other.append(text)
         stems = [x for x in stems if x.encode() not in known]
-        for at in range(0, len(stems), JOINED):
-            part = stems[at:at + JOINED]
-            if not self._together(part):
-                other += part
+        for library, some in ((self.plain, [x for x in stems if x.isascii()]),
+                              (self.library, [x for x in stems if not x.isascii()])):
+            for at in range(0, len(some), JOINED):
+                part = some[at:at + JOINED]
+                if not self._together(library, part):
+                    other += part
         other += [x.decode() for x in {stops for _, _, stops in made} if x and x not in known]
         for text, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False)):
             known[text.encode()] = np.array(e.ids, np.uint32).tobytes()
@@ -97,14 +103,19 @@ class WordEncoder:
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
                 for words in split]
 
+    @staticmethod
+    def _folded(data: bytes) -> bytes:
+        """Lower case where that is the same before as after: in ASCII without special tokens."""
+        return data.lower() if data.isascii() and b"<|" not in data else data
+
     def _runs(self, ids: bytes) -> int:
         return int(self.ends[np.frombuffer(ids, np.uint32)].sum())
 
-    def _together(self, part: list[str]) -> bool:
+    def _together(self, library, part: list[str]) -> bool:
         """Encode words of letters in one call: each is one run of tokens that ends with a word-end
         token.  A word may have more runs (letters that fold to marks), never fewer; the total
         shows it."""
-        ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+        ids = np.array(library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
                        np.uint32)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(part):
