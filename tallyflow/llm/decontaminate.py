@@ -5,8 +5,9 @@ automaton holds every window of 13 item words (a shorter item as a whole) betwee
 document is scanned once, whole.  A hit gives word places, which map to byte offsets of the original
 text.
 
-Items are broadcast as text in blocks of at most ``BLOCK_BYTES`` (measured, not assumed); a larger
-benchmark gets several automata, loaded one after the other over each batch of documents.
+Items are broadcast as text in blocks of at most ``BLOCK_CHARS`` (measured, not assumed), whose
+automaton takes some hundred MB at most; a larger benchmark gets several automata, loaded one after
+the other over each batch of documents.
 
 Defined results: null text has no words and no hits; items without words match nothing; repeated
 items count each by its id; a null item id is not counted; empty tables give no hits; other columns are
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyflow.llm.shipping import ship
 
 WINDOW = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_CHARS = 1 << 19
 # Byte -> byte of the reduced text: letters in lower case, digits, non-ASCII; the rest separates.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
               for b in range(256))
@@ -89,6 +90,17 @@ def automaton(block: Broadcast, size: int) -> Automaton:
     return _BUILT[name, size]
 
 
+def matches(texts: list[str], blocks: list[Broadcast], size: int) -> dict[int, list]:
+    """Occurrences in each text that has any; the words of one text are held at a time."""
+    found: dict[int, list] = defaultdict(list)
+    for block in blocks:
+        built = automaton(block, size)
+        for k, text in enumerate(texts):
+            if hits_here := built.scan(words(text)):
+                found[k] += hits_here
+    return found
+
+
 def spans_of(text: str, hit: np.ndarray) -> bytes:
     """Byte offsets (start, end) in the original text of each run of hit words."""
     marks = _IS_WORD[np.frombuffer(text.encode(), np.uint8)]
@@ -98,7 +110,7 @@ def spans_of(text: str, hit: np.ndarray) -> bytes:
     return np.stack([starts[turns[::2]], ends[turns[1::2] - 1]], 1).astype("<i8").tobytes()
 
 
-def item_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of a bounded size, streamed from the executors."""
     block, held = [], 0
     for row in (benchmark.where("item_id is not null and text is not null")
@@ -122,25 +134,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            split = list(map(words, texts))
-            found: dict[int, list] = defaultdict(list)
-            for block in blocks:
-                built = automaton(block, window)
-                for k, own in enumerate(split):
-                    if matches := built.scan(own):
-                        found[k] += matches
-            n_hit, n_items, digest, spans = [], [], [], []
-            for k, own in enumerate(split):
-                hit, items = np.zeros(len(own), bool), set()
+            found = matches(texts, blocks, window)
+            n_words, n_hit, n_items, digest, spans = [], [], [], [], []
+            for k, text in enumerate(texts):
+                hit, items = np.zeros(len(words(text)), bool), set()
                 for start, end, ids in found.get(k, ()):
                     hit[start:end] = True
                     items.update(ids)
+                n_words.append(len(hit))
                 n_hit.append(int(hit.sum()))
                 n_items.append(len(items))
                 digest.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
-                spans.append(spans_of(texts[k], hit) if items else b"")
+                spans.append(spans_of(text, hit) if items else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(map(len, split)), pa.int64()),
+                [batch.column(0), pa.array(n_words, pa.int64()),
                  pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest),
                  pa.array(spans, pa.binary())],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "spans"])
@@ -158,14 +165,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [words(t or "") for t in batch.column(place).to_pylist()]
-            hit = [np.zeros(len(own), bool) for own in split]
-            for block in blocks:
-                built = automaton(block, window)
-                for own, marks in zip(split, hit):
-                    for start, end, _ in built.scan(own):
-                        marks[start:end] = True
-            good = [not (n := int(m.sum())) or 20 * n < len(own) for own, m in zip(split, hit)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            texts = [t or "" for t in batch.column(place).to_pylist()]
+            good = np.ones(len(texts), bool)
+            for k, found in matches(texts, blocks, window).items():
+                hit = np.zeros(len(words(texts[k])), bool)
+                for start, end, _ in found:
+                    hit[start:end] = True
+                good[k] = 20 * hit.sum() < len(hit)
+            yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -39,7 +39,7 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")])
 LEVEL = 1
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_200_000
 WORD_END, STOPS, JOINED = "</w>", string.punctuation, 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 
