@@ -7,7 +7,7 @@ text.
 
 Items are broadcast as text in blocks of at most ``BLOCK_CHARS`` (measured, not assumed), whose
 automaton takes some hundred MB at most; a larger benchmark gets several automata, loaded one after
-the other over each batch of documents.
+the other over each batch of documents, and beyond ``GROUP`` blocks several passes.
 
 Defined results: null text has no words and no hits; items without words match nothing; repeated
 items count each by its id; a null item id is not counted; empty tables give no hits; other columns are
@@ -20,6 +20,7 @@ import hashlib
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.llm.shipping import ship
+from tallyflow.session import work_dir
 
 WINDOW = 13
 BLOCK_CHARS = 1 << 19
@@ -36,6 +38,9 @@ BLOCK_CHARS = 1 << 19
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
               for b in range(256))
 _IS_WORD = np.array([b != 32 for b in _FOLD])
+# Blocks that are broadcast at once.
+GROUP = 16
+FOUND = "doc_id long, version int, found array<struct<start:long,stop:long,items:array<long>>>"
 HITS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, spans binary"
 
 
@@ -124,50 +129,109 @@ def item_blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> Iterator[list
         yield block
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def _judged(n_words: list, found: list, texts: list[str], ids: pa.Array) -> pa.RecordBatch:
+    """Result rows from (first word, last word + 1, item ids) of each text."""
+    n_hit, n_items, digest, spans = [], [], [], []
+    for n, own, text in zip(n_words, found, texts):
+        hit, items = np.zeros(n, bool), set()
+        for start, end, of in own:
+            hit[start:end] = True
+            items.update(of)
+        n_hit.append(int(hit.sum()))
+        n_items.append(len(items))
+        digest.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
+        spans.append(spans_of(text, hit) if items else b"")
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()),
+         pa.array(digest, pa.string()), pa.array(spans, pa.binary())],
+        names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "spans"])
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, spans (int64 pairs of byte
-    offsets into the original text)."""
+    offsets into the original text).
+
+    Up to ``group`` blocks of items are broadcast together; a larger benchmark takes a pass over
+    the documents for each group, so neither the driver nor a worker ever holds more.
+    """
     ship(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast((uuid.uuid4().hex, b)) for b in item_blocks(benchmark)]
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    blocks = item_blocks(benchmark)
+    first = list(islice(blocks, group))
+    more = list(islice(blocks, group))
+    done = _in_passes(rows, chain([first, more], iter(lambda: list(islice(blocks, group)), [])),
+                      window) if more else _in_one_pass(rows, first, window)
+    return done.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def _broadcast(rows: DataFrame, blocks: list) -> list[Broadcast]:
+    return [rows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, b)) for b in blocks]
+
+
+def _in_one_pass(rows: DataFrame, blocks: list, window: int) -> DataFrame:
+    sent = _broadcast(rows, blocks)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = matches(texts, blocks, window)
-            n_words, n_hit, n_items, digest, spans = [], [], [], [], []
-            for k, text in enumerate(texts):
-                hit, items = np.zeros(len(words(text)), bool), set()
-                for start, end, ids in found.get(k, ()):
-                    hit[start:end] = True
-                    items.update(ids)
-                n_words.append(len(hit))
-                n_hit.append(int(hit.sum()))
-                n_items.append(len(items))
-                digest.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
-                spans.append(spans_of(text, hit) if items else b"")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()),
-                 pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest),
-                 pa.array(spans, pa.binary())],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "spans"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, HITS).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+            texts = batch.column(1).to_pylist()
+            found = matches(texts, sent, window)
+            yield _judged([len(words(t)) for t in texts], [found.get(k, ()) for k in range(len(texts))],
+                          texts, batch.column(0))
+
+    return rows.mapInArrow(scan, HITS)
+
+
+def _in_passes(rows: DataFrame, groups: Iterator[list], window: int) -> DataFrame:
+    """The matches of each group of blocks are written, then gathered per document."""
+    spark, folder = rows.sparkSession, work_dir(rows.sparkSession, "decontaminate")
+    named = rows.withColumn("version", F.hash("text"))
+
+    def scan(sent: list[Broadcast]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = matches(batch.column(1).to_pylist(), sent, window)
+                for k, own in found.items():
+                    yield pa.RecordBatch.from_pylist([{
+                        "doc_id": batch.column(0)[k].as_py(), "version": batch.column(2)[k].as_py(),
+                        "found": [{"start": a, "stop": b, "items": list(of)} for a, b, of in own]}],
+                        schema=pa.schema([("doc_id", pa.int64()), ("version", pa.int32()), ("found", kind)]))
+        return run
+
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("items", pa.list_(pa.int64()))]))
+    for k, blocks in enumerate(groups):
+        sent = _broadcast(rows, blocks)
+        named.mapInArrow(scan(sent), FOUND).write.parquet(f"{folder}/{k:06d}")
+        for block in sent:
+            block.destroy()
+    every = (spark.read.schema(FOUND).parquet(f"{folder}/*").distinct()
+             .groupBy(F.col("doc_id").alias("id"), F.col("version").alias("v"))
+             .agg(F.flatten(F.collect_list("found")).alias("found")))
+    joined = named.join(every, [F.col("doc_id").eqNullSafe(F.col("id")), F.col("version") == F.col("v")],
+                        "left").select("doc_id", "text", "found")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            found = [[(x["start"], x["stop"], x["items"]) for x in own or ()] for own in batch.column(2).to_pylist()]
+            yield _judged([len(words(t)) for t in texts], found, texts, batch.column(0))
+
+    return joined.mapInArrow(judge, HITS)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """Documents that are not contaminated, with all their columns; rows are judged each."""
     ship(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast((uuid.uuid4().hex, b)) for b in item_blocks(benchmark)]
-    place = docs.columns.index("text")
+    blocks = item_blocks(benchmark)
+    first = list(islice(blocks, group))
+    if next(blocks, None) is not None:
+        return _clean_in_passes(docs, benchmark, window, group)
+    sent, place = _broadcast(docs, first), docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
             good = np.ones(len(texts), bool)
-            for k, found in matches(texts, blocks, window).items():
+            for k, found in matches(texts, sent, window).items():
                 hit = np.zeros(len(words(texts[k])), bool)
                 for start, end, _ in found:
                     hit[start:end] = True
@@ -175,3 +239,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)
+
+
+def _clean_in_passes(docs: DataFrame, benchmark: DataFrame, window: int, group: int) -> DataFrame:
+    """Each row is judged under a name made of its id and text, and dropped by that name."""
+    text = F.coalesce("text", F.lit(""))
+    name = F.xxhash64("doc_id", text)
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                        name.alias("row_name"))
+    rows = docs.select(name.alias("doc_id"), text.alias("text"))
+    bad = hits(rows, benchmark, window, group).where("contaminated").select(F.col("doc_id").alias("bad")).distinct()
+    return named.join(bad, F.col("row_name") == F.col("bad"), "left_anti").select("doc.*")

@@ -32,13 +32,17 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyflow.llm.hashing import slices
 from tallyflow.llm.shipping import ship
 from tallyflow.session import shuffle_tasks
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+ID = np.dtype("<u4")
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")])
 LEVEL = 1
+# Bytes of texts encoded together, and of frames read together.
+READ_BYTES = 4 << 20
 KEPT_WORDS = 1_200_000
 WORD_END, STOPS, JOINED = "</w>", string.punctuation, 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
@@ -64,8 +68,9 @@ class WordEncoder:
         self.ends[last] = True
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self._folded(t.encode()).split() for t in texts]
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text (UTF-8) as little-endian 32-bit numbers."""
+        split = [self._folded(t).split() for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         known = self.known
@@ -90,7 +95,7 @@ class WordEncoder:
                     other += part
         other += [x.decode() for x in {stops for _, _, stops in made} if x and x not in known]
         for text, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False)):
-            known[text.encode()] = np.array(e.ids, np.uint32).tobytes()
+            known[text.encode()] = np.array(e.ids, ID).tobytes()
         mixed = []
         for word, stem, stops in made:
             if stops and not stem.isascii() and self._runs(known[stem]) > 1:
@@ -99,9 +104,8 @@ class WordEncoder:
                 known[word] = known[stem] + known[stops] if stops else known[stem]
         for word in mixed:
             known[word] = np.array(self.library.encode(word.decode(), add_special_tokens=False).ids,
-                                   np.uint32).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
-                for words in split]
+                                   ID).tobytes()
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     @staticmethod
     def _folded(data: bytes) -> bytes:
@@ -109,14 +113,14 @@ class WordEncoder:
         return data.lower() if data.isascii() and b"<|" not in data else data
 
     def _runs(self, ids: bytes) -> int:
-        return int(self.ends[np.frombuffer(ids, np.uint32)].sum())
+        return int(self.ends[np.frombuffer(ids, ID)].sum())
 
     def _together(self, library, part: list[str]) -> bool:
         """Encode words of letters in one call: each is one run of tokens that ends with a word-end
         token.  A word may have more runs (letters that fold to marks), never fewer; the total
         shows it."""
         ids = np.array(library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
-                       np.uint32)
+                       ID)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(part):
             return False
@@ -154,9 +158,9 @@ class ShardWriter:
         self.out.write(packed)
         self.entries.append((len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self._frame(ids.astype("<u4").tobytes())
-        self.documents.append((doc_id or 0, len(ids), doc_id is not None))
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        self._frame(ids)
+        self.documents.append((doc_id or 0, len(ids) // ID.itemsize, doc_id is not None))
 
     def close(self) -> None:
         self._frame(np.array(self.documents, DIRECTORY).tobytes())
@@ -186,16 +190,30 @@ class Shard:
         return self.file.read(n)
 
     def _frame(self, k: int) -> bytes:
-        entry = self.entries[k]
-        data = self.unpacker.decompress(self._at(int(self.starts[k]), int(entry["packed"])),
-                                        max_output_size=int(entry["size"]))
-        if xxhash.xxh64_intdigest(data) & 0xFFFFFFFF != entry["check"]:
+        return self._unpacked(k, self._at(int(self.starts[k]), int(self.entries["packed"][k])))
+
+    def _unpacked(self, k: int, packed: bytes) -> bytes:
+        data = self.unpacker.decompress(packed, max_output_size=int(self.entries["size"][k]))
+        if xxhash.xxh64_intdigest(data) & 0xFFFFFFFF != self.entries["check"][k]:
             raise ValueError(f"frame {k} is damaged")
         return data
 
+    def frames(self) -> Iterator[bytes]:
+        """The ids of all documents in order, read a few frames at a time."""
+        n, starts = len(self.documents), self.starts.tolist()
+        first = 0
+        while first < n:
+            last = first + 1
+            while last < n and starts[last + 1] - starts[first] <= READ_BYTES:
+                last += 1
+            data = memoryview(self._at(starts[first], starts[last] - starts[first]))
+            for k in range(first, last):
+                yield self._unpacked(k, data[starts[k] - starts[first]:starts[k + 1] - starts[first]])
+            first = last
+
     def read(self, k: int) -> np.ndarray:
         """Ids of the k-th document."""
-        return np.frombuffer(self._frame(k), "<u4")
+        return np.frombuffer(self._frame(k), ID)
 
     def find(self, doc_id: int) -> list[np.ndarray]:
         """Ids of all documents with this id; only their frames are read."""
@@ -218,15 +236,17 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, shard, uri, part = encoder(tokenizer_file), None, "", 0
+        end = np.array([end_id], ID).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                few = batch.slice(at, 256)
-                if shard is None:
-                    part = few.column(0)[0].as_py()
-                    uri = f"{folder}/shards/{part:06d}-{uuid.uuid4().hex}.zst"
-                    shard = ShardWriter(uri)
-                for doc_id, ids in zip(few.column(1).to_pylist(), own.encode(few.column(2).to_pylist())):
-                    shard.add(doc_id, np.append(ids, np.uint32(end_id)))
+            if batch.num_rows and shard is None:
+                part = batch.column(0)[0].as_py()
+                uri = f"{folder}/shards/{part:06d}-{uuid.uuid4().hex}.zst"
+                shard = ShardWriter(uri)
+            doc_ids = batch.column(1).to_pylist()
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            for a, b in slices(texts, READ_BYTES):
+                for doc_id, ids in zip(doc_ids[a:b], own.encode(texts[a:b])):
+                    shard.add(doc_id, ids + end)
         if shard is not None:
             shard.close()
             yield pa.RecordBatch.from_pylist([{
@@ -261,7 +281,7 @@ def _digests(path: str, at: int) -> Iterable[pa.RecordBatch]:
     try:
         rows = shard.documents
         starts = at + np.concatenate([[0], np.cumsum(rows["n_tokens"])])[:len(rows)]
-        crc = [zlib.crc32(shard.read(k)) for k in range(len(rows))]
+        crc = [zlib.crc32(ids) for ids in shard.frames()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows["doc_id"], pa.int64(), mask=rows["has_id"] == 0),
              pa.array(starts, pa.int64()), pa.array(rows["n_tokens"], pa.int64()),
