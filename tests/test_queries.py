@@ -47,7 +47,7 @@ def test_filters_reach_the_scan(spark, name, pushed):
 
 @pytest.mark.parametrize("name, columns", [
     ("dau_hour", "struct<ts:timestamp_ntz,user_id:bigint>"),
-    ("sale_total", "struct<l_orderkey:bigint,l_partkey:bigint>"),
+    ("sale_total", "struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int>"),
 ])
 def test_scan_reads_only_what_is_needed(spark, name, columns):
     assert f"ReadSchema: {columns}" in plan(spark, name)
