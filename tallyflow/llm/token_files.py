@@ -41,9 +41,9 @@ ID = np.dtype("<u4")
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")])
 LEVEL = 1
-# Bytes of texts encoded together, and of frames read together.
+# Bytes of frames read together.
 READ_BYTES = 4 << 20
-KEPT_WORDS = 1_200_000
+KEPT_WORDS = 800_000
 WORD_END, STOPS, JOINED = "</w>", string.punctuation, 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 
@@ -244,7 +244,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
                 shard = ShardWriter(uri)
             doc_ids = batch.column(1).to_pylist()
             texts = batch.column(2).cast(pa.binary()).to_pylist()
-            for a, b in slices(texts, READ_BYTES):
+            for a, b in slices(texts):
                 for doc_id, ids in zip(doc_ids[a:b], own.encode(texts[a:b])):
                     shard.add(doc_id, ids + end)
         if shard is not None:
