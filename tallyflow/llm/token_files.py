@@ -32,7 +32,6 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.hashing import slices
 from tallyflow.llm.shipping import ship
 from tallyflow.session import shuffle_tasks
 
@@ -43,7 +42,7 @@ DIRECTORY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("has_id", "<i8")]
 LEVEL = 1
 # Bytes of frames read together.
 READ_BYTES = 4 << 20
-KEPT_WORDS = 800_000
+KEPT_WORDS = 500_000
 WORD_END, STOPS, JOINED = "</w>", string.punctuation, 200
 MANIFEST = "part long, path string, n_docs long, n_tokens long"
 
@@ -242,10 +241,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
                 part = batch.column(0)[0].as_py()
                 uri = f"{folder}/shards/{part:06d}-{uuid.uuid4().hex}.zst"
                 shard = ShardWriter(uri)
-            doc_ids = batch.column(1).to_pylist()
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            for a, b in slices(texts):
-                for doc_id, ids in zip(doc_ids[a:b], own.encode(texts[a:b])):
+            for at in range(0, batch.num_rows, 256):
+                few = batch.slice(at, 256)
+                texts = few.column(2).cast(pa.binary()).to_pylist()
+                for doc_id, ids in zip(few.column(1).to_pylist(), own.encode(texts)):
                     shard.add(doc_id, ids + end)
         if shard is not None:
             shard.close()
