@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, quality_rules,
-                           reply_trees, rule_classifier, token_counts, token_files, word_repeats)
+                           reply_trees, rule_classifier, sentence_pieces, token_counts, token_files,
+                           word_repeats)
 from tallyflow.session import work_dir
 
 # Folder of the public tokenizer files; another one can be named by the environment.
@@ -124,3 +125,14 @@ def op10_reply_trees(spark, folder):
         F.length("learned").cast("long").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query
+def op12_sentence_pieces(spark, folder):
+    """Token ids of every document, and the text they stand for."""
+    model = tokenizer(PIECE_BPE)
+    encoded = sentence_pieces.encode(table(spark, folder, "documents"), model)
+    return sentence_pieces.decode(encoded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
