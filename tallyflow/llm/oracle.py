@@ -136,3 +136,60 @@ select conv_id, n_turns, sha256(whole) as turns_sha256, length(learned)::bigint
        sha256(learned) as loss_sha256, formatted_chars::bigint as formatted_chars
 from said
 """
+
+# CRC-32 by four bits at a time, low half of a byte first; the table follows from the polynomial.
+_CRC_HALF = [0] * 16
+for _k in range(16):
+    _c = _k
+    for _ in range(4):
+        _c = _c >> 1 ^ (0xEDB88320 if _c & 1 else 0)
+    _CRC_HALF[_k] = _c
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 of a non-empty text."""
+    halves = (f"list_transform(range(0, len(hex(encode({text})))), lambda i: "
+              f"instr('0123456789ABCDEF', substr(hex(encode({text})), (i + 2 - 2 * (i % 2))::int, 1))::bigint - 1)")
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, {halves}), "
+            f"lambda c, x: xor(c >> 4, ({_CRC_HALF}::bigint[])[(xor(c, x) & 15) + 1])), 4294967295::bigint)")
+
+
+ORACLE["op13_spelling_variants"] = f"""
+with recursive runs as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
+few as (
+  select doc_id, run, count(*) as n from runs where length(run) >= 6 group by all),
+checked as (
+  select run, n, {crc32_sql("coalesce(doc_id::varchar, '') || ':' || run")} as h from few),
+spelled as (
+  select case when h % 199 = 0 then left(run, (h % length(run))::int) ||
+                  substr(run, (h % length(run))::int + 2) else run end as word, n from checked),
+words as (
+  select word, sum(n)::bigint as n from spelled where length(word) >= 6
+  group by word having sum(n) >= 5),
+cut as (
+  select distinct word, n, length(word) as size, left(word, i::int) as a, substr(word, i::int + 2) as b
+  from (select word, n, unnest(range(0, length(word))) as i from words)),
+near as (
+  select distinct x.word, x.n, y.word as other, y.n as other_n
+  from cut x join cut y on x.a = y.a and x.b = y.b and x.size = y.size and x.word <> y.word
+  union
+  select distinct x.word, x.n, y.word, y.n from cut x join words y on x.a || x.b = y.word
+  union
+  select distinct y.word, y.n, x.word, x.n from cut x join words y on x.a || x.b = y.word),
+best as (
+  select word, count(*) as n_near, max(other_n) as top_n,
+         (list(other order by other_n desc, other))[1] as top from near group by word),
+formed as (
+  select w.word, w.n, coalesce(b.n_near, 0) as n_near,
+         case when b.top_n >= 5 * w.n then b.top end as form,
+         case when b.top_n >= 5 * w.n then b.top_n end as form_n
+  from words w left join best b on w.word = b.word),
+steps as (
+  select word, word as root, form as next from formed
+  union all
+  select s.word, f.word, f.form from steps s join formed f on s.next = f.word)
+select f.word, f.n, f.n_near, f.form, f.form_n, s.root
+from formed f join steps s on f.word = s.word where s.next is null
+"""

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, quality_rules,
-                           reply_trees, rule_classifier, sentence_pieces, token_counts, token_files,
-                           word_repeats)
+                           reply_trees, rule_classifier, sentence_pieces, spelling, token_counts,
+                           token_files, word_repeats)
 from tallyflow.session import work_dir
 
 # Folder of the public tokenizer files; another one can be named by the environment.
@@ -136,3 +136,9 @@ def op12_sentence_pieces(spark, folder):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_spelling_variants(spark, folder):
+    """Frequent words of all documents with their near words, most frequent form and root."""
+    return spelling.variants(table(spark, folder, "documents"))

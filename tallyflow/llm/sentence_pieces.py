@@ -182,9 +182,10 @@ class Rounds:
             symbols, made = symbols[keep], made[keep]
             starts = np.cumsum(lengths) - lengths
             first, last = starts[word_of_merge], starts[word_of_merge] + lengths[word_of_merge] - 1
-            behind = moved[moved < last]
-            before = moved[moved > first] - 1
-            again = np.unique(np.concatenate([behind, before]))
+            beside = np.zeros(len(symbols), bool)
+            beside[moved[moved < last]] = True
+            beside[moved[moved > first] - 1] = True
+            again = np.flatnonzero(beside)
             made[again] = pieces.pair(symbols[again], symbols[again + 1])
         number = np.concatenate([w for w, _, _ in done])
         length = np.concatenate([n for _, n, _ in done])
