@@ -193,3 +193,40 @@ steps as (
 select f.word, f.n, f.n_near, f.form, f.form_n, s.root
 from formed f join steps s on f.word = s.word where s.next is null
 """
+
+ORACLE["op11_prefix_trie"] = rf"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+           partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, conv_id - conv_id % 20 as base, {crc32_sql("conv_id::varchar")} % 4 as h
+  from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, t.k, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.k <= c.h
+  union all
+  select c.conv_id, t.k, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.k > c.h),
+steps as (
+  select conv_id, row_number() over w as depth, string_agg(sha256(length(role) || ':' || role || text), '') over w
+           as path, len(regexp_extract_all(text, '{_WORD}'))::bigint as words
+  from rebuilt window w as (partition by conv_id order by k)),
+members as (
+  select conv_id, 0::bigint as depth, '' as path, 0::bigint as words from convs
+  union all select conv_id, depth, sha256(path), words from steps),
+linked as (
+  select *, lag(path) over w as above, lead(path) over w is null as ends from members
+  window w as (partition by conv_id order by depth)),
+nodes as (
+  select path, any_value(above) as above, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+         any_value(words) as words, bool_and(ends) as leaf, sha256(coalesce(string_agg(conv_id::varchar, ','
+           order by conv_id) filter (where ends), '')) as ends_sha256
+  from linked group by path),
+children as (select above as path, count(*) as n_children from nodes where above is not null group by above),
+under as (
+  select m.path, sum(n.leaf::bigint)::bigint as n_leaves, sum((n.n_convs - 1) * n.words)::bigint as saved_tokens
+  from nodes n join members m on m.conv_id = n.conv_id and m.depth <= n.depth group by m.path)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children,
+       u.n_leaves, u.saved_tokens, n.ends_sha256
+from nodes n join under u on n.path = u.path left join children c on c.path = n.path
+left join nodes p on p.path = n.above
+"""

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, quality_rules,
-                           reply_trees, rule_classifier, sentence_pieces, spelling, token_counts,
+from tallyflow.llm import (byte_repeats, decontaminate, mixing, near_dedup, prefix_trie,
+                           quality_rules, reply_trees, rule_classifier, sentence_pieces, spelling, token_counts,
                            token_files, word_repeats)
 from tallyflow.session import work_dir
 
@@ -127,6 +127,20 @@ def op10_reply_trees(spark, folder):
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query
+def op11_prefix_trie(spark, folder):
+    """Nodes of the trie of all conversations with shared starts."""
+    seqs = prefix_trie.with_shared_starts(prefix_trie.sequences(table(spark, folder, "conversations")))
+    trie = prefix_trie.prefix_trie(seqs)
+    digests = prefix_trie.part_digests(trie.parts).select("conv_id", "depth", F.col("ends_sha256").alias("long"))
+    inside = F.sha2(F.array_join(F.col("ends").cast("array<string>"), ","), 256)
+    columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")
+    whole = trie.nodes.where("ends is not null").select(*columns, inside.alias("ends_sha256"))
+    parted = trie.nodes.where("ends is null").join(digests, ["conv_id", "depth"], "left").select(
+        *columns, F.coalesce("long", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+    return whole.unionByName(parted)
+
+
 @query
 def op12_sentence_pieces(spark, folder):
     """Token ids of every document, and the text they stand for."""
