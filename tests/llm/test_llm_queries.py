@@ -22,8 +22,8 @@ def test_native_queries_run_no_python(spark, name):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
