@@ -140,7 +140,7 @@ ITEMS = [(1, "Seven wizards brew"), (2, samples.prose(40, 3)), (10, samples.SHAR
          (5, "..."), (6, "Größe, istanbul"), (2, samples.prose(20, 31)), (None, "the")]
 
 
-def test_decontamination(spark, odd, monkeypatch):
+def test_decontamination(spark, odd):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = sorted(((d[0], *found[:2], len(found[2]), hashlib.sha256(",".join(found[2]).encode()).hexdigest(),
                     found[1] > 0 and 20 * found[1] >= found[0])
@@ -148,10 +148,9 @@ def test_decontamination(spark, odd, monkeypatch):
                        odd_documents(), [x for x in ITEMS if x[0] is not None]))), key=repr)
     got = decontaminate.hits(odd, items)
     assert rows_of(got.drop("spans")) == want
-    monkeypatch.setattr(decontaminate.item_blocks, "__defaults__", (40,))
-    assert rows_of(decontaminate.hits(odd, items).drop("spans")) == want
-    assert rows_of(decontaminate.hits(odd, items, group=2).drop("spans")) == want
-    in_passes = decontaminate.clean(odd, items, group=1)
+    assert rows_of(decontaminate.hits(odd, items, most=40).drop("spans")) == want
+    assert rows_of(decontaminate.hits(odd, items, most=15).drop("spans")) == want
+    in_passes = decontaminate.clean(odd, items, most=40)
     assert rows_of(in_passes.select("doc_id", "text")) == rows_of(decontaminate.clean(odd, items).select("doc_id", "text"))
     clean = decontaminate.clean(odd, items)
     assert clean.columns == odd.columns
@@ -162,6 +161,27 @@ def test_decontamination(spark, odd, monkeypatch):
     assert text[start:end] == "SEVEN  wizards, brew"
 
 
+def test_an_automaton_has_about_a_node_per_word():
+    """One automaton for what took sixteen before: 8 MB of items."""
+    draw, text = random.Random(4), [samples.prose(40, k) for k in range(60)]
+    items = [(k, " ".join(draw.choice(text).split()[::draw.choice([1, -1])])) for k in range(300)]
+    items += [(1000 + k, " ".join(f"w{draw.randrange(50_000)}" for _ in range(13 * 40))) for k in range(200)]
+    built = decontaminate.Automaton(items, 13)
+    n_words = sum(len(t.split()) for _, t in items)
+    assert built.trie.get_stats()["nodes_count"] <= n_words + 1
+    docs = [(k, " ".join([samples.prose(5, k), *items[draw.randrange(500)][1].split()[k % 9:][:draw.randrange(8, 60)],
+                          samples.prose(6, k)]), "", "") for k in range(300)]
+    docs += [(900, " ".join("a b".split() * 40), "", "")]
+    items.append((5000, " ".join("a b".split() * 9)))
+    built = decontaminate.Automaton(items, 13)
+    for (_, text, *_), (n, n_hit, found) in zip(docs, samples.contamination(docs, items)):
+        hit = np.zeros(n, bool)
+        got = built.scan(decontaminate.words(text))
+        for a, b, _ in got:
+            hit[a:b] = True
+        assert int(hit.sum()) == n_hit and sorted({str(i) for *_, of in got for i in of}) == found
+
+
 # --- copies ------------------------------------------------------------------------------------------
 
 def test_near_classes(spark, odd):
