@@ -8,12 +8,12 @@ number that its stretch of the sum crosses.  Along sizes neighbours are alike, s
 differ from the target by about one of the largest documents at most.
 
 A running sum over a hot source would be one task's work: the rows are laid out by (source, size,
-id) in ranges of even size, summed up inside a range, and shifted by the sums of the ranges
-before.  Sums are whole numbers in units of 2**-24 copies, so the layout can't change a result.
+id) in ranges of even size, numbered inside a range, and shifted by the numbers of the ranges
+before; a mixed document is carried along, so nothing is joined by id.  Sums are whole numbers in units of 2**-24 copies, so the layout can't change a result.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; an
 empty source or a source of empty texts has target 0 and gives nothing; rows equal in source,
-size and id are interchangeable; an empty table gives no rows; other columns are not read.
+size and id are interchangeable, and each is taken by its own place; very long texts count whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -69,45 +69,45 @@ def offset(source: Column) -> Column:
     return F.conv(digits, 16, 10).cast("long")
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source, source_size, target, n_copies for every row of (doc_id, source, text)."""
+def _placed(docs: DataFrame, carry: bool) -> DataFrame:
+    """Every row with its copies; ``doc`` holds the whole row where it is to be given out."""
     spark = docs.sparkSession
     folder = work_dir(spark, "mixing")
-    sized = docs.select("doc_id", "source", size(F.col("text")).alias("size"))
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
+    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"),
+                        size(F.col("text")).alias("size"), *whole)
+    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id")]
     # The layout is written once: the sums of the ranges and the rows must agree on it.
-    (sized.repartitionByRange(shuffle_tasks(spark), F.col("source").asc_nulls_last(), "size", "doc_id")
-     .withColumn("block", F.spark_partition_id()).write.parquet(f"{folder}/rows"))
-    rows = spark.read.schema("doc_id long, source string, size long, block int").parquet(
-        f"{folder}/rows")
+    laid = sized.repartitionByRange(shuffle_tasks(spark), *order).sortWithinPartitions(*order).select(
+        "*", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("at"))
+    laid.write.parquet(f"{folder}/rows")
+    rows = spark.read.schema(laid.schema).parquet(f"{folder}/rows")
     rates = targets(rows).withColumn("rate", F.when(
         F.col("source_size") > 0,
         F.floor(F.col("target") * UNIT / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     along = (Window.partitionBy("source").orderBy("block")
              .rowsBetween(Window.unboundedPreceding, -1))
-    blocks = (rows.groupBy("source", "block").agg(F.count(F.lit(1)).alias("n"))
+    # A source's rows lie side by side in a block, from its first place on.
+    blocks = (rows.groupBy("source", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
               .withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0))))
     known = blocks.join(rates, blocks["source"].eqNullSafe(rates["source"])).select(
-        blocks["source"].alias("s"), blocks["block"].alias("b"), "before", "source_size",
+        blocks["source"].alias("s"), blocks["block"].alias("b"), "before", "first", "source_size",
         "target", "rate")
-    inside = Window.partitionBy("source", "block").orderBy("size", "doc_id")
-    placed = (rows.withColumn("place", F.row_number().over(inside))
-              .join(known, [F.col("source").eqNullSafe(F.col("s")), F.col("block") == F.col("b")]))
-    end = (F.col("before") + F.col("place")) * F.col("rate") + offset(F.col("source"))
+    placed = rows.join(known, [F.col("source").eqNullSafe(F.col("s")), F.col("block") == F.col("b")])
+    end = (F.col("before") + F.col("at") - F.col("first") + 1) * F.col("rate") + offset(F.col("source"))
     crossed = (F.shiftright(end, 24) - F.shiftright(end - F.col("rate"), 24)).cast("long")
-    return placed.select("doc_id", "size", "source", "source_size", "target",
-                         crossed.alias("n_copies"))
+    return placed.select("doc_id", "size", "source", "source_size", "target", crossed.alias("n_copies"),
+                         *(["doc"] if carry else []))
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source, source_size, target, n_copies for every row of (doc_id, source, text)."""
+    return _placed(docs, carry=False)
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mixed documents with all their columns, each as often as it is taken.
-
-    Rows are told apart by doc_id; rows that share one are each taken as often as the first of
-    them (null ids are one id).
-    """
-    taken = (copies(docs).groupBy(F.col("doc_id").alias("taken_id"))
-             .agg(F.max("n_copies").cast("int").alias("taken_copies")).where("taken_copies > 0"))
-    names = docs.columns
-    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")).join(
-        taken, F.col("doc.doc_id").eqNullSafe(F.col("taken_id")))
-    return (joined.select("doc", F.explode(F.sequence(F.lit(1), F.col("taken_copies"))).alias("k"))
+    """The mixed documents with all their columns, each as often as it is taken; rows are taken each by
+    their own place, whatever ids they share."""
+    taken = _placed(docs, carry=True).where("n_copies > 0")
+    return (taken.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))).alias("k"))
             .select("doc.*"))
