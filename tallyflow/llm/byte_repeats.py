@@ -9,7 +9,7 @@ identifiers of later offsets: 16 bytes and the 16 behind give 32, and those with
 suffixes of one final identifier are equal, and all but those of the least document are removed.
 
 Defined results: null text is empty; repeated rows of one doc_id do not remove each other's bytes;
-a null doc_id is larger than all others; texts under 50 bytes lose nothing; an empty table gives no
+a null doc_id is larger than all others, and rows without id do not remove each other's bytes; texts under 50 bytes lose nothing; very long texts are worked on whole; an empty table gives no
 rows; other columns are not read.
 """
 
@@ -21,11 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyflow.llm import repeats
 from tallyflow.llm.hashing import _BASE, _BYTE, U, chain, mix, rolled
-from tallyflow.llm.repeats import NO_ID, Pieces, group_starts, ragged
+from tallyflow.llm.repeats import Pieces, group_starts, ragged, true_names
 
 WINDOW, GRAM = 50, 16
 # A piece of a periodic text could go on for ever.
@@ -105,16 +104,17 @@ def byte_names(payload: np.ndarray, size: np.ndarray) -> np.ndarray:
     return chain([total[ends] - total[ends - size], size.astype(np.uint64)])
 
 
-def settle(keys, payload, sizes, docs, starts, versions):
+def settle(keys, payload, sizes, docs, versions, starts):
     """Removed windows of the pieces of a bucket."""
     data, n = np.frombuffer(payload, np.uint8), sizes - WINDOW + 1
-    name = byte_names(data, sizes)
-    order = np.lexsort((docs, name, keys))
+    first, rank = np.cumsum(sizes) - sizes, repeats.place(docs, versions)
+    name = true_names(keys, byte_names(data, sizes), data, first, sizes)
+    order = np.lexsort((rank, name, keys))
     new = group_starts(keys[order], name[order])
     group = np.cumsum(new) - 1
     lead = order[np.flatnonzero(new)][group]
     whole = np.zeros(len(keys), bool)
-    whole[order] = docs[order] > docs[lead]
+    whole[order] = rank[order] > rank[lead]
     # Pieces alone under their key have no windows in common with others.
     by_key = np.cumsum(group_starts(keys[order])) - 1
     kinds = np.bincount(by_key, new)
@@ -124,17 +124,17 @@ def settle(keys, payload, sizes, docs, starts, versions):
     removed = np.repeat(whole, n)
     pick = np.flatnonzero(open_)
     if len(pick):
-        place = np.cumsum(sizes) - sizes
-        bytes_ = data[ragged(place[pick], sizes[pick])]
-        inner = np.cumsum(sizes[pick]) - sizes[pick]
-        names = refined(rolled(_BYTE[bytes_], GRAM))[ragged(inner, n[pick])]
-        names = mix(names ^ mix(np.repeat(keys[pick], n[pick])))
-        doc = np.repeat(docs[pick], n[pick])
-        at = np.argsort(names, kind="stable")
-        first = np.flatnonzero(group_starts(names[at]))
-        low = np.repeat(np.minimum.reduceat(doc[at], first), np.diff(np.append(first, len(at))))
+        bytes_ = data[ragged(first[pick], sizes[pick])]
+        at = ragged(np.cumsum(sizes[pick]) - sizes[pick], n[pick])
+        key = np.repeat(keys[pick], n[pick])
+        names = refined(rolled(_BYTE[bytes_], GRAM))[at]
+        names = true_names(key, names, bytes_, at, np.full(len(at), WINDOW))
+        of = np.repeat(rank[pick], n[pick])
+        order = np.lexsort((names, key))
+        begin = np.flatnonzero(group_starts(key[order], names[order]))
+        low = np.repeat(np.minimum.reduceat(of[order], begin), np.diff(np.append(begin, len(order))))
         gone = np.zeros(len(names), bool)
-        gone[at] = doc[at] > low
+        gone[order] = of[order] > low
         removed[ragged((np.cumsum(n) - n)[pick], n[pick])] = gone
     return removed, n
 
@@ -158,9 +158,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [few.column(0), *[pa.array(c) for c in list(zip(*rows))[:4]],
                      pa.array([r[4] for r in rows], pa.binary())],
-                    names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    done = repeats.with_removed(texts, removed).mapInArrow(
-        finish, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes",
-                       "n_removed", "n_spans", "kept_sha256", "kept")
+    return repeats.with_removed(texts, removed).mapInArrow(
+        finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

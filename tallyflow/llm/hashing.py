@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
-_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
 # Texts are worked on in slices of about this many bytes; a longer text is a slice of its own.
 SLICE = 1 << 20
+LONG_NAME = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,10 +29,24 @@ def odd(k: int, factor: int) -> np.uint64:
     return U(k * factor & 0xFFFFFFFFFFFFFFFF)
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def stretch_names(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Names of stretches of bytes: eight bytes at a time are mixed into what the bytes before gave, so no
+    pattern inside a stretch cancels out.  Stretches of more than LONG_NAME bytes are hashed one by one."""
+    # Eight bytes from any place on, as one number.
+    eight = np.ndarray((len(data),), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    names = mix(sizes.astype(np.uint64) * _BASE + U(1))
+    pick, at = np.flatnonzero((sizes > 0) & (sizes <= LONG_NAME)), 0
+    while len(pick):
+        left = sizes[pick] - at
+        block = eight[starts[pick] + at]
+        part = left < 8
+        block[part] &= (U(1) << (U(8) * left[part].astype(np.uint64))) - U(1)
+        names[pick] = mix(names[pick] * _BASE ^ block)
+        at += 8
+        pick = pick[left > 8]
+    for k in np.flatnonzero(sizes > LONG_NAME).tolist():
+        names[k] = xxhash.xxh3_64_intdigest(data[starts[k]:starts[k] + sizes[k]].tobytes())
+    return names
 
 
 def chain(parts: list[np.ndarray]) -> np.ndarray:
@@ -63,8 +78,7 @@ class Words:
         is_word = ~_SPACE[data]
         edges = np.flatnonzero(np.diff(np.concatenate([[False], is_word]).astype(np.int8)))
         starts, ends = edges[::2], edges[1::2]
-        total = np.concatenate([[U(0)], np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), dtype=np.uint64)])
-        self.names = mix((total[ends] - total[starts]) * _powers(_INVERSE, len(data) + 1)[starts])
+        self.names = stretch_names(data, starts, ends - starts)
         text_ends = np.cumsum([len(t) + 1 for t in texts])
         self.text = np.searchsorted(text_ends, starts, side="right")
         self.first = np.searchsorted(self.text, np.arange(len(texts) + 1))

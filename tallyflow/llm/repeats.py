@@ -13,7 +13,8 @@ depends on the content of each of these windows alone, so equal windows meet und
    their own content, so a passage in very many different surroundings does not meet in one task.
 3. The removed windows of a document go back to it by id.
 
-Keys, pieces and windows are named by 64 bits; a window is matched by key and window name.
+Keys, pieces and windows are named by 64 bits.  Keys only bring windows together; pieces and windows
+that share a name are compared byte by byte (word by word) before one is removed.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,7 +52,7 @@ class Pieces:
         raise NotImplementedError
 
     def content(self, text: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Payload of pieces, its size for each, and the name of each content."""
+        """Payload of pieces (bytes), its size for each, and the name of each content."""
         raise NotImplementedError
 
 
@@ -88,42 +90,90 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view("<i8")[:, 0] + low
 
 
+def place(doc: np.ndarray, version: np.ndarray) -> np.ndarray:
+    """What documents are compared by: their ids; rows without an id come last."""
+    return np.where(version & 1, NO_ID, doc)
+
+
+def _place(doc: str = "doc") -> Column:
+    return F.when(F.col("version").bitwiseAND(F.lit(1)) == 0, F.col(doc)).otherwise(F.lit(NO_ID))
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """(doc, version, packed, first) of every row of documents.
 
-    ``version`` tells rows of one id with different texts apart (0 where there is one text),
-    ``packed`` is the compressed text, ``first`` the least id with this text.  All steps join the
+    ``doc`` is the id, or a hash of the text where there is none, so rows without id do not meet in one place.
+    ``version`` tells rows of one ``doc`` with different texts apart: 0 where an id has one
+    text, else 62 bits of a hash of the text; its lowest bit marks rows without id.  ``packed`` is the compressed
+    text, ``first`` the least id with this text.  All steps join the
     same rows by ``doc``, so Spark shuffles the texts once and reads the exchange again.
     """
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3, write_content_size=True)
         for batch in batches:
-            texts = [packer.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
-                                             names=["doc", "own", "packed"])
+            texts = [packer.compress((t or "").encode()) for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())],
+                                             names=["doc", "nameless", "own", "packed"])
 
     ship(docs.sparkSession)
-    text = F.coalesce("text", F.lit(""))
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                        F.hash(text).alias("own"), text.alias("text"))
+    text, id_ = F.coalesce("text", F.lit("")), F.col("doc_id").cast("long")
+    plain = docs.select(F.coalesce(id_, F.xxhash64(F.lit(2), text)).alias("doc"), id_.isNull().alias("nameless"),
+                        F.xxhash64(text).alias("own"), text.alias("text"))
     # Not nullable, so that no join adds a filter of its own and all share one exchange.
     texts = plain.mapInArrow(squeeze, T.StructType([
-        T.StructField("doc", T.LongType(), False), T.StructField("own", T.IntegerType(), False),
-        T.StructField("packed", T.BinaryType(), False)]))
+        T.StructField("doc", T.LongType(), False), T.StructField("nameless", T.BooleanType(), False),
+        T.StructField("own", T.LongType(), False), T.StructField("packed", T.BinaryType(), False)]))
     name = ["own", "far", "size"]
-    named = plain.select("doc", "own", F.xxhash64("text").alias("far"), F.octet_length("text").alias("size"))
-    firsts = named.groupBy(*name).agg(F.min("doc").alias("first"))
+    named = plain.select("doc", "nameless", "own", F.xxhash64(F.lit(1), "text").alias("far"),
+                         F.octet_length("text").alias("size"))
+    firsts = named.groupBy(*name).agg(F.min(F.when(~F.col("nameless"), F.col("doc")).otherwise(
+        F.lit(NO_ID))).alias("first"))
     known = (named.distinct().join(firsts, name).groupBy("doc")
              .agg(F.collect_list(F.struct("own", "first")).alias("firsts")))
     mine = F.get(F.filter("firsts", lambda x: x["own"] == F.col("own")), F.lit(0))
+    hashed = F.col("own").bitwiseAND(F.lit(~3)).bitwiseOR(F.lit(2)).bitwiseOR(F.col("nameless").cast("long"))
+    alone = (F.size("firsts") == 1) & ~F.col("nameless")
     return texts.join(known, "doc").select(
-        "doc", F.when(F.size("firsts") == 1, 0).otherwise(F.col("own")).alias("version"), "packed",
+        "doc", F.when(alone, F.lit(0).cast("long")).otherwise(hashed).alias("version"), "packed",
         mine["first"].alias("first"))
 
 
 def originals(texts: DataFrame) -> DataFrame:
     """Rows that are not copies of a text with a smaller id."""
-    return texts.where(F.col("first") == F.col("doc")).drop("first")
+    return texts.where(F.col("first") == _place()).drop("first")
+
+
+def equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Are the stretches of ``size`` bytes at a and at b the same?"""
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(9, np.uint8)]), strides=(1,))
+    out, pick, at = np.ones(len(a), bool), np.flatnonzero((size > 0) & (a != b)), 0
+    while len(pick):
+        left = size[pick] - at
+        differ = eight[a[pick] + at] ^ eight[b[pick] + at]
+        part = left < 8
+        differ[part] &= (U(1) << (U(8) * left[part].astype(np.uint64))) - U(1)
+        out[pick[differ != 0]] = False
+        pick = pick[(left > 8) & (differ == 0)]
+        at += 8
+    return out
+
+
+def true_names(keys: np.ndarray, names: np.ndarray, data: np.ndarray, first: np.ndarray,
+               size: np.ndarray) -> np.ndarray:
+    """Names under which stretches of one key are equal only if their bytes are: those that share a
+    name with other bytes get one of their own."""
+    k = 0
+    while True:
+        order = np.lexsort((names, keys))
+        lead = order[np.flatnonzero(group_starts(keys[order], names[order]))][
+            np.cumsum(group_starts(keys[order], names[order])) - 1]
+        wrong = order[(size[order] != size[lead]) | ~equal_bytes(data, first[order], first[lead], np.minimum(
+            size[order], size[lead]))]
+        if not len(wrong):
+            return names
+        k, names = k + 1, names.copy()
+        for i in wrong.tolist():
+            names[i] = xxhash.xxh3_64_intdigest(data[first[i]:first[i] + size[i]].tobytes(), seed=k)
 
 
 def unsqueezed(column: pa.Array) -> list[bytes]:
@@ -224,14 +274,14 @@ KEY_ROWS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in (
 PIECE_ROWS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in (
     "keys", "payload", "sizes", "owner", "docs", "versions", "starts",
     "gone_docs", "gone_versions", "gone_starts", "gone_n")]])
-REMOVED = "doc long, version int, start long, n long"
+REMOVED = "doc long, version long, start long, n long"
 
 
 def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[bytes]], Pieces],
                      settle: Callable, within: bool) -> DataFrame:
     """Removed windows (doc, version, start, n) of all documents.
 
-    ``settle(keys, payload, sizes, docs, starts, versions)`` gives, for the windows of all given pieces in a
+    ``settle(keys, payload, sizes, docs, versions, starts)`` gives, for the windows of all given pieces in a
     row, which are removed; ``texts`` is ``identified(docs)``, ``flagged`` is ``shared_keys(texts)``.
     """
     tasks = shuffle_tasks(texts.sparkSession)
@@ -241,19 +291,21 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         key, name, doc, version, start, n, size = (np.concatenate([h[i] for h in held]) for i in range(7))
         payload = np.concatenate([h[7] for h in held])
         bucket = (key % U(n_buckets)).astype(np.int64)
-        order = np.lexsort((start, doc, name, key, bucket))
-        place = np.cumsum(size) - size
-        key, name, doc, version, start, n, size, place, bucket = (
-            x[order] for x in (key, name, doc, version, start, n, size, place, bucket))
+        at, rank = np.cumsum(size) - size, place(doc, version)
+        name = true_names(key, name, payload, at, size)
+        order = np.lexsort((start, version, doc, rank, name, key, bucket))
+        key, name, doc, version, rank, start, n, size, at, bucket = (
+            x[order] for x in (key, name, doc, version, rank, start, n, size, at, bucket))
         new = group_starts(key, name)
         group = np.cumsum(new) - 1
         lead = np.flatnonzero(new)
         # Equal pieces: all but those of the least document (or the first one) are settled here.
         # The same place of the same text can come twice, from a repeated row.
         packer = zstandard.ZstdCompressor(level=3, write_content_size=True)
-        stay = new if within else doc == doc[lead][group]
+        once = group_starts(key, name, doc, version, start)
+        stay = new if within else once & (rank == rank[lead][group])
         same = np.ones(len(key), bool)
-        for column in (doc, version, start) if within else (doc,):
+        for column in (doc, version, start) if within else (rank,):
             same &= column == column[lead][group]
         rows = []
         for b, part in _bucket_parts(bucket, n_buckets):
@@ -262,7 +314,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
             g = np.flatnonzero(~same[part]) + part.start
             rows.append({
                 "bucket": b, "keys": key[first].tobytes(),
-                "payload": packer.compress(payload[ragged(place[first], size[first])].tobytes()),
+                "payload": packer.compress(payload[ragged(at[first], size[first])].tobytes()),
                 "sizes": pack(size[first]), "owner": pack(group[s] - group[part.start]),
                 "docs": pack(doc[s]), "versions": pack(version[s]), "starts": pack(start[s]),
                 "gone_docs": pack(doc[g]), "gone_versions": pack(version[g]),
@@ -314,7 +366,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         payload = b"".join(unpacker.decompress(r["payload"]) for r in rows)
         # One entry leads each content; further entries of it are of the same document.
         lead = np.searchsorted(owner, np.arange(len(keys)))
-        removed, n = settle(keys, payload, sizes, doc[lead], start[lead], version[lead])
+        removed, n = settle(keys, payload, sizes, doc[lead], version[lead], start[lead])
         piece = np.repeat(np.arange(len(n)), n)
         inside = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
         edge = np.flatnonzero(removed & ~((np.concatenate([[False], removed[:-1]])) & (inside > 0)))
@@ -328,7 +380,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         gone_version = np.concatenate([unpack(r["gone_versions"]) for r in rows])
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([doc[entry], gone[0]])),
-             pa.array(np.concatenate([version[entry], gone_version]).astype(np.int32)),
+             pa.array(np.concatenate([version[entry], gone_version])),
              pa.array(np.concatenate([start[entry] + run_at[run], gone[1]])),
              pa.array(np.concatenate([run_n[run], gone[2]]))], names=["doc", "version", "start", "n"])
 
@@ -342,14 +394,16 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
 
 
 def with_removed(texts: DataFrame, removed: DataFrame) -> DataFrame:
-    """(doc, packed, copy, starts, ns): every row, whether it is a copy, its removed windows."""
+    """(doc_id, packed, copy, starts, ns): every row, whether it is a copy, its removed windows."""
     found = removed.groupBy("doc").agg(F.collect_list(F.struct("version", "start", "n")).alias("found"))
     joined = texts.join(found, "doc", "left")
     # Most ids have one text, and then all windows are its own.
     own = F.when(F.col("version") == 0, F.col("found")).otherwise(
         F.filter("found", lambda x: x["version"] == F.col("version")))
-    return joined.select("doc", "packed", (F.col("first") < F.col("doc")).alias("copy"),
-                         own.alias("own")).select("doc", "packed", "copy", "own.start", "own.n")
+    return joined.select(
+        F.when(F.col("version").bitwiseAND(F.lit(1)) == 0, F.col("doc")).alias("doc_id"), "packed",
+        (F.col("first") < _place()).alias("copy"), own.alias("own")).select(
+            "doc_id", "packed", "copy", "own.start", "own.n")
 
 
 def covered(copy: pa.Scalar, starts: pa.Scalar, ns: pa.Scalar, length: int, window: int) -> np.ndarray:

@@ -6,11 +6,11 @@ made of, so equal passages get equal symbols in every document, but for a few at
 each symbol goes the stretch of words that it depends on.  A window is found by the symbol of
 least name among those that depend on its own words only; neighbouring windows mostly share it
 and travel as one piece, keyed by the ten words on the side of the symbol that all of them hold.
-Shared keys reveal repeats, the names of the windows verify them.
+Shared keys reveal repeats, the words of the windows verify them.
 
 Defined results: null text has no words; a null doc_id is larger than all others; rows that share
-a doc_id and differ in text are ordered by a hash of the text; identical rows are one document and
-get one result each; texts under 20 words lose nothing; an empty table gives no rows; other columns
+a doc_id (or have none) and differ in text are ordered by hashes of the text; identical rows are one document and
+get one result each; very long texts are worked on whole; texts under 20 words lose nothing; an empty table gives no rows; other columns
 are not read.
 """
 
@@ -22,11 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyflow.llm import repeats
 from tallyflow.llm.hashing import U, Words, chain, mix, rolled
-from tallyflow.llm.repeats import NO_ID, Pieces, group_starts, ragged
+from tallyflow.llm.repeats import Pieces, group_starts, ragged, true_names
 
 WINDOW, HALF, ROUNDS = 20, 10, 3
 
@@ -86,7 +85,11 @@ def found_by(symbols, first: np.ndarray) -> np.ndarray:
 
 class WordPieces(Pieces):
     def __init__(self, texts: list[bytes]):
+        # Words one blank apart, so that equal runs of words are equal bytes.
+        texts = [b" ".join(t.split()) for t in texts]
         w = Words(texts)
+        self.data = np.frombuffer(b" ".join(texts), np.uint8)
+        self.starts, self.ends = w.starts, w.ends
         self.first = w.first
         first = w.spans(WINDOW)
         if not len(first):
@@ -119,8 +122,10 @@ class WordPieces(Pieces):
         return text, key, start, np.where(burnt, 1, np.repeat(self.n, n))
 
     def content(self, text, start, n):
-        payload = self.windows[ragged(self.first[text] + start, n)]
-        return payload, n, run_names(payload, n)
+        at = self.first[text] + start
+        begin, end = self.starts[at], self.ends[at + n + WINDOW - 2]
+        windows = self.windows[ragged(at, n)]
+        return self.data[ragged(begin, end - begin)], end - begin, run_names(windows, n)
 
 
 def run_names(windows: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -131,23 +136,36 @@ def run_names(windows: np.ndarray, n: np.ndarray) -> np.ndarray:
     return chain([total[ends] - total[ends - n], n.astype(np.uint64)])
 
 
-def settle(keys, payload, sizes, docs, starts, versions):
+def settle(keys, payload, sizes, docs, versions, starts):
     """Removed windows of the pieces of a bucket: all but the first of equal ones."""
-    windows = np.frombuffer(payload, np.uint64)
-    name = run_names(windows, sizes)
+    data, first = np.frombuffer(payload, np.uint8), np.cumsum(sizes) - sizes
+    # A blank behind every piece, so that none runs into the next.
+    apart = np.full(len(data) + len(sizes), 32, np.uint8)
+    apart[ragged(first + np.arange(len(sizes)), sizes)] = data
+    w = Words([apart.tobytes()])
+    words = np.searchsorted(w.starts, np.append(first + np.arange(len(sizes)), len(apart)))
+    n = np.diff(words) - WINDOW + 1
+    # From here on words of one name are the same word.
+    one = np.zeros(len(w.names), np.uint64)
+    names = true_names(one, w.names, apart, w.starts, w.ends - w.starts)
+    windows = rolled(names, WINDOW)
+    at = ragged(words[:-1], n)
+    name = true_names(keys, run_names(windows[at], n), data, first, sizes)
     whole = later(name, keys, docs, versions, starts)
-    removed = np.repeat(whole, sizes)
+    removed = np.repeat(whole, n)
     pick = np.flatnonzero(~whole)
-    at = ragged((np.cumsum(sizes) - sizes)[pick], sizes[pick])
-    spread = lambda x: np.repeat(x[pick], sizes[pick])
-    removed[at] = later(windows[at], spread(keys), spread(docs), spread(versions),
-                        ragged(starts[pick], sizes[pick]))
-    return removed, sizes
+    inside = ragged((np.cumsum(n) - n)[pick], n[pick])
+    spread = lambda x: np.repeat(x[pick], n[pick])
+    key, begin = spread(keys), at[inside]
+    row = np.ascontiguousarray(names).view(np.uint8)
+    window = true_names(key, windows[begin], row, 8 * begin, np.full(len(begin), 8 * WINDOW))
+    removed[inside] = later(window, key, spread(docs), spread(versions), ragged(starts[pick], n[pick]))
+    return removed, n
 
 
 def later(name, key, doc, version, start) -> np.ndarray:
     """Which entries equal an earlier one in (key, name)."""
-    order = np.lexsort((start, version, doc, name, key))
+    order = np.lexsort((start, version, doc, repeats.place(doc, version), name, key))
     new = group_starts(key[order], name[order])
     lead = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     out = np.zeros(len(key), bool)
@@ -174,9 +192,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     rows.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
                 yield pa.RecordBatch.from_arrays(
                     [few.column(0), *[pa.array(c) for c in list(zip(*rows))]],
-                    names=["doc", "n_words", "n_removed", "kept_sha256", "kept"])
+                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    done = repeats.with_removed(texts, removed).mapInArrow(
-        finish, "doc long, n_words long, n_removed long, kept_sha256 string, kept string")
-    return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words",
-                       "n_removed", "kept_sha256", "kept")
+    return repeats.with_removed(texts, removed).mapInArrow(
+        finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")

@@ -273,16 +273,18 @@ def test_byte_repeats(spark, monkeypatch, hot):
 def test_word_repeats(spark, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     rows = short_documents() + [(30 + k, samples.SHARED + f" {k} " + samples.prose(20, 50 + k), "", "") for k in range(6)]
-    # Two texts of one id come in the order of their hash.
-    hashes = {r.text: r.h for r in documents(spark, rows).where("text is not null").select(
-        "text", F.hash("text").alias("h")).collect()}
+    # Two texts of one id, and texts without id, come in the order of their hashes.
+    hashes = {r.text: (r.a, r.b & ~3) for r in documents(spark, [*rows, (0, "", "", "")]).where("text is not null").select(
+        "text", F.xxhash64(F.lit(2), "text").alias("a"), F.xxhash64("text").alias("b")).collect()}
     texts = {}
     for r in rows:
         texts.setdefault(r[0], set()).add(r[1] or "")
 
     def order(r):
-        version = hashes.get(r[1] or "", 0) if len(texts[r[0]]) > 1 else 0
-        return (repeats.NO_ID if r[0] is None else r[0], version)
+        by_text = hashes[r[1] or ""]
+        if r[0] is None:
+            return (repeats.NO_ID, *by_text)
+        return (r[0], r[0], by_text[1] if len(texts[r[0]]) > 1 else 0)
 
     want = []
     for r, (w, gone) in zip(rows, samples.word_repeats([(i, t or "") for i, t, *_ in rows], order)):
@@ -292,6 +294,74 @@ def test_word_repeats(spark, monkeypatch, hot):
     assert rows_of(got.drop("kept")) == sorted(want, key=repr)
 
 
+def doubled(size):
+    """Two words that polynomials modulo a power of two cannot tell apart."""
+    a, b = "a", "b"
+    while len(a) < size:
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_doubled_words_have_names_of_their_own(spark, size):
+    a, b = doubled(size)
+    rows = [(1, samples.prose(10, 3) + f" {a} " + samples.prose(9, 5), "", ""),
+            (2, samples.prose(10, 3) + f" {b} " + samples.prose(9, 5), "", "")]
+    docs = documents(spark, rows)
+    assert [r.n_removed for r in word_repeats.remove_repeats(docs).collect()] == [0, 0]
+    assert sorted(r.class_id for r in near_dedup.near_classes(documents(
+        spark, [(1, a, "", ""), (2, b, "", "")])).collect()) == [1, 2]
+
+
+def test_equal_names_of_different_bytes():
+    data = np.frombuffer(b"same words, same words, other words", np.uint8)
+    first, size = np.array([0, 12, 24, 24, 0]), np.array([10, 10, 11, 11, 4])
+    keys, names = np.zeros(5, np.uint64), np.full(5, 7, np.uint64)
+    got = repeats.true_names(keys, names, data, first, size)
+    assert got[0] == got[1] and got[2] == got[3] and len(set(got.tolist())) == 3
+    assert repeats.equal_bytes(data, first, np.array([12, 0, 24, 12, 12]), size).tolist() == [
+        True, True, True, False, True]
+
+
+@pytest.mark.parametrize("module, cut", [(byte_repeats, byte_repeats.BytePieces),
+                                         (word_repeats, word_repeats.WordPieces)])
+def test_names_that_all_collide_change_nothing(monkeypatch, module, cut):
+    """With one name for all pieces only the bytes decide."""
+    rows = [r for r in short_documents() if r[0] is not None]
+    pieces = cut([(r[1] or "").encode() for r in rows])
+    payload, size, _ = pieces.content(pieces.text, pieces.start, pieces.n)
+    order = np.argsort(pieces.key, kind="stable")
+    data = payload[repeats.ragged((np.cumsum(size) - size)[order], size[order])].tobytes()
+    ids = np.array([r[0] for r in rows])[pieces.text][order]
+
+    def settled():
+        return module.settle(pieces.key[order], data, size[order], ids, np.zeros(len(order), np.int64),
+                             pieces.start[order])[0].tolist()
+
+    want = settled()
+    assert any(want) and not all(want)
+    for name in ("byte_names", "run_names"):
+        if hasattr(module, name):
+            monkeypatch.setattr(module, name, lambda _, n: np.zeros(len(n), np.uint64))
+    for name in ("refined", "rolled"):
+        if hasattr(module, name):
+            real = getattr(module, name)
+            monkeypatch.setattr(module, name, lambda *a, f=real: f(*a) & np.uint64(3))
+    assert settled() == want
+
+
+def test_rows_without_id_keep_their_own_bytes(spark):
+    """Many rows without id are documents of their own, told apart by 128 bits."""
+    n = 3000
+    rows = [(None, samples.prose(12, k) + f" {k}", "", "") for k in range(n)]
+    rows += [(1, "x " * 40, "", ""), (None, "x " * 40, "", "")]
+    docs = documents(spark, rows)
+    got = byte_repeats.remove_repeats(docs).collect()
+    assert len(got) == n + 2 and sum(r.n_removed > 0 for r in got) == 1
+    texts = repeats.identified(docs)
+    assert texts.where("version % 2 <> 0").select("doc", "version").distinct().count() == n + 1
+
+
 def test_symbols_depend_on_their_stretch_only():
     """Equal stretches of words give equal symbols, wherever they stand."""
     draw = np.random.default_rng(1)
@@ -382,10 +452,23 @@ def test_mixing(spark, odd):
 
 
 def test_mixed_rows(spark, odd):
-    mixed = mixing.mix(odd.dropDuplicates(["doc_id"]))
+    mixed = mixing.mix(odd)
     assert mixed.columns == odd.columns
-    copies = {r.doc_id: r.n_copies for r in mixing.copies(odd.dropDuplicates(["doc_id"])).collect()}
-    assert mixed.count() == sum(copies.values())
+    assert rows_of(mixed.select("doc_id", "source")) == sorted(
+        ((r.doc_id, r.source) for r in mixing.copies(odd).collect() for _ in range(r.n_copies)), key=repr)
+
+
+def test_mix_of_null_and_repeated_ids_meets_its_targets(spark):
+    """Rows that share an id, within and across sources, are taken each by their own place."""
+    rows = [(None, samples.prose(1 + k % 13, k), "en", "abc"[k % 3]) for k in range(300)]
+    rows += [(k % 4, samples.prose(1 + k % 17, k), "en", "abc"[k % 3]) for k in range(300)]
+    docs = documents(spark, rows, clash=True)
+    targets = {r.source: r.target for r in mixing.copies(docs).collect()}
+    taken = {}
+    for r in mixing.mix(docs).select("source", "text").collect():
+        taken[r.source] = taken.get(r.source, 0) + len(words(r.text))
+    assert set(taken) == set("abc")
+    assert all(abs(taken[s] - targets[s]) <= 18 for s in taken)
 
 
 # --- chats ----------------------------------------------------------------------------------------------
