@@ -89,16 +89,25 @@ def wide_sales(orders: DataFrame, lines: DataFrame, users: DataFrame,
     return line_side(lines).join(bought, "order_id").select(*SALE_FIELDS)
 
 
-def current_users(changes: DataFrame, version: list[str]) -> DataFrame:
-    """User dimension: the last change of each user."""
-    return latest_per_key(changes, ["id"], version)
+def repaired(pairs: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """Pairs and what is left of the unmatched rows, once the orders and lines that came too far apart are joined.
 
+    ``unmatched`` holds lines, and orders without line; an order may have met some of its lines in time
+    and miss others, so the orders of the pairs are partners, too.
+    """
+    order = ("order_id", "order_status", "create_time", "user_id", "dt")
+    rows = pairs.select(*[c for c in unmatched.columns])
+    lines = unmatched.where("order_detail_id is not null").select(
+        "order_detail_id", "order_id", "sku_id", "sku_name", "sku_price")
+    orders = unmatched.where("order_detail_id is null").select(*order)
+    # Only orders that a waiting line names are looked for among the pairs.
+    of_pairs = (pairs.select(*order).join(lines.select("order_id").distinct(), "order_id", "left_semi")
+                .dropDuplicates(["order_id"]))
+    late = lines.join(orders.unionByName(of_pairs).dropDuplicates(["order_id"]), "order_id", "left")
+    without = orders.join(lines.select("order_id").distinct(), "order_id", "left_anti")
+    return rows.unionByName(late).unionByName(without, allowMissingColumns=True)
 
-def current_users_of(sales: DataFrame, changes: DataFrame, version: list[str]) -> DataFrame:
-    """The same for the buyers in ``sales`` only.
 
-    The changes are cut down to these buyers first, so that a small batch of sales does not
-    shuffle the whole dimension.
-    """
-    buyers = sales.select(F.col("user_id").alias("id")).distinct()
-    return current_users(changes.join(buyers, "id", "left_semi"), version)
+def current_users(changes: DataFrame, version: list[str]) -> DataFrame:
+    """User dimension: the last change of each user."""
+    return latest_per_key(changes, ["id"], version)

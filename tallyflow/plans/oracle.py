@@ -155,6 +155,27 @@ stamped as (
   from events)
 """
 
+_HOURS_OF_DEVICES = f"""
+with {_STARTS},
+spine as (select lpad(cast(unnest(range(0, 24)) as varchar), 2, '0') as log_hour)
+select spine.log_hour,
+       count(mid) filter (log_date = '2024-01-08') as yesterday,
+       count(mid) filter (log_date = '2024-01-09') as today
+from spine left join first
+  on first.log_hour = spine.log_hour and log_date in ('2024-01-08', '2024-01-09')
+group by spine.log_hour"""
+
+_HOURS_OF_AMOUNTS = """
+with paid as (
+  select strftime(ts, '%Y-%m-%d') as d, strftime(ts, '%H') as h, value
+  from events where event_type = 'purchase'),
+spine as (select lpad(cast(unnest(range(0, 24)) as varchar), 2, '0') as log_hour)
+select log_hour,
+       round(coalesce(sum(value) filter (d = '2024-01-08'), 0.0), 2) as yesterday,
+       round(coalesce(sum(value) filter (d = '2024-01-09'), 0.0), 2) as today
+from spine left join paid on h = log_hour
+group by log_hour"""
+
 ORACLE: dict[str, str] = {
     "dau_first_seen": f"""
 with {_STARTS}
@@ -204,26 +225,8 @@ union all
 select 'order_amount', '新增交易额', round(coalesce(sum(value), 0.0), 2)
 from events where event_type = 'purchase' and strftime(ts, '%Y-%m-%d') = '2024-01-09'""",
 
-    "realtime_hour_dau": f"""
-with {_STARTS},
-spine as (select lpad(cast(unnest(range(0, 24)) as varchar), 2, '0') as log_hour)
-select spine.log_hour,
-       count(mid) filter (log_date = '2024-01-08') as yesterday,
-       count(mid) filter (log_date = '2024-01-09') as today
-from spine left join first
-  on first.log_hour = spine.log_hour and log_date in ('2024-01-08', '2024-01-09')
-group by spine.log_hour""",
-
-    "realtime_hour_amount": """
-with paid as (
-  select strftime(ts, '%Y-%m-%d') as d, strftime(ts, '%H') as h, value
-  from events where event_type = 'purchase'),
-spine as (select lpad(cast(unnest(range(0, 24)) as varchar), 2, '0') as log_hour)
-select log_hour,
-       round(coalesce(sum(value) filter (d = '2024-01-08'), 0.0), 2) as yesterday,
-       round(coalesce(sum(value) filter (d = '2024-01-09'), 0.0), 2) as today
-from spine left join paid on h = log_hour
-group by log_hour""",
+    "realtime_hour_dau": _HOURS_OF_DEVICES,
+    "realtime_hour_amount": _HOURS_OF_AMOUNTS,
 
     "realtime_hour_map": f"""
 with {_STARTS},
@@ -442,4 +445,36 @@ from sale
 where order_detail_id in (
   select order_detail_id from line join ord on line.order_id = ord.order_id
   where l_shipdate between o_orderdate - interval 30 day and o_orderdate + interval 30 day)""",
+
+    "stream_fanout": f"""
+with {_STARTS}, n as (select (select count(*) from starts) as every, (select count(*) from first) as once)
+select 'starts' as name, every as n from n union all select 'first_starts', once from n
+union all select 'commits of one table only', 0
+union all select 'dau', once from n union all select 'seen_device', once from n""",
+
+    "stream_hour_figures": f"""
+select 'dau' as metric, log_hour, yesterday::double as yesterday, today::double as today
+from ({_HOURS_OF_DEVICES})
+union all select 'order_amount', log_hour, yesterday, today from ({_HOURS_OF_AMOUNTS})""",
+
+    "stream_sales_repaired": f"""
+with {_SALES}
+select order_detail_id, coalesce(line.order_id, ord.order_id)::varchar as order_id, sku_id::varchar as sku_id,
+       sku_name, sku_price, order_status, create_time, user_id::varchar as user_id, dt
+from line full join ord on line.order_id = ord.order_id""",
+
+    "stream_users_sales": f"""
+with {_SALES},
+met as (
+  select order_detail_id, greatest(l_shipdate, o_orderdate) as met_at
+  from line join ord on line.order_id = ord.order_id
+  where l_shipdate between o_orderdate - interval 30 day and o_orderdate + interval 30 day)
+select sale.order_detail_id, cast(sale.order_id as varchar) as order_id, order_status,
+       create_time, cast(user_id as varchar) as user_id, cast(sku_id as varchar) as sku_id,
+       user_gender, user_age,
+       case when user_level is null or user_id % 3 <> 1 or met_at < date '1996-01-01' then user_level
+            when met_at < date '1999-01-01' then 'level 1' else 'level 2' end as user_level,
+       sku_price, dt
+from sale join met on sale.order_detail_id = met.order_detail_id""",
 }
+ORACLE["stream_recovery"] = ORACLE["table_orders"]

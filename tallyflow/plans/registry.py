@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tallyflow.operators.latest import latest_per_key
 from tallyflow.plans import api, serving, star
 from tallyflow.session import configure, keep_state_on_disk, work_dir
 from tallyflow.sources import tables, topics
+from tallyflow.sources.commits import Log
 from tallyflow.streaming import jobs, sinks, transforms
 
 # Query parameters; the comparison SQL states the same values.
@@ -26,6 +28,9 @@ ONE_WORD = "red"
 AS_OF = "2001-08-01"
 LINE_WAIT = "30 days"
 STREAM_PIECES = 6
+HALF_PIECES = 3
+# Users change before the rows of these days come.
+USER_SLICES = ("1996-01-01", "1999-01-01")
 WIDE_WINDOW = ("6 hours", "1 hour")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,22 +326,21 @@ def alert_windows(spark, folder):
                         joined(F.col("item_ids")).alias("item_ids"))
 
 
-def _documents(found):
-    return (alerts.alert_documents(found)
-            .select("alert_id", "mid", joined(F.col("uids")).alias("uids"),
-                    joined(F.col("item_ids")).alias("item_ids"),
-                    joined(F.col("events")).alias("events"), "ts", "alert_date"))
+def _documents(docs):
+    return docs.select("alert_id", "mid", joined(F.col("uids")).alias("uids"),
+                       joined(F.col("item_ids")).alias("item_ids"),
+                       joined(F.col("events")).alias("events"), "ts", "alert_date")
 
 
 @query
 def alert_docs(spark, folder):
-    return _documents(alerts.find_alerts(star.device_events(spark, folder), *WIDE_WINDOW))
+    return _documents(alerts.find_documents(star.device_events(spark, folder), *WIDE_WINDOW))
 
 
 @query
 def alert_docs_5s(spark, folder):
     """The 5 min window that slides by 5 s, one account being enough: a document per minute."""
-    return _documents(alerts.find_alerts(star.device_events(spark, folder), min_accounts=1))
+    return _documents(alerts.find_documents(star.device_events(spark, folder), min_accounts=1))
 
 
 # --- routing ----------------------------------------------------------------------------
@@ -407,9 +411,9 @@ def log_archive(spark, folder):
 # --- the query interface over stored tables ------------------------------------------------
 
 def _stored(spark, folder, table, rows):
-    """All rows written as the first version of a serving table of their own root."""
+    """All rows written as the first part of a serving table of their own root."""
     root = work_dir(spark, "tables")
-    sinks.write_version(rows, table, root, 0)
+    table.put(rows, root)
     return root
 
 
@@ -428,19 +432,22 @@ def _stored_starts(spark, folder):
     return first_start.to_dau_table(rows)
 
 
+def _order_columns(rows):
+    return rows.select("ID", "USER_ID", "TOTAL_AMOUNT", "CREATE_TIME", "CREATE_DATE", "CREATE_HOUR")
+
+
 @query
 def table_orders(spark, folder):
     """The order table, all days, read back."""
     root = _stored(spark, folder, tables.ORDERS, _stored_orders(spark, folder))
-    return tables.ORDERS.read(spark, root).select(
-        "ID", "USER_ID", "TOTAL_AMOUNT", "CREATE_TIME", "CREATE_DATE", "CREATE_HOUR")
+    return _order_columns(tables.ORDERS.read(spark, root))
 
 
 @query
 def table_total(spark, folder):
     """Key figures of a day from the two stored tables."""
     root = _stored(spark, folder, tables.ORDERS, _stored_orders(spark, folder))
-    sinks.write_version(_stored_starts(spark, folder), tables.DAU, root, 0)
+    tables.DAU.put(_stored_starts(spark, folder), root)
     figures = api.RetailQueries(spark, root).realtime_total(DAY)
     return figures.withColumn("value", money(F.col("value")))
 
@@ -469,40 +476,124 @@ def _stream(spark, folder, name):
     return topics.table_stream(spark, f"{folder}/{name}.parquet", schema)
 
 
+def _start_stream(events):
+    starts = star.start_columns(events).select(
+        F.col("mid").cast("string").alias("mid"), F.col("uid").cast("string").alias("uid"), "log_type",
+        F.col("event_time").cast("timestamp").alias("event_time"),
+        *[F.lit(None).cast("string").alias(c) for c in ("appid", "area", "os", "ch", "vs")])
+    return starts.withColumn("ts", F.unix_millis("event_time"))
+
+
 @query
 def stream_dau(spark, folder):
     """The DAU table written by the stream: the earliest start of each device and day."""
     keep_state_on_disk(spark)
     out = work_dir(spark, "stream-dau")
-    starts = star.start_columns(_stream(spark, folder, "events")).select(
-        F.col("mid").cast("string").alias("mid"), F.col("uid").cast("string").alias("uid"), "log_type",
-        F.col("event_time").cast("timestamp").alias("event_time"),
-        *[F.lit(None).cast("string").alias(c) for c in ("appid", "area", "os", "ch", "vs")])
-    first = transforms.first_starts(starts.withColumn("ts", F.unix_millis("event_time")))
+    first = transforms.first_starts(_start_stream(_stream(spark, folder, "events")))
     writer = first.writeStream.outputMode("update").foreachBatch(sinks.upsert(
-        spark, tables.DAU_BACKFILL, out, f"{out}/checkpoint", first_start.to_dau_table))
+        spark, tables.DAU, out, f"{out}/checkpoint", first_start.to_dau_table))
     sinks.start(writer, "stream_dau", f"{out}/checkpoint", once=True).awaitTermination()
-    return tables.DAU_BACKFILL.read(spark, out).select(
+    return tables.DAU.read(spark, out).select(
         F.col("MID").alias("mid"), F.col("LOG_DATE").alias("log_date"),
         F.col("LOG_HOUR").alias("log_hour"), F.col("TS").alias("ts"))
 
 
+@query
+def stream_fanout(spark, folder):
+    """One batch to the DAU table and the seen devices under one commit, and the rows counted before and after."""
+    out = work_dir(spark, "stream-fanout")
+    starts = sinks.counted(_start_stream(_stream(spark, folder, "events")), "starts")
+    done = jobs.write_dau(starts, out, f"{out}/checkpoint", once=True)
+    done.awaitTermination()
+    observed = [p.observedMetrics for p in done.recentProgress if p.numInputRows]
+    state = Log(spark, out).head()
+    parts = [state["tables"][t.name] for t in (tables.DAU, tables.SEEN)]
+    commits = [{p["commit"] for p in own} for own in parts]
+    counts = [("starts", sum(o["starts"].rows for o in observed if "starts" in o)),
+              ("first_starts", sum(p["rows"] for p in parts[0])),
+              ("commits of one table only", len(commits[0] ^ commits[1]))]
+    stored = [t.read(spark, out, state=state).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(t.name).alias("name"), "n") for t in (tables.DAU, tables.SEEN)]
+    return spark.createDataFrame(counts, "name string, n long").unionByName(stored[0]).unionByName(stored[1])
+
+
+def _replaced_orders(spark, folder):
+    """Purchases as orders that arrive in no order of time, every third one first with another amount."""
+    paid = star.purchases(spark, folder).select(
+        F.col("id").cast("string").alias("id"), F.col("user_id").cast("string").alias("user_id"),
+        "consignee_tel", "total_amount", "create_time", F.pmod(F.xxhash64("id"), F.lit(1_000_000)).alias("k"))
+    early = paid.where("k % 3 = 0").withColumns({"total_amount": F.col("total_amount") + 100, "k": F.col("k") - 500_000})
+    missing = [c for c in fixed.ORDER_COLUMNS if c not in (*paid.columns, "create_date", "create_hour")]
+    rows = paid.unionByName(early).withColumn("arrival", F.timestamp_seconds(F.col("k"))).drop("k")
+    return order_ops.clean_orders(rows.withColumns({c: F.lit(None).cast("string") for c in missing}))
+
+
+@query
+def stream_hour_figures(spark, folder):
+    """Figures by hour that the jobs keep up to date while devices start earlier than known and orders are replaced."""
+    out = work_dir(spark, "stream-figures")
+    # In order of a hash: most batches hold earlier starts of devices that were counted already.
+    shuffled = star.table(spark, folder, "events").withColumn("k", F.xxhash64("event_id"))
+    starts = topics.ordered_stream(shuffled, "k", f"{out}/starts", HALF_PIECES)
+    jobs.write_dau(_start_stream(starts), out, f"{out}/cp-starts", "60 days", once=True).awaitTermination()
+    orders = topics.ordered_stream(_replaced_orders(spark, folder), "arrival", f"{out}/orders", HALF_PIECES)
+    jobs.write_orders(orders, out, f"{out}/cp-orders", once=True).awaitTermination()
+    answers = api.RetailQueries(spark, out)
+    series = [answers.hour_figures(metric, DAY).select(
+        F.lit(metric).alias("metric"), "log_hour", money(F.col("yesterday")).alias("yesterday"),
+        money(F.col("today")).alias("today")) for metric in (fixed.METRIC_DAU, fixed.METRIC_ORDER_AMOUNT)]
+    return series[0].unionByName(series[1])
+
+
+class _Stopped(Exception):
+    """The job is killed here."""
+
+
+@query
+def stream_recovery(spark, folder):
+    """The order table after a job that was stopped before a batch, between its files and their commit, and
+    between the commit and Spark's own note of the batch, and started again each time."""
+    out = work_dir(spark, "stream-recovery")
+    rows = _stored_orders(spark, folder)
+    stream = topics.ordered_stream(rows, "CREATE_TIME", f"{out}/orders", HALF_PIECES)
+    checkpoint, stops = f"{out}/checkpoint", {0: "between", 1: "after", 2: "before"}
+    write = sinks.upsert(spark, tables.ORDERS, out, checkpoint)
+
+    def stopped(batch, batch_id):
+        at = stops.pop(batch_id, None)
+        if at == "before":
+            raise _Stopped(at)
+        if at == "between":
+            tables.ORDERS.write_part(batch, out)
+            raise _Stopped(at)
+        write(batch, batch_id)
+        if at == "after":
+            raise _Stopped(at)
+
+    while True:
+        job = sinks.start(stream.writeStream.foreachBatch(stopped), "stream_recovery", checkpoint, once=True)
+        try:
+            job.awaitTermination()
+            break
+        except StreamingQueryException as error:
+            if "_Stopped" not in str(error):
+                raise
+    return _order_columns(tables.ORDERS.read(spark, out))
+
+
 def _stream_alerts(spark, folder, window, slide, min_accounts=fixed.ALERT_MIN_ACCOUNTS):
     out = work_dir(spark, "stream-alerts")
     events = star.table(spark, folder, "events")
-    # A last record long after all others completes the open windows; its own stay open.
-    last = events.agg(F.max("ts").alias("ts")).select(
-        *[(F.col("ts") + F.expr("INTERVAL 100 DAYS") if f.name == "ts" else F.lit(None))
+    # Two records long after all others: the first completes the windows before it, the second its own pane.
+    last = events.agg(F.max("ts").alias("ts")).withColumn("days", F.explode(F.array(F.lit(100), F.lit(200)))).select(
+        *[(F.col("ts") + F.make_dt_interval("days") if f.name == "ts" else F.lit(None))
           .cast(f.dataType).alias(f.name) for f in events.schema.fields])
     last.write.parquet(f"{out}/last")
     stream = _stream(spark, folder, "events").unionByName(
         topics.table_stream(spark, f"{out}/last", events.schema))
     jobs.write_alerts(star.event_columns(stream), out, f"{out}/checkpoint", window, slide, "1 hour",
                       min_accounts, once=True).awaitTermination()
-    return (tables.ALERTS.read(spark, out)
-            .select("alert_id", "mid", joined(F.col("uids")).alias("uids"),
-                    joined(F.col("item_ids")).alias("item_ids"),
-                    joined(F.col("events")).alias("events"), "ts", "alert_date"))
+    return _documents(tables.ALERTS.read(spark, out))
 
 
 @query
@@ -517,6 +608,29 @@ def stream_alerts_5s(spark, folder):
     return _stream_alerts(spark, folder, fixed.ALERT_WINDOW, fixed.ALERT_SLIDE, 1)
 
 
+def _sale_streams(spark, out, orders, lines):
+    return (topics.ordered_stream(orders, "order_time", f"{out}/orders", STREAM_PIECES),
+            topics.ordered_stream(lines, "line_time", f"{out}/lines", STREAM_PIECES))
+
+
+def _sale_rows(spark, folder):
+    orders = order_ops.clean_orders(star.orders(spark, folder)).drop("consignee_tel")
+    return (orders.withColumn("user_id", F.col("user_id").cast("string")),
+            star.unnamed_lines(star.table(spark, folder, "lineitem")))
+
+
+def _with_names(spark, folder):
+    names = star.table(spark, folder, "part").select(F.col("p_partkey").alias("sku_id"), "p_name")
+
+    def with_names(rows):
+        return rows.drop("sku_name").join(names, "sku_id", "left").withColumnRenamed("p_name", "sku_name")
+    return with_names
+
+
+def _user_rows(spark, folder, arrival):
+    return star.users(spark, folder).withColumn("arrival", F.lit(arrival).cast("timestamp"))
+
+
 @query
 def stream_sales(spark, folder):
     """Wide sale rows of lines that came within the wait of their order, over several batches.
@@ -525,20 +639,51 @@ def stream_sales(spark, folder):
     about the wait.  Product names are put on the pairs of a batch only.
     """
     out = work_dir(spark, "stream-sales")
-    sinks.write_version(star.users(spark, folder).withColumn(
-        "arrival", F.lit("2001-01-01").cast("timestamp")), tables.USERS, out, 0)
-    line_columns = star.unnamed_lines(star.table(spark, folder, "lineitem"))
-    order_columns = order_ops.clean_orders(star.orders(spark, folder)).drop("consignee_tel")
-    lines = topics.ordered_stream(line_columns, "line_time", f"{out}/lines", STREAM_PIECES)
-    orders = topics.ordered_stream(order_columns.withColumn("user_id", F.col("user_id").cast("string")),
-                                   "order_time", f"{out}/orders", STREAM_PIECES)
-    names = star.table(spark, folder, "part").select(F.col("p_partkey").alias("sku_id"), "p_name")
-
-    def with_names(batch):
-        return (batch.drop("sku_name").join(names, "sku_id", "left")
-                .withColumnRenamed("p_name", "sku_name"))
-
-    jobs.write_sales(orders, lines, out, f"{out}/checkpoint", LINE_WAIT, "1 day",
-                     F.lit(AS_OF).cast("date"), once=True, table=tables.SALES_BACKFILL,
-                     complete=with_names).awaitTermination()
-    return tables.SALES_BACKFILL.read(spark, out)
+    tables.USERS.put(_user_rows(spark, folder, "2001-01-01"), out)
+    jobs.write_sales(*_sale_streams(spark, out, *_sale_rows(spark, folder)), out, f"{out}/checkpoint", LINE_WAIT,
+                     "1 day", F.lit(AS_OF).cast("date"), once=True,
+                     complete=_with_names(spark, folder)).awaitTermination()
+    return tables.SALES.read(spark, out)
+
+
+@query
+def stream_sales_repaired(spark, folder):
+    """Pairs of the stream, and the orders and lines that missed each other there, joined afterwards."""
+    out = work_dir(spark, "stream-repaired")
+    orders, lines = _sale_rows(spark, folder)
+
+    def with_last(rows, time):
+        """A last row long after all others, whose partner never comes, completes what waits."""
+        last = rows.agg(F.max(time).alias("t")).select(
+            *[(F.col("t") + F.expr("INTERVAL 400 DAYS") if f.name == time else
+               F.lit("-1") if f.name == "id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+        return rows.unionByName(last)
+
+    jobs.write_sales(*_sale_streams(spark, out, with_last(orders, "order_time"), with_last(lines, "line_time")), out,
+                     f"{out}/checkpoint", LINE_WAIT, "1 day", F.lit(AS_OF).cast("date"), once=True,
+                     keep_unmatched=True).awaitTermination()
+    state = Log(spark, out).head()
+    found = sales.repaired(tables.SALES.read(spark, out, state=state), tables.UNMATCHED.read(spark, out, state=state))
+    return _with_names(spark, folder)(found)
+
+
+@query
+def stream_users_sales(spark, folder):
+    """Wide sale rows while users change: each batch sees the users as they are when it is written."""
+    out = work_dir(spark, "stream-users")
+    orders, lines = _sale_rows(spark, folder)
+
+    def input_of(name, rows):
+        return spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{out}/{name}")
+
+    for k, (low, high) in enumerate(zip(("1900-01-01", *USER_SLICES), (*USER_SLICES, "2100-01-01"))):
+        for name, rows, time in (("orders", orders, "order_time"), ("lines", lines, "line_time")):
+            rows.where((F.col(time) >= F.lit(low)) & (F.col(time) < F.lit(high))).write.parquet(f"{out}/{name}/{k}")
+        users = _user_rows(spark, folder, low)
+        if k:
+            users = users.where("id % 3 = 1").withColumn("user_level", F.lit(f"level {k}"))
+        users.write.parquet(f"{out}/users/{k}")
+        jobs.write_users(input_of("users", users), out, f"{out}/cp-users", once=True).awaitTermination()
+        jobs.write_sales(input_of("orders", orders), input_of("lines", lines), out, f"{out}/cp-sales", LINE_WAIT,
+                         "1 day", F.lit(AS_OF).cast("date"), once=True).awaitTermination()
+    return tables.SALES.read(spark, out).drop("sku_name")

@@ -37,6 +37,12 @@ def realtime_hour(metric: str, rows: DataFrame, day: str) -> DataFrame | None:
     return None if maps is None else hourly.hour_spine(maps)
 
 
+def hour_figures(figures: DataFrame, metric: str, day: str) -> DataFrame:
+    """24 rows (log_hour, yesterday, today) from stored figures (metric, day, hour, value)."""
+    own = figures.filter(F.col("metric") == metric)
+    return hourly.hour_spine(hourly.hour_maps(own, "day", "hour", F.max("value"), day))
+
+
 def sale_detail(sales: DataFrame, day: str | None, keyword: str | None, page: int,
                 size: int) -> dict[str, DataFrame]:
     """Search result: ``stat`` (one row: total, stat) and ``detail`` (the page).

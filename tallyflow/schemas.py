@@ -44,7 +44,7 @@ TOPIC_RECORD = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Tables as stored; the partition columns (day, version) come last.
+# Tables as stored.
 DAU_TABLE = T.StructType(
     _strings("MID", "UID", "APP_ID", "AREA", "OS", "CH", "LOG_TYPE", "VS", "LOG_HOUR").fields
     + [T.StructField("TS", T.LongType()), T.StructField("LOG_DATE", T.StringType())])
@@ -77,3 +77,16 @@ ALERT_TABLE = T.StructType([
     T.StructField("ts", T.LongType()),
     T.StructField("alert_date", T.StringType()),
 ])
+
+HOUR_TABLE = T.StructType(
+    _strings("metric", "day", "hour").fields + [T.StructField("value", T.DoubleType())])
+
+SEEN_TABLE = _strings("mid", "log_date")
+
+PANE_TABLE = T.StructType(
+    [T.StructField("pane", T.LongType())] + _strings("mid", "kind", "name").fields
+    + [T.StructField("n", T.LongType())])
+
+UNMATCHED_TABLE = T.StructType(
+    _strings("order_id", "order_detail_id", "order_status", "create_time", "user_id", "sku_id").fields
+    + [T.StructField("sku_price", T.DoubleType())] + _strings("sku_name", "dt").fields)

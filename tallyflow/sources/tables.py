@@ -1,91 +1,221 @@
-"""Serving tables: versioned Parquet, read as the newest version of each key.
+"""Serving tables: Parquet parts under a commit log, read as the newest row of each key.
 
-Layout: ``<root>/<table>/<day>=<value>/version=<number>/``, the day first, so that a read of some
-days lists the folders of these days and no others.
+Layout: ``<root>/<table>/parts/<part>/*.parquet``, and ``<root>/<table>/files/<part>`` with the least and the largest
+layout value of each file.  The layout value of a row is its day, a number column, or the bucket of its key's hash; a read of
+some days (or keys) opens the files whose range holds one of them, and no others.
+
+A batch adds a part.  ``gather`` writes ``FAN`` neighbouring parts of one level as one part of the next, in ranges
+of the layout value, so a table has at most a few parts of each level however many batches it has
+seen, and a row is rewritten once per level.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow import fixed, schemas
 from tallyflow.operators.latest import latest_per_key
+from tallyflow.sources import store
+from tallyflow.sources.commits import Log
 
 VERSION = "version"
+FAN = 8
+BUCKETS = 4096
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    """(file system, path) of a folder, on whatever store it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    system, place = hadoop_path(spark, path)
-    return system.exists(place)
+def _holds(low, high, wanted: list) -> bool:
+    """Is one of the sorted values in the range?"""
+    k = bisect_left(wanted, low)
+    return k < len(wanted) and wanted[k] <= high
 
 
 @dataclass(frozen=True)
 class ServingTable:
-    """Rows with a key; a later version of a key replaces the earlier one."""
+    """Rows with a key; a later row of a key replaces the earlier one.
+
+    Rows are laid out by ``day`` (a text column; null comes first) or by ``number`` (a column of whole
+    numbers), else by the bucket of the first column of the key.
+    """
 
     name: str
     schema: T.StructType
     key: tuple[str, ...]
     day: str | None = None
-
-    @property
-    def partitions(self) -> list[str]:
-        return [self.day, VERSION] if self.day else [VERSION]
+    number: str | None = None
 
     def folder(self, root: str) -> str:
         return f"{root}/{self.name}"
 
-    def versions(self, spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
-        """All versions, of the given days only.
+    @property
+    def layout(self) -> Column:
+        if self.day:
+            return F.coalesce(F.col(self.day), F.lit(""))
+        return F.col(self.number) if self.number else bucket(self.key[0])
+
+    # --- writing -----------------------------------------------------------------------------
 
-        The schema is fixed, so days stay text and nothing is inferred; other days are not listed.
+    def write_part(self, rows: DataFrame, root: str, ranged: bool = False, level: int = 0) -> dict | None:
+        """Write rows as a part that no commit names yet; None if there are none.
+
+        A batch is spread to files of even size; ``ranged`` also sorts it into ranges of the layout value, which
+        reads the rows twice.  A day that holds most rows is split, as the key belongs to the range.
         """
-        schema = T.StructType(self.schema.fields + [T.StructField(VERSION, T.LongType())])
+        name = uuid.uuid4().hex
+        path = f"{self.folder(root)}/parts/{name}"
+        typed = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        order = [self.layout, *[F.col(k) for k in self.key]]
+        spread = (typed.repartitionByRange(*order).sortWithinPartitions(*order) if ranged
+                  else typed.hint("rebalance"))
+        spread.write.parquet(path)
+        spark = rows.sparkSession
+        # One row per file.
+        files = sorted((r.low, r.high, r.file, r.n) for r in (
+            spark.read.schema(self.schema).parquet(path)
+            .select(F.col("_metadata.file_name").alias("file"), self.layout.alias("by"))
+            .groupBy("file").agg(F.min("by").alias("low"), F.max("by").alias("high"), F.count(F.lit(1)).alias("n"))
+            .collect()))
+        if not files:
+            return None
+        store.put_new(spark, f"{self.folder(root)}/files/{name}", json.dumps([f[:3] for f in files]))
+        return {"name": name, "level": level, "rows": sum(f[3] for f in files), "low": files[0][0],
+                "high": max(f[1] for f in files)}
+
+    def put(self, rows: DataFrame, root: str, job: str | None = None, batch: int = 0) -> None:
+        """Write and commit rows at once, in ranges: for tables that are filled in bulk."""
+        log = Log(rows.sparkSession, root)
+        if job is None or not log.has(job, batch):
+            log.append({self.name: self.write_part(rows, root, ranged=True)}, job, batch)
+
+    # --- reading -----------------------------------------------------------------------------
+
+    def files(self, spark: SparkSession, root: str, wanted: Sequence | None = None,
+              state: dict | None = None, since=None) -> dict[int, list[str]]:
+        """commit -> the files of one state that may hold a wanted layout value (None: any), ``since`` or later."""
+        state = Log(spark, root).head() if state is None else state
+        values = None if wanted is None else sorted(set(wanted))
+
+        def open_for(low, high) -> bool:
+            return (since is None or high >= since) and (values is None or _holds(low, high, values))
+
+        found: dict[int, list[str]] = {}
         base = self.folder(root)
-        paths = [base] if days is None or not self.day else [
-            path for path in (f"{base}/{self.day}={d}" for d in days) if exists(spark, path)]
-        if not paths:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).option("basePath", base).parquet(*paths)
-
-    def read(self, spark: SparkSession, root: str, *days: str) -> DataFrame:
-        """The current rows, of the given days or of all."""
-        rows = self.versions(spark, root, days or None)
-        # A key never changes its day, so the day may join the key and a later filter on it is
-        # pushed through the ranking.
+        for part in state["tables"].get(self.name, []):
+            if open_for(part["low"], part["high"]):
+                for low, high, file in json.loads(store.read_text(spark, f"{base}/files/{part['name']}")):
+                    if open_for(low, high):
+                        found.setdefault(part["commit"], []).append(f"{base}/parts/{part['name']}/{file}")
+        return found
+
+    def versions(self, spark: SparkSession, root: str, wanted: Sequence | None = None,
+                 state: dict | None = None, since=None) -> DataFrame:
+        """All rows of these files with the number of their commit."""
+        found = self.files(spark, root, wanted, state, since)
+        if not found:
+            return self.none(spark).withColumn(VERSION, F.lit(0).cast("long"))
+        return reduce(DataFrame.unionByName, [
+            spark.read.schema(self.schema).parquet(*paths).withColumn(VERSION, F.lit(n).cast("long"))
+            for n, paths in found.items()])
+
+    def none(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([], self.schema)
+
+    def part_rows(self, spark: SparkSession, root: str, part: dict) -> DataFrame:
+        """The rows of a part, committed or not."""
+        return spark.read.schema(self.schema).parquet(f"{self.folder(root)}/parts/{part['name']}")
+
+    def latest(self, rows: DataFrame) -> DataFrame:
+        # A key never changes its day, so the day may join the key and a filter on it is pushed through
+        # the ranking.
         keys = [*self.key, *([self.day] if self.day and self.day not in self.key else [])]
         return latest_per_key(rows, keys, [VERSION]).drop(VERSION)
 
+    def read(self, spark: SparkSession, root: str, *days: str, state: dict | None = None) -> DataFrame:
+        """The current rows, of the given days or of all."""
+        rows = self.versions(spark, root, days or None, state)
+        return self.latest(rows.filter(F.col(self.day).isin(*days)) if days else rows)
+
+    def read_keys(self, keys: DataFrame, root: str, state: dict | None = None) -> DataFrame:
+        """The current rows of the given keys (columns named as the table's); only the files of their buckets
+        are opened.  The driver sees the numbers of the buckets, at most ``BUCKETS``."""
+        spark = keys.sparkSession
+        wanted = [r.b for r in keys.select(bucket(self.key[0]).alias("b")).distinct().collect()]
+        rows = self.versions(spark, root, wanted, state)
+        return self.latest(rows.join(keys.select(*self.key).distinct(), list(self.key), "left_semi"))
+
+
+def gather(spark: SparkSession, table: ServingTable, root: str, everything: bool = False) -> bool:
+    """Write the newest parts of one level as one part, once there are ``FAN`` of them (or all parts of the
+    table); readers keep what they have begun with."""
+    log = Log(spark, root)
+    state = log.head()
+    parts = state["tables"].get(table.name, [])
+    tail = len(parts)
+    while tail and (everything or parts[tail - 1]["level"] == parts[-1]["level"]):
+        tail -= 1
+    old = parts[tail:]
+    if len(old) < (2 if everything else FAN):
+        return False
+    rows = table.versions(spark, root, None, {"tables": {table.name: old}})
+    part = table.write_part(table.latest(rows), root, ranged=True, level=1 + max(p["level"] for p in old))
+    # It stands where the newest of the old ones stood, before what was added meanwhile.
+    done = log.replace(table.name, [p["name"] for p in old], part and {
+        **part, "commit": max(p["commit"] for p in old)})
+    return done is not None
+
+
+def expire(spark: SparkSession, table: ServingTable, root: str, before) -> bool:
+    """Take the parts out of the table that hold only layout values less than ``before``."""
+    log = Log(spark, root)
+    old = [p["name"] for p in log.head()["tables"].get(table.name, []) if p["high"] < before]
+    return bool(old) and log.replace(table.name, old, None) is not None
+
+
+def tidy(spark: SparkSession, root: str, *named: ServingTable) -> None:
+    """Gather what is due, level by level, and sweep what is given up."""
+    due = False
+    for table in named:
+        while gather(spark, table, root):
+            due = True
+    if due:
+        Log(spark, root).sweep()
+
 
 DAU = ServingTable("dau", schemas.DAU_TABLE, ("MID", "LOG_DATE"), "LOG_DATE")
 ORDERS = ServingTable("order_info", schemas.ORDER_TABLE, ("ID",), "CREATE_DATE")
 SALES = ServingTable("sale_detail", schemas.SALE_TABLE, ("order_detail_id",), "dt")
 ALERTS = ServingTable("coupon_alert", schemas.ALERT_TABLE, ("alert_id",), "alert_date")
-# For a run over years at once: one folder, not one for each day.
-DAU_BACKFILL = ServingTable("dau_backfill", schemas.DAU_TABLE, ("MID", "LOG_DATE"))
-SALES_BACKFILL = ServingTable("sale_backfill", schemas.SALE_TABLE, ("order_detail_id",))
 USERS = ServingTable("user_info_dim", schemas.USER_TABLE, ("id",))
+# Lines and orders that met no partner within the wait; an order has no line.
+UNMATCHED = ServingTable("sale_unmatched", schemas.UNMATCHED_TABLE, ("order_id", "order_detail_id"))
+# Figures by hour, kept up to date by the jobs that write the rows they count.
+HOURS = ServingTable("hour_figure", schemas.HOUR_TABLE, ("metric", "day", "hour"), "day")
+# Devices that started on a day.
+SEEN = ServingTable("seen_device", schemas.SEEN_TABLE, ("mid", "log_date"), "log_date")
+# Counted parts of device profiles, as long as a window may need them.
+PANES = ServingTable("alert_pane", schemas.PANE_TABLE, ("pane", "mid", "kind", "name"), number="pane")
 
 
 def _records(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.select([F.col(c).alias(f) for f, c in columns.items()])
 
 
-def read_dau(spark: SparkSession, root: str, *days: str) -> DataFrame:
+def read_dau(spark: SparkSession, root: str, *days: str, state: dict | None = None) -> DataFrame:
     """The DAU table under its record field names."""
-    return _records(DAU.read(spark, root, *days), fixed.DAU_COLUMNS)
+    return _records(DAU.read(spark, root, *days, state=state), fixed.DAU_COLUMNS)
 
 
-def read_orders(spark: SparkSession, root: str, *days: str) -> DataFrame:
-    return _records(ORDERS.read(spark, root, *days), fixed.ORDER_COLUMNS)
+def read_orders(spark: SparkSession, root: str, *days: str, state: dict | None = None) -> DataFrame:
+    return _records(ORDERS.read(spark, root, *days, state=state), fixed.ORDER_COLUMNS)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow import fixed
-from tallyflow.operators import alerts, first_start, orders as order_ops, routing, sales
+from tallyflow.operators import alerts, figures, first_start, orders as order_ops, routing, sales
 from tallyflow.operators.latest import latest_per_key
 from tallyflow.session import configure, keep_state_on_disk
 from tallyflow.sources import tables, topics
+from tallyflow.sources.commits import Log, job_name
 from tallyflow.streaming import sinks, transforms
 
 
@@ -45,33 +46,49 @@ def run_archive(records: DataFrame, path: str, checkpoint: str, once: bool = Fal
 
 def run_dau(records: DataFrame, root: str, checkpoint: str, delay: str = transforms.DAU_DELAY,
             once: bool = False) -> StreamingQuery:
-    """Start records to the DAU table."""
-    spark = _prepared(records.sparkSession)
-    sinks.create_table(spark, tables.DAU, root)
+    """Start records to the DAU table, the devices seen and the figures by hour."""
     starts = sinks.counted(topics.decode_starts(records), "starts")
-    first = sinks.counted(transforms.first_starts(starts, delay), "first_starts")
-    writer = first.writeStream.outputMode("update").foreachBatch(
-        sinks.upsert(spark, tables.DAU, root, checkpoint, first_start.to_dau_table))
+    return write_dau(starts, root, checkpoint, delay, once=once)
+
+
+def write_dau(starts: DataFrame, root: str, checkpoint: str, delay: str = transforms.DAU_DELAY,
+              tie_breakers: Sequence[str] = (), once: bool = False) -> StreamingQuery:
+    """One batch goes to three tables under one commit; rows are counted before and after."""
+    spark = _prepared(starts.sparkSession)
+    first = sinks.counted(transforms.first_starts(starts, delay, tie_breakers), "first_starts")
+    seen = (tables.SEEN, lambda rows: rows.select(F.col("MID").alias("mid"), F.col("LOG_DATE").alias("log_date")))
+    writer = first.writeStream.outputMode("update").foreachBatch(sinks.with_figures(
+        spark, tables.DAU, root, checkpoint, first_start.to_dau_table, figures.dau_changes, seen))
     return sinks.start(writer, "dau", checkpoint, once)
 
 
 def run_orders(records: DataFrame, root: str, checkpoint: str,
                once: bool = False) -> StreamingQuery:
-    """Order records to the order table."""
-    spark = _prepared(records.sparkSession)
-    sinks.create_table(spark, tables.ORDERS, root)
+    """Order records to the order table and the figures by hour."""
     clean = order_ops.clean_orders(topics.decode_orders(records))
-    writer = clean.writeStream.foreachBatch(
-        sinks.upsert(spark, tables.ORDERS, root, checkpoint, order_ops.to_order_table))
+    return write_orders(clean.withColumnRenamed("timestamp", "arrival"), root, checkpoint, once)
+
+
+def write_orders(orders: DataFrame, root: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    spark = _prepared(orders.sparkSession)
+
+    def newest(batch: DataFrame) -> DataFrame:
+        return order_ops.to_order_table(latest_per_key(batch, ["id"], ["arrival"]))
+
+    writer = orders.writeStream.foreachBatch(sinks.with_figures(
+        spark, tables.ORDERS, root, checkpoint, newest, figures.amount_changes))
     return sinks.start(writer, "orders", checkpoint, once)
 
 
 def run_users(records: DataFrame, root: str, checkpoint: str,
               once: bool = False) -> StreamingQuery:
     """User records to the user dimension."""
-    spark = _prepared(records.sparkSession)
-    sinks.create_table(spark, tables.USERS, root)
-    users = topics.decode_users(records).withColumnRenamed("timestamp", "arrival")
+    return write_users(topics.decode_users(records).withColumnRenamed("timestamp", "arrival"), root,
+                       checkpoint, once)
+
+
+def write_users(users: DataFrame, root: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    spark = _prepared(users.sparkSession)
     writer = users.writeStream.foreachBatch(sinks.upsert(
         spark, tables.USERS, root, checkpoint, lambda batch: latest_per_key(batch, ["id"], ["arrival"])))
     return sinks.start(writer, "users", checkpoint, once)
@@ -90,53 +107,83 @@ def run_alerts(records: DataFrame, root: str, checkpoint: str,
 def write_alerts(events: DataFrame, root: str, checkpoint: str, window: str, slide: str,
                  delay: str, min_accounts: int = fixed.ALERT_MIN_ACCOUNTS,
                  once: bool = False) -> StreamingQuery:
+    """The stream counts panes; complete panes go to a table of their own, which holds the last window's time.
+
+    After each batch the windows that its last pane completes are swept for alerts.  Panes, documents and how far
+    the windows are done are one commit.  Windows are given out when a later pane of any device is complete.
+    """
     spark = _prepared(events.sparkSession)
-    sinks.create_table(spark, tables.ALERTS, root)
+    job = job_name(spark, checkpoint)
+    width, size, note = alerts.micros(window), alerts.pane_size(window, slide), f"alerts until {job}"
 
-    def documents(counts: DataFrame) -> DataFrame:
-        # A window is complete for all its parts at once, so a batch holds whole profiles.
-        found = alerts.coupon_alerts(alerts.profiles_of_counts(counts), min_accounts)
-        return alerts.alert_documents(found)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own, done = batch.sparkSession, {}
 
-    counts = transforms.part_counts(events, window, slide, delay)
-    writer = counts.writeStream.foreachBatch(sinks.upsert(spark, tables.ALERTS, root, checkpoint, documents))
-    return sinks.start(writer, "alerts", checkpoint, once)
+        def rows(log: Log) -> dict:
+            part, state = tables.PANES.write_part(batch, root), log.head()
+            if part is None:
+                return {}
+            after = state["notes"].get(note)
+            until = max(part["high"] + size, after or part["high"])
+            before = tables.PANES.versions(own, root, None, state, None if after is None else after - width)
+            panes = tables.PANES.part_rows(own, root, part).unionByName(before.drop(tables.VERSION))
+            done[note] = until
+            return {tables.PANES: part, tables.ALERTS: alerts.documents_of_panes(
+                panes, window, slide, min_accounts, after, until)}
+
+        with sinks.adaptive(batch):
+            if sinks.commit_batch(own, root, job, batch_id, rows, lambda: done) and done:
+                tables.expire(own, tables.PANES, root, done[note] - width)
+
+    counts = transforms.pane_counts(events, window, slide, delay)
+    return sinks.start(counts.writeStream.foreachBatch(write), "alerts", checkpoint, once)
 
 
 def run_sales(order_records: DataFrame, line_records: DataFrame, root: str, checkpoint: str,
               wait: str = fixed.JOIN_WAIT, delay: str = transforms.JOIN_DELAY,
-              as_of: Column | None = None, once: bool = False) -> StreamingQuery:
+              as_of: Column | None = None, once: bool = False, keep_unmatched: bool = False) -> StreamingQuery:
     """Order and line records to wide sale rows; their times are their arrival times."""
     orders = order_ops.clean_orders(topics.decode_orders(order_records))
     return write_sales(orders.withColumnRenamed("timestamp", "order_time"),
                        topics.decode_order_details(line_records)
                        .withColumnRenamed("timestamp", "line_time"),
-                       root, checkpoint, wait, delay, as_of, once)
+                       root, checkpoint, wait, delay, as_of, once, keep_unmatched=keep_unmatched)
 
 
 def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str, wait: str,
                 delay: str, as_of: Column | None = None, once: bool = False,
-                table: tables.ServingTable = tables.SALES,
-                complete: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> StreamingQuery:
-    """``complete`` is applied to the pairs of a batch, for what only lines with an order need."""
+                complete: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+                keep_unmatched: bool = False) -> StreamingQuery:
+    """``complete`` is applied to the pairs of a batch, for what only lines with an order need.
+
+    With ``keep_unmatched`` lines and orders that met no partner in time go to a table of their own, under the same
+    commit; ``sales.repaired`` joins them later.
+    """
     spark = _prepared(orders.sparkSession)
-    sinks.create_table(spark, tables.USERS, root)
-    sinks.create_table(spark, table, root)
     day = F.current_date() if as_of is None else as_of
-    run = sinks.run_number(spark, checkpoint)
+    job = job_name(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Read twice below (buyers, rows): without a cache the join would run twice.
+        own = batch.sparkSession
+
+        def rows(log: Log) -> dict:
+            pairs = batch.where("matched").drop("matched")
+            # The dimension as it is now: each batch sees the latest users, from its buyers' files.
+            buyers = pairs.select(F.col("user_id").cast("string").alias("id")).where("id is not null").distinct()
+            users = tables.USERS.read_keys(buyers, root, log.head())
+            out = {tables.SALES: sales.add_user(complete(pairs), users, day)}
+            if keep_unmatched:
+                out[tables.UNMATCHED] = batch.where("not matched")
+            return out
+
+        # Read for the buyers and for the rows: without a cache the join would run twice.
         batch.persist()
         try:
             with sinks.adaptive(batch):
-                # The dimension as it is now: each batch sees the latest users.
-                changes = tables.USERS.versions(batch.sparkSession, root)
-                users = sales.current_users_of(batch, changes, [tables.VERSION, "arrival"])
-                sinks.write_version(sales.add_user(complete(batch), users, day), table, root,
-                                    sinks.version_number(run, batch_id))
+                sinks.commit_batch(own, root, job, batch_id, rows)
         finally:
             batch.unpersist()
 
-    joined = transforms.join_lines(orders, lines, wait, delay)
+    joined = transforms.join_lines(orders, lines, wait, delay,
+                                   how="full_outer" if keep_unmatched else "inner")
     return sinks.start(joined.writeStream.foreachBatch(write), "sales", checkpoint, once)

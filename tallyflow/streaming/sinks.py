@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -11,12 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallyflow import fixed
-from tallyflow.operators import routing
-from tallyflow.operators.latest import latest_per_key
-from tallyflow.sources.tables import VERSION, ServingTable, exists, hadoop_path
+from tallyflow.operators import figures, routing
+from tallyflow.sources.commits import Log, job_name
+from tallyflow.sources.tables import HOURS, ServingTable, tidy
 
-# Spark's folder name for a null partition value.
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -44,81 +41,62 @@ def adaptive(batch: DataFrame):
         conf.set("spark.sql.adaptive.enabled", before)
 
 
-# A version is numbered by the run (the second its checkpoint was made), the batch, and whether it
-# was gathered from earlier versions; so it grows over batches and over checkpoints.
-BATCHES_PER_RUN = 1_000_000_000
+def commit_batch(spark: SparkSession, root: str, job: str, batch_id: int,
+                 rows: Callable[[Log], dict[ServingTable, DataFrame | dict | None]],
+                 notes: Callable[[], dict] = dict) -> bool:
+    """Write the rows of a batch (or take parts written before) to their tables under one commit, once.
 
-
-def run_number(spark: SparkSession, checkpoint: str) -> int:
-    """The number of a checkpoint, made once and kept beside its state.
-
-    A job that starts with a new checkpoint counts batches from 0 again; its versions must not
-    take the folders of an older run.
-    """
-    path = f"{checkpoint}/run"
-    if not exists(spark, path):
-        spark.createDataFrame([(int(time.time()),)], "run long").coalesce(1).write.parquet(path)
-    return spark.read.schema("run long").parquet(path).first()[0]
-
-
-def version_number(run: int, batch: int) -> int:
-    return 2 * (run * BATCHES_PER_RUN + batch)
-
-
-def write_version(rows: DataFrame, table: ServingTable, root: str, version: int) -> None:
-    """Write the rows as one version of the table.
-
-    A repeated batch replaces its own folders, so repeats do no harm.  Rebalancing by day gives
-    few files of even size, however many state partitions the stream has and however many rows
-    one day holds.
+    Spark repeats a batch whose end it has not seen.  If its commit is in place it is left out; if not, what
+    was written of it counts for nothing, since no commit names it.  Then the tables are gathered
+    where that is due.
     """
-    typed = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
-    spread = typed.hint("rebalance", table.day) if table.day else typed.hint("rebalance")
-    (spread.withColumn(VERSION, F.lit(version).cast("long"))
-     .write.partitionBy(*table.partitions).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").parquet(table.folder(root)))
-
-
-def create_table(spark: SparkSession, table: ServingTable, root: str) -> None:
-    """The empty table, so that readers find it before the first batch."""
-    system, place = hadoop_path(spark, table.folder(root))
-    system.mkdirs(place)
+    log = Log(spark, root)
+    if log.has(job, batch_id):
+        return False
+    parts = {table: table.write_part(part, root) if isinstance(part, DataFrame) else part
+             for table, part in rows(log).items()}
+    done = log.append({table.name: part for table, part in parts.items()}, job, batch_id, notes())
+    tidy(spark, root, *parts)
+    return done is not None
 
 
 def upsert(spark: SparkSession, table: ServingTable, root: str, checkpoint: str,
            shape: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> BatchWriter:
-    """Write each batch as the next version of its keys, after ``shape``."""
-    run = run_number(spark, checkpoint)
+    """Write each batch as the newest rows of its keys, after ``shape``."""
+    job = job_name(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with adaptive(batch):
-            write_version(shape(batch), table, root, version_number(run, batch_id))
+            commit_batch(batch.sparkSession, root, job, batch_id, lambda _: {table: shape(batch)})
     return write
 
 
-def merge_versions(spark: SparkSession, table: ServingTable, root: str, *days: str) -> None:
-    """Gather the versions of the given days (or of all) in place, at any time.
+def with_figures(spark: SparkSession, table: ServingTable, root: str, checkpoint: str,
+                 shape: Callable[[DataFrame], DataFrame],
+                 changes: Callable[[DataFrame, DataFrame], DataFrame],
+                 *more: tuple[ServingTable, Callable[[DataFrame], DataFrame]]) -> BatchWriter:
+    """The same, and the figures by hour brought up to date under the same commit: ``changes`` compares the new rows
+    with those they replace, read from the files of their days.  ``more`` tables get the rows in other shapes."""
+    job = job_name(spark, checkpoint)
 
-    The current rows of what is there now are written as one version that stands right after the
-    newest of them, and before any that a running job adds meanwhile; only then are the old
-    folders removed.  A reader may see old and gathered rows side by side: they are the same.
-    """
-    old = table.versions(spark, root, days or None)
-    newest = old.agg(F.max(VERSION)).first()[0]
-    if newest is None:
-        return
-    old = old.where(F.col(VERSION) <= newest)
-    parts = [r for r in old.select(*table.partitions).distinct().toLocalIterator()]
-    keys = [*table.key, *([table.day] if table.day and table.day not in table.key else [])]
-    gathered = newest | 1
-    if all(r[VERSION] == gathered for r in parts):
-        return
-    write_version(latest_per_key(old, keys, [VERSION]).drop(VERSION), table, root, gathered)
-    for r in parts:
-        if r[VERSION] != gathered:
-            named = "/".join(f"{c}={DEFAULT_PARTITION if r[c] is None else r[c]}" for c in table.partitions)
-            system, place = hadoop_path(spark, f"{table.folder(root)}/{named}")
-            system.delete(place, True)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+
+        def rows(log: Log) -> dict:
+            # Written first and read back: the batch is computed once, and no cache holds it.
+            part, state = table.write_part(shape(batch), root), log.head()
+            if part is None:
+                return {}
+            now = table.part_rows(own, root, part)
+            days = [r[0] for r in now.select(table.day).distinct().collect() if r[0] is not None]
+            before = table.read(own, root, *days, state=state) if days else now.limit(0)
+            hours = HOURS.read(own, root, *days, state=state) if days else HOURS.none(own)
+            moved = figures.changed_figures(changes(now, before), hours)
+            return {table: part, HOURS: moved, **{t: other(now) for t, other in more}}
+
+        with adaptive(batch):
+            commit_batch(own, root, job, batch_id, rows)
+    return write
 
 
 def topics_to_folder(routed: DataFrame, path: str) -> DataStreamWriter:

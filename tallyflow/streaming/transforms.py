@@ -39,31 +39,40 @@ def first_starts(starts: DataFrame, delay: str = DAU_DELAY,
     return first_start.with_log_time(first.select("mid", "_first.*"))
 
 
+def _salt(key: str, by: Column, hot: Sequence[str], salts: int) -> Column:
+    """0, or one of ``salts`` numbers for keys known to be hot."""
+    return F.when(F.col(key).cast("string").isin(*hot), by).otherwise(F.lit(0)) if hot else F.lit(0)
+
+
 def join_lines(orders: DataFrame, lines: DataFrame, wait: str = fixed.JOIN_WAIT,
                delay: str = JOIN_DELAY, order_time: str = "order_time",
-               line_time: str = "line_time", salts: int = SALTS) -> DataFrame:
+               line_time: str = "line_time", hot: Sequence[str] = (), salts: int = SALTS,
+               how: str = "inner") -> DataFrame:
     """Order lines with their order, where both came within ``wait`` of each other.
 
     Both sides wait in the join state until the watermark says no partner can come.  Streams
-    have no skew join, so lines are spread over ``salts`` keys and the order, of which there is
-    only one, is put under each of them; every pair still meets exactly once.
+    have no skew join: the lines of ``hot`` orders are spread over ``salts`` keys and such an order, of
+    which there is only one, is put under each of them; every pair still meets exactly once.
+    ``how`` is ``inner``, or ``full_outer`` to give out as well what found no partner in time.
     """
     line = (sales.line_side(lines, line_time).withWatermark(line_time, delay)
-            .withColumn("_salt", _spread("order_detail_id", salts)))
-    order = (sales.order_side(orders, order_time).withWatermark(order_time, delay)
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                       F.lit(salts - 1).cast("long")))))
+            .withColumn("_salt", _salt("order_id", _spread("order_detail_id", salts).cast("int"), hot, salts)))
+    order = sales.order_side(orders, order_time).withWatermark(order_time, delay)
+    order = (order.withColumn("_salt", F.explode(F.when(
+        F.col("order_id").cast("string").isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+            F.array(F.lit(0))))) if hot else order.withColumn("_salt", F.lit(0)))
     bound = F.expr(f"INTERVAL {wait}")
     left, right = line.alias("l"), order.alias("o")
     near = (F.col(f"l.{line_time}").between(F.col(f"o.{order_time}") - bound,
                                             F.col(f"o.{order_time}") + bound))
     same = (F.col("l.order_id") == F.col("o.order_id")) & (F.col("l._salt") == F.col("o._salt"))
-    return (left.join(right, same & near)
-            .select("order_detail_id", "l.order_id", "order_status", "create_time", "user_id",
-                    "sku_id", "sku_price", "sku_name", "dt"))
+    return (left.join(right, same & near, how)
+            .select("order_detail_id", F.coalesce("l.order_id", "o.order_id").alias("order_id"), "order_status",
+                    "create_time", "user_id", "sku_id", "sku_price", "sku_name", "dt",
+                    (F.col("l.order_id").isNotNull() & F.col("o.order_id").isNotNull()).alias("matched")))
 
 
-def part_counts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
+def pane_counts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
                 slide: str = fixed.ALERT_SLIDE, delay: str = ALERT_DELAY) -> DataFrame:
-    """Part counts per window and device, given out once a window is complete."""
-    return alerts.stream_part_counts(events.withWatermark("event_time", delay), window, slide)
+    """Counted parts per pane and device, given out once a pane is complete."""
+    return alerts.stream_pane_counts(events.withWatermark("event_time", delay), window, slide)
