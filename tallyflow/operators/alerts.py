@@ -117,7 +117,8 @@ def alert_stretches(panes: DataFrame, window: str, slide: str,
         return F.sum(F.when(cond, F.col("e.by")).otherwise(0))
 
     points = ends.groupBy("mid", "block", F.col("e.at").alias("at")).agg(
-        change(F.col("kind") == ACCOUNT).alias("accounts"), change(F.col("kind") != ACCOUNT).alias("clicks"))
+        change(F.col("kind") == ACCOUNT).alias("accounts"), change(F.col("kind") != ACCOUNT).alias("clicks")
+    ).where("accounts <> 0 or clicks <> 0")  # where one interval goes over into the next, nothing changes
     line = Window.partitionBy("mid", "block").orderBy("at")
     swept = points.select("mid", F.col("at").alias("first"), F.sum("accounts").over(line).alias("accounts"),
                           F.sum("clicks").over(line).alias("clicks"), F.lead("at").over(line).alias("next"))

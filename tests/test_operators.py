@@ -343,21 +343,47 @@ def test_alerts_against_brute_force(spark, event_rows, width, slide, least):
     want = expected_alerts(event_rows, width, slide, least) if width % slide == 0 else None
     got = found_alerts(alerts.find_alerts(events, window, step, least))
     if want is None:
-        counts = alerts.stream_part_counts(events, window, step)
-        want = found_alerts(alerts.coupon_alerts(alerts.profiles_of_counts(counts), least))
+        want = found_alerts(alerts.coupon_alerts(alerts.device_profiles(events, window, step), least))
     assert got == want
     if slide == 5 and least == 3:
         assert {mid for _, mid in got} == {"a", "b", None}
 
 
-def test_batch_and_stream_forms_agree(spark, event_rows):
+def test_stretches_are_runs_of_alerting_starts(spark):
+    """The sweep gives every start once, over block borders and gaps, and only alerting ones."""
+    rows = [event("a", str(k % 4), "clickItem" if k % 37 == 5 else "coupon", seconds=17 * k) for k in range(900)]
+    rows += [event("b", str(k % 3), seconds=5 * k) for k in range(3000)]
+    events = spark.createDataFrame(rows, EVENT)
+    for width, slide in ((60, 5), (60, 20), (60, 60)):
+        window, step = f"{width} seconds", f"{slide} seconds"
+        found = alerts.alert_stretches(alerts.pane_counts(events, window, step), window, step, 3)
+        starts = [tuple(r) for r in alerts.all_starts(found, step).collect()]
+        assert len(starts) == len(set(starts))
+        want = {(mid, (end - width) * 1_000_000) for end, mid in expected_alerts(rows, width, slide, 3)}
+        assert set(starts) == want and {mid for mid, _ in want} == {"a", "b"}
+        # A device that alerts all the time is one stretch per block.
+        assert found.where("mid = 'b'").count() <= 2 + 15_000 // (alerts.SWEEP * width)
+
+
+def test_documents_of_stretches(spark, event_rows):
+    events = spark.createDataFrame(event_rows, EVENT)
+    for window, slide in (("5 minutes", "5 seconds"), ("5 minutes", "30 seconds"), ("5 minutes", "2 minutes")):
+        got = alerts.find_documents(events, window, slide, 2)
+        want = alerts.alert_documents(alerts.find_alerts(events, window, slide, 2))
+        assert got.count() > 0 and rows_of(got) == rows_of(want.select(*got.columns))
+
+
+def test_documents_of_panes_step_by_step(spark, event_rows):
+    """Windows taken in pieces of time give the documents of all windows together."""
     events = spark.createDataFrame(event_rows, EVENT)
-    stream = alerts.profiles_of_counts(
-        alerts.stream_part_counts(events, "5 minutes", "30 seconds"))
-    batch = alerts.device_profiles(events, "5 minutes", "30 seconds")
-    assert found_alerts(stream) == found_alerts(batch)
-    assert rows_of(stream.select("window_end", "mid", "clicked")) == rows_of(
-        batch.select("window_end", "mid", "clicked"))
+    window, slide = "5 minutes", "5 seconds"
+    panes = alerts.pane_counts(events, window, slide)
+    start = int(T0.timestamp()) * 1_000_000
+    marks = [None, *(start + s * 1_000_000 for s in (100, 103, 250, 320, 900))]
+    docs = {}
+    for after, until in zip(marks, marks[1:]):
+        docs.update({r.alert_id: r for r in alerts.documents_of_panes(panes, window, slide, 3, after, until).collect()})
+    assert sorted(map(tuple, docs.values()), key=repr) == rows_of(alerts.find_documents(events, window, slide, 3))
 
 
 def test_one_document_per_minute(spark, event_rows):

@@ -87,12 +87,17 @@ def test_days_are_pruned(spark, tmp_path):
     root = str(tmp_path)
     rows = [(f"m{i}", "u", None, None, None, None, "startup", None, "05", 1, f"2024-01-0{d}")
             for i in range(3) for d in (1, 2, 3)]
-    sinks.write_version(spark.createDataFrame(rows, schemas.DAU_TABLE), tables.DAU, root, 0)
-    sinks.create_table(spark, tables.ORDERS, root)
+    # A file per day, so that what is opened can be told from the names.
+    for d in (1, 2, 3):
+        own = [r for r in rows if r[-1] == f"2024-01-0{d}"]
+        tables.DAU.put(spark.createDataFrame(own, schemas.DAU_TABLE), root)
+    of_days = tables.DAU.files(spark, root, ["2024-01-01", "2024-01-02"])
+    assert sorted(of_days) == [1, 2]
     spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
     queries = RetailQueries(spark, root)
     hours = queries.realtime_hour("dau", "2024-01-02")
-    assert {f.split("LOG_DATE=")[1][:10] for f in hours.inputFiles()} == {"2024-01-01", "2024-01-02"}
+    assert ({f.rsplit("/", 1)[1] for f in hours.inputFiles()}
+            == {f.rsplit("/", 1)[1] for files in of_days.values() for f in files})
     assert [tuple(r) for r in hours.collect() if r.today] == [("05", 3, 3)]
     assert queries.realtime_total_json("2024-01-02").first().result == (
         '[{"id":"dau","name":"新增日活","value":3.0},'
@@ -107,10 +112,18 @@ def test_search_reads_one_day(spark, tmp_path):
     root = str(tmp_path)
     rows = [(f"d{i}", "o", "paid", "t", "u", "s", "M", 20, "1", 1.0, "red ring", f"2024-01-0{d}")
             for i, d in enumerate((1, 1, 2))]
-    sinks.write_version(spark.createDataFrame(rows, schemas.SALE_TABLE), tables.SALES, root, 0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.SALES.put(spark.createDataFrame(rows, schemas.SALE_TABLE), root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     answer = RetailQueries(spark, root).sale_detail("2024-01-01", "red", 1, 10)
     assert answer["stat"].first().total == 2 and answer["detail"].count() == 2
-    assert all("dt=2024-01-01" in f for f in answer["stat"].inputFiles())
+    # Ranges of days: the files of the other day stay shut.
+    every = tables.SALES.files(spark, root)[1]
+    opened = answer["stat"].inputFiles()
+    assert 0 < len(opened) < len(every)
+    assert spark.read.parquet(*opened).where("dt <> '2024-01-01'").count() == 0
     result = RetailQueries(spark, root).sale_detail_json("2024-01-01", "red", 1, 1).first().result
     assert result.startswith('{"total":2,') and result.count('"order_detail_id"') == 1
 
@@ -129,7 +142,7 @@ def test_batches_are_written_in_few_files(spark, tmp_path):
     writer = users.writeStream.outputMode("update").foreachBatch(
         sinks.upsert(spark, tables.USERS, str(tmp_path), str(tmp_path / "cp")))
     sinks.start(writer, "few_files", str(tmp_path / "cp"), once=True).awaitTermination()
-    files = list((tmp_path / "user_info_dim").glob("version=*/*.parquet"))
+    files = list((tmp_path / "user_info_dim").glob("parts/*/*.parquet"))
     assert len(files) == 1
     assert tables.USERS.versions(spark, str(tmp_path)).count() == 100
 

@@ -10,7 +10,9 @@ from conftest import SMALL
 from tallyflow import fixed, schemas
 from tallyflow.operators import alerts, first_start, orders as order_ops, sales
 from tallyflow.plans import serving, star
+from tallyflow.plans.api import RetailQueries
 from tallyflow.sources import tables, topics
+from tallyflow.sources.commits import Log
 from tallyflow.streaming import jobs, sinks, transforms
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -116,8 +118,8 @@ def line(i, o, when):
     return (f"l{i}", f"o{o}", f"s{i}", "red ring", "1.5", when)
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_join_waits_on_both_sides(spark, tmp_path, salts):
+@pytest.mark.parametrize("hot", [(), ("o1", "o3")])
+def test_join_waits_on_both_sides(spark, tmp_path, hot):
     orders = [[order(1, at(minutes=0)), order(2, at(minutes=1))],
               [order(3, at(minutes=40))], [order(4, at(minutes=62))], [order(9, at(hours=9))]]
     lines = [[line(1, 1, at(minutes=0)), line(2, 1, at(minutes=0)),   # same batch, two lines
@@ -129,7 +131,7 @@ def test_join_waits_on_both_sides(spark, tmp_path, salts):
     lines[0].append(line(1, 1, at(minutes=0)))
     out = transforms.join_lines(feed(spark, tmp_path / "o", orders, ORDER_SCHEMA),
                                 feed(spark, tmp_path / "l", lines, LINE_SCHEMA),
-                                salts=salts)
+                                hot=hot)
     collect(out, tmp_path)
     got = rows_of(spark.read.parquet(str(tmp_path / "out")).select("order_detail_id", "order_id"))
     want = sales.join_lines_within(
@@ -247,66 +249,55 @@ def test_changes_to_sale_table(spark, tmp_path):
         ("11", 4.5, "F", 34, "2024-01-01"), ("12", 0.0, "F", 34, "2024-01-01")]
 
 
-def test_batch_written_twice_counts_once(spark, tmp_path):
-    root = str(tmp_path)
-    rows = spark.createDataFrame([("1", "a", "1", None, "F", None)], schemas.USER_TABLE)
-    newer = spark.createDataFrame([("1", "b", "2", None, "F", None)], schemas.USER_TABLE)
-    for version, batch in [(0, rows), (1, newer), (1, newer)]:
-        sinks.write_version(batch, tables.USERS, root, version)
-    assert tables.USERS.versions(spark, root).count() == 2
-    assert [r.login_name for r in tables.USERS.read(spark, root).collect()] == ["b"]
-    sinks.merge_versions(spark, tables.USERS, root)
-    assert [(r.login_name, r.version) for r in tables.USERS.versions(spark, root).collect()] == [("b", 1)]
-
-
-def days_of(spark, *rows):
-    return spark.createDataFrame([(m, *[None] * 7, "05", 1, day) for m, day in rows], schemas.DAU_TABLE)
-
-
-def test_new_checkpoint_after_a_merge_keeps_all_rows(spark, tmp_path, monkeypatch):
+def test_unmatched_rows_are_kept_and_repaired(spark, tmp_path):
+    """Partners that missed each other in the stream are joined afterwards, under the commit of their batch."""
+    orders = [[order(1, at(minutes=0)), order(2, at(minutes=0))], [order(3, at(hours=5))], [order(9, at(hours=30))]]
+    lines = [[line(1, 1, at(minutes=5)), line(2, 7, at(minutes=5))],      # in time; no order at all
+             [line(3, 1, at(hours=5)), line(4, 2, at(hours=5))],          # too late, of a met and an unmet order
+             [line(9, 8, at(hours=30))]]
     root = str(tmp_path / "t")
-    first = sinks.run_number(spark, str(tmp_path / "c1"))
-    assert sinks.run_number(spark, str(tmp_path / "c1")) == first
-    monkeypatch.setattr(sinks.time, "time", lambda: first + 60)
-    second = sinks.run_number(spark, str(tmp_path / "c2"))
-    old = days_of(spark, *[(f"m{i}", "2024-01-01") for i in range(100)])
-    for batch in range(2):
-        sinks.write_version(old, tables.DAU, root, sinks.version_number(first, batch))
-    sinks.merge_versions(spark, tables.DAU, root)
-    assert tables.DAU.versions(spark, root).count() == 100
-    sinks.write_version(days_of(spark, ("n", "2024-01-01")), tables.DAU, root, sinks.version_number(second, 0))
-    assert tables.DAU.read(spark, root).count() == 101
-    # The last batch of the first run is repeated after the merge; the next one is not hidden by it.
-    sinks.write_version(old, tables.DAU, root, sinks.version_number(first, 1))
-    assert tables.DAU.read(spark, root).count() == 101
-    sinks.merge_versions(spark, tables.DAU, root)
-    sinks.merge_versions(spark, tables.DAU, root)
-    assert tables.DAU.versions(spark, root).count() == 101
-
-
-def test_only_asked_days_are_listed(spark, tmp_path):
-    root = str(tmp_path)
-    sinks.write_version(days_of(spark, ("a", "2024-01-01"), ("b", None)), tables.DAU, root, 0)
-    listed = len(tables.DAU.versions(spark, root, ["2024-01-01"]).inputFiles())
-    for version in range(1, 6):
-        sinks.write_version(days_of(spark, ("c", "2024-01-02"), ("d", "2024-01-03")), tables.DAU, root, 2 * version)
-    assert len(tables.DAU.versions(spark, root, ["2024-01-01"]).inputFiles()) == listed
-    assert [r.MID for r in tables.DAU.read(spark, root, "2024-01-01").collect()] == ["a"]
-    assert tables.DAU.read(spark, root, "2024-01-09").count() == 0
-    sinks.merge_versions(spark, tables.DAU, root, "2024-01-02")
-    assert tables.DAU.versions(spark, root, ["2024-01-02"]).count() == 1
-    assert tables.DAU.read(spark, root).count() == 4
-
-
-def test_user_changes_are_seen_by_the_next_batch(spark, tmp_path):
+    jobs.write_sales(feed(spark, tmp_path / "o", orders, ORDER_SCHEMA), feed(spark, tmp_path / "l", lines, LINE_SCHEMA),
+                     root, str(tmp_path / "cp"), "1 hour", "10 minutes", F.lit("2024-01-01").cast("date"), once=True,
+                     keep_unmatched=True).awaitTermination()
+    pairs, rest = tables.SALES.read(spark, root), tables.UNMATCHED.read(spark, root)
+    assert rows_of(pairs.select("order_detail_id", "order_id")) == [("l1", "o1")]
+    assert set(rows_of(rest.select("order_detail_id", "order_id"))) == {
+        ("l2", "o7"), ("l3", "o1"), ("l4", "o2"), (None, "o2"), (None, "o3")}
+    found = sales.repaired(pairs, rest)
+    want = sales.join_lines_outer(spark.createDataFrame(sum(orders[:2], []), ORDER_SCHEMA),
+                                  spark.createDataFrame(sum(lines[:2], []), LINE_SCHEMA))
+    assert rows_of(found.select(*want.columns)) == rows_of(want)
+
+
+def test_figures_follow_moved_devices_and_replaced_orders(spark, tmp_path):
     root = str(tmp_path / "t")
-    users = [("1", "a", "1", "1990-01-01", "F", T0)]
-    sinks.write_version(spark.createDataFrame(users, schemas.USER_TABLE), tables.USERS, root, 0)
-    buyers = spark.createDataFrame([("1",), ("2",), (None,)], "user_id string")
-    changed = [("1", "a", "9", "1990-01-01", "F", T0)]
-    sinks.write_version(spark.createDataFrame(changed, schemas.USER_TABLE), tables.USERS, root, 1)
-    now = sales.current_users_of(buyers, tables.USERS.versions(spark, root), ["version"])
-    assert [(r.id, r.user_level) for r in now.collect()] == [("1", "9")]
+    schema = "mid string, log_type string, event_time timestamp"
+    batches = [[("a", "s", at(hours=9)), ("b", "s", at(hours=9)), (None, "s", at(hours=9))],
+               [("a", "s", at(hours=7)), ("b", "s", at(hours=10)), ("c", "s", at(hours=25))]]
+    starts = feed(spark, tmp_path / "in", batches, schema).withColumns(
+        {c: F.lit(None).cast("string") for c in ("uid", "appid", "area", "os", "ch", "vs")}).withColumn(
+            "ts", F.unix_millis("event_time"))
+    done = jobs.write_dau(starts, root, str(tmp_path / "cp"), once=True)
+    done.awaitTermination()
+    figures = {(r.day, r.hour): r.value for r in tables.HOURS.read(spark, root).collect()}
+    assert figures == {("2024-01-01", "07"): 1.0, ("2024-01-01", "09"): 1.0, ("2024-01-02", "01"): 1.0}
+    state = Log(spark, root).head()
+    assert ([p["commit"] for p in state["tables"]["dau"]] == [p["commit"] for p in state["tables"]["seen_device"]]
+            == [p["commit"] for p in state["tables"]["hour_figure"]])
+    assert tables.SEEN.read(spark, root, "2024-01-01").count() == 3
+
+    kind = "id string, total_amount double, create_time string, arrival timestamp"
+    orders = [[("1", 5.0, "2024-01-01 06:00:00", at(hours=6)), ("2", 7.0, "2024-01-01 06:30:00", at(hours=6))],
+              [("1", 1.5, "2024-01-01 08:00:00", at(hours=8)), ("3", None, "2024-01-01 08:00:00", at(hours=8)),
+               ("4", 2.0, "bad", at(hours=8))]]
+    columns = [c for c in fixed.ORDER_COLUMNS if c not in ("id", "total_amount", "create_time", "create_date", "create_hour")]
+    stream = order_ops.clean_orders(feed(spark, tmp_path / "orders", orders, kind).withColumns(
+        {c: F.lit(None).cast("string") for c in columns}))
+    jobs.write_orders(stream, root, str(tmp_path / "cp2"), once=True).awaitTermination()
+    answer = RetailQueries(spark, root).hour_figures(fixed.METRIC_ORDER_AMOUNT, "2024-01-01").collect()
+    assert {r.log_hour: r.today for r in answer if r.today} == {"06": 7.0, "08": 1.5}
+    rows = tables.HOURS.read(spark, root, "2024-01-01")
+    assert rows.where("metric = 'dau'").count() <= 24
 
 
 def test_order_cleaning_is_the_same_in_stream_and_batch(spark, tmp_path):
@@ -327,7 +318,9 @@ def test_out_of_order_events_within_the_delay(spark, tmp_path):
     schema = "mid string, uid string, evid string, itemid string, event_time timestamp"
     rows = [("m", str(i % 4), "clickItem" if i % 11 == 0 else "coupon", "1",
              at(minutes=10 * i - (25 if i % 3 == 0 else 0))) for i in range(60)]
-    batches = [rows[:20], rows[20:40], rows[40:], [("z", "1", "coupon", "1", at(hours=20))]]
+    # A pane is done when the watermark has passed it; its windows when a later pane is.
+    batches = [rows[:20], rows[20:40], rows[40:], [("z", "1", "coupon", "1", at(hours=20))],
+               [("z", "1", "coupon", "1", at(hours=40))]]
     window, slide = "1 hour", "10 minutes"
     jobs.write_alerts(feed(spark, tmp_path / "in", batches, schema), str(tmp_path / "t"),
                       str(tmp_path / "cp"), window, slide, delay="1 hour", once=True
