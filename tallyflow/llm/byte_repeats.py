@@ -1,12 +1,15 @@
 """Suffix-array dedup of 50-byte strings by bucket-pointer refinement.
 
 The suffixes that matter are those whose first 50 bytes occur in an earlier document.  They are
-put in buckets by a 16-byte string: the one of least name among the 35 in a suffix's first 50
+brought together by a 16-byte string: the one of least name among the 35 in a suffix's first 50
 bytes, which is the same wherever these bytes stand.  Neighbouring suffixes mostly share it and
-travel as one piece.  Buckets of one document are dropped; the others are refined by the
-identifiers of later offsets: 16 bytes and the 16 behind give 32, and those with the 32 that start
-18 later give 50; the identifiers of one round are what the next is built from.  Within a bucket,
-suffixes of one final identifier are equal, and all but those of the least document are removed.
+travel as one piece.  What no two documents share is dropped there, and pieces that are equal as a whole are settled.
+
+The suffixes of the other pieces are sorted by bucket-pointer refinement: at first a bucket holds the suffixes
+that share eight bytes; each round sorts the buckets by the bucket pointers at an offset of 8, 16 and 18
+bytes, so 16, 32 and 50 bytes are told apart, and updates the pointers that the next round sorts by.  Only suffixes
+that still share a bucket are sorted again.  Buckets are compared, not hashed: suffixes of one final bucket have the same
+50 bytes, and all but those of the least document are removed.
 
 Defined results: null text is empty; repeated rows of one doc_id do not remove each other's bytes;
 a null doc_id is larger than all others, and rows without id do not remove each other's bytes; texts under 50 bytes lose nothing; very long texts are worked on whole; an empty table gives no
@@ -26,7 +29,8 @@ from tallyflow.llm import repeats
 from tallyflow.llm.hashing import _BASE, _BYTE, U, chain, mix, rolled
 from tallyflow.llm.repeats import Pieces, group_starts, ragged, true_names
 
-WINDOW, GRAM = 50, 16
+# A key is made of strings of KEY bytes; the first buckets hold strings of GRAM bytes.
+WINDOW, KEY, GRAM = 50, 16, 8
 # A piece of a periodic text could go on for ever.
 LONGEST = 64
 
@@ -41,11 +45,29 @@ def least(names: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(have[:-rest], have[rest:]) if rest else have
 
 
-def refined(names: np.ndarray) -> np.ndarray:
-    """Identifiers of all 50-byte strings, from those of their 16-byte strings."""
-    wider = mix(names[:-GRAM] * _BASE + names[GRAM:])
-    shift = WINDOW - 2 * GRAM
-    return mix(wider[:-shift] * _BASE + wider[shift:])
+def bucket_pointers(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The bucket of the suffix at every place: those with at least ``WINDOW`` bytes left share one exactly if
+    their first ``WINDOW`` bytes are equal.  Also how many suffixes each round sorted.
+
+    The first buckets are the strings of eight bytes.  A round refines each bucket by the buckets of its
+    suffixes at a later offset, so that twice as many bytes are told apart; the pointers of one round are
+    what the next one sorts by.  Suffixes alone in their bucket, and those with too few bytes left, stay.
+    """
+    eight = np.ndarray((len(data),), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    pointer = np.unique(eight, return_inverse=True)[1].astype(np.int64)
+    done, sorted_ = GRAM, [len(data)]
+    while done < WINDOW:
+        offset = min(done, WINDOW - done)
+        size = np.bincount(pointer)
+        active = np.flatnonzero((size[pointer] > 1) & (left >= done + offset))
+        sorted_.append(len(active))
+        if len(active):
+            later = pointer[active + offset]
+            order = np.lexsort((later, pointer[active]))
+            new = group_starts(pointer[active][order], later[order])
+            pointer[active[order]] = len(size) + np.cumsum(new) - 1
+        done += offset
+    return pointer, sorted_
 
 
 class BytePieces(Pieces):
@@ -58,8 +80,8 @@ class BytePieces(Pieces):
             self.text = self.start = self.n = np.zeros(0, np.int64)
             self.key = np.zeros(0, np.uint64)
             return
-        self.grams = rolled(_BYTE[self.data], GRAM)
-        key = least(self.grams, WINDOW - GRAM + 1)
+        self.grams = rolled(_BYTE[self.data], KEY)
+        key = least(self.grams, WINDOW - KEY + 1)
         owner = np.repeat(np.arange(len(texts)), size)
         valid = owner[:n] == owner[WINDOW - 1:]
         begin = np.zeros(n, bool)
@@ -91,8 +113,8 @@ class BytePieces(Pieces):
 
 
 def _windows_at(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
-    shift = WINDOW - 2 * GRAM
-    wider = lambda x: mix(grams[x] * _BASE + grams[x + GRAM])
+    shift = WINDOW - 2 * KEY
+    wider = lambda x: mix(grams[x] * _BASE + grams[x + KEY])
     return mix(wider(at) * _BASE + wider(at + shift))
 
 
@@ -124,16 +146,15 @@ def settle(keys, payload, sizes, docs, versions, starts):
     removed = np.repeat(whole, n)
     pick = np.flatnonzero(open_)
     if len(pick):
-        bytes_ = data[ragged(first[pick], sizes[pick])]
-        at = ragged(np.cumsum(sizes[pick]) - sizes[pick], n[pick])
-        key = np.repeat(keys[pick], n[pick])
-        names = refined(rolled(_BYTE[bytes_], GRAM))[at]
-        names = true_names(key, names, bytes_, at, np.full(len(at), WINDOW))
+        size = sizes[pick]
+        ends = np.cumsum(size)
+        pointer, _ = bucket_pointers(data[ragged(first[pick], size)], np.repeat(ends, size) - np.arange(ends[-1]))
+        bucket = pointer[ragged(ends - size, n[pick])]
         of = np.repeat(rank[pick], n[pick])
-        order = np.lexsort((names, key))
-        begin = np.flatnonzero(group_starts(key[order], names[order]))
+        order = np.argsort(bucket, kind="stable")
+        begin = np.flatnonzero(group_starts(bucket[order]))
         low = np.repeat(np.minimum.reduceat(of[order], begin), np.diff(np.append(begin, len(order))))
-        gone = np.zeros(len(names), bool)
+        gone = np.zeros(len(bucket), bool)
         gone[order] = of[order] > low
         removed[ragged((np.cumsum(n) - n)[pick], n[pick])] = gone
     return removed, n

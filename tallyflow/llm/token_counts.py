@@ -1,15 +1,16 @@
 """Token counts by a finite-state transducer compiled from a sentencepiece BPE vocabulary.
 
 BPE of a text is settled at every place by the last piece of the text so far: piece t ends a
-prefix if the piece u before it and t stay apart when ``u + t`` is merged alone.  So a
-deterministic transducer reads the characters of a segment; a state knows the last piece and the
-tokens emitted so far, so each transition carries the change of their number.  Transitions are
-compiled when first taken and kept up to a bound.
+prefix if the piece u before it and t stay apart when ``u + t`` is merged alone.  What can still follow depends on
+the longest end of the text that begins a piece, and on the last piece and the number of tokens at each place in it: that is a
+state.  Prefixes that agree in it are one state, whatever stood before, so the
+number of states depends on the vocabulary and not on the texts.  A transition carries the change of the number of tokens
+(it may be negative, when a piece swallows earlier ones).  Transitions are compiled when first taken.
 
 No piece crosses from a character to a space mark, mixes letters with others, or touches a line
-end, so a text is a row of segments that start from the same state.  A chunk of a text acts as a state map: its count, and the
-open fragments at its two ends.  ``compose`` joins two maps; a long text is cut into chunks
-anywhere, and the maps are composed pairwise.
+end; there the machine goes back to its start.  So a chunk of a text acts as a state map that is known but for its
+head: whatever state it is entered in, after its first such border its count and exit are the same.
+A long text is cut into chunks anywhere, and their maps are composed pairwise.
 
 Defined results: null text is empty and has 0 tokens; repeated rows are counted each; very long
 texts are cut into chunks, never shortened; an empty table gives no rows; other columns are not
@@ -32,7 +33,9 @@ MARK = "▁"
 LIMIT = 4096
 CHUNK = 1 << 16
 KEPT_SEGMENTS = 250_000
-KEPT_TRANSITIONS = 250_000
+KEPT_PAIRS = 250_000
+# The machine of a text in a few languages has far fewer states; this bounds it for any input.
+KEPT_STATES = 400_000
 KEPT_LENGTH = 1024
 # Latin letters share no piece with other characters, so a segment is of one kind.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -41,7 +44,7 @@ SEGMENT = re.compile(rf"\n| *[{_LATIN}]+| *[^ \n{_LATIN}]+| +")
 
 
 class Transducer:
-    """Counts the tokens of segments; its tables are dropped when they reach their bounds."""
+    """Deterministic machine over the characters of a segment; a state is what its future depends on."""
 
     def __init__(self, model_file: str):
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -53,14 +56,26 @@ class Transducer:
                     len({bool(LETTER.match(c)) for c in p.lstrip(MARK)}) > 1]
         if crossing:
             raise ValueError(f"pieces across segments: {crossing[:3]}")
-        self.longest = max(map(len, self.score))
+        self.begins = {p[:k] for p in self.score for k in range(len(p) + 1)}
         self.apart: dict[tuple[str, str], bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        # State 0 is the start of a segment.
-        self.last, self.emitted = [""], [0]
-        self.moves: dict[tuple[int, str], int] = {}
+        """State 0 is the start of a segment: nothing read, no piece, no token."""
+        self.known: dict[tuple, int] = {}
+        self.states: list[tuple[str, tuple[str, ...], tuple[int, ...]]] = []
+        self.moves: list[dict[str, tuple[int, int]]] = []
+        self._state("", ("",), (0,))
+
+    def _state(self, end: str, last: tuple[str, ...], tokens: tuple[int, ...]) -> int:
+        """The state of a text with this end; last piece and tokens (less those of all) at each place in it."""
+        key = (end, last, tokens)
+        found = self.known.get(key)
+        if found is None:
+            found = self.known[key] = len(self.states)
+            self.states.append(key)
+            self.moves.append({})
+        return found
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short string by repeated best merge, leftmost first among equals."""
@@ -79,55 +94,48 @@ class Transducer:
         """Do two pieces side by side stay as they are?"""
         known = self.apart.get((left, right))
         if known is None:
-            if len(self.apart) >= KEPT_TRANSITIONS:
+            if len(self.apart) >= KEPT_PAIRS:
                 self.apart.clear()
             want = [left, right] if left else [right]
             known = self.apart[left, right] = self.merged(left + right) == want
         return known
 
-    def count(self, segment: str) -> int:
-        """Tokens emitted along the transitions of one segment (space marks included)."""
-        if len(segment) > KEPT_LENGTH:
-            return self.walked(segment)
-        if len(self.moves) >= KEPT_TRANSITIONS:
-            self.reset()
-        state, path, moves = 0, [0], self.moves
-        last, emitted, score, apart = self.last, self.emitted, self.score, self.apart
-        for size, char in enumerate(segment, 1):
-            move = moves.get((state, char))
-            if move is None:
-                move = moves[state, char] = len(last)
-                if char in score:
-                    for start in range(max(0, size - self.longest), size):
-                        piece = segment[start:size]
-                        if piece in score:
-                            before = last[path[start]]
-                            fits = apart.get((before, piece))
-                            if fits or fits is None and self.stays(before, piece):
-                                break
-                    last.append(piece)
-                    emitted.append(emitted[path[start]] + 1)
-                else:  # spelled out in bytes, never merged
-                    last.append("")
-                    emitted.append(emitted[state] + len(char.encode()))
-            state = move
-            path.append(state)
-        return emitted[state]
-
-    def walked(self, segment: str) -> int:
-        """The same for a long segment, whose transitions are not kept."""
-        last, emitted = [""], [0]
-        for size, char in enumerate(segment, 1):
-            start, piece, cost = size - 1, "", len(char.encode())
-            if char in self.score:
-                cost = 1
-                for start in range(max(0, size - self.longest), size):
-                    piece = segment[start:size]
-                    if piece in self.score and self.stays(last[start], piece):
-                        break
-            last.append(piece)
-            emitted.append(emitted[start] + cost)
-        return emitted[-1]
+    def compiled(self, state: int, char: str) -> tuple[int, int]:
+        """The transition of a state by a character: (next state, change of the number of tokens)."""
+        end, last, tokens = self.states[state]
+        read = end + char
+        if char in self.score:
+            for start in range(len(read)):
+                piece = read[start:]
+                if piece in self.score and self.stays(last[start], piece):
+                    break
+            more = tokens[start] + 1
+        else:  # spelled out in bytes, never merged
+            piece, more = "", len(char.encode())
+        cut = 0
+        while read[cut:] not in self.begins:
+            cut += 1
+        move = self._state(read[cut:], (*last[cut:], piece), tuple(n - more for n in (*tokens[cut:], more)))
+        self.moves[state][char] = move, more
+        return move, more
+
+    def walk(self, state: int, text: str) -> tuple[int, int]:
+        """(state, tokens) after the characters of one segment."""
+        moves, total = self.moves, 0
+        for char in text:
+            move = moves[state].get(char)
+            state, more = move if move is not None else self.compiled(state, char)
+            total += more
+        return state, total
+
+
+def border(left: str, right: str) -> bool:
+    """Does a segment end between two characters?"""
+    if left == "\n" or right == "\n":
+        return True
+    if left == MARK:
+        return False
+    return right == MARK or bool(LETTER.match(left)) != bool(LETTER.match(right))
 
 
 class Counter(dict):
@@ -140,34 +148,41 @@ class Counter(dict):
     def __missing__(self, segment: str) -> int:
         if len(self) >= KEPT_SEGMENTS:
             self.clear()
-        found = self[segment] = self.transducer.count(segment.replace(" ", MARK))
+        found = self.transducer.walk(0, segment.replace(" ", MARK))[1]
+        if len(segment) <= KEPT_LENGTH:
+            self[segment] = found
         return found
 
-    def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
-        """(head, tokens between, tail); a chunk inside one segment is all head, count None."""
+    def chunk_map(self, chunk: str) -> tuple:
+        """(head, tokens behind it, exit): the exit is a state and the last character; None for both in a
+        chunk that is all head."""
         parts = SEGMENT.findall(chunk)
+        head = parts[0].replace(" ", MARK)
         if len(parts) < 2:
-            return chunk, None, ""
-        return parts[0], sum(map(self.__getitem__, parts[1:-1])), parts[-1]
-
-    def compose(self, a: tuple, b: tuple) -> tuple[str, int | None, str]:
-        """The state map of two chunks in a row."""
-        if a[1] is None and b[1] is None:
-            return self.chunk_map(a[0] + b[0])
+            return head, None, None
+        state, tokens = self.transducer.walk(0, last := parts[-1].replace(" ", MARK))
+        return head, sum(map(self.__getitem__, parts[1:-1])) + tokens, (state, last[-1])
+
+    def _entered(self, exit_: tuple[int, str], head: str) -> tuple[tuple[int, str], int]:
+        """Exit and tokens of a head read from this exit."""
+        state = 0 if border(exit_[1], head[0]) else exit_[0]
+        state, tokens = self.transducer.walk(state, head)
+        return (state, head[-1]), tokens
+
+    def compose(self, a: tuple, b: tuple) -> tuple:
+        """The map of two chunks in a row."""
         if a[1] is None:
-            head, count, _ = self.chunk_map(a[0] + b[0])
-            return (head, b[1], b[2]) if count is None else (
-                head, count + self[_] + b[1], b[2])
-        if b[1] is None:
-            head, count, tail = self.chunk_map(a[2] + b[0])
-            return (a[0], a[1], head) if count is None else (
-                a[0], a[1] + self[head] + count, tail)
-        seam = SEGMENT.findall(a[2] + b[0])
-        return a[0], a[1] + sum(map(self.__getitem__, seam)) + b[1], b[2]
+            if not border(a[0][-1], b[0][0]):
+                return a[0] + b[0], b[1], b[2]
+            a = (a[0], 0, (0, "\n"))
+        exit_, tokens = self._entered(a[2], b[0])
+        return (a[0], a[1] + tokens, exit_) if b[1] is None else (a[0], a[1] + tokens + b[1], b[2])
 
     def tokens(self, text: str) -> int:
         if not text:
             return 0
+        if len(self.transducer.states) > KEPT_STATES:
+            self.transducer.reset()
         whole = " " + text.replace(MARK, " ")
         if len(whole) <= CHUNK:
             return sum(map(self.__getitem__, SEGMENT.findall(whole)))
@@ -175,8 +190,8 @@ class Counter(dict):
         while len(maps) > 1:
             maps = [self.compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i]
                     for i in range(0, len(maps), 2)]
-        head, count, tail = maps[0]
-        return self[head] if count is None else self[head] + count + (self[tail] if tail else 0)
+        head, count, _ = maps[0]
+        return self.transducer.walk(0, head)[1] + (count or 0)
 
 
 _COUNTERS: dict[str, Counter] = {}

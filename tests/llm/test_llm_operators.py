@@ -182,6 +182,27 @@ def test_an_automaton_has_about_a_node_per_word():
         assert int(hit.sum()) == n_hit and sorted({str(i) for *_, of in got for i in of}) == found
 
 
+def test_states_are_shared_by_what_can_follow():
+    """The machine of a vocabulary is finite: twice the texts hardly need more states than half of them."""
+    own = token_counts.Transducer(tokenizer(PIECE_BPE))
+    draw = random.Random(6)
+    words_ = ["".join(draw.choice("abdeilnorst") for _ in range(draw.randrange(1, 14))) for _ in range(12_000)]
+    counts, prefixes = [], set()
+    for k, word in enumerate(words_ * 1):
+        own.walk(0, "▁" + word)
+        prefixes.update(("▁" + word)[:n] for n in range(len(word) + 2))
+        if k in (5_999, 11_999):
+            counts.append((len(own.states), len(prefixes)))
+    (half, half_prefixes), (states, all_prefixes) = counts
+    # A state per prefix would grow as the prefixes do.
+    assert states < all_prefixes / 2 and states / half < all_prefixes / half_prefixes
+    # After a run of one letter longer than any piece nothing new can happen.
+    own.walk(0, "e" * 200)
+    before = len(own.states)
+    own.walk(0, "e" * 20_000)
+    assert len(own.states) == before
+
+
 # --- copies ------------------------------------------------------------------------------------------
 
 def test_near_classes(spark, odd):
@@ -343,13 +364,29 @@ def test_names_that_all_collide_change_nothing(monkeypatch, module, cut):
     for name in ("byte_names", "run_names"):
         if hasattr(module, name):
             monkeypatch.setattr(module, name, lambda _, n: np.zeros(len(n), np.uint64))
-    for name in ("refined", "rolled"):
-        if hasattr(module, name):
-            real = getattr(module, name)
-            monkeypatch.setattr(module, name, lambda *a, f=real: f(*a) & np.uint64(3))
+    if module is word_repeats:
+        monkeypatch.setattr(module, "rolled", lambda *a, f=module.rolled: f(*a) & np.uint64(3))
     assert settled() == want
 
 
+def test_bucket_pointers_are_refined_until_fifty_bytes():
+    draw = random.Random(7)
+    pieces = ["".join(draw.choice("ab") for _ in range(draw.randrange(50, 120))) for _ in range(60)]
+    pieces += [pieces[k][draw.randrange(9):] for k in range(40)] + ["x" * 113, "x" * 90, "y" * 49 + "z" * 3]
+    pieces += ["".join(chr(33 + draw.randrange(90)) for _ in range(100)) for _ in range(30)]
+    data = np.frombuffer("".join(pieces).encode(), np.uint8)
+    size = np.array([len(p) for p in pieces])
+    left = np.repeat(np.cumsum(size), size) - np.arange(size.sum())
+    pointer, sorted_ = byte_repeats.bucket_pointers(data, left)
+    whole = data.tobytes()
+    seen = {}
+    for at in np.flatnonzero(left >= 50).tolist():
+        assert seen.setdefault(whole[at:at + 50], pointer[at]) == pointer[at]
+    assert len(set(seen.values())) == len(seen)
+    # Four rounds, each over fewer suffixes: what is settled is not sorted again.
+    assert len(sorted_) == 4 and sorted_ == sorted(sorted_, reverse=True) and sorted_[3] < sorted_[0] / 2
+
+
 def test_rows_without_id_keep_their_own_bytes(spark):
     """Many rows without id are documents of their own, told apart by 128 bits."""
     n = 3000
