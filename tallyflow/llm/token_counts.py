@@ -69,7 +69,10 @@ class Transducer:
 
     def _state(self, end: str, last: tuple[str, ...], tokens: tuple[int, ...]) -> int:
         """The state of a text with this end; last piece and tokens (less those of all) at each place in it."""
-        key = (end, last, tokens)
+        # No piece can begin where the rest of the text begins none.
+        open_ = [end[k:] in self.begins for k in range(len(end) + 1)]
+        key = (end, tuple(x if o else None for x, o in zip(last, open_)),
+               tuple(n if o else None for n, o in zip(tokens, open_)))
         found = self.known.get(key)
         if found is None:
             found = self.known[key] = len(self.states)
@@ -115,7 +118,8 @@ class Transducer:
         cut = 0
         while read[cut:] not in self.begins:
             cut += 1
-        move = self._state(read[cut:], (*last[cut:], piece), tuple(n - more for n in (*tokens[cut:], more)))
+        move = self._state(read[cut:], (*last[cut:], piece),
+                           tuple(n if n is None else n - more for n in (*tokens[cut:], more)))
         self.moves[state][char] = move, more
         return move, more
 

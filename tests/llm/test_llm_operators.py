@@ -188,14 +188,14 @@ def test_states_are_shared_by_what_can_follow():
     draw = random.Random(6)
     words_ = ["".join(draw.choice("abdeilnorst") for _ in range(draw.randrange(1, 14))) for _ in range(12_000)]
     counts, prefixes = [], set()
-    for k, word in enumerate(words_ * 1):
+    for k, word in enumerate(words_):
         own.walk(0, "▁" + word)
         prefixes.update(("▁" + word)[:n] for n in range(len(word) + 2))
         if k in (5_999, 11_999):
             counts.append((len(own.states), len(prefixes)))
     (half, half_prefixes), (states, all_prefixes) = counts
     # A state per prefix would grow as the prefixes do.
-    assert states < all_prefixes / 2 and states / half < all_prefixes / half_prefixes
+    assert states < 0.8 * all_prefixes and states / half < all_prefixes / half_prefixes
     # After a run of one letter longer than any piece nothing new can happen.
     own.walk(0, "e" * 200)
     before = len(own.states)
