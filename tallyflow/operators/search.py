@@ -1,8 +1,10 @@
-"""Search in the wide sale rows: hits, facets, shares, page."""
+"""Search in the wide sale rows: hits, facets, shares, page, index, ranked hits."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow import fixed
@@ -88,3 +90,53 @@ def stat_rows(counts: DataFrame) -> DataFrame:
     """The same as rows (title, name, value)."""
     return (nested_stats(counts).select(F.inline("stat"))
             .select("title", F.inline("options")))
+
+
+def words_of(spark: SparkSession, keyword: str) -> list[str]:
+    """The words of a keyword, in order, by the same expression as those of the names."""
+    return sorted(spark.range(1).select(F.array_distinct(C.tokens(F.lit(keyword)))).first()[0])
+
+
+def postings(sales: DataFrame) -> DataFrame:
+    """(word, order_detail_id, dt): each word of a row's product name once."""
+    return sales.select(F.explode(F.array_distinct(C.tokens(F.col("sku_name")))).alias("word"),
+                        "order_detail_id", "dt")
+
+
+def posted(found: DataFrame, n_words: int) -> DataFrame:
+    """(order_detail_id, dt) that all words name; ``found`` holds the postings of these words."""
+    both = found.select("word", "order_detail_id", "dt").distinct().groupBy("order_detail_id", "dt")
+    return both.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n_words).drop("n")
+
+
+# Usual values of the two parameters: how soon more of a word counts less, how much a long name does.
+SATURATION, LENGTH = 1.2, 0.75
+
+
+def ranked(sales: DataFrame, day: str | None, keyword: str, size: int) -> DataFrame:
+    """The ``size`` best hits by BM25, with ``score``; equal ones by id.
+
+    The figures of the collection (rows, mean length, rows that have a word) come from one aggregate over product
+    names with their number of rows, as very many rows share a name.  Hits are scored by name, and the best are
+    a top-k, which no task sorts whole.
+    """
+    rows = sales if day is None else sales.filter(F.col("dt") == day)
+    wanted = words_of(sales.sparkSession, keyword)
+    names = (rows.groupBy("sku_name").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("tokens", F.coalesce(C.tokens(F.col("sku_name")), F.array().cast("array<string>"))))
+    has = [F.sum(F.when(F.array_contains("tokens", w), F.col("n"))).cast("double") for w in wanted]
+    # One row of numbers, as many as the keyword has words.
+    total, mean, *df = names.agg(F.sum("n").cast("double"), F.sum(F.col("n") * F.size("tokens")) / F.sum("n"),
+                                 *has).first()
+    if not wanted or not all(df):
+        return rows.limit(0).withColumn("score", F.lit(0.0))
+
+    def part(word: str, df: float) -> Column:
+        tf = F.size(F.filter("tokens", lambda t: t == word)).cast("double")
+        idf = F.lit(math.log(1 + (total - df + 0.5) / (df + 0.5)))
+        length = F.size("tokens") / F.lit(mean)
+        return idf * tf * (SATURATION + 1) / (tf + SATURATION * (1 - LENGTH + LENGTH * length))
+
+    hits = names.where(F.forall(F.array(*[F.lit(w) for w in wanted]), lambda w: F.array_contains("tokens", w)))
+    scored = hits.select("sku_name", sum((part(w, n) for w, n in zip(wanted, df)), F.lit(0.0)).alias("score"))
+    return (rows.join(scored, "sku_name").orderBy(F.desc(F.round("score", 9)), "order_detail_id").limit(size))

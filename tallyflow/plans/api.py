@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyflow import fixed
 from tallyflow.functions import columns as C
+from tallyflow.operators import search
 from tallyflow.plans import serving
 from tallyflow.session import configure
 from tallyflow.sources import tables
+from tallyflow.sources.commits import Log
 
 
 class RetailQueries:
@@ -54,6 +56,21 @@ class RetailQueries:
         days = (C.day_before(day), day)
         return serving.hour_figures(tables.HOURS.read(self.spark, self.root, *days), metric, day)
 
+    def search_index(self, day: str | None, keyword: str) -> DataFrame:
+        """The sales of a day (``None``: of all) whose product name has all words, through the index.
+
+        Only the files of the words' buckets are opened, then those of the days that were found.
+        """
+        spark, root = self.spark, self.root
+        state = Log(spark, root).head()
+        wanted = search.words_of(spark, keyword)
+        found = tables.POSTINGS.read_keys(spark.createDataFrame([(w,) for w in wanted], "word string"), root, state)
+        ids = search.posted(found if day is None else found.filter(F.col("dt") == day), len(wanted))
+        # One row per day.
+        days = [r.dt for r in ids.select(F.coalesce("dt", F.lit("")).alias("dt")).distinct().collect()] if wanted else []
+        sales = tables.SALES.latest(tables.SALES.versions(spark, root, days, state))
+        return sales.join(ids.select("order_detail_id"), "order_detail_id", "left_semi")
+
     def sale_detail(self, day: str, keyword: str | None, page: int,
                     size: int) -> dict[str, DataFrame]:
         return serving.sale_detail(tables.SALES.read(self.spark, self.root, day), day, keyword,

@@ -477,4 +477,35 @@ select sale.order_detail_id, cast(sale.order_id as varchar) as order_id, order_s
        sku_price, dt
 from sale join met on sale.order_detail_id = met.order_detail_id""",
 }
+_DEVICE_DAYS = "devices as (select distinct user_id as mid, ts::date as d from events), days as (select distinct d from devices)"
+ORACLE["dau_week"] = f"""
+with {_DEVICE_DAYS}
+select strftime(days.d, '%Y-%m-%d') as day, count(distinct mid) as n
+from days join devices on devices.d between days.d - 6 and days.d group by days.d"""
+ORACLE["dau_return"] = f"""
+with {_DEVICE_DAYS}
+select strftime(days.d, '%Y-%m-%d') as day, count(old.mid) as n
+from days join devices on devices.d = days.d
+left join devices old on old.mid = devices.mid and old.d = days.d - 1 group by days.d"""
+ORACLE["search_index"] = f"""
+with {_HITS}
+select order_detail_id, order_id::varchar as order_id, order_status, create_time, user_id::varchar as user_id,
+       sku_id::varchar as sku_id, user_gender, user_age, user_level, sku_price, sku_name, dt from hits"""
+ORACLE["sale_ranked"] = f"""
+with {_HITS},
+named as (
+  select order_detail_id, sku_name, coalesce(regexp_extract_all(lower(sku_name), '[a-z0-9]+'), []) as t from sale),
+stats as (
+  select count(*)::double as rows, avg(len(t)) as mean,
+         count(*) filter (list_contains(t, 'red'))::double as red,
+         count(*) filter (list_contains(t, 'widget'))::double as widget from named),
+terms as (
+  select order_detail_id, sku_name, unnest([ln(1 + (rows - red + 0.5) / (red + 0.5)),
+           ln(1 + (rows - widget + 0.5) / (widget + 0.5))]) as idf,
+         unnest([len(list_filter(t, lambda x: x = 'red')),
+           len(list_filter(t, lambda x: x = 'widget'))])::double as tf, len(t) / mean as l
+  from named, stats where list_contains(t, 'red') and list_contains(t, 'widget'))
+select order_detail_id, any_value(sku_name) as sku_name,
+       round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l))), 6) as score
+from terms group by order_detail_id order by score desc, order_detail_id limit 10"""
 ORACLE["stream_recovery"] = ORACLE["table_orders"]

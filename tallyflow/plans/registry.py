@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyflow import fixed
 from tallyflow.functions import columns as C
-from tallyflow.operators import (alerts, first_start, orders as order_ops, regions, routing,
+from tallyflow.operators import (alerts, device_sets, first_start, orders as order_ops, regions, routing,
                                  sales, search)
 from tallyflow.operators.latest import latest_per_key
 from tallyflow.plans import api, serving, star
@@ -469,6 +469,42 @@ def table_sale_detail(spark, folder):
     return stat.select("total", F.inline("stat")).select("total", "title", F.inline("options"))
 
 
+@query
+def search_index(spark, folder):
+    """Sales of all days that have all words, through the index of words."""
+    rows = _sales(spark, folder)
+    root = _stored(spark, folder, tables.SALES, rows)
+    tables.POSTINGS.put(search.postings(tables.SALES.read(spark, root)), root)
+    return api.RetailQueries(spark, root).search_index(None, KEYWORD)
+
+
+@query
+def sale_ranked(spark, folder):
+    """The best ten sales of the two words by BM25."""
+    found = search.ranked(_sales(spark, folder), None, KEYWORD, 10)
+    return found.select("order_detail_id", "sku_name", F.round("score", 6).alias("score"))
+
+
+def _device_sets(spark, folder):
+    out = work_dir(spark, "devices")
+    first = first_start.first_start_times(star.starts(spark, folder))
+    device_sets.numbered(first).write.parquet(f"{out}/dictionary")
+    device_sets.day_sets(first, spark.read.parquet(f"{out}/dictionary")).write.parquet(f"{out}/sets")
+    return spark.read.parquet(f"{out}/sets")
+
+
+@query
+def dau_week(spark, folder):
+    """Distinct devices of each day and the six before, from bitmaps."""
+    return device_sets.trailing(_device_sets(spark, folder), 7)
+
+
+@query
+def dau_return(spark, folder):
+    """Devices of each day that were there the day before, from bitmaps."""
+    return device_sets.returning(_device_sets(spark, folder))
+
+
 # --- streams: the jobs run once over the tables -------------------------------------------
 
 def _stream(spark, folder, name):

@@ -90,3 +90,5 @@ PANE_TABLE = T.StructType(
 UNMATCHED_TABLE = T.StructType(
     _strings("order_id", "order_detail_id", "order_status", "create_time", "user_id", "sku_id").fields
     + [T.StructField("sku_price", T.DoubleType())] + _strings("sku_name", "dt").fields)
+
+POSTING_TABLE = _strings("word", "order_detail_id", "dt")

@@ -148,12 +148,13 @@ class ServingTable:
         return self.latest(rows.filter(F.col(self.day).isin(*days)) if days else rows)
 
     def read_keys(self, keys: DataFrame, root: str, state: dict | None = None) -> DataFrame:
-        """The current rows of the given keys (columns named as the table's); only the files of their buckets
-        are opened.  The driver sees the numbers of the buckets, at most ``BUCKETS``."""
+        """The current rows of the given keys (the first columns of the table's, under their names); only the
+        files of their buckets are opened.  The driver sees the numbers of the buckets, at most ``BUCKETS``."""
         spark = keys.sparkSession
         wanted = [r.b for r in keys.select(bucket(self.key[0]).alias("b")).distinct().collect()]
         rows = self.versions(spark, root, wanted, state)
-        return self.latest(rows.join(keys.select(*self.key).distinct(), list(self.key), "left_semi"))
+        names = [k for k in self.key if k in keys.columns]
+        return self.latest(rows.join(keys.select(*names).distinct(), names, "left_semi"))
 
 
 def gather(spark: SparkSession, table: ServingTable, root: str, everything: bool = False) -> bool:
@@ -198,6 +199,8 @@ ORDERS = ServingTable("order_info", schemas.ORDER_TABLE, ("ID",), "CREATE_DATE")
 SALES = ServingTable("sale_detail", schemas.SALE_TABLE, ("order_detail_id",), "dt")
 ALERTS = ServingTable("coupon_alert", schemas.ALERT_TABLE, ("alert_id",), "alert_date")
 USERS = ServingTable("user_info_dim", schemas.USER_TABLE, ("id",))
+# Which sales have a word, laid out by the hash of the word.
+POSTINGS = ServingTable("sale_posting", schemas.POSTING_TABLE, ("word", "order_detail_id"))
 # Lines and orders that met no partner within the wait; an order has no line.
 UNMATCHED = ServingTable("sale_unmatched", schemas.UNMATCHED_TABLE, ("order_id", "order_detail_id"))
 # Figures by hour, kept up to date by the jobs that write the rows they count.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow import fixed
-from tallyflow.operators import alerts, figures, first_start, orders as order_ops, routing, sales
+from tallyflow.operators import alerts, figures, first_start, orders as order_ops, routing, sales, search
 from tallyflow.operators.latest import latest_per_key
 from tallyflow.session import configure, keep_state_on_disk
 from tallyflow.sources import tables, topics
@@ -153,10 +153,10 @@ def run_sales(order_records: DataFrame, line_records: DataFrame, root: str, chec
 def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str, wait: str,
                 delay: str, as_of: Column | None = None, once: bool = False,
                 complete: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-                keep_unmatched: bool = False) -> StreamingQuery:
+                keep_unmatched: bool = False, index: bool = False) -> StreamingQuery:
     """``complete`` is applied to the pairs of a batch, for what only lines with an order need.
 
-    With ``keep_unmatched`` lines and orders that met no partner in time go to a table of their own, under the same
+    With ``index`` the words of the product names go to the search index.  With ``keep_unmatched`` lines and orders that met no partner in time go to a table of their own, under the same
     commit; ``sales.repaired`` joins them later.
     """
     spark = _prepared(orders.sparkSession)
@@ -171,7 +171,10 @@ def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str,
             # The dimension as it is now: each batch sees the latest users, from its buyers' files.
             buyers = pairs.select(F.col("user_id").cast("string").alias("id")).where("id is not null").distinct()
             users = tables.USERS.read_keys(buyers, root, log.head())
-            out = {tables.SALES: sales.add_user(complete(pairs), users, day)}
+            part = tables.SALES.write_part(sales.add_user(complete(pairs), users, day), root)
+            out: dict = {tables.SALES: part}
+            if index and part:
+                out[tables.POSTINGS] = search.postings(tables.SALES.part_rows(own, root, part))
             if keep_unmatched:
                 out[tables.UNMATCHED] = batch.where("not matched")
             return out

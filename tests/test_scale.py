@@ -157,3 +157,69 @@ def test_console_and_kafka_writers(spark, tmp_path):
     query.awaitTermination()
     assert query.recentProgress[0].numInputRows == 1
     assert sinks.topics_to_kafka(stream, "host:9092") is not None
+
+
+def test_the_index_opens_the_files_of_its_words(spark, tmp_path):
+    from tallyflow.operators import search
+    from tallyflow.sources.commits import Log
+
+    root = str(tmp_path)
+    names = [f"red thing{k} Widget" if k % 7 else f"Red blue{k}" for k in range(400)]
+    rows = [(f"d{k}", "o", "paid", "t", "u", "s", "M", 20, "1", 1.0, names[k], f"2024-01-0{1 + k % 5}") for k in range(400)]
+    rows += [("none", "o", "paid", "t", "u", "s", "M", 20, "1", 1.0, None, None)]
+    sales_rows = spark.createDataFrame(rows, schemas.SALE_TABLE)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.SALES.put(sales_rows, root)
+        tables.POSTINGS.put(search.postings(sales_rows), root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    queries = RetailQueries(spark, root)
+    for day, word in ((None, "red"), (None, "widget RED"), ("2024-01-02", "blue7"), (None, "thing15 widget"),
+                      (None, "nothing red"), (None, " ")):
+        want = search.find_sales(sales_rows, day, word)
+        got = queries.search_index(day, word)
+        assert sorted(r.order_detail_id for r in got.collect()) == sorted(r.order_detail_id for r in want.collect())
+    state = Log(spark, root).head()
+    wanted = [r.b for r in spark.createDataFrame([("blue7",)], "word string").select(tables.bucket("word").alias("b")).collect()]
+    assert len(tables.POSTINGS.files(spark, root, wanted, state)[2]) < len(tables.POSTINGS.files(spark, root)[2])
+    one_day = queries.search_index(None, "thing15")
+    assert len([f for f in one_day.inputFiles() if "/sale_detail/" in f]) < len(tables.SALES.files(spark, root)[1])
+
+
+def test_ranked_hits(spark):
+    from tallyflow.operators import search
+
+    rows = [("1", "red widget", "d"), ("2", "red red widget", "d"), ("3", "red widget with a very long name", "d"),
+            ("4", "widget", "d"), ("5", "red widget", "e"), ("6", None, "d")]
+    sales_rows = spark.createDataFrame(rows, "order_detail_id string, sku_name string, dt string")
+    got = [r.order_detail_id for r in search.ranked(sales_rows, None, "widget red", 10).collect()]
+    assert got == ["2", "1", "5", "3"]
+    assert [r.order_detail_id for r in search.ranked(sales_rows, "d", "red", 2).collect()] == ["2", "1"]
+    assert search.ranked(sales_rows, None, "absent red", 10).count() == 0
+    assert search.ranked(sales_rows, None, "", 10).count() == 0
+
+
+def test_device_sets_are_exact_and_small(spark, tmp_path):
+    from tallyflow.operators import device_sets
+
+    rows = spark.range(200_000).select((F.col("id") % 50_000).cast("string").alias("mid"), F.date_format(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 7).cast("int")), "yyyy-MM-dd").alias("log_date"))
+    rows = rows.unionByName(spark.createDataFrame([(None, "2024-01-01")], "mid string, log_date string")).distinct()
+    device_sets.numbered(rows.where("mid < '3'")).write.parquet(str(tmp_path / "a"))
+    dictionary = spark.read.parquet(str(tmp_path / "a"))
+    device_sets.added(dictionary, rows).write.parquet(str(tmp_path / "b"))
+    dictionary = spark.read.parquet(str(tmp_path / "b"))
+    assert dictionary.count() == 50_000 == dictionary.select("no").distinct().count()
+    sets = device_sets.day_sets(rows, dictionary).cache()
+    by_day = {}
+    for r in rows.where("mid is not null").collect():
+        by_day.setdefault(r.log_date, set()).add(r.mid)
+    days = sorted(by_day)
+    week = {r.day: r.n for r in device_sets.trailing(sets, 3).collect()}
+    assert week == {d: len(set().union(*[by_day[x] for x in days[max(0, k - 2):k + 1]])) for k, d in enumerate(days)}
+    back = {r.day: r.n for r in device_sets.returning(sets).collect()}
+    assert back == {d: len(by_day[d] & by_day.get(days[k - 1] if k else "", set())) for k, d in enumerate(days)}
+    # Bits, not rows: a few bytes for each device and day at most.
+    state = sets.agg(F.sum(F.octet_length("bits"))).first()[0]
+    assert state < 4 * sum(map(len, by_day.values()))
