@@ -13,7 +13,8 @@ two bags of similarity ``SIMILAR`` or more share one of the rarest shingles of e
 of a large, loosely alike group are ever listed.
 
 Defined results: copies of the same words form a class, texts without words are copies of each
-other; a text of one to four words is one shingle; rows that share a doc_id are one document; rows
+other; a text of one to four words is one shingle; very long texts
+are signed and compared whole; rows that share a doc_id are one document; rows
 without doc_id take no part and get no class; an empty table gives no rows; other columns are not
 read.
 """

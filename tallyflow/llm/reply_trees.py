@@ -60,12 +60,15 @@ def rooted(nodes: DataFrame, folder: str) -> tuple[DataFrame, list[DataFrame]]:
                      F.coalesce("score", F.lit(0.0)).alias("path_score"),
                      F.lit(1).cast("long").alias("depth")))
     pointers, done, going = [], [], start
+    # A root is at most as many steps away as its conversation has nodes; what has not come there by then
+    # is on a cycle.
+    largest = nodes.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     while True:
         step = kept(going, f"{folder}/pointers-{len(pointers)}")
         pointers.append(step)
         done.append(step.where("up is null").drop("up"))
         going = step.where("up is not null")
-        if going.isEmpty() or len(pointers) > 40:
+        if going.isEmpty() or 1 << (len(pointers) - 1) > largest:
             break
         # Only nodes that are still on their way are joined; their ancestors may have arrived.
         reached = reduce(DataFrame.unionByName, done).withColumn("up", F.lit(None).cast("long"))

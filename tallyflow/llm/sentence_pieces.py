@@ -45,6 +45,10 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _LETTER = re.compile(f"[{_LATIN}]")
 _SEGMENT = re.compile(rf" *[{_LATIN}]+| *[^ \n{_LATIN}]+|\n| +")
 
+# A segment begins at a line end and at a blank behind something else.
+_BORDER = re.compile(r"\n|(?<=[^ ]) ")
+PART = 1 << 20
+
 
 def _one_by_one(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
@@ -236,14 +240,31 @@ class Rounds:
         return chosen & ((index - run_start) % 2 == 0)
 
 
+def parts(text: str) -> Iterator[str]:
+    """A text cut before segments, into stretches of about PART characters."""
+    at = 0
+    while len(text) - at > PART:
+        border = _BORDER.search(text, at + PART)
+        cut = border.start() if border else len(text)
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
 class Encoder:
     def __init__(self, model_file: str):
         self.pieces = Pieces(model_file)
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        split = [_SEGMENT.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
+        """The ids of each text as little-endian 32-bit numbers; a very long text part by part."""
+        whole = [" " + t.replace(MARK, " ") if t else "" for t in texts]
+        short = iter(self._ids([t for t in whole if len(t) <= PART]))
+        return [next(short) if len(t) <= PART else b"".join(self._ids([part])[0] for part in parts(t))
+                for t in whole]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        split = [_SEGMENT.findall(t) for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         known = self.known

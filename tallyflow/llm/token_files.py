@@ -11,7 +11,7 @@ attempt uses; the manifest that Spark writes names the shards that count.  A los
 is run again and leaves at most an unnamed file.
 
 Defined results: null text is an empty document (its end id only); a null doc_id comes last; rows
-that share a doc_id are kept each, ordered by a hash of their text; empty tables give an empty
+that share a doc_id are kept each, ordered by a hash of their text; a very long text is one frame; empty tables give an empty
 manifest; other columns are not read.
 """
 

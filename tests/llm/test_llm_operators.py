@@ -1,7 +1,9 @@
 """Each operator on odd documents, against plain Python or a round trip."""
 
 import hashlib
+import math
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -444,6 +446,37 @@ def test_classifier_learns_and_scores_everything(spark, odd):
     assert {r.held_out for r in scores if r.doc_id is None} == {False}
 
 
+def plain_statistics(text):
+    text = text or ""
+    w, lines = words(text), text.split("\n")
+    chars = sum(map(len, w))
+    of = lambda n, whole: n / max(whole, 1)
+    found = lambda chars_: sum(c in chars_ for c in text)
+    return [float(len(w)), of(chars, len(w)), of(len(set(w)), len(w)),
+            of(sum(a == b for a, b in zip(w, w[1:])), len(w)),
+            of(sum(unicodedata.category(c) == "Lu" for c in text), chars), of(found("#*$%&<>^~=_"), chars),
+            of(found("|"), len(w)), of(found("!"), len(w)), of(found(".,;:?"), len(w)), of(found("0123456789"), chars),
+            of(len(w), len(lines)), of(len(lines) - len(set(lines)), len(lines))]
+
+
+def test_scores_are_those_of_the_rules_in_plain_python(spark, odd):
+    from conftest import SMALL
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = rule_classifier.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert model.weighted
+    for table in (docs, odd):
+        texts = table.select("doc_id", "text").collect()
+        want = []
+        for r in texts:
+            stats = plain_statistics(r.text)
+            total = model.intercept + sum(weight for rule, weight in model.weighted if all(
+                stats[k] <= v if upper else stats[k] > v for k, upper, v in rule.bounds))
+            want.append((r.doc_id, round(1 / (1 + math.exp(-total)), 9)))
+        got = [(r.doc_id, round(r.score, 9)) for r in rule_classifier.classify(table, model).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_classifier_without_or_with_one_class(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int")

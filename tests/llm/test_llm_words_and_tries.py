@@ -137,6 +137,14 @@ def test_ids_of_random_texts(own, library):
     assert ids_of(own, texts) == library.encode(texts)
 
 
+def test_ids_of_texts_in_parts(own, library, monkeypatch):
+    r = random.Random(9)
+    texts = ["".join(r.choice(LETTERS) for _ in range(r.randint(0, 60))) for _ in range(3000)]
+    for size in (1, 7, 30):
+        monkeypatch.setattr(sentence_pieces, "PART", size)
+        assert ids_of(own, texts) == library.encode(texts)
+
+
 @pytest.mark.parametrize("parts", [[*"abcdehilnorstuvwyz"], [*"aab"], ["th", "e", "in", "g", "er", "an", "ion"],
                                    ["a"], [*"ACGT"], [*"日本語"], ["-", "=", "_"]])
 def test_ids_of_long_words(own, library, parts):
