@@ -491,6 +491,11 @@ ORACLE["search_index"] = f"""
 with {_HITS}
 select order_detail_id, order_id::varchar as order_id, order_status, create_time, user_id::varchar as user_id,
        sku_id::varchar as sku_id, user_gender, user_age, user_level, sku_price, sku_name, dt from hits"""
+ORACLE["table_page"] = f"""
+with {_SALES}
+select order_detail_id, order_id::varchar as order_id, order_status, create_time, user_id::varchar as user_id,
+       sku_id::varchar as sku_id, user_gender, user_age, user_level, sku_price, sku_name, dt
+from sale order by order_detail_id limit 10 offset 3990"""
 ORACLE["sale_ranked"] = f"""
 with {_HITS},
 named as (

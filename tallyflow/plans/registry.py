@@ -478,6 +478,13 @@ def search_index(spark, folder):
     return api.RetailQueries(spark, root).search_index(None, KEYWORD)
 
 
+@query
+def table_page(spark, folder):
+    """A page far behind, from the files that hold it."""
+    root = _stored(spark, folder, tables.PAGES, _sales(spark, folder))
+    return tables.PAGES.page(spark, root, 400, 10)
+
+
 @query
 def sale_ranked(spark, folder):
     """The best ten sales of the two words by BM25."""

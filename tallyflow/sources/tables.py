@@ -89,7 +89,7 @@ class ServingTable:
             .collect()))
         if not files:
             return None
-        store.put_new(spark, f"{self.folder(root)}/files/{name}", json.dumps([f[:3] for f in files]))
+        store.put_new(spark, f"{self.folder(root)}/files/{name}", json.dumps(files))
         return {"name": name, "level": level, "rows": sum(f[3] for f in files), "low": files[0][0],
                 "high": max(f[1] for f in files)}
 
@@ -101,6 +101,10 @@ class ServingTable:
 
     # --- reading -----------------------------------------------------------------------------
 
+    def listed(self, spark: SparkSession, root: str, part: dict) -> list[list]:
+        """(low, high, name, rows) of the files of a part, in order."""
+        return json.loads(store.read_text(spark, f"{self.folder(root)}/files/{part['name']}"))
+
     def files(self, spark: SparkSession, root: str, wanted: Sequence | None = None,
               state: dict | None = None, since=None) -> dict[int, list[str]]:
         """commit -> the files of one state that may hold a wanted layout value (None: any), ``since`` or later."""
@@ -114,7 +118,7 @@ class ServingTable:
         base = self.folder(root)
         for part in state["tables"].get(self.name, []):
             if open_for(part["low"], part["high"]):
-                for low, high, file in json.loads(store.read_text(spark, f"{base}/files/{part['name']}")):
+                for low, high, file, _ in self.listed(spark, root, part):
                     if open_for(low, high):
                         found.setdefault(part["commit"], []).append(f"{base}/parts/{part['name']}/{file}")
         return found
@@ -147,6 +151,27 @@ class ServingTable:
         rows = self.versions(spark, root, days or None, state)
         return self.latest(rows.filter(F.col(self.day).isin(*days)) if days else rows)
 
+    def page(self, spark: SparkSession, root: str, page: int, size: int) -> DataFrame:
+        """Page ``page`` (from 1) of ``size`` rows in order of layout value and key, from a table in one part.
+
+        The rows of each file are known, and files hold ranges one after the other; so the files before the page
+        are counted, not read.
+        """
+        parts = Log(spark, root).head()["tables"].get(self.name, [])
+        if len(parts) > 1:
+            raise ValueError(f"gather {self.name} before it is paged")
+        first, at, chosen, before = (page - 1) * size, 0, [], 0
+        for part in parts:
+            for _, _, name, n in self.listed(spark, root, part):
+                if at < first + size and at + n > first:
+                    before = before if chosen else at
+                    chosen.append(f"{self.folder(root)}/parts/{part['name']}/{name}")
+                at += n
+        if not chosen:
+            return self.none(spark)
+        rows = spark.read.schema(self.schema).parquet(*chosen)
+        return rows.orderBy(self.layout, *self.key).offset(first - before).limit(size)
+
     def read_keys(self, keys: DataFrame, root: str, state: dict | None = None) -> DataFrame:
         """The current rows of the given keys (the first columns of the table's, under their names); only the
         files of their buckets are opened.  The driver sees the numbers of the buckets, at most ``BUCKETS``."""
@@ -201,6 +226,8 @@ ALERTS = ServingTable("coupon_alert", schemas.ALERT_TABLE, ("alert_id",), "alert
 USERS = ServingTable("user_info_dim", schemas.USER_TABLE, ("id",))
 # Which sales have a word, laid out by the hash of the word.
 POSTINGS = ServingTable("sale_posting", schemas.POSTING_TABLE, ("word", "order_detail_id"))
+# Sales in order of their ids, for paging.
+PAGES = ServingTable("sale_page", schemas.SALE_TABLE, ("order_detail_id",), "order_detail_id")
 # Lines and orders that met no partner within the wait; an order has no line.
 UNMATCHED = ServingTable("sale_unmatched", schemas.UNMATCHED_TABLE, ("order_id", "order_detail_id"))
 # Figures by hour, kept up to date by the jobs that write the rows they count.

@@ -162,7 +162,7 @@ def test_a_day_that_holds_most_rows_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     part = Log(spark, root).head()["tables"]["dau"][0]
     files = json.loads(store.read_text(spark, f"{root}/dau/files/{part['name']}"))
-    assert sum(low <= "2024-01-01" <= high for low, high, _ in files) >= 3
+    assert sum(low <= "2024-01-01" <= high for low, high, *_ in files) >= 3
 
 
 @pytest.mark.parametrize("size", [2_000, 20_000])
@@ -198,3 +198,26 @@ def test_expired_panes_leave_the_table(spark, tmp_path):
     assert tables.expire(spark, tables.PANES, root, 20) and not tables.expire(spark, tables.PANES, root, 20)
     assert [r.pane for r in tables.PANES.read(spark, root).collect()] == [20]
     assert tables.PANES.versions(spark, root, since=21).count() == 0
+
+
+def test_a_page_opens_the_files_that_hold_it(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(5000).select(F.format_string("%05d", (F.col("id") * 7919) % 5000).alias("order_detail_id"), *[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.SALE_TABLE.fields[1:]])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.PAGES.put(rows.where("order_detail_id < '04000'"), root)
+        tables.PAGES.put(rows.where("order_detail_id >= '03990'"), root)
+        with pytest.raises(ValueError):
+            tables.PAGES.page(spark, root, 1, 10)
+        assert tables.gather(spark, tables.PAGES, root, everything=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    every = tables.PAGES.files(spark, root)
+    assert len(sum(every.values(), [])) >= 4
+    for page, size in ((1, 10), (400, 10), (500, 10), (3, 1700)):
+        got = tables.PAGES.page(spark, root, page, size)
+        want = [f"{k:05d}" for k in range(5000)[(page - 1) * size:page * size]]
+        assert [r.order_detail_id for r in got.collect()] == want
+        assert size > 10 or len(got.inputFiles()) <= 2
+    assert tables.PAGES.page(spark, root, 501, 10).count() == 0
