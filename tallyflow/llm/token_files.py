@@ -139,8 +139,20 @@ def encoder(tokenizer_file: str) -> WordEncoder:
     return _ENCODERS[tokenizer_file]
 
 
+# Hadoop's names of stores that Arrow knows by another one.
+STORES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A folder as Hadoop names it, as Arrow does; a plain path is a local one."""
+    scheme, found, rest = uri.partition(":")
+    if not found or "/" in scheme:
+        return f"file://{uri}"
+    return f"{STORES.get(scheme, scheme)}:{rest}"
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    return pafs.FileSystem.from_uri(arrow_uri(uri))
 
 
 class ShardWriter:

@@ -114,6 +114,15 @@ def test_shard_is_seekable_zstd_and_checked(tmp_path):
         shard.read(0)
 
 
+def test_folders_under_their_arrow_names(tmp_path):
+    assert token_files.arrow_uri("s3a://shop/files/x") == "s3://shop/files/x"
+    assert token_files.arrow_uri("hdfs://name:8020/files") == "hdfs://name:8020/files"
+    assert token_files.arrow_uri("/files/a:b") == "file:///files/a:b"
+    for uri in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}"):
+        system, path = token_files.file_system(uri)
+        assert system.type_name == "local" and path == str(tmp_path)
+
+
 def test_counts_are_the_library(monkeypatch):
     own = token_counts.counter(tokenizer(PIECE_BPE))
     library = token_counts.sentencepiece.SentencePieceProcessor(model_file=tokenizer(PIECE_BPE))
