@@ -93,6 +93,10 @@ def _placed(docs: DataFrame, carry: bool) -> DataFrame:
     known = blocks.join(rates, blocks["source"].eqNullSafe(rates["source"])).select(
         blocks["source"].alias("s"), blocks["block"].alias("b"), "before", "first", "source_size",
         "target", "rate")
+    # Stored, its size is known when the join is planned: a small one is broadcast, and the rows with
+    # their texts are not shuffled again.
+    known.write.parquet(f"{folder}/known")
+    known = spark.read.schema(known.schema).parquet(f"{folder}/known")
     placed = rows.join(known, [F.col("source").eqNullSafe(F.col("s")), F.col("block") == F.col("b")])
     end = (F.col("before") + F.col("at") - F.col("first") + 1) * F.col("rate") + offset(F.col("source"))
     crossed = (F.shiftright(end, 24) - F.shiftright(end - F.col("rate"), 24)).cast("long")
