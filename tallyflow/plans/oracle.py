@@ -458,10 +458,12 @@ from ({_HOURS_OF_DEVICES})
 union all select 'order_amount', log_hour, yesterday, today from ({_HOURS_OF_AMOUNTS})""",
 
     "stream_sales_repaired": f"""
-with {_SALES}
-select order_detail_id, coalesce(line.order_id, ord.order_id)::varchar as order_id, sku_id::varchar as sku_id,
+with {_SALES},
+one as (
+  select * from line qualify row_number() over (partition by order_detail_id order by sku_price desc) = 1)
+select order_detail_id, coalesce(one.order_id, ord.order_id)::varchar as order_id, sku_id::varchar as sku_id,
        sku_name, sku_price, order_status, create_time, user_id::varchar as user_id, dt
-from line full join ord on line.order_id = ord.order_id""",
+from one full join ord on one.order_id = ord.order_id""",
 
     "stream_users_sales": f"""
 with {_SALES},

@@ -12,7 +12,7 @@ from tallyflow import fixed
 from tallyflow.functions import columns as C
 from tallyflow.operators import (alerts, device_sets, first_start, orders as order_ops, regions, routing,
                                  sales, search)
-from tallyflow.operators.latest import latest_per_key
+from tallyflow.operators.latest import latest_per_key, one_per_key
 from tallyflow.plans import api, serving, star
 from tallyflow.session import configure, keep_state_on_disk, work_dir
 from tallyflow.sources import tables, topics
@@ -691,9 +691,13 @@ def stream_sales(spark, folder):
 
 @query
 def stream_sales_repaired(spark, folder):
-    """Pairs of the stream, and the orders and lines that missed each other there, joined afterwards."""
+    """Pairs of the stream, and the orders and lines that missed each other there, joined afterwards.
+
+    A table holds one row per id, so of lines that share one the dearest is fed.
+    """
     out = work_dir(spark, "stream-repaired")
     orders, lines = _sale_rows(spark, folder)
+    lines = one_per_key(lines, ["id"], [F.desc("order_price")])
 
     def with_last(rows, time):
         """A last row long after all others, whose partner never comes, completes what waits."""
