@@ -9,7 +9,7 @@ differ from the target by about one of the largest documents at most.
 
 A running sum over a hot source would be one task's work: the rows are laid out by (source, size,
 id) in ranges of even size, numbered inside a range, and shifted by the numbers of the ranges
-before; a mixed document is carried along, so nothing is joined by id.  Sums are whole numbers in units of 2**-24 copies, so the layout can't change a result.
+before; mixed documents are found again by a name made of all their columns, not by id.  Sums are whole numbers in units of 2**-24 copies, so the layout can't change a result.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; an
 empty source or a source of empty texts has target 0 and gives nothing; rows equal in source,
@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyflow.operators.latest import one_per_key
 from tallyflow.session import shuffle_tasks, work_dir
 
 WEIGHTS = (5, 2, 1)
@@ -69,13 +70,13 @@ def offset(source: Column) -> Column:
     return F.conv(digits, 16, 10).cast("long")
 
 
-def _placed(docs: DataFrame, carry: bool) -> DataFrame:
-    """Every row with its copies; ``doc`` holds the whole row where it is to be given out."""
+def copies(docs: DataFrame, *names: str) -> DataFrame:
+    """doc_id, size, source, source_size, target, n_copies (and the columns ``names``) for every row of
+    (doc_id, source, text)."""
     spark = docs.sparkSession
     folder = work_dir(spark, "mixing")
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
     sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"),
-                        size(F.col("text")).alias("size"), *whole)
+                        size(F.col("text")).alias("size"), *names)
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id")]
     # The layout is written once: the sums of the ranges and the rows must agree on it.
     laid = sized.repartitionByRange(shuffle_tasks(spark), *order).sortWithinPartitions(*order).select(
@@ -93,25 +94,27 @@ def _placed(docs: DataFrame, carry: bool) -> DataFrame:
     known = blocks.join(rates, blocks["source"].eqNullSafe(rates["source"])).select(
         blocks["source"].alias("s"), blocks["block"].alias("b"), "before", "first", "source_size",
         "target", "rate")
-    # Stored, its size is known when the join is planned: a small one is broadcast, and the rows with
-    # their texts are not shuffled again.
-    known.write.parquet(f"{folder}/known")
-    known = spark.read.schema(known.schema).parquet(f"{folder}/known")
     placed = rows.join(known, [F.col("source").eqNullSafe(F.col("s")), F.col("block") == F.col("b")])
     end = (F.col("before") + F.col("at") - F.col("first") + 1) * F.col("rate") + offset(F.col("source"))
     crossed = (F.shiftright(end, 24) - F.shiftright(end - F.col("rate"), 24)).cast("long")
-    return placed.select("doc_id", "size", "source", "source_size", "target", crossed.alias("n_copies"),
-                         *(["doc"] if carry else []))
-
-
-def copies(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source, source_size, target, n_copies for every row of (doc_id, source, text)."""
-    return _placed(docs, carry=False)
+    return placed.select("doc_id", "size", "source", "source_size", "target", crossed.alias("n_copies"), *names)
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mixed documents with all their columns, each as often as it is taken; rows are taken each by
-    their own place, whatever ids they share."""
-    taken = _placed(docs, carry=True).where("n_copies > 0")
-    return (taken.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))).alias("k"))
+    """The mixed documents with all their columns, each as often as it is taken.
+
+    Rows are taken by their own places and found again by 128 bits of all their columns; rows equal in all of
+    them are given out together, as often as they are taken together.  Of such rows each task sends one.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # A hash passes over nulls, so it is told where they are.
+    whole = [*columns, *[c.isNull() for c in columns]]
+    named = docs.select(F.xxhash64(*whole).alias("name_a"), F.xxhash64(F.lit(1), *whole).alias("name_b"),
+                        F.struct(*columns).alias("doc"))
+    light = named.select("name_a", "name_b", "doc.doc_id", "doc.source", "doc.text")
+    taken = (copies(light, "name_a", "name_b").groupBy("name_a", "name_b")
+             .agg(F.sum("n_copies").alias("taken_copies")).where("taken_copies > 0"))
+    one = one_per_key(named, ["name_a", "name_b"], ["name_a"])
+    return (one.join(taken, ["name_a", "name_b"])
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("taken_copies"))).alias("k"))
             .select("doc.*"))
