@@ -6,9 +6,11 @@ depends on the content of each of these windows alone, so equal windows meet und
 0. ``identified``: copies of a whole text are settled by its hashes; only the first goes on.
 1. ``shared_keys``: keys go to buckets as packed arrays.  A task sends a key once per batch of
    documents, however many of them have it, and settles on the spot which of its documents
-   share it; so a key of a third of all documents costs a few bytes per batch, not per document.
+   share it; these stay with the batch, and the bucket only tells the batch whether the key is hot.  So a
+   key of a third of all documents costs its bucket a few bytes per batch, not per document.
 2. ``repeated_windows``: only pieces with shared keys are sent on, again once per batch and equal
-   content.  A bucket compares whole pieces first, then the windows of those that differ.
+   content; what is settled in the batch goes by its bucket.  A bucket compares whole pieces first,
+   then the windows of those that differ.
    A key with more than ``HOT`` documents is cut into single windows that are dealt out by
    their own content, so a passage in very many different surroundings does not meet in one task.
 3. The removed windows of a document go back to it by id.
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,15 +184,15 @@ def unsqueezed(column: pa.Array) -> list[bytes]:
     return [unpacker.decompress(x.as_buffer()) for x in column]
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], work: Callable) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by their first column, handed on bucket by bucket."""
-    held, bucket = [], None
+def _by(batches: Iterator[pa.RecordBatch], column: str, work: Callable) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by a column, handed on together where they share its value."""
+    held, value = [], None
     for batch in batches:
         for row in batch.to_pylist():
-            if held and row["bucket"] != bucket:
+            if held and row[column] != value:
                 yield work(held)
                 held = []
-            bucket = row["bucket"]
+            value = row[column]
             held.append(row)
     if held:
         yield work(held)
@@ -201,33 +204,44 @@ def _bucket_parts(bucket: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
         yield int(b), slice(int(cuts[b]), int(cuts[b + 1]))
 
 
-def shared_keys(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within: bool) -> DataFrame:
-    """(doc, key, hot) of the keys that several originals have (``within``: or one has twice)."""
-    tasks = shuffle_tasks(texts.sparkSession)
-    n_buckets = BUCKETS * tasks
+def _batch_name(flushed: int) -> int:
+    """Number of a batch of entries: the same when a lost task runs again."""
+    return (TaskContext.get().partitionId() << 32) | flushed
+
+
+def _aside(batch: int, n_buckets: int) -> int:
+    """A bucket behind the others, for what a batch has settled and nobody has to meet."""
+    return n_buckets + xxhash.xxh3_64_intdigest(batch.to_bytes(8, "little")) % n_buckets
 
-    def flush(keys: list, owners: list) -> Iterator[pa.RecordBatch]:
+
+def key_entries(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within: bool) -> DataFrame:
+    """Keys of the originals by bucket, packed: see ``KEY_ROWS``.
+
+    ``keys`` are those that one document of the batch has, with the documents; ``seen`` those that several have (``within``:
+    or one has twice), with the number of documents.  The documents of these are in a bucket aside.
+    """
+    n_buckets = BUCKETS * shuffle_tasks(texts.sparkSession)
+
+    def flush(keys: list, owners: list, batch: int) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.concatenate(owners)
         bucket = (key % U(n_buckets)).astype(np.int64)
         order = np.lexsort((doc, key, bucket))
         key, doc, bucket = key[order], doc[order], bucket[order]
-        new = group_starts(key)
+        new, once = group_starts(key), group_starts(key, doc)
         group = np.cumsum(new) - 1
-        size = np.bincount(group)
-        distinct = np.bincount(group, group_starts(key, doc)).astype(np.int64)
-        many = (size if within else distinct)[group] > 1
-        once = group_starts(key, doc)
+        distinct = np.bincount(group, once).astype(np.int64)
+        many = (np.bincount(group) if within else distinct)[group] > 1
         rows = []
         for b, part in _bucket_parts(bucket, n_buckets):
             k, d, m, first, one = key[part], doc[part], many[part], new[part], once[part]
-            rows.append({"bucket": b, "keys": k[~m & one].tobytes(), "docs": pack(d[~m & one]),
-                         "seen": k[m & first].tobytes(),
-                         "seen_docs": pack(distinct[group[part]][m & first]),
-                         "found_docs": pack(d[m & one])})
-        yield pa.RecordBatch.from_pylist(rows, schema=KEY_ROWS)
+            rows.append({"bucket": b, "batch": batch, "keys": k[~m & one].tobytes(), "docs": pack(d[~m & one]),
+                         "seen": k[m & first].tobytes(), "seen_docs": pack(distinct[group[part]][m & first])})
+        rows.append({"bucket": _aside(batch, n_buckets), "batch": batch, "keys": b"", "docs": pack(doc[many & once]),
+                     "seen": key[many & new].tobytes(), "seen_docs": pack(distinct[group[many & new]])})
+        return pa.RecordBatch.from_pylist(rows, schema=KEY_ROWS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, held = [], [], 0
+        keys, owners, held, flushed = [], [], 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 few = batch.slice(at, 256)
@@ -238,42 +252,71 @@ def shared_keys(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within:
                     owners.append(ids[a:b][pieces.text])
                     held += len(pieces.key)
                 if held >= BATCH:
-                    yield from flush(keys, owners)
-                    keys, owners, held = [], [], 0
+                    yield flush(keys, owners, _batch_name(flushed))
+                    keys, owners, held, flushed = [], [], 0, flushed + 1
         if held:
-            yield from flush(keys, owners)
+            yield flush(keys, owners, _batch_name(flushed))
+
+    return originals(texts).select("doc", "packed").mapInArrow(
+        send, "bucket int, batch long, keys binary, docs binary, seen binary, seen_docs binary")
+
+
+def shared_keys(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within: bool) -> DataFrame:
+    """(doc, keys, hot_keys) of the keys that several originals have (``within``: or one has twice);
+    rows that share a ``doc`` may have a row each."""
+    tasks = shuffle_tasks(texts.sparkSession)
+    n_buckets = BUCKETS * tasks
 
     def meet(rows: list[dict]) -> pa.RecordBatch:
-        single = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
-        single_doc = np.concatenate([unpack(r["docs"]) for r in rows])
-        seen = np.concatenate([np.frombuffer(r["seen"], np.uint64) for r in rows])
-        seen_docs = np.concatenate([unpack(r["seen_docs"]) for r in rows])
-        found_doc = np.concatenate([unpack(r["found_docs"]) for r in rows])
-        found = np.repeat(seen, seen_docs)
-        names, at = np.unique(np.concatenate([single, seen]), return_inverse=True)
-        entries = np.bincount(at, minlength=len(names))
-        total = np.bincount(at, np.concatenate([np.ones(len(single)), seen_docs]), minlength=len(names))
-        shared = entries > 1
-        shared[at[len(single):]] = True
-        mine = at[:len(single)]
-        keep = shared[mine]
-        key = np.concatenate([single[keep], found])
-        hot = np.concatenate([total[mine[keep]], np.repeat(total[at[len(single):]], seen_docs)]) > HOT
+        """To each batch: which of its single keys are shared, and which of all are hot."""
+        if rows[0]["bucket"] >= n_buckets:
+            return pa.RecordBatch.from_pylist([{
+                "batch": r["batch"], "keys": r["seen"], "counts": r["seen_docs"], "docs": r["docs"], "hot": b""}
+                for r in rows], schema=FOUND_ROWS)
+        own = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+        seen = [np.frombuffer(r["seen"], np.uint64) for r in rows]
+        n_own, n_seen = sum(map(len, own)), np.concatenate([unpack(r["seen_docs"]) for r in rows])
+        names, at = np.unique(np.concatenate([*own, *seen]), return_inverse=True)
+        shared = np.bincount(at, minlength=len(names)) > 1
+        shared[at[n_own:]] = True
+        hot = np.bincount(at, np.concatenate([np.ones(n_own), n_seen]), minlength=len(names)) > HOT
+        out, a, b = [], 0, n_own
+        for row, mine, met in zip(rows, own, seen):
+            keep = shared[at[a:a + len(mine)]]
+            burnt = [mine[hot[at[a:a + len(mine)]]], met[hot[at[b:b + len(met)]]]]
+            a, b = a + len(mine), b + len(met)
+            out.append({"batch": row["batch"], "keys": mine[keep].tobytes(),
+                        "counts": pack(np.ones(keep.sum(), np.int64)), "docs": pack(unpack(row["docs"])[keep]),
+                        "hot": np.concatenate(burnt).tobytes()})
+        return pa.RecordBatch.from_pylist([r for r in out if r["keys"] or r["hot"]], schema=FOUND_ROWS)
+
+    def gather(rows: list[dict]) -> pa.RecordBatch:
+        """A batch's shared keys, document by document."""
+        key = np.concatenate([np.repeat(np.frombuffer(r["keys"], np.uint64), unpack(r["counts"])) for r in rows])
+        doc = np.concatenate([unpack(r["docs"]) for r in rows])
+        hot = np.isin(key, np.concatenate([np.frombuffer(r["hot"], np.uint64) for r in rows]))
+        order = np.argsort(doc, kind="stable")
+        key, doc, hot = key[order].view(np.int64), doc[order], hot[order]
+        starts = np.flatnonzero(group_starts(doc))
+        ends = np.append(starts, len(doc))
+        n_hot = np.concatenate([[0], np.cumsum(hot)])
+        lists = lambda values, at: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([single_doc[keep], found_doc])), pa.array(key.view(np.int64)),
-             pa.array(hot)], names=["doc", "key", "hot"])
+            [pa.array(doc[starts]), lists(key, ends), lists(key[hot], n_hot[ends])], names=["doc", "keys", "hot_keys"])
 
-    sent = originals(texts).select("doc", "packed").mapInArrow(send, "bucket int, keys binary, docs binary, seen binary, "
-                                  "seen_docs binary, found_docs binary")
-    dealt = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda batches: _by_bucket(batches, meet), "doc long, key long, hot boolean")
+    met = (key_entries(texts, cut, within).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+           .mapInArrow(lambda batches: _by(batches, "bucket", meet),
+                       "batch long, keys binary, counts binary, docs binary, hot binary"))
+    return (met.repartition(tasks, "batch").sortWithinPartitions("batch")
+            .mapInArrow(lambda batches: _by(batches, "batch", gather),
+                        "doc long, keys array<long>, hot_keys array<long>"))
 
 
-KEY_ROWS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in (
-    "keys", "docs", "seen", "seen_docs", "found_docs")]])
+KEY_ROWS = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), *[(c, pa.binary()) for c in (
+    "keys", "docs", "seen", "seen_docs")]])
+FOUND_ROWS = pa.schema([("batch", pa.int64()), *[(c, pa.binary()) for c in ("keys", "counts", "docs", "hot")]])
 PIECE_ROWS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in (
-    "keys", "payload", "sizes", "owner", "docs", "versions", "starts",
-    "gone_docs", "gone_versions", "gone_starts", "gone_n")]])
+    "keys", "payload", "sizes", "owner", "docs", "versions", "starts", "ns")]])
 REMOVED = "doc long, version long, start long, n long"
 
 
@@ -287,7 +330,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
     tasks = shuffle_tasks(texts.sparkSession)
     n_buckets = BUCKETS * tasks
 
-    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[tuple], batch: int) -> pa.RecordBatch:
         key, name, doc, version, start, n, size = (np.concatenate([h[i] for h in held]) for i in range(7))
         payload = np.concatenate([h[7] for h in held])
         bucket = (key % U(n_buckets)).astype(np.int64)
@@ -311,18 +354,18 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         for b, part in _bucket_parts(bucket, n_buckets):
             first = np.flatnonzero(new[part]) + part.start
             s = np.flatnonzero(stay[part]) + part.start
-            g = np.flatnonzero(~same[part]) + part.start
             rows.append({
                 "bucket": b, "keys": key[first].tobytes(),
                 "payload": packer.compress(payload[ragged(at[first], size[first])].tobytes()),
                 "sizes": pack(size[first]), "owner": pack(group[s] - group[part.start]),
-                "docs": pack(doc[s]), "versions": pack(version[s]), "starts": pack(start[s]),
-                "gone_docs": pack(doc[g]), "gone_versions": pack(version[g]),
-                "gone_starts": pack(start[g]), "gone_n": pack(n[g])})
-        yield pa.RecordBatch.from_pylist(rows, schema=PIECE_ROWS)
+                "docs": pack(doc[s]), "versions": pack(version[s]), "starts": pack(start[s]), "ns": b""})
+        rows.append({"bucket": _aside(batch, n_buckets), **dict.fromkeys(("keys", "payload", "sizes", "owner"), b""),
+                     "docs": pack(doc[~same]), "versions": pack(version[~same]), "starts": pack(start[~same]),
+                     "ns": pack(n[~same])})
+        return pa.RecordBatch.from_pylist(rows, schema=PIECE_ROWS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        held, count, flushed = [], 0, 0
         for batch in batches:
             ids, versions = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at in range(0, batch.num_rows, 256):
@@ -348,20 +391,20 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
                                  start, n, size, payload))
                     count += len(key)
                     if count >= BATCH // 8:
-                        yield from flush(held)
-                        held, count = [], 0
+                        yield flush(held, _batch_name(flushed))
+                        held, count, flushed = [], 0, flushed + 1
         if held:
-            yield from flush(held)
+            yield flush(held, _batch_name(flushed))
 
     def meet(rows: list[dict]) -> pa.RecordBatch:
+        doc, version, start = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("docs", "versions", "starts"))
+        if rows[0]["bucket"] >= n_buckets:
+            return windows(doc, version, start, np.concatenate([unpack(r["ns"]) for r in rows]))
         keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
         counts = [len(r["keys"]) // 8 for r in rows]
         sizes = np.concatenate([unpack(r["sizes"]) for r in rows])
         before = np.cumsum([0, *counts[:-1]])
         owner = np.concatenate([unpack(r["owner"]) + o for r, o in zip(rows, before)])
-        doc = np.concatenate([unpack(r["docs"]) for r in rows])
-        version = np.concatenate([unpack(r["versions"]) for r in rows])
-        start = np.concatenate([unpack(r["starts"]) for r in rows])
         unpacker = zstandard.ZstdDecompressor()
         payload = b"".join(unpacker.decompress(r["payload"]) for r in rows)
         # One entry leads each content; further entries of it are of the same document.
@@ -376,21 +419,17 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
         runs = (cuts[1:] - cuts[:-1])[owner]
         entry = np.repeat(np.arange(len(owner)), runs)
         run = ragged(cuts[:-1][owner], runs)
-        gone = [np.concatenate([unpack(r[c]) for r in rows]) for c in ("gone_docs", "gone_starts", "gone_n")]
-        gone_version = np.concatenate([unpack(r["gone_versions"]) for r in rows])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([doc[entry], gone[0]])),
-             pa.array(np.concatenate([version[entry], gone_version])),
-             pa.array(np.concatenate([start[entry] + run_at[run], gone[1]])),
-             pa.array(np.concatenate([run_n[run], gone[2]]))], names=["doc", "version", "start", "n"])
+        return windows(doc[entry], version[entry], start[entry] + run_at[run], run_n[run])
+
+    def windows(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "version", "start", "n"])
 
     per_doc = flagged.groupBy("doc").agg(
-        F.collect_list("key").alias("keys"),
-        F.collect_list(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"))
+        *[F.flatten(F.collect_list(c)).alias(c) for c in ("keys", "hot_keys")])
     joined = originals(texts).join(per_doc, "doc").select("doc", "version", "packed", "keys", "hot_keys")
     sent = joined.mapInArrow(send, "bucket int, " + ", ".join(f"{c} binary" for c in PIECE_ROWS.names[1:]))
     dealt = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda batches: _by_bucket(batches, meet), REMOVED)
+    return dealt.mapInArrow(lambda batches: _by(batches, "bucket", meet), REMOVED)
 
 
 def with_removed(texts: DataFrame, removed: DataFrame) -> DataFrame:

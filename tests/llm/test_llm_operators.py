@@ -410,6 +410,28 @@ def test_rows_without_id_keep_their_own_bytes(spark):
     assert texts.where("version % 2 <> 0").select("doc", "version").distinct().count() == n + 1
 
 
+@pytest.mark.parametrize("module,pieces", [(byte_repeats, byte_repeats.BytePieces),
+                                           (word_repeats, word_repeats.WordPieces)])
+def test_a_passage_of_all_documents_fills_no_bucket(spark, monkeypatch, module, pieces):
+    """What a batch has settled goes past the buckets, for every batch and however hot the key."""
+    monkeypatch.setattr(repeats, "BATCH", 4000)
+    monkeypatch.setattr(repeats, "HOT", 100)
+    n = 1500
+    rows = [(k, samples.prose(25, 100 + k) + f" own{k} " + samples.SHARED, "", "") for k in range(n)]
+    docs = documents(spark, rows).repartition(2)
+    within = module is word_repeats
+    entries = repeats.key_entries(repeats.identified(docs), pieces, within).withColumn(
+        "size", sum(F.length(c) for c in ("keys", "docs", "seen", "seen_docs")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = entries.where(F.col("bucket") < repeats.BUCKETS * tasks)
+    sizes = sorted(r.size for r in met.groupBy("bucket").agg(F.sum("size").alias("size")).collect())
+    assert entries.select("batch").distinct().count() > 3
+    assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    got = {r.doc_id: r.n_removed for r in module.remove_repeats(docs).collect()}
+    least = len(samples.SHARED.split()) if within else len(samples.SHARED.encode())
+    assert len(got) == n and all(got[k] >= least for k in range(1, n))
+
+
 def test_symbols_depend_on_their_stretch_only():
     """Equal stretches of words give equal symbols, wherever they stand."""
     draw = np.random.default_rng(1)
