@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow import fixed
@@ -73,6 +73,12 @@ def whole_years(birthday: Column, as_of: Column) -> Column:
     return (days / 365).cast("int")
 
 
+def micros(spark: SparkSession, period: str) -> int:
+    """The microseconds of a period such as ``10 minutes``."""
+    start = F.timestamp_micros(F.lit(0))
+    return spark.range(1).select(F.unix_micros(start + F.expr(f"INTERVAL {period}"))).first()[0]
+
+
 # --- text ---------------------------------------------------------------------
 
 def mask_phone(tel: Column) -> Column:

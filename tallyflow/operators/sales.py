@@ -57,6 +57,38 @@ def join_lines_outer(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return with_lines.unionByName(without, allowMissingColumns=True)
 
 
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders and lines of ``rows``, which have a ``side`` and a time ``at`` in microseconds."""
+    order = rows.where("side = 'order'").select("order_id", "order_status", "create_time", "user_id", "dt", "at", "new")
+    line = rows.where("side = 'line'").select("order_detail_id", "order_id", "sku_id", "sku_price", "sku_name", "at", "new")
+    return order, line
+
+
+def join_arrived(rows: DataFrame, wait: int) -> DataFrame:
+    """Lines with their order, both in ``rows`` and at most ``wait`` microseconds apart, where one of them is ``new``.
+
+    A plain inner join of a batch and what waits: a hot order is split by the skew join.
+    """
+    order, line = _sides(rows)
+    o, l = order.alias("o"), line.alias("l")
+    near = F.col("l.at").between(F.col("o.at") - wait, F.col("o.at") + wait)
+    return (l.join(o, (F.col("l.order_id") == F.col("o.order_id")) & near & (F.col("l.new") | F.col("o.new")))
+            .select("order_detail_id", "l.order_id", "order_status", "create_time", "user_id", "sku_id", "sku_price",
+                    "sku_name", "dt"))
+
+
+def without_partner(rows: DataFrame, after: int, until: int, wait: int) -> DataFrame:
+    """Orders and lines of ``rows`` from ``after`` (not included) to ``until`` that have no partner within ``wait``."""
+    sides = _sides(rows.where((F.col("at") > after - wait) & (F.col("at") <= until + wait)))
+
+    def alone(own: DataFrame, other: DataFrame) -> DataFrame:
+        o, p = own.where((F.col("at") > after) & (F.col("at") <= until)).alias("o"), other.select("order_id", "at").alias("p")
+        near = F.col("p.at").between(F.col("o.at") - wait, F.col("o.at") + wait)
+        return o.join(p, (F.col("o.order_id") == F.col("p.order_id")) & near, "left_anti").drop("at", "new")
+
+    return alone(*sides).unionByName(alone(*reversed(sides)), allowMissingColumns=True)
+
+
 def user_side(users: DataFrame, as_of: Column) -> DataFrame:
     return users.select(F.col("id").alias("user_id"),
                         F.col("gender").alias("user_gender"),

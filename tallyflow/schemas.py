@@ -91,4 +91,8 @@ UNMATCHED_TABLE = T.StructType(
     _strings("order_id", "order_detail_id", "order_status", "create_time", "user_id", "sku_id").fields
     + [T.StructField("sku_price", T.DoubleType())] + _strings("sku_name", "dt").fields)
 
+WAITING_TABLE = T.StructType(
+    [T.StructField("batch", T.LongType()), T.StructField("row", T.LongType()), T.StructField("at", T.LongType())]
+    + _strings("side").fields + UNMATCHED_TABLE.fields)
+
 POSTING_TABLE = _strings("word", "order_detail_id", "dt")

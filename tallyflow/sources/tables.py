@@ -238,6 +238,11 @@ SEEN = ServingTable("seen_device", schemas.SEEN_TABLE, ("mid", "log_date"), "log
 PANES = ServingTable("alert_pane", schemas.PANE_TABLE, ("pane", "mid", "kind", "name"), number="pane")
 
 
+def waiting(job: str) -> ServingTable:
+    """Orders and lines of a job's batches by their time, as long as a partner may come; every row is kept."""
+    return ServingTable(f"sale_waiting_{job}", schemas.WAITING_TABLE, ("batch", "row"), number="at")
+
+
 def _records(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.select([F.col(c).alias(f) for f, c in columns.items()])
 

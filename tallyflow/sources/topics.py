@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyflow import schemas
 from tallyflow.functions import columns as C
+from tallyflow.session import shuffle_tasks
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
@@ -52,19 +53,20 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def ordered_stream(rows: DataFrame, time: str, folder: str, pieces: int) -> DataFrame:
-    """A table as a stream in order of time: written as ``pieces`` files, one per trigger.
+    """A table as a stream in order of time: written as ``pieces`` runs of files, one run per trigger.
 
+    A run has as many files as keep the tasks of a shuffle busy, in writing and in reading.
     A file source takes files by their modification time, so the files are dated by their place.
     """
     spark = rows.sparkSession
-    rows.repartitionByRange(pieces, time).write.parquet(folder)
+    rows.repartitionByRange(pieces * -(-shuffle_tasks(spark) // pieces), time).write.parquet(folder)
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     files = sorted((f.getPath() for f in system.listStatus(place)
                     if f.getPath().getName().startswith("part-")), key=lambda f: f.getName())
     for k, file in enumerate(files):
         system.setTimes(file, 1_000_000_000_000 + 60_000 * k, -1)
-    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-len(files) // pieces)))
             .option("maxFileAge", "36500d").parquet(folder))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow import fixed
+from tallyflow.functions import columns
 from tallyflow.operators import alerts, figures, first_start, orders as order_ops, routing, sales, search
 from tallyflow.operators.latest import latest_per_key
 from tallyflow.session import configure, keep_state_on_disk
@@ -156,37 +157,66 @@ def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str,
                 keep_unmatched: bool = False, index: bool = False) -> StreamingQuery:
     """``complete`` is applied to the pairs of a batch, for what only lines with an order need.
 
+    The rows of a batch go to a table of the job, which holds the wait, and are joined with each other and with those
+    within the wait of them there.  Rows at or before the watermark of the last batch but one are left out, as
+    by Spark's stateful operators.
     With ``index`` the words of the product names go to the search index.  With ``keep_unmatched`` lines and orders that met no partner in time go to a table of their own, under the same
     commit; ``sales.repaired`` joins them later.
     """
     spark = _prepared(orders.sparkSession)
     day = F.current_date() if as_of is None else as_of
     job = job_name(spark, checkpoint)
+    note, waiting = f"sales until {job}", tables.waiting(job)
+    reach, lag = columns.micros(spark, wait), columns.micros(spark, delay)
+    arrived = transforms.arrivals(orders, lines, delay)
+    types = {f.name: f.dataType for f in arrived.schema.fields}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
+        own, done, held = batch.sparkSession, {}, []
 
         def rows(log: Log) -> dict:
-            pairs = batch.where("matched").drop("matched")
-            # The dimension as it is now: each batch sees the latest users, from its buyers' files.
-            buyers = pairs.select(F.col("user_id").cast("string").alias("id")).where("id is not null").distinct()
-            users = tables.USERS.read_keys(buyers, root, log.head())
-            part = tables.SALES.write_part(sales.add_user(complete(pairs), users, day), root)
-            out: dict = {tables.SALES: part}
-            if index and part:
-                out[tables.POSTINGS] = search.postings(tables.SALES.part_rows(own, root, part))
-            if keep_unmatched:
-                out[tables.UNMATCHED] = batch.where("not matched")
+            state = log.head()
+            before = state["notes"].get(note, {"seen": {}, "until": 0})
+            seen, late = before["seen"], before["until"]
+            # The watermark of the batches before: the newest row of the side that lags, less the delay.
+            until = max(late, min(seen.values()) // 1000 * 1000 - lag) if len(seen) == 2 else late
+            done[note] = {"seen": seen, "until": until}
+            part = waiting.write_part(
+                batch.where("side <> 'day'").where(F.col("at") > late)
+                .withColumns({"batch": F.lit(batch_id), "row": F.monotonically_increasing_id()}), root)
+            out: dict = {waiting: part}
+            came = waiting.part_rows(own, root, part) if part else waiting.none(own)
+
+            def since(first: int) -> DataFrame:
+                waited = waiting.versions(own, root, None, state, first).where(F.col("at") >= first)
+                return came.withColumn("new", F.lit(True)).unionByName(
+                    waited.drop(tables.VERSION).withColumn("new", F.lit(False)))
+
+            if part:
+                newest = came.groupBy("side").agg(F.max("at").alias("at")).collect()
+                done[note] = {"seen": {**seen, **{r.side: max(r["at"], seen.get(r.side, r["at"])) for r in newest}},
+                              "until": until}
+                met = sales.join_arrived(since(part["low"] - reach), reach)
+                # Read for the buyers and for the rows: without a cache the join would run twice.
+                pairs = met.select([F.col(c).cast(types[c]).alias(c) for c in met.columns]).persist()
+                held.append(pairs)
+                # The dimension as it is now: each batch sees the latest users, from its buyers' files.
+                buyers = pairs.select(F.col("user_id").cast("string").alias("id")).where("id is not null").distinct()
+                users = tables.USERS.read_keys(buyers, root, state)
+                out[tables.SALES] = tables.SALES.write_part(sales.add_user(complete(pairs), users, day), root)
+                if index and out[tables.SALES]:
+                    out[tables.POSTINGS] = search.postings(tables.SALES.part_rows(own, root, out[tables.SALES]))
+            if keep_unmatched and until > late:
+                out[tables.UNMATCHED] = sales.without_partner(since(late - 2 * reach), late - reach, until - reach, reach)
             return out
 
-        # Read for the buyers and for the rows: without a cache the join would run twice.
-        batch.persist()
         try:
             with sinks.adaptive(batch):
-                sinks.commit_batch(own, root, job, batch_id, rows)
+                if sinks.commit_batch(own, root, job, batch_id, rows, lambda: done):
+                    # Partners of rows that are given out as unmatched may be a wait older.
+                    tables.expire(own, waiting, root, done[note]["until"] - (2 if keep_unmatched else 1) * reach)
         finally:
-            batch.unpersist()
+            for pairs in held:
+                pairs.unpersist()
 
-    joined = transforms.join_lines(orders, lines, wait, delay,
-                                   how="full_outer" if keep_unmatched else "inner")
-    return sinks.start(joined.writeStream.foreachBatch(write), "sales", checkpoint, once)
+    return sinks.start(arrived.writeStream.outputMode("update").foreachBatch(write), "sales", checkpoint, once)

@@ -72,6 +72,23 @@ def join_lines(orders: DataFrame, lines: DataFrame, wait: str = fixed.JOIN_WAIT,
                     (F.col("l.order_id").isNotNull() & F.col("o.order_id").isNotNull()).alias("matched")))
 
 
+def arrivals(orders: DataFrame, lines: DataFrame, delay: str = JOIN_DELAY, order_time: str = "order_time",
+             line_time: str = "line_time") -> DataFrame:
+    """Orders and lines as one stream with ``side`` and ``at`` (microseconds), for a job that joins whole batches.
+
+    Only rows within the wait of a batch's ends can meet another batch, so no row goes through a state store.  The
+    rows are counted by day (side ``day``) with the delay as watermark: this small state tells what came late and
+    lets a last batch without rows complete what waits.  For update mode.
+    """
+    sides = [sales.order_side(orders, F.col(order_time).alias("_time")).withColumn("side", F.lit("order")),
+             sales.line_side(lines, F.col(line_time).alias("_time")).withColumn("side", F.lit("line"))]
+    order, line = [side.withColumn("at", F.unix_micros("_time")).drop("_time") for side in sides]
+    times = [side.select("_time", "side").withWatermark("_time", delay) for side in sides]
+    days = (times[0].union(times[1]).groupBy(F.window("_time", "1 day"), "side").agg(F.count(F.lit(1)).alias("at"))
+            .select(F.lit("day").alias("side"), "at"))
+    return (order.unionByName(line, allowMissingColumns=True).unionByName(days, allowMissingColumns=True))
+
+
 def pane_counts(events: DataFrame, window: str = fixed.ALERT_WINDOW,
                 slide: str = fixed.ALERT_SLIDE, delay: str = ALERT_DELAY) -> DataFrame:
     """Counted parts per pane and device, given out once a pane is complete."""

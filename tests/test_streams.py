@@ -384,3 +384,36 @@ def test_sale_stream_holds_the_wait_only(spark):
     total = sum(p.numInputRows for p in progress)
     assert max(p.stateOperators[0].numRowsTotal for p in progress) < total
     assert sinks.dropped_late(seen[0]) == 0
+
+
+def test_sales_job_keeps_rows_out_of_the_state(spark, tmp_path):
+    """Pairs within and across batches, late rows left out, and a state that does not grow with the rows."""
+    orders = [[order(i, at(minutes=i % 50)) for i in range(40)], [order(50, at(hours=2)), order(51, at(hours=9))],
+              [order(52, at(hours=9))], [order(53, at(hours=1)), order(54, at(hours=9))]]
+    lines = [[line(i, i, at(minutes=i % 50 + 5)) for i in range(40)],
+             [line(60, 39, at(minutes=95)), line(61, 38, at(minutes=110)), line(62, 8, at(hours=9))],
+             [line(63, 50, at(hours=3)), (None, "o52", "s", None, "bad", None)],
+             [line(64, 52, at(hours=9)), line(65, 53, at(hours=1))]]
+    root = str(tmp_path / "t")
+    query = jobs.write_sales(feed(spark, tmp_path / "o", orders, ORDER_SCHEMA), feed(spark, tmp_path / "l", lines, LINE_SCHEMA),
+                             root, str(tmp_path / "cp"), "1 hour", "10 minutes", F.lit("2024-01-01").cast("date"), once=True)
+    query.awaitTermination()
+    got = rows_of(tables.SALES.read(spark, root).select("order_detail_id", "order_id"))
+    # o50 and l63 are an hour apart; o53 and l65 come after the watermark of nine o'clock.
+    assert got == sorted([(f"l{i}", f"o{i}") for i in range(40)] + [("l60", "o39"), ("l63", "o50"), ("l64", "o52")],
+                         key=repr)
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 2
+    state = Log(spark, root).head()
+    kept = [p for name, parts in state["tables"].items() if name.startswith("sale_waiting_") for p in parts]
+    assert kept and all(p["high"] >= 1_000_000 * at(hours=7).timestamp() for p in kept)
+
+
+def test_ordered_stream_reads_a_piece_in_several_files(spark, tmp_path):
+    rows = spark.range(600).select(F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(10_000))).alias("event_time"))
+    stream, batches = topics.ordered_stream(rows, "event_time", str(tmp_path / "in"), 2), []
+    sinks.start(stream.writeStream.foreachBatch(lambda b, _: batches.append(
+        (len(b.inputFiles()), [r.event_time for r in b.collect()]))), "pieces", str(tmp_path / "cp"), once=True
+    ).awaitTermination()
+    assert len(list((tmp_path / "in").glob("part-*"))) == 4  # as many as a shuffle has tasks
+    assert len(batches) == 2 and sum(len(b) for _, b in batches) == 600
+    assert max(batches[0][1]) <= min(batches[1][1])
