@@ -68,7 +68,8 @@ class RetailQueries:
         ids = search.posted(found if day is None else found.filter(F.col("dt") == day), len(wanted))
         # One row per day.
         days = [r.dt for r in ids.select(F.coalesce("dt", F.lit("")).alias("dt")).distinct().collect()] if wanted else []
-        sales = tables.SALES.latest(tables.SALES.versions(spark, root, days, state))
+        sales = tables.SALES.latest(tables.SALES.versions(spark, root, days, state),
+                                    tables.SALES.rows_in(spark, root, days, state))
         return sales.join(ids.select("order_detail_id"), "order_detail_id", "left_semi")
 
     def sale_detail(self, day: str, keyword: str | None, page: int,

@@ -24,12 +24,19 @@ from pyspark.sql import types as T
 
 from tallyflow import fixed, schemas
 from tallyflow.operators.latest import latest_per_key
+from tallyflow.session import shuffle_tasks
 from tallyflow.sources import store
 from tallyflow.sources.commits import Log
 
 VERSION = "version"
 FAN = 8
 BUCKETS = 4096
+# Rows that one task sorts: their number, not their packed bytes, decides its memory.
+TASK_ROWS = 500_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    return max(shuffle_tasks(spark), -(-rows // TASK_ROWS))
 
 
 def bucket(key: str) -> Column:
@@ -67,20 +74,24 @@ class ServingTable:
 
     # --- writing -----------------------------------------------------------------------------
 
-    def write_part(self, rows: DataFrame, root: str, ranged: bool = False, level: int = 0) -> dict | None:
+    def write_part(self, rows: DataFrame, root: str, ranged: int | None = None, level: int = 0) -> dict | None:
         """Write rows as a part that no commit names yet; None if there are none.
 
-        A batch is spread to files of even size; ``ranged`` also sorts it into ranges of the layout value, which
-        reads the rows twice.  A day that holds most rows is split, as the key belongs to the range.
+        A batch is spread to files of even size; ``ranged``, the number of rows (0: unknown), also sorts it into ranges
+        of the layout value, which reads the rows twice.  A day that holds most rows is split, as the key belongs to the range.
         """
         name = uuid.uuid4().hex
         path = f"{self.folder(root)}/parts/{name}"
         typed = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         order = [self.layout, *[F.col(k) for k in self.key]]
-        spread = (typed.repartitionByRange(*order).sortWithinPartitions(*order) if ranged
-                  else typed.hint("rebalance"))
-        spread.write.parquet(path)
         spark = rows.sparkSession
+        if ranged and ranged > TASK_ROWS * shuffle_tasks(spark):
+            spread = typed.repartitionByRange(tasks_for(spark, ranged), *order).sortWithinPartitions(*order)
+        elif ranged is not None:
+            spread = typed.repartitionByRange(*order).sortWithinPartitions(*order)
+        else:
+            spread = typed.hint("rebalance")
+        spread.write.parquet(path)
         # One row per file.
         files = sorted((r.low, r.high, r.file, r.n) for r in (
             spark.read.schema(self.schema).parquet(path)
@@ -97,7 +108,7 @@ class ServingTable:
         """Write and commit rows at once, in ranges: for tables that are filled in bulk."""
         log = Log(rows.sparkSession, root)
         if job is None or not log.has(job, batch):
-            log.append({self.name: self.write_part(rows, root, ranged=True)}, job, batch)
+            log.append({self.name: self.write_part(rows, root, ranged=0)}, job, batch)
 
     # --- reading -----------------------------------------------------------------------------
 
@@ -140,10 +151,25 @@ class ServingTable:
         """The rows of a part, committed or not."""
         return spark.read.schema(self.schema).parquet(f"{self.folder(root)}/parts/{part['name']}")
 
-    def latest(self, rows: DataFrame) -> DataFrame:
+    def rows_in(self, spark: SparkSession, root: str, wanted: Sequence | None, state: dict | None) -> int:
+        """How many rows the files hold that may have a wanted layout value: noted with them, not counted."""
+        state = Log(spark, root).head() if state is None else state
+        values = None if wanted is None else sorted(set(wanted))
+        return sum(n for part in state["tables"].get(self.name, [])
+                   if values is None or _holds(part["low"], part["high"], values)
+                   for low, high, _, n in self.listed(spark, root, part) if values is None or _holds(low, high, values))
+
+    def latest(self, rows: DataFrame, n: int = 0) -> DataFrame:
+        """The newest row of each key; ``n`` is the number of rows, where it is known.
+
+        Many rows are dealt to tasks of ``TASK_ROWS`` before they are sorted: by size, a task is given the more rows the
+        better they pack.
+        """
         # A key never changes its day, so the day may join the key and a filter on it is pushed through
         # the ranking.
         keys = [*self.key, *([self.day] if self.day and self.day not in self.key else [])]
+        if n > TASK_ROWS:
+            rows = rows.repartition(tasks_for(rows.sparkSession, n), *keys)
         return latest_per_key(rows, keys, [VERSION]).drop(VERSION)
 
     def read(self, spark: SparkSession, root: str, *days: str, state: dict | None = None) -> DataFrame:
@@ -179,7 +205,8 @@ class ServingTable:
         wanted = [r.b for r in keys.select(bucket(self.key[0]).alias("b")).distinct().collect()]
         rows = self.versions(spark, root, wanted, state)
         names = [k for k in self.key if k in keys.columns]
-        return self.latest(rows.join(keys.select(*names).distinct(), names, "left_semi"))
+        return self.latest(rows.join(keys.select(*names).distinct(), names, "left_semi"),
+                           self.rows_in(spark, root, wanted, state))
 
 
 def gather(spark: SparkSession, table: ServingTable, root: str, everything: bool = False) -> bool:
@@ -195,7 +222,7 @@ def gather(spark: SparkSession, table: ServingTable, root: str, everything: bool
     if len(old) < (2 if everything else FAN):
         return False
     rows = table.versions(spark, root, None, {"tables": {table.name: old}})
-    part = table.write_part(table.latest(rows), root, ranged=True, level=1 + max(p["level"] for p in old))
+    part = table.write_part(table.latest(rows), root, ranged=sum(p["rows"] for p in old), level=1 + max(p["level"] for p in old))
     # It stands where the newest of the old ones stood, before what was added meanwhile.
     done = log.replace(table.name, [p["name"] for p in old], part and {
         **part, "commit": max(p["commit"] for p in old)})

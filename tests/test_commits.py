@@ -221,3 +221,14 @@ def test_a_page_opens_the_files_that_hold_it(spark, tmp_path):
         assert [r.order_detail_id for r in got.collect()] == want
         assert size > 10 or len(got.inputFiles()) <= 2
     assert tables.PAGES.page(spark, root, 501, 10).count() == 0
+
+
+def test_newest_rows_are_sorted_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for name in ("old", "new"):
+        tables.USERS.put(users(spark, *[(str(k), name) for k in range(600)]), root)
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    keys = spark.createDataFrame([(str(k),) for k in range(600)], "id string")
+    rows = tables.USERS.read_keys(keys, root)
+    assert rows.rdd.getNumPartitions() == 12  # 1200 noted rows, though four tasks would do by their size
+    assert names(rows) == sorted((str(k), "new") for k in range(600))
