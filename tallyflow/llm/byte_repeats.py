@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from tallyflow.llm import repeats
@@ -33,6 +34,8 @@ from tallyflow.llm.repeats import Pieces, group_starts, ragged, true_names
 WINDOW, KEY, GRAM = 50, 16, 8
 # A piece of a periodic text could go on for ever.
 LONGEST = 64
+# So many bytes are sorted at once, as many as a core's cache holds with their pointers.
+SORTED = 1 << 17
 
 
 def least(names: np.ndarray, size: int) -> np.ndarray:
@@ -62,10 +65,10 @@ def bucket_pointers(data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, lis
         active = np.flatnonzero((size[pointer] > 1) & (left >= done + offset))
         sorted_.append(len(active))
         if len(active):
-            later = pointer[active + offset]
-            order = np.lexsort((later, pointer[active]))
-            new = group_starts(pointer[active][order], later[order])
-            pointer[active[order]] = len(size) + np.cumsum(new) - 1
+            # Both pointers as one number, which sorts several times as fast as two columns.
+            both = pointer[active] * len(size) + pointer[active + offset]
+            order = np.argsort(both)
+            pointer[active[order]] = len(size) + np.cumsum(group_starts(both[order])) - 1
         done += offset
     return pointer, sorted_
 
@@ -93,7 +96,8 @@ class BytePieces(Pieces):
         long = np.maximum(-(-(stop - at) // LONGEST), 1)
         part = ragged(np.zeros(len(at), np.int64), long) * LONGEST
         at, stop = np.repeat(at, long) + part, np.repeat(stop, long)
-        self.text, self.key = owner[at], key[at]
+        # A least name is a small number; mixed, the keys spread over all.
+        self.text, self.key = owner[at], mix(key[at])
         self.start, self.n = at - self.first[self.text], np.minimum(stop - at, LONGEST)
 
     def split(self, which):
@@ -119,11 +123,19 @@ def _windows_at(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def byte_names(payload: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Name of each stretch: its length and its 50-byte identifiers, added up with their places."""
-    place = (np.arange(len(payload)) - np.repeat(np.cumsum(size) - size, size)).astype(np.uint64)
-    total = np.concatenate([[U(0)], np.cumsum(mix(_BYTE[payload] + mix(place * U(2) + U(1))), dtype=np.uint64)])
-    ends = np.cumsum(size)
-    return chain([total[ends] - total[ends - size], size.astype(np.uint64)])
+    """Name of each stretch."""
+    data, ends = memoryview(payload), np.cumsum(size)
+    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip((ends - size).tolist(), ends.tolist())),
+                       np.uint64, len(size))
+
+
+def few_keys(keys: np.ndarray, sizes: np.ndarray, pick: np.ndarray) -> Iterator[np.ndarray]:
+    """The picked pieces by their keys, about ``SORTED`` bytes at a time: windows are only equal under one key."""
+    pick = pick[np.argsort(keys[pick], kind="stable")]
+    size = sizes[pick]
+    starts = np.flatnonzero(group_starts(keys[pick]))
+    chunk = (np.cumsum(size) - size)[starts] // SORTED
+    yield from np.split(pick, starts[1:][chunk[1:] != chunk[:-1]]) if len(pick) else ()
 
 
 def settle(keys, payload, sizes, docs, versions, starts):
@@ -144,8 +156,7 @@ def settle(keys, payload, sizes, docs, versions, starts):
     open_[order] = (kinds[by_key] > 1)
     open_ &= ~whole
     removed = np.repeat(whole, n)
-    pick = np.flatnonzero(open_)
-    if len(pick):
+    for pick in few_keys(keys, sizes, np.flatnonzero(open_)):
         size = sizes[pick]
         ends = np.cumsum(size)
         pointer, _ = bucket_pointers(data[ragged(first[pick], size)], np.repeat(ends, size) - np.arange(ends[-1]))

@@ -57,11 +57,11 @@ def chain(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about SLICE bytes together."""
+def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together."""
     first = held = 0
     for k, text in enumerate(texts):
-        if held and held + len(text) > SLICE:
+        if held and held + len(text) > most:
             yield first, k
             first, held = k, 0
         held += len(text)

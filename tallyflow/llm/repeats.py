@@ -38,6 +38,8 @@ from tallyflow.session import shuffle_tasks
 
 # Entries that a task gathers before it packs them, documents of a hot key, buckets per partition.
 BATCH, HOT, BUCKETS = 1 << 20, 10_000, 4
+# Texts are cut into pieces about so many bytes at a time, whose names stay in a core's cache.
+CUT = 1 << 17
 NO_ID = (1 << 63) - 1
 
 
@@ -198,6 +200,20 @@ def _by(batches: Iterator[pa.RecordBatch], column: str, work: Callable) -> Itera
         yield work(held)
 
 
+def bucket_of(key: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of each key, by its upper half: keys in order have their buckets in order."""
+    return ((key >> U(32)) * U(n) >> U(32)).astype(np.int64)
+
+
+def by_key(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Order by key and document; only entries that share a key are sorted by both."""
+    order = np.argsort(key)
+    group = np.cumsum(group_starts(key[order])) - 1
+    several = np.flatnonzero(np.bincount(group)[group] > 1)
+    order[several] = order[several][np.lexsort((doc[order[several]], group[several]))]
+    return order
+
+
 def _bucket_parts(bucket: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
     cuts = np.searchsorted(bucket, np.arange(n + 1))
     for b in np.flatnonzero(np.diff(cuts)):
@@ -224,9 +240,9 @@ def key_entries(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within:
 
     def flush(keys: list, owners: list, batch: int) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.concatenate(owners)
-        bucket = (key % U(n_buckets)).astype(np.int64)
-        order = np.lexsort((doc, key, bucket))
-        key, doc, bucket = key[order], doc[order], bucket[order]
+        order = by_key(key, doc)
+        key, doc = key[order], doc[order]
+        bucket = bucket_of(key, n_buckets)
         new, once = group_starts(key), group_starts(key, doc)
         group = np.cumsum(new) - 1
         distinct = np.bincount(group, once).astype(np.int64)
@@ -246,7 +262,7 @@ def key_entries(texts: DataFrame, cut: Callable[[list[bytes]], Pieces], within:
             for at in range(0, batch.num_rows, 256):
                 few = batch.slice(at, 256)
                 ids, own = few.column(0).to_numpy(), unsqueezed(few.column(1))
-                for a, b in slices(own):
+                for a, b in slices(own, CUT):
                     pieces = cut(own[a:b])
                     keys.append(pieces.key)
                     owners.append(ids[a:b][pieces.text])
@@ -333,10 +349,10 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
     def flush(held: list[tuple], batch: int) -> pa.RecordBatch:
         key, name, doc, version, start, n, size = (np.concatenate([h[i] for h in held]) for i in range(7))
         payload = np.concatenate([h[7] for h in held])
-        bucket = (key % U(n_buckets)).astype(np.int64)
+        bucket = bucket_of(key, n_buckets)
         at, rank = np.cumsum(size) - size, place(doc, version)
         name = true_names(key, name, payload, at, size)
-        order = np.lexsort((start, version, doc, rank, name, key, bucket))
+        order = np.lexsort((start, version, doc, rank, name, key))
         key, name, doc, version, rank, start, n, size, at, bucket = (
             x[order] for x in (key, name, doc, version, rank, start, n, size, at, bucket))
         new = group_starts(key, name)
@@ -372,7 +388,7 @@ def repeated_windows(texts: DataFrame, flagged: DataFrame, cut: Callable[[list[b
                 few = batch.slice(at, 256)
                 texts = unsqueezed(few.column(2))
                 shared, hot = few.column(3), few.column(4)
-                for a, b in slices(texts):
+                for a, b in slices(texts, CUT):
                     pieces = cut(texts[a:b])
                     cuts = np.searchsorted(pieces.text, np.arange(b - a + 1))
                     keep, burn = np.zeros(len(pieces.key), bool), np.zeros(len(pieces.key), bool)
