@@ -67,10 +67,12 @@ class RetailQueries:
         found = tables.POSTINGS.read_keys(spark.createDataFrame([(w,) for w in wanted], "word string"), root, state)
         ids = search.posted(found if day is None else found.filter(F.col("dt") == day), len(wanted))
         # One row per day.
-        days = [r.dt for r in ids.select(F.coalesce("dt", F.lit("")).alias("dt")).distinct().collect()] if wanted else []
-        sales = tables.SALES.latest(tables.SALES.versions(spark, root, days, state),
-                                    tables.SALES.rows_in(spark, root, days, state))
-        return sales.join(ids.select("order_detail_id"), "order_detail_id", "left_semi")
+        per_day = ids.groupBy(F.coalesce("dt", F.lit("")).alias("dt")).agg(
+            F.count(F.lit(1)).alias("n")).collect() if wanted else []
+        # Only rows that were found are ranked; the key holds the id, so the newest of them are the same.
+        found = tables.SALES.versions(spark, root, [r.dt for r in per_day], state).join(
+            ids.select("order_detail_id"), "order_detail_id", "left_semi").select(*tables.SALES.schema.names, tables.VERSION)
+        return tables.SALES.current(found, state, sum(r.n for r in per_day))
 
     def sale_detail(self, day: str, keyword: str | None, page: int,
                     size: int) -> dict[str, DataFrame]:

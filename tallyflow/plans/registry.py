@@ -17,6 +17,7 @@ from tallyflow.plans import api, serving, star
 from tallyflow.session import configure, keep_state_on_disk, work_dir
 from tallyflow.sources import tables, topics
 from tallyflow.sources.commits import Log
+from tallyflow.sources.slices import freed, slice_of, slices_for
 from tallyflow.streaming import jobs, sinks, transforms
 
 # Query parameters; the comparison SQL states the same values.
@@ -192,9 +193,13 @@ def _orders(spark, folder, day=None):
     return order_ops.clean_orders(star.orders(spark, folder, day))
 
 
-def _sales(spark, folder, day=None):
-    return sales.wide_sales(_orders(spark, folder, day), star.lines(spark, folder),
-                            star.users(spark, folder), F.lit(AS_OF).cast("date"))
+def _sales(spark, folder, day=None, part=None):
+    """``part`` (k, n): the sales of the k-th of n slices of the orders."""
+    orders, lines = _orders(spark, folder, day), star.lines(spark, folder)
+    if part:
+        k, n = part
+        orders, lines = orders.where(slice_of("id", n) == k), lines.where(slice_of("order_id", n) == k)
+    return sales.wide_sales(orders, lines, star.users(spark, folder), F.lit(AS_OF).cast("date"))
 
 
 @query
@@ -417,6 +422,16 @@ def _stored(spark, folder, table, rows):
     return root
 
 
+def _cuts(counts, n):
+    """Values that cut (value, number of rows) into ``n`` ranges of about as many rows."""
+    total, done, cuts = sum(r[1] for r in counts), 0, []
+    for value, rows in sorted(map(tuple, counts)):
+        if done * n >= (len(cuts) + 1) * total:
+            cuts.append(value)
+        done += rows
+    return cuts
+
+
 def _stored_orders(spark, folder):
     cleaned = order_ops.clean_orders(star.purchases(spark, folder))
     missing = [c for c in fixed.ORDER_COLUMNS if c not in cleaned.columns]
@@ -471,10 +486,17 @@ def table_sale_detail(spark, folder):
 
 @query
 def search_index(spark, folder):
-    """Sales of all days that have all words, through the index of words."""
-    rows = _sales(spark, folder)
-    root = _stored(spark, folder, tables.SALES, rows)
-    tables.POSTINGS.put(search.postings(tables.SALES.read(spark, root)), root)
+    """Sales of all days that have all words, through the index of words.
+
+    Both tables are made in slices, as many as the lines ask for.
+    """
+    root, n = work_dir(spark, "tables"), slices_for(star.table(spark, folder, "lineitem").count())
+    pieces = (_sales(spark, folder, part=(k, n) if n > 1 else None) for k in range(n))
+    with freed(spark):
+        days = _cuts(_orders(spark, folder).groupBy(F.coalesce("create_date", F.lit(""))).count().collect(), n)
+    tables.SALES.put_pieces(spark, pieces, root, days)
+    words = search.postings(tables.SALES.read(spark, root))
+    tables.POSTINGS.put_pieces(spark, [words], root, [tables.BUCKETS * k // n for k in range(1, n)])
     return api.RetailQueries(spark, root).search_index(None, KEYWORD)
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import uuid
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,14 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow import fixed, schemas
-from tallyflow.operators.latest import latest_per_key
+from tallyflow.operators.latest import latest_per_key, one_per_key
 from tallyflow.session import shuffle_tasks
 from tallyflow.sources import store
 from tallyflow.sources.commits import Log
+from tallyflow.sources.slices import freed
 
 VERSION = "version"
 FAN = 8
 BUCKETS = 4096
+# Half to two thirds of the size of Spark's usual one.
+CODEC = "zstd"
 # Rows that one task sorts: their number, not their packed bytes, decides its memory.
 TASK_ROWS = 500_000
 
@@ -80,21 +83,29 @@ class ServingTable:
         A batch is spread to files of even size; ``ranged``, the number of rows (0: unknown), also sorts it into ranges
         of the layout value, which reads the rows twice.  A day that holds most rows is split, as the key belongs to the range.
         """
-        name = uuid.uuid4().hex
-        path = f"{self.folder(root)}/parts/{name}"
-        typed = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        name, spark = uuid.uuid4().hex, rows.sparkSession
+        self._write(self._spread(self._typed(rows), ranged), root, name)
+        return self._noted(spark, root, name, level)
+
+    def _typed(self, rows: DataFrame) -> DataFrame:
+        return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+
+    def _spread(self, typed: DataFrame, ranged: int | None) -> DataFrame:
         order = [self.layout, *[F.col(k) for k in self.key]]
-        spark = rows.sparkSession
+        spark = typed.sparkSession
         if ranged and ranged > TASK_ROWS * shuffle_tasks(spark):
-            spread = typed.repartitionByRange(tasks_for(spark, ranged), *order).sortWithinPartitions(*order)
-        elif ranged is not None:
-            spread = typed.repartitionByRange(*order).sortWithinPartitions(*order)
-        else:
-            spread = typed.hint("rebalance")
-        spread.write.parquet(path)
-        # One row per file.
+            return typed.repartitionByRange(tasks_for(spark, ranged), *order).sortWithinPartitions(*order)
+        if ranged is not None:
+            return typed.repartitionByRange(*order).sortWithinPartitions(*order)
+        return typed.hint("rebalance")
+
+    def _write(self, rows: DataFrame, root: str, name: str) -> None:
+        rows.write.mode("append").option("compression", CODEC).parquet(f"{self.folder(root)}/parts/{name}")
+
+    def _noted(self, spark: SparkSession, root: str, name: str, level: int, **more) -> dict | None:
+        """The ranges of a part's files, put beside it: one row per file."""
         files = sorted((r.low, r.high, r.file, r.n) for r in (
-            spark.read.schema(self.schema).parquet(path)
+            spark.read.schema(self.schema).parquet(f"{self.folder(root)}/parts/{name}")
             .select(F.col("_metadata.file_name").alias("file"), self.layout.alias("by"))
             .groupBy("file").agg(F.min("by").alias("low"), F.max("by").alias("high"), F.count(F.lit(1)).alias("n"))
             .collect()))
@@ -102,7 +113,7 @@ class ServingTable:
             return None
         store.put_new(spark, f"{self.folder(root)}/files/{name}", json.dumps(files))
         return {"name": name, "level": level, "rows": sum(f[3] for f in files), "low": files[0][0],
-                "high": max(f[1] for f in files)}
+                "high": max(f[1] for f in files), **more}
 
     def put(self, rows: DataFrame, root: str, job: str | None = None, batch: int = 0) -> None:
         """Write and commit rows at once, in ranges: for tables that are filled in bulk."""
@@ -110,6 +121,38 @@ class ServingTable:
         if job is None or not log.has(job, batch):
             log.append({self.name: self.write_part(rows, root, ranged=0)}, job, batch)
 
+    def put_pieces(self, spark: SparkSession, pieces: Iterable[DataFrame], root: str, cuts: Sequence = ()) -> None:
+        """``put`` of rows that come in pieces, with one row per key.
+
+        The pieces are laid aside one by one, by the ranges of the layout value between the ``cuts``, and each
+        range is sorted into files by itself; so the disk holds the shuffle files of a piece or a range at a time.  Without cuts
+        there is one piece.  Aside is a part that no commit names.
+        """
+        name, aside = uuid.uuid4().hex, uuid.uuid4().hex
+        folder = f"{self.folder(root)}/parts/{aside}"
+        number = sum((F.when(self.layout >= F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
+
+        def once(rows: DataFrame) -> DataFrame:
+            """In the order of the files rows of one key are neighbours, so this shuffles nothing."""
+            by, keys = F.col("_layout"), [F.col(k) for k in self._keys]
+            ranged = rows.withColumn("_layout", self.layout).repartitionByRange(by, *keys)
+            return one_per_key(ranged.sortWithinPartitions(by, *keys), [by, *keys], [by]).drop("_layout")
+
+        with freed(spark):
+            if not cuts:
+                self._write(once(self._typed(next(iter(pieces)))), root, name)
+            else:
+                for piece in pieces:
+                    (self._typed(piece).withColumn("_slice", number).write.mode("append").option("compression", CODEC)
+                     .partitionBy("_slice").parquet(folder))
+                for k in range(len(cuts) + 1):
+                    held = f"{folder}/_slice={k}"
+                    if store.exists(spark, held):
+                        self._write(once(spark.read.schema(self.schema).parquet(held)), root, name)
+                        store.delete(spark, held)
+                store.delete(spark, folder)
+            Log(spark, root).append({self.name: self._noted(spark, root, name, 0, once=True)})
+
     # --- reading -----------------------------------------------------------------------------
 
     def listed(self, spark: SparkSession, root: str, part: dict) -> list[list]:
@@ -165,17 +208,30 @@ class ServingTable:
         Many rows are dealt to tasks of ``TASK_ROWS`` before they are sorted: by size, a task is given the more rows the
         better they pack.
         """
+        if n > TASK_ROWS:
+            rows = rows.repartition(tasks_for(rows.sparkSession, n), *self._keys)
+        return latest_per_key(rows, self._keys, [VERSION]).drop(VERSION)
+
+    @property
+    def _keys(self) -> list[str]:
         # A key never changes its day, so the day may join the key and a filter on it is pushed through
         # the ranking.
-        keys = [*self.key, *([self.day] if self.day and self.day not in self.key else [])]
-        if n > TASK_ROWS:
-            rows = rows.repartition(tasks_for(rows.sparkSession, n), *keys)
-        return latest_per_key(rows, keys, [VERSION]).drop(VERSION)
+        return [*self.key, *([self.day] if self.day and self.day not in self.key else [])]
+
+    def once(self, state: dict) -> bool:
+        """Does one part hold all rows, one of each key?  Then nothing has to be ranked."""
+        parts = state["tables"].get(self.name, [])
+        return len(parts) == 1 and parts[0].get("once", False)
+
+    def current(self, rows: DataFrame, state: dict, n: int = 0) -> DataFrame:
+        """The newest row of each key of some ``versions`` of a state."""
+        return rows.drop(VERSION) if self.once(state) else self.latest(rows, n)
 
     def read(self, spark: SparkSession, root: str, *days: str, state: dict | None = None) -> DataFrame:
         """The current rows, of the given days or of all."""
+        state = Log(spark, root).head() if state is None else state
         rows = self.versions(spark, root, days or None, state)
-        return self.latest(rows.filter(F.col(self.day).isin(*days)) if days else rows)
+        return self.current(rows.filter(F.col(self.day).isin(*days)) if days else rows, state)
 
     def page(self, spark: SparkSession, root: str, page: int, size: int) -> DataFrame:
         """Page ``page`` (from 1) of ``size`` rows in order of layout value and key, from a table in one part.
@@ -203,10 +259,11 @@ class ServingTable:
         files of their buckets are opened.  The driver sees the numbers of the buckets, at most ``BUCKETS``."""
         spark = keys.sparkSession
         wanted = [r.b for r in keys.select(bucket(self.key[0]).alias("b")).distinct().collect()]
+        state = Log(spark, root).head() if state is None else state
         rows = self.versions(spark, root, wanted, state)
         names = [k for k in self.key if k in keys.columns]
-        return self.latest(rows.join(keys.select(*names).distinct(), names, "left_semi"),
-                           self.rows_in(spark, root, wanted, state))
+        return self.current(rows.join(keys.select(*names).distinct(), names, "left_semi"), state,
+                            self.rows_in(spark, root, wanted, state))
 
 
 def gather(spark: SparkSession, table: ServingTable, root: str, everything: bool = False) -> bool:

@@ -1,0 +1,112 @@
+"""Work in slices: what the disk holds at once, and that the rows are the same."""
+
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyflow import schemas
+from tallyflow.plans.api import RetailQueries
+from tallyflow.plans.registry import QUERIES
+from tallyflow.sources import slices, tables
+from tallyflow.sources.commits import Log
+
+START = "1996-01-01"
+
+
+def shuffle_files(spark):
+    """The shuffle files that lie on the disk, by the manager of the blocks."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = [manager.getAllFiles().apply(k).getName() for k in range(manager.getAllFiles().size())]
+    return {f for f in found if f.startswith("shuffle_")}
+
+
+def sale_rows(spark, n):
+    k = F.col("id")
+    values = {"order_detail_id": k.cast("string"), "dt": F.when(k % 10 > 0, F.concat(F.lit("2024-01-0"), (k % 10).cast("string"))),
+              "sku_name": F.when(k % 50 == 3, "red widget").otherwise("blue widget"), "sku_price": k.cast("double")}
+    return spark.range(n).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                                   for f in schemas.SALE_TABLE.fields])
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A small shop with repeated lines, a line without product and one whose order is missing."""
+    d = str(tmp_path_factory.mktemp("shop"))
+    spark.createDataFrame([(k, f"Customer{k}", k % 5, 1.0, "AUTO") for k in range(20)],
+                          "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string"
+                          ).write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame([(k, ["red widget", "blue ring", "widget red big"][k % 3]) for k in range(30)],
+                          "p_partkey long, p_name string").write.parquet(f"{d}/part.parquet")
+    day = lambda c, step: F.date_add(F.lit(START).cast("date"), (c * step % 900).cast("int")).cast("timestamp")
+    spark.range(400).select(F.col("id").alias("o_orderkey"), (F.col("id") % 23).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+                            F.lit(5.0).alias("o_totalprice"), day(F.col("id"), 7).alias("o_orderdate")
+                            ).write.parquet(f"{d}/orders.parquet")
+    lines = spark.range(2000).select(
+        (F.col("id") % 410).alias("l_orderkey"), F.when(F.col("id") % 97 > 0, F.col("id") % 31).alias("l_partkey"),
+        (F.col("id") % 9).alias("l_suppkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        (F.col("id") % 11 + 1).cast("double").alias("l_quantity"), (F.col("id") * 1.5).alias("l_extendedprice"),
+        F.date_add(day(F.col("id") % 410, 7).cast("date"), (F.col("id") % 60).cast("int")).cast("timestamp").alias("l_shipdate"))
+    lines.unionByName(lines.where("l_orderkey % 50 = 1")).write.parquet(f"{d}/lineitem.parquet")
+    return d
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_pieces_are_laid_out_as_whole_rows_are(spark, tmp_path):
+    rows, root, other = sale_rows(spark, 4000), str(tmp_path / "a"), str(tmp_path / "b")
+    twice = rows.unionByName(rows.where("order_detail_id < '2'"))
+    pieces = [twice.where(slices.slice_of("order_detail_id", 3) == k) for k in range(3)]
+    tables.SALES.put_pieces(spark, pieces, root, ["2024-01-03", "2024-01-07"])
+    tables.SALES.put(twice, other)
+    assert rows_of(tables.SALES.read(spark, root)) == rows_of(tables.SALES.read(spark, other)) == rows_of(rows)
+    state = Log(spark, root).head()
+    (part,) = state["tables"]["sale_detail"]
+    assert part["rows"] == 4000 and tables.SALES.once(state)
+    # A range of days has files of its own; what was laid aside is gone.
+    listed = tables.SALES.listed(spark, root, part)
+    assert not [f for f in listed for cut in ("2024-01-03", "2024-01-07") if f[0] < cut <= f[1]]
+    assert os.listdir(f"{root}/sale_detail/parts") == [part["name"]]
+    assert rows_of(tables.SALES.read(spark, root, "2024-01-05")) == rows_of(rows.where("dt = '2024-01-05'"))
+    # One row of each key: nothing is ranked or shuffled until a newer part comes.
+    plan = lambda: tables.SALES.read(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan() and "Exchange" not in plan()
+    tables.SALES.put(rows.where("order_detail_id = '7'").withColumn("sku_price", F.lit(0.5)), root)
+    assert "Window" in plan()
+    assert tables.SALES.read(spark, root).where("order_detail_id = '7'").first().sku_price == 0.5
+
+
+def test_search_ranks_only_what_it_found(spark, tmp_path):
+    from tallyflow.operators import search
+
+    root, rows = str(tmp_path), sale_rows(spark, 4000)
+    tables.SALES.put(rows, root)
+    tables.SALES.put(rows.where("order_detail_id in ('3', '53')").withColumn("sku_price", F.lit(0.25)), root)
+    tables.POSTINGS.put(search.postings(tables.SALES.read(spark, root)), root)
+    found = RetailQueries(spark, root).search_index(None, "red widget")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # From the top: the ranking, and below it the join with the rows that were found.
+    assert 0 <= plan.index("Window") < plan.index("LeftSemi")
+    got = {r.order_detail_id: r.sku_price for r in found.collect()}
+    assert len(got) == 80 and got["3"] == got["53"] == 0.25 and got["103"] == 103.0
+
+
+def test_search_index_in_slices_gives_the_same_rows(spark, folder, monkeypatch):
+    want, made = rows_of(QUERIES["search_index"](spark, folder)), []
+    monkeypatch.setattr(slices, "SLICE_ROWS", 800)
+    put = tables.ServingTable.put_pieces
+
+    def seen(self, spark, pieces, root, cuts=()):
+        before = shuffle_files(spark)
+        put(self, spark, pieces, root, cuts)
+        made.append((self.name, len(cuts), shuffle_files(spark) - before))
+
+    monkeypatch.setattr(tables.ServingTable, "put_pieces", seen)
+    got = rows_of(QUERIES["search_index"](spark, folder))
+    assert got == want and sum(got.values()) > 100
+    # Three slices of each table, and no shuffle file of any of them is left.
+    assert [m[:2] for m in made] == [("sale_detail", 2), ("sale_posting", 2)]
+    assert not made[0][2] and not made[1][2]
