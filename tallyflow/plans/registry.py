@@ -15,9 +15,9 @@ from tallyflow.operators import (alerts, device_sets, first_start, orders as ord
 from tallyflow.operators.latest import latest_per_key, one_per_key
 from tallyflow.plans import api, serving, star
 from tallyflow.session import configure, keep_state_on_disk, work_dir
-from tallyflow.sources import tables, topics
+from tallyflow.sources import store, tables, topics
 from tallyflow.sources.commits import Log
-from tallyflow.sources.slices import freed, slice_of, slices_for
+from tallyflow.sources.slices import freed, laid_aside, slice_of, slices_for
 from tallyflow.streaming import jobs, sinks, transforms
 
 # Query parameters; the comparison SQL states the same values.
@@ -673,9 +673,9 @@ def stream_alerts_5s(spark, folder):
     return _stream_alerts(spark, folder, fixed.ALERT_WINDOW, fixed.ALERT_SLIDE, 1)
 
 
-def _sale_streams(spark, out, orders, lines):
-    return (topics.ordered_stream(orders, "order_time", f"{out}/orders", STREAM_PIECES),
-            topics.ordered_stream(lines, "line_time", f"{out}/lines", STREAM_PIECES))
+def _sale_streams(spark, out, orders, lines, *sliced):
+    return (topics.ordered_stream(orders, "order_time", f"{out}/orders", STREAM_PIECES, *sliced),
+            topics.ordered_stream(lines, "line_time", f"{out}/lines", STREAM_PIECES, *sliced))
 
 
 def _sale_rows(spark, folder):
@@ -715,11 +715,17 @@ def stream_sales(spark, folder):
 def stream_sales_repaired(spark, folder):
     """Pairs of the stream, and the orders and lines that missed each other there, joined afterwards.
 
-    A table holds one row per id, so of lines that share one the dearest is fed.
+    A table holds one row per id, so of lines that share one the dearest is fed.  What is shuffled before and after the
+    stream is shuffled in slices, as many as the lines ask for.
     """
-    out = work_dir(spark, "stream-repaired")
+    out, n = work_dir(spark, "stream-repaired"), slices_for(star.table(spark, folder, "lineitem").count())
     orders, lines = _sale_rows(spark, folder)
-    lines = one_per_key(lines, ["id"], [F.desc("order_price")])
+
+    def part(rows, key, k, n):
+        return rows if n == 1 else rows.where(slice_of(key, n) == k)
+
+    lines = laid_aside((one_per_key(part(lines, "id", k, n), ["id"], [F.desc("order_price")]) for k in range(n)),
+                       f"{out}/lines-once")
 
     def with_last(rows, time):
         """A last row long after all others, whose partner never comes, completes what waits."""
@@ -728,12 +734,25 @@ def stream_sales_repaired(spark, folder):
                F.lit("-1") if f.name == "id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
         return rows.unionByName(last)
 
-    jobs.write_sales(*_sale_streams(spark, out, with_last(orders, "order_time"), with_last(lines, "line_time")), out,
-                     f"{out}/checkpoint", LINE_WAIT, "1 day", F.lit(AS_OF).cast("date"), once=True,
+    streams = _sale_streams(spark, out, with_last(orders, "order_time"), with_last(lines, "line_time"), n, True)
+    store.delete(spark, f"{out}/lines-once")
+    jobs.write_sales(*streams, out, f"{out}/checkpoint", LINE_WAIT, "1 day", F.lit(AS_OF).cast("date"), once=True,
                      keep_unmatched=True).awaitTermination()
-    state = Log(spark, out).head()
-    found = sales.repaired(tables.SALES.read(spark, out, state=state), tables.UNMATCHED.read(spark, out, state=state))
-    return _with_names(spark, folder)(found)
+    for name in ("orders", "lines"):
+        store.delete(spark, f"{out}/{name}")
+    state, with_names = Log(spark, out).head(), _with_names(spark, folder)
+    n = slices_for(sum(t.rows_in(spark, out, None, state) for t in (tables.SALES, tables.UNMATCHED)))
+    if n == 1:
+        return with_names(sales.repaired(tables.SALES.read(spark, out, state=state),
+                                         tables.UNMATCHED.read(spark, out, state=state)))
+    pairs, unmatched = tables.SALES.versions(spark, out, state=state), tables.UNMATCHED.versions(spark, out, state=state)
+    # The newest rows of pairs by their own id, then all by their order, which repairing looks at.
+    pairs = laid_aside((tables.SALES.latest(part(pairs, "order_detail_id", k, n)).withColumn("_slice", slice_of("order_id", n))
+                        for k in range(n)), f"{out}/pairs", "_slice")
+    found = laid_aside((with_names(sales.repaired(pairs.where(F.col("_slice") == k).drop("_slice"), tables.UNMATCHED.latest(
+        part(unmatched, "order_id", k, n)))) for k in range(n)), f"{out}/repaired")
+    store.delete(spark, f"{out}/pairs")
+    return found
 
 
 @query

@@ -27,13 +27,11 @@ from tallyflow.operators.latest import latest_per_key, one_per_key
 from tallyflow.session import shuffle_tasks
 from tallyflow.sources import store
 from tallyflow.sources.commits import Log
-from tallyflow.sources.slices import freed
+from tallyflow.sources.slices import CODEC, freed
 
 VERSION = "version"
 FAN = 8
 BUCKETS = 4096
-# Half to two thirds of the size of Spark's usual one.
-CODEC = "zstd"
 # Rows that one task sorts: their number, not their packed bytes, decides its memory.
 TASK_ROWS = 500_000
 
@@ -286,11 +284,17 @@ def gather(spark: SparkSession, table: ServingTable, root: str, everything: bool
     return done is not None
 
 
-def expire(spark: SparkSession, table: ServingTable, root: str, before) -> bool:
-    """Take the parts out of the table that hold only layout values less than ``before``."""
+def expire(spark: SparkSession, table: ServingTable, root: str, before, at_once: bool = False) -> bool:
+    """Take the parts out of the table that hold only layout values less than ``before``; ``at_once``: delete them, too, if
+    nobody else reads the table."""
     log = Log(spark, root)
     old = [p["name"] for p in log.head()["tables"].get(table.name, []) if p["high"] < before]
-    return bool(old) and log.replace(table.name, old, None) is not None
+    done = bool(old) and log.replace(table.name, old, None) is not None
+    if done and at_once:
+        for name in old:
+            store.delete(spark, f"{table.folder(root)}/parts/{name}")
+            store.delete(spark, f"{table.folder(root)}/files/{name}")
+    return done
 
 
 def tidy(spark: SparkSession, root: str, *named: ServingTable) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tallyflow import schemas
 from tallyflow.functions import columns as C
 from tallyflow.session import shuffle_tasks
+from tallyflow.sources.slices import CODEC, freed
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
@@ -52,22 +53,32 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType,
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def ordered_stream(rows: DataFrame, time: str, folder: str, pieces: int) -> DataFrame:
+def ordered_stream(rows: DataFrame, time: str, folder: str, pieces: int, slices: int = 1,
+                   read_once: bool = False) -> DataFrame:
     """A table as a stream in order of time: written as ``pieces`` runs of files, one run per trigger.
 
     A run has as many files as keep the tasks of a shuffle busy, in writing and in reading.
-    A file source takes files by their modification time, so the files are dated by their place.
+    A file source takes files by their modification time, so the files are dated by their place.  ``slices`` ranges of time are
+    sorted one after the other.  With ``read_once`` a file goes when the batch that read it is done.
     """
-    spark = rows.sparkSession
-    rows.repartitionByRange(pieces * -(-shuffle_tasks(spark) // pieces), time).write.parquet(folder)
+    spark, n_files = rows.sparkSession, pieces * -(-shuffle_tasks(rows.sparkSession) // pieces)
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = sorted((f.getPath() for f in system.listStatus(place)
-                    if f.getPath().getName().startswith("part-")), key=lambda f: f.getName())
+    at, files = F.unix_micros(time), []
+    cuts = rows.select(at.cast("double").alias("at")).approxQuantile(
+        "at", [k / slices for k in range(1, slices)], 0.001) if slices > 1 else []
+    number = sum((F.when(at >= F.lit(int(cut)), 1).otherwise(0) for cut in cuts), F.lit(0))
+    for k in range(len(cuts) + 1):
+        with freed(spark):
+            (rows.where(number == k) if cuts else rows).repartitionByRange(-(-n_files // (len(cuts) + 1)), time).write.mode(
+                "append").option("compression", CODEC).parquet(folder)
+        known = {f.getName() for f in files}
+        files += sorted((f.getPath() for f in system.listStatus(place) if f.getPath().getName().startswith("part-")
+                         and f.getPath().getName() not in known), key=lambda f: f.getName())
     for k, file in enumerate(files):
         system.setTimes(file, 1_000_000_000_000 + 60_000 * k, -1)
     return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-len(files) // pieces)))
-            .option("maxFileAge", "36500d").parquet(folder))
+            .option("maxFileAge", "36500d").option("cleanSource", "delete" if read_once else "off").parquet(folder))
 
 
 def change_stream(spark: SparkSession, folder: str,

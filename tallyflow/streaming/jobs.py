@@ -15,6 +15,7 @@ from tallyflow.operators.latest import latest_per_key
 from tallyflow.session import configure, keep_state_on_disk
 from tallyflow.sources import tables, topics
 from tallyflow.sources.commits import Log, job_name
+from tallyflow.sources.slices import freed
 from tallyflow.streaming import sinks, transforms
 
 
@@ -211,10 +212,10 @@ def write_sales(orders: DataFrame, lines: DataFrame, root: str, checkpoint: str,
             return out
 
         try:
-            with sinks.adaptive(batch):
+            with sinks.adaptive(batch), freed(own):
                 if sinks.commit_batch(own, root, job, batch_id, rows, lambda: done):
-                    # Partners of rows that are given out as unmatched may be a wait older.
-                    tables.expire(own, waiting, root, done[note]["until"] - (2 if keep_unmatched else 1) * reach)
+                    # Partners of rows that are given out as unmatched may be a wait older.  Only this job reads the table.
+                    tables.expire(own, waiting, root, done[note]["until"] - (2 if keep_unmatched else 1) * reach, True)
         finally:
             for pairs in held:
                 pairs.unpersist()

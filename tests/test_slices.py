@@ -110,3 +110,39 @@ def test_search_index_in_slices_gives_the_same_rows(spark, folder, monkeypatch):
     # Three slices of each table, and no shuffle file of any of them is left.
     assert [m[:2] for m in made] == [("sale_detail", 2), ("sale_posting", 2)]
     assert not made[0][2] and not made[1][2]
+
+
+def test_stream_sales_repaired_in_slices_keeps_only_what_it_returns(spark, folder, monkeypatch, tmp_path):
+    from tallyflow.plans import registry
+
+    outs = iter((str(tmp_path / "whole"), str(tmp_path / "sliced")))
+    monkeypatch.setattr(registry, "work_dir", lambda *_: next(outs))
+    want = rows_of(QUERIES["stream_sales_repaired"](spark, folder))
+    monkeypatch.setattr(slices, "SLICE_ROWS", 800)
+    made = QUERIES["stream_sales_repaired"](spark, folder)
+    assert rows_of(made) == want and sum(want.values()) > 1900
+    # The files of the stream's input went with their batches, those of a step with the step.
+    whole, sliced = ({f for f in os.listdir(tmp_path / k) if not f.startswith(("_", "."))} for k in ("whole", "sliced"))
+    (waiting,) = (f for f in sliced if f.startswith("sale_waiting_"))
+    assert sliced == {"checkpoint", "repaired", "sale_detail", "sale_unmatched", waiting}
+    assert not whole & {"orders", "lines", "lines-once"}
+    # What waited too long is deleted with its part.
+    root = str(tmp_path / "sliced")
+    current = {p["name"] for p in Log(spark, root).head()["tables"].get(waiting, [])}
+    assert {f for f in os.listdir(f"{root}/{waiting}/files") if not f.startswith(".")} == current
+    # A batch without rows has a part without rows.
+    for part in set(os.listdir(f"{root}/{waiting}/parts")) - current:
+        assert spark.read.schema(schemas.WAITING_TABLE).parquet(f"{root}/{waiting}/parts/{part}").isEmpty()
+
+
+def test_a_stream_sorted_in_slices_is_in_order_and_whole(spark, tmp_path):
+    from tallyflow.sources import topics
+
+    rows = spark.range(0, 5000).select(F.col("id"), F.when(F.col("id") % 100 > 0, F.timestamp_seconds(
+        (F.col("id") * 7919) % 5000)).alias("at"))
+    topics.ordered_stream(rows, "at", str(tmp_path / "in"), 2, 3)
+    files = sorted((f for f in (tmp_path / "in").iterdir() if f.name.startswith("part-")), key=lambda f: f.stat().st_mtime)
+    read = [[r["at"] for r in spark.read.parquet(str(f)).collect()] for f in files]
+    assert sum(map(len, read)) == 5000 and sum(a is None for part in read for a in part) == 50
+    known = [[a for a in part if a] for part in read]
+    assert len(files) >= 6 and all(max(a) <= min(b) for a, b in zip(known, known[1:]) if a and b)
